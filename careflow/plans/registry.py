@@ -404,3 +404,70 @@ def _m7s(t):
   ORDER BY prescription_date""", ("fact_rx",))
 def _m8(t):
     return anomaly.daily_zscore(t.fact_prescription)
+
+
+# ----------------------------------------------------------------- Q (data quality)
+from ..operators import quality  # noqa: E402
+from .oracle_quality import suite_sql  # noqa: E402
+
+_STG_VIEW = {"stg_prescriptions": "rx_stage", "stg_diagnoses": "dx_stage", "stg_claims": "claims_stage",
+             "stg_patients": "patients_stage", "stg_physicians": "physicians_stage"}
+_STG_VIEWS = tuple(_STG_VIEW.values())
+
+
+def _staging(t: DomainTables) -> dict[str, DataFrame]:
+    return {"stg_prescriptions": t.rx_stage, "stg_diagnoses": t.dx_stage, "stg_claims": t.claims_stage,
+            "stg_patients": t.patients_stage, "stg_physicians": t.physicians_stage}
+
+
+def _suite(kind: str | None = None) -> list:
+    return [c for c in quality.default_suite() if kind is None or c.check_type == kind]
+
+
+for _qid, _kind in [("q1_completeness", "completeness"), ("q2_uniqueness", "uniqueness"),
+                    ("q3_referential_integrity", "referential_integrity"), ("q4_row_count", "row_count"),
+                    ("q5_distribution", "distribution"), ("q6_quality_suite", None)]:
+    register(_qid, suite_sql(_suite(_kind), _STG_VIEW), _STG_VIEWS)(
+        (lambda checks: (lambda t: quality.run_checks(_staging(t), checks)))(_suite(_kind)))
+
+_SUITE_SQL = suite_sql(_suite(), _STG_VIEW)
+_REPORT_SQL = f"""
+  SELECT COUNT(*) AS total_checks, COUNT(*) FILTER (WHERE passed) AS passed,
+         COUNT(*) FILTER (WHERE NOT passed) AS failed_count,
+         ROUND(COALESCE(CAST(COUNT(*) FILTER (WHERE passed) AS DOUBLE) / NULLIF(COUNT(*), 0), 0.0), 6)
+           AS overall_score,
+         COALESCE(string_agg(CASE WHEN NOT passed THEN name END, ', ' ORDER BY name), '') AS failed_names
+  FROM ({_SUITE_SQL})"""
+
+
+def _report(t: DomainTables) -> DataFrame:
+    return quality.dq_report(quality.run_checks(_staging(t)))
+
+
+@register("q7_dq_report", _REPORT_SQL, _STG_VIEWS)
+def _q7(t):
+    return _report(t).select(
+        "total_checks", "passed", "failed_count", F.round("overall_score", 6).alias("overall_score"),
+        F.concat_ws(", ", F.transform("failed_checks", lambda s: s.getField("name"))).alias("failed_names"))
+
+
+@register("q8_dq_gate", f"""
+  SELECT overall_score, overall_score >= 0.8 AS gate_passed FROM ({_REPORT_SQL})""", _STG_VIEWS)
+def _q8(t):
+    g = quality.gate(_report(t))
+    return g.select(F.round("overall_score", 6).alias("overall_score"), "gate_passed")
+
+
+# ----------------------------------------------------------------- V1-V8 (validation)
+from ..operators import validate as _val  # noqa: E402
+from ..sources import fixtures as _fx  # noqa: E402
+from .oracle_validate import coerced_select, validated_sql  # noqa: E402
+
+for _ds, _view_name, _builder in [("prescriptions", "rx_raw", _fx.rx_raw), ("claims", "claims_raw", _fx.claims_raw)]:
+    _vsql = validated_sql(_ds, _view_name)
+    register(f"v8_validate_{_ds}_valid",
+             f"SELECT {coerced_select(_ds)} FROM ({_vsql}) WHERE _validation_error IS NULL", (_view_name,))(
+        (lambda ds, b: (lambda t: _val.split(_val.validate(b(t.spark, t.sf_dir), ds), ds)[0]))(_ds, _builder))
+    register(f"v8_validate_{_ds}_invalid",
+             f"SELECT * FROM ({_vsql}) WHERE _validation_error IS NOT NULL", (_view_name,))(
+        (lambda ds, b: (lambda t: _val.split(_val.validate(b(t.spark, t.sf_dir), ds), ds)[1]))(_ds, _builder))

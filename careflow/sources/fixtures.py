@@ -119,6 +119,35 @@ def physicians_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw (all-text) prescriptions as a CSV would hold them, with dirt:
+    'None' drug names (part key % 101 = 0) and quantities shifted below the
+    minimum (quantity > 45 -> quantity - 50)."""
+    r = rx_stage(spark, sf_dir)
+    return r.select(
+        "prescription_id", F.col("patient_id").cast("string").alias("patient_id"),
+        F.col("physician_id").cast("string").alias("physician_id"),
+        F.when(F.col("source_part") % 101 == 0, F.lit("None")).otherwise(F.col("drug_name")).alias("drug_name"),
+        "prescription_date",
+        F.when(F.col("quantity") > 45, F.col("quantity") - 50).otherwise(F.col("quantity"))
+         .cast("string").alias("quantity"),
+        F.col("refills").cast("string").alias("refills"), "therapy_area")
+
+
+def claims_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw (all-text) claims; order status F/O/P -> approved / pending / 'partial'
+    (the last is outside the allowed values)."""
+    o = table(spark, sf_dir, "orders")
+    status = (F.when(F.col("o_orderstatus") == "F", "approved")
+               .when(F.col("o_orderstatus") == "O", "pending").otherwise("partial"))
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("claim_id"),
+        F.col("o_custkey").cast("string").alias("patient_id"),
+        _iso(F.col("o_orderdate").cast("date")).alias("claim_date"),
+        F.col("o_totalprice").cast("string").alias("amount"),
+        status.alias("status"), F.col("o_orderpriority").alias("payer"))
+
+
 # ---------------------------------------------------------------------------
 # The same staging tables as DuckDB SQL (oracle side).
 
@@ -184,3 +213,17 @@ def sql_with(body: str, *names: str) -> str:
         return body.strip()
     ctes = ",\n".join(f"{n} AS ({SQL_VIEWS[n][0]}\n)" for n in ordered)
     return f"WITH {ctes}\n{body.strip()}"
+
+_view("rx_raw", """
+  SELECT prescription_id, CAST(patient_id AS VARCHAR) AS patient_id, CAST(physician_id AS VARCHAR) AS physician_id,
+         CASE WHEN source_part % 101 = 0 THEN 'None' ELSE drug_name END AS drug_name, prescription_date,
+         CAST(CASE WHEN quantity > 45 THEN quantity - 50 ELSE quantity END AS VARCHAR) AS quantity,
+         CAST(refills AS VARCHAR) AS refills, therapy_area
+  FROM rx_stage""", "rx_stage")
+
+_view("claims_raw", """
+  SELECT CAST(o_orderkey AS VARCHAR) AS claim_id, CAST(o_custkey AS VARCHAR) AS patient_id,
+         strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS claim_date, CAST(o_totalprice AS VARCHAR) AS amount,
+         CASE o_orderstatus WHEN 'F' THEN 'approved' WHEN 'O' THEN 'pending' ELSE 'partial' END AS status,
+         o_orderpriority AS payer
+  FROM orders""")
