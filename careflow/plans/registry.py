@@ -471,3 +471,126 @@ for _ds, _view_name, _builder in [("prescriptions", "rx_raw", _fx.rx_raw), ("cla
     register(f"v8_validate_{_ds}_invalid",
              f"SELECT * FROM ({_vsql}) WHERE _validation_error IS NOT NULL", (_view_name,))(
         (lambda ds, b: (lambda t: _val.split(_val.validate(b(t.spark, t.sf_dir), ds), ds)[1]))(_ds, _builder))
+
+
+# ----------------------------------------------------------------- M3/M4/M7 (forest; rows-only)
+from ..operators import forest as _forest  # noqa: E402
+from . import anomaly_jobs as _aj  # noqa: E402
+
+
+@register("m3_forest_nodes")
+def _m3(t):
+    model, _stats, _f = _aj.train(t.fact_prescription)
+    return _forest.nodes_frame(t.spark, model)
+
+
+@register("m4_forest_scores")
+def _m4(t):
+    model, stats, feats = _aj.train(t.fact_prescription)
+    return _aj.score(feats, model, stats)
+
+
+@register("m7_anomaly_results")
+def _m7(t):
+    model, stats, feats = _aj.train(t.fact_prescription)
+    return anomaly.anomaly_results(_aj.score(feats, model, stats), t.as_of, TEST_LIMITS)
+
+
+# ----------------------------------------------------------------- I1-I3, T8 (incremental, SCD-2)
+from ..operators import incremental as _inc  # noqa: E402
+from ..sources.fixtures import _view as _sqlview  # noqa: E402
+
+INC_CUT = "2024-01-20 00:00:00"   # target = diagnoses ingested before this instant
+SCD_AS_OF = "2025-02-01"          # date of the second dimension load
+
+
+def _inc_target(t: DomainTables) -> DataFrame:
+    return t.dx_stage.filter(F.col("ingested_at") < F.lit(INC_CUT).cast("timestamp_ntz"))
+
+
+def _inc_source(t: DomainTables) -> DataFrame:
+    """New staging content: every diagnosis, plus re-sent copies (every 10th
+    diagnosis before the cut) with a revised code, stamped 30 days later."""
+    d = t.dx_stage
+    resent = (d.filter((F.col("diagnosis_id") % 10 == 0) & (F.col("ingested_at") < F.lit(INC_CUT).cast("timestamp_ntz")))
+              .withColumn("icd_code", F.concat(F.col("icd_code"), F.lit("-rev")))
+              .withColumn("ingested_at", F.col("ingested_at") + F.expr("INTERVAL 30 DAYS")))
+    return d.unionByName(resent)
+
+
+_sqlview("inc_target", f"SELECT * FROM dx_stage WHERE ingested_at < TIMESTAMP '{INC_CUT}'", "dx_stage")
+_sqlview("inc_source", f"""
+  SELECT * FROM dx_stage
+  UNION ALL
+  SELECT diagnosis_id, patient_id, icd_code || '-rev', diagnosis_date, physician_id, severity,
+         ingested_at + INTERVAL 30 DAY
+  FROM dx_stage WHERE diagnosis_id % 10 = 0 AND ingested_at < TIMESTAMP '{INC_CUT}'""", "dx_stage")
+_sqlview("inc_delta", """
+  SELECT * FROM inc_source WHERE ingested_at > (SELECT MAX(ingested_at) FROM inc_target)""",
+         "inc_source", "inc_target")
+
+
+@register("i1_high_water_mark", "SELECT MAX(ingested_at) AS last_watermark FROM inc_target", ("inc_target",))
+def _i1(t):
+    return _inc_target(t).agg(F.max("ingested_at").alias("last_watermark"))
+
+
+@register("i2_delta_rows", "SELECT * FROM inc_delta", ("inc_delta",))
+def _i2(t):
+    target = _inc_target(t)
+    return _inc.delta_rows(_inc_source(t), _inc.high_water_mark(target))
+
+
+@register("i3_upsert", """
+  SELECT * FROM inc_target WHERE diagnosis_id NOT IN (SELECT diagnosis_id FROM inc_delta)
+  UNION ALL
+  SELECT * EXCLUDE (_rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY diagnosis_id ORDER BY ingested_at DESC NULLS LAST,
+        patient_id DESC NULLS LAST, icd_code DESC NULLS LAST, diagnosis_date DESC NULLS LAST,
+        physician_id DESC NULLS LAST, severity DESC NULLS LAST) AS _rn
+    FROM inc_delta) WHERE _rn = 1""", ("inc_target", "inc_delta"))
+def _i3(t):
+    new_target, _delta = _inc.incremental_load(_inc_source(t), _inc_target(t), "diagnosis_id")
+    return new_target
+
+
+_SCD_ATTRS = ["gender", "date_of_birth", "region", "enrollment_date"]
+
+
+def _scd_incoming(t: DomainTables) -> DataFrame:
+    """Second load of the patient dimension: every 7th patient moved region,
+    every 11th patient has a new twin key (key + 1,000,000)."""
+    d = t.dim_patient.select("patient_id", *_SCD_ATTRS)
+    moved = d.withColumn("region", F.when(F.col("patient_id") % 7 == 0, F.concat(F.col("region"), F.lit("-moved")))
+                         .otherwise(F.col("region")))
+    new = d.filter(F.col("patient_id") % 11 == 0).withColumn("patient_id", F.col("patient_id") + 1000000)
+    return moved.unionByName(new)
+
+
+_SAME = " AND ".join(f"c.{a} IS NOT DISTINCT FROM i.{a}" for a in _SCD_ATTRS)
+_sqlview("scd_in", """
+  SELECT patient_id, gender, date_of_birth,
+         CASE WHEN patient_id % 7 = 0 THEN region || '-moved' ELSE region END AS region, enrollment_date
+  FROM dim_patient
+  UNION ALL
+  SELECT patient_id + 1000000, gender, date_of_birth, region, enrollment_date FROM dim_patient
+  WHERE patient_id % 11 = 0""", "dim_patient")
+
+
+@register("t8_scd2_merge", f"""
+  SELECT * FROM dim_patient WHERE is_current <> 1
+  UNION ALL
+  SELECT c.* FROM dim_patient c LEFT JOIN scd_in i ON c.patient_id = i.patient_id
+  WHERE c.is_current = 1 AND (i.patient_id IS NULL OR ({_SAME}))
+  UNION ALL
+  SELECT c.patient_id, c.gender, c.date_of_birth, c.region, c.enrollment_date, c.effective_from,
+         CAST(DATE '{SCD_AS_OF}' - INTERVAL 1 DAY AS DATE), CAST(0 AS SMALLINT)
+  FROM dim_patient c JOIN scd_in i ON c.patient_id = i.patient_id
+  WHERE c.is_current = 1 AND NOT ({_SAME}) AND c.effective_from <> DATE '{SCD_AS_OF}'
+  UNION ALL
+  SELECT i.patient_id, i.gender, i.date_of_birth, i.region, i.enrollment_date, DATE '{SCD_AS_OF}',
+         DATE '9999-12-31', CAST(1 AS SMALLINT)
+  FROM scd_in i LEFT JOIN (SELECT * FROM dim_patient WHERE is_current = 1) c ON c.patient_id = i.patient_id
+  WHERE c.patient_id IS NULL OR NOT ({_SAME})""", ("dim_patient", "scd_in"))
+def _t8(t):
+    return _inc.scd2_merge(t.dim_patient, _scd_incoming(t), "patient_id", _SCD_ATTRS, SCD_AS_OF)
