@@ -594,3 +594,52 @@ _sqlview("scd_in", """
   WHERE c.patient_id IS NULL OR NOT ({_SAME})""", ("dim_patient", "scd_in"))
 def _t8(t):
     return _inc.scd2_merge(t.dim_patient, _scd_incoming(t), "patient_id", _SCD_ATTRS, SCD_AS_OF)
+
+
+# ----------------------------------------------------------------- S5-S8, S11, I4 (files; rows-only)
+# These write CSV derived from the given tables into the shared checkpoint
+# folder, then read it back the way raw files arrive.
+import uuid as _uuid  # noqa: E402
+
+from ..session import scratch_path as _scratch  # noqa: E402
+from ..sources import tables as _tables  # noqa: E402
+from ..sources.csv import read_raw_csv as _read_raw_csv, write_csv as _write_csv  # noqa: E402
+
+
+def _landing(t: DomainTables, name: str) -> str:
+    base = _scratch(t.spark, f"careflow-{name}-{_uuid.uuid4().hex[:12]}")
+    return _write_csv(_fx.rx_raw(t.spark, t.sf_dir), f"{base}/prescriptions.csv")
+
+
+@register("s5_csv_scan_row_numbers")
+def _s5(t):
+    return _read_raw_csv(t.spark, _landing(t, "s5"))
+
+
+@register("s6_ingest_prescriptions")
+def _s6(t):
+    from .ingest import ingest_file
+    src = _landing(t, "s6")
+    root = src.rsplit("/", 1)[0]
+    store = _tables.TableStore(t.spark, f"{root}/tables")
+    ingest_file(t.spark, src, "prescriptions", store, f"{root}/quarantine")
+    return store.read("stg_prescriptions")
+
+
+@register("s11_quarantine_prescriptions")
+def _s11(t):
+    from .ingest import ingest_file
+    src = _landing(t, "s11")
+    root = src.rsplit("/", 1)[0]
+    ingest_file(t.spark, src, "prescriptions", _tables.TableStore(t.spark, f"{root}/tables"),
+                f"{root}/quarantine")
+    return t.spark.read.parquet(f"{root}/quarantine")
+
+
+@register("i4_stream_upsert_prescriptions")
+def _i4(t):
+    from ..streaming.incremental_stream import run_available
+    src = _landing(t, "i4")
+    root = src.rsplit("/", 1)[0]
+    store = _tables.TableStore(t.spark, f"{root}/tables")
+    return run_available(t.spark, src, "prescriptions", store, f"{root}/quarantine", f"{root}/stream-ckpt")

@@ -41,13 +41,17 @@ def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = Non
     return with_file_row_number(df)
 
 
-def with_file_row_number(df: DataFrame, out: str = "_row_number") -> DataFrame:
+def with_file_row_number(df: DataFrame, out: str = "_row_number", path_col: str | None = None,
+                         block_col: str | None = None) -> DataFrame:
     """1-based row position inside its source file (header excluded), plus
-    ``_file`` (the file path)."""
-    base = df.select("*", F.col("_metadata.file_path").alias("_file"),
-                     F.xxhash64(F.col("_metadata.file_path")).alias("_fk"),
-                     F.col("_metadata.file_block_start").alias("_blk"),
+    ``_file`` (the file path).  ``path_col`` / ``block_col`` name columns that
+    already hold the file path and block start (a streaming micro-batch);
+    by default they come from the ``_metadata`` column of a file scan."""
+    path = F.col(path_col) if path_col else F.col("_metadata.file_path")
+    blk = F.col(block_col) if block_col else F.col("_metadata.file_block_start")
+    base = df.select("*", path.alias("_file"), F.xxhash64(path).alias("_fk"), blk.alias("_blk"),
                      F.monotonically_increasing_id().alias("_mid"))
+    base = base.drop(*[c for c in (path_col, block_col) if c])
     blocks = (base.groupBy("_fk", "_blk")
               .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")))
     blocks = blocks.withColumn(
