@@ -71,21 +71,25 @@ def previous_value(df: DataFrame, group: str, day: str, tie: Sequence[str],
                    value: str, out: str = "previous", has_out: str = "has_previous") -> DataFrame:
     """Value of ``value`` on the preceding row of the same group, ordered by
     day then ``tie``; ``has_out`` says whether such a row exists (the previous
-    value itself may be null).  Rows with a null group are dropped."""
+    value itself may be null).  Rows with a null group are dropped.
+
+    One shuffle of the rows (by group and day); the last row of each day is
+    picked from the windowed rows, lagged over the group's days (one row per
+    day), and joined back to the first row of the next day."""
     tie = list(tie)
     base = df.filter(F.col(group).isNotNull()).withColumn("_dk", _day_key(day))
     w_in = Window.partitionBy(group, "_dk").orderBy(*tie)
     in_day = (base.withColumn("_rn", F.row_number().over(w_in))
-                  .withColumn("_lag", F.lag(value).over(w_in)))
-    order_key = F.struct(*[F.col(c) for c in tie])
+                  .withColumn("_lag", F.lag(value).over(w_in))
+                  .withColumn("_is_last", F.lead(F.lit(1)).over(w_in).isNull()))
     w_days = Window.partitionBy(group).orderBy("_dk")
-    days = (base.groupBy(group, "_dk")
-                .agg(F.max_by(F.col(value), order_key).alias("_day_last"))
-                .withColumn("_prev_day_last", F.lag("_day_last").over(w_days))
-                .withColumn("_prev_day_exists", F.row_number().over(w_days) > 1)
-                .drop("_day_last"))
+    days = (in_day.filter(F.col("_is_last"))
+                  .select(group, "_dk", F.col(value).alias("_day_last"))
+                  .withColumn("_prev_day_last", F.lag("_day_last").over(w_days))
+                  .withColumn("_prev_day_exists", F.row_number().over(w_days) > 1)
+                  .drop("_day_last"))
     first = F.col("_rn") == 1
     return (in_day.join(days, [group, "_dk"], "inner")
                   .withColumn(out, F.when(first, F.col("_prev_day_last")).otherwise(F.col("_lag")))
                   .withColumn(has_out, F.when(first, F.col("_prev_day_exists")).otherwise(F.lit(True)))
-                  .drop("_dk", "_rn", "_lag", "_prev_day_last", "_prev_day_exists"))
+                  .drop("_dk", "_rn", "_lag", "_is_last", "_prev_day_last", "_prev_day_exists"))

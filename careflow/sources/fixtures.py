@@ -29,7 +29,25 @@ RX_ORDER = ["prescription_date", "physician_id", "source_part", "quantity", "sou
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_narrow_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread_narrow_scan(df: DataFrame, min_bytes: int = 4 << 20) -> DataFrame:
+    """Spread the rows of a scan that has fewer input splits than the cluster
+    has cores (one unsplittable file) but is not tiny, so the map side of the
+    plan is not one task.  On large inputs (many splits) nothing is added."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    files = df.inputFiles()
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    size = 0
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        size += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return df.repartition(cores) if size >= min_bytes else df
 
 
 def _regions(spark, sf_dir) -> DataFrame:
