@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import anomaly, forest
+from ..session import reliable_checkpoint
 from ..sources.tables import TableStore
 
 KEY = "physician_id"
@@ -20,7 +21,7 @@ def train(fact_prescription: DataFrame, n_trees: int = 100, contamination: float
     (count, sampling, offset, scoring), so it is checkpointed once to the
     shared checkpoint folder: lineage is cut and a lost executor does not
     send the passes back to the fact table."""
-    feats = anomaly.physician_features(fact_prescription).checkpoint(eager=True)
+    feats = reliable_checkpoint(anomaly.physician_features(fact_prescription))
     stats = anomaly.scaling_stats(feats)
     scaled = anomaly.standard_scale(feats, stats)
     model = forest.fit(scaled, anomaly.FEATURE_COLS, KEY, n_trees=n_trees, max_samples=max_samples,
@@ -51,7 +52,7 @@ def run_inference(spark: SparkSession, store: TableStore, model_path: str,
     """M7: load the model, score, keep the flagged physicians, replace anomaly_results."""
     model, stats = forest.load_model(spark, model_path)
     detection_date = detection_date or _dt.datetime.now(_dt.timezone.utc).date()
-    feats = anomaly.physician_features(store.read("fact_prescription")).checkpoint(eager=True)
+    feats = reliable_checkpoint(anomaly.physician_features(store.read("fact_prescription")))
     scored = score(feats, model, stats).cache()
     try:
         results = anomaly.anomaly_results(scored, detection_date, limits)

@@ -643,3 +643,29 @@ def _i4(t):
     root = src.rsplit("/", 1)[0]
     store = _tables.TableStore(t.spark, f"{root}/tables")
     return run_available(t.spark, src, "prescriptions", store, f"{root}/quarantine", f"{root}/stream-ckpt")
+
+
+# ----------------------------------------------------------------- Q9, T7 (tables written by the job)
+@register("q9_dq_trend", f"""
+  SELECT TIMESTAMP '{_fx.AS_OF} 00:00:00' AS run_timestamp,
+         CAST(ROUND(COALESCE(CAST(COUNT(*) FILTER (WHERE passed) AS DOUBLE) / NULLIF(COUNT(*), 0), 0.0), 4)
+              AS DECIMAL(5,4)) AS overall_score
+  FROM ({_SUITE_SQL})""", _STG_VIEWS)
+def _q9(t):
+    """The dq_scores row of this run's report, read back as the trend (newest first)."""
+    row = _tables.dq_score_row(_report(t), "dq_check", f"{_fx.AS_OF} 00:00:00", "report.json")
+    return quality.dq_trend(row, n=10)
+
+
+@register("t7_transform_counts")
+def _t7(t):
+    """Stage the fixture tables, run every warehouse transform, report rows per table."""
+    from .full_run import run_all_transformations
+    root = _scratch(t.spark, f"careflow-t7-{_uuid.uuid4().hex[:12]}")
+    store = _tables.TableStore(t.spark, f"{root}/tables")
+    stage = {"stg_patients": t.patients_stage, "stg_physicians": t.physicians_stage,
+             "stg_prescriptions": t.rx_stage, "stg_diagnoses": t.dx_stage}
+    for name, df in stage.items():
+        store.write(df, name)
+    counts = run_all_transformations(store, t.as_of)
+    return t.spark.createDataFrame(sorted(counts.items()), "table string, row_count long")

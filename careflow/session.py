@@ -67,3 +67,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def reliable_checkpoint(df):
+    """Cut lineage with a reliable checkpoint in the shared checkpoint folder
+    (never a local checkpoint: a lost executor must not lose the data)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

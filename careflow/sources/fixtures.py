@@ -37,16 +37,18 @@ def spread_narrow_scan(df: DataFrame, min_bytes: int = 4 << 20) -> DataFrame:
     has cores (one unsplittable file) but is not tiny, so the map side of the
     plan is not one task.  On large inputs (many splits) nothing is added."""
     spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= cores:
+            return df
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        size = 0
+        for f in df.inputFiles():
+            p = jvm.org.apache.hadoop.fs.Path(f)
+            size += p.getFileSystem(conf).getFileStatus(p).getLen()
+    except Exception:  # noqa: BLE001  (no JVM access, e.g. a remote session)
         return df
-    files = df.inputFiles()
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    size = 0
-    for f in files:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        size += p.getFileSystem(conf).getFileStatus(p).getLen()
     return df.repartition(cores) if size >= min_bytes else df
 
 

@@ -71,10 +71,22 @@ class TableStore:
 
     def replace(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
         """S9 for a result that may read ``name`` itself: checkpoint, then overwrite."""
-        if self.exists(name):
-            df = df.checkpoint(eager=True)
+        if self.exists(name) and self._reads(df, name):
+            from ..session import reliable_checkpoint
+            df = reliable_checkpoint(df)
         self.write(df, name, "overwrite", partition_by)
 
+    def _reads(self, df: DataFrame, name: str) -> bool:
+        """Does the plan of ``df`` scan files of table ``name``?  (planning only)"""
+        if self.fmt == "jdbc":
+            return True
+        try:
+            files = df.inputFiles()
+        except Exception:  # noqa: BLE001
+            return True
+        prefix = self.path(name).split("://", 1)[-1].rstrip("/") + "/"
+        return any(prefix in f for f in files)
+
     def create_if_absent(self, schemas: dict[str, T.StructType]) -> list[str]:
         """Create empty typed tables that do not exist; return the created names."""
         made = []
