@@ -27,19 +27,39 @@ def _num_text(c: Column) -> Column:
     return F.when(c == F.floor(c), c.cast("long").cast("string")).otherwise(c.cast("string"))
 
 
+def _raw_col(name: str) -> str:
+    return f"__raw_{name}"
+
+
+def _num_col(name: str) -> str:
+    return f"__num_{name}"
+
+
+def _prepare(df: DataFrame, rule: dict) -> DataFrame:
+    """Normalised text (V1) and coerced number (V2) of each declared column,
+    computed once so every rule reads a column instead of re-deriving it."""
+    cols = {}
+    for name, typ, _extra in rule["properties"]:
+        if name not in df.columns:
+            continue
+        raw = null_normalised(F.col(name).cast("string"))
+        cols[_raw_col(name)] = raw
+        if typ == "integer":
+            cols[_num_col(name)] = to_int_trunc(raw).cast("double")
+        elif typ == "number":
+            cols[_num_col(name)] = to_double(raw)
+    return df.withColumns(cols) if cols else df
+
+
 def property_errors(col: str, typ: str, extra: dict, present: bool) -> list[Column]:
-    """Messages for one declared property (V1-V3, V5-V7); null where the rule holds."""
+    """Messages for one declared property (V1-V3, V5-V7); null where the rule
+    holds.  Reads the columns made by ``_prepare``."""
     if not present:
         return []
-    raw = null_normalised(F.col(col).cast("string"))
+    raw = F.col(_raw_col(col))
     quoted = F.concat(F.lit("'"), raw, F.lit("'"))
     out = [F.when(raw.isNull(), F.lit(f"None is not of type '{typ}'"))]
-    if typ == "integer":
-        num = to_int_trunc(raw).cast("double")
-    elif typ == "number":
-        num = to_double(raw)
-    else:
-        num = None
+    num = F.col(_num_col(col)) if typ in ("integer", "number") else None
     if num is not None:
         out.append(F.when(raw.isNotNull() & num.isNull(), F.concat(quoted, F.lit(f" is not of type '{typ}'"))))
     if "pattern" in extra:
@@ -56,7 +76,7 @@ def property_errors(col: str, typ: str, extra: dict, present: bool) -> list[Colu
 
 def validation_errors(df: DataFrame, dataset: str, rules: dict | None = None,
                       corrupt: str | None = "_corrupt") -> Column:
-    """Array of error messages of a raw (all-text) row; empty when valid."""
+    """Array of error messages of a raw (all-text) row prepared by ``_prepare``; empty when valid."""
     rule = (rules or RULES)[dataset]
     cols = set(df.columns)
     msgs: list[Column] = []
@@ -74,8 +94,13 @@ def validate(df: DataFrame, dataset: str, rules: dict | None = None,
              corrupt: str | None = "_corrupt") -> DataFrame:
     """V8 (marking): add ``_validation_error`` -- null for a valid row, else
     the messages joined by '; '."""
-    errs = validation_errors(df, dataset, rules, corrupt)
-    return df.withColumn(ERROR_COL, F.when(F.size(errs) > 0, F.array_join(errs, "; ")))
+    rule = (rules or RULES)[dataset]
+    prepared = _prepare(df, rule)
+    errs = validation_errors(prepared, dataset, rules, corrupt)
+    helpers = [c for c in prepared.columns if c.startswith("__raw_") or c.startswith("__num_")]
+    return (prepared.withColumn("_errs", errs)
+            .withColumn(ERROR_COL, F.when(F.size("_errs") > 0, F.array_join("_errs", "; ")))
+            .drop("_errs", *helpers))
 
 
 def coerce(df: DataFrame, dataset: str, rules: dict | None = None) -> DataFrame:

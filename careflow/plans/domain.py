@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import anomaly, warehouse
+from ..session import reliable_checkpoint
 from ..sources import fixtures
 
 # Explanation limits for the test data: quantities stay at 50 or less and
@@ -59,7 +60,9 @@ class DomainTables:
     # warehouse -------------------------------------------------------------
     @cached_property
     def fact_prescription(self) -> DataFrame:
-        return warehouse.transform_prescriptions(self.rx_stage, order=fixtures.RX_ORDER)
+        """Materialised once (reliable checkpoint in the shared folder), as the
+        batch job writes the fact table; every query part reads it from there."""
+        return reliable_checkpoint(warehouse.transform_prescriptions(self.rx_stage, order=fixtures.RX_ORDER))
 
     @cached_property
     def dim_patient(self) -> DataFrame:

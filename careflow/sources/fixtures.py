@@ -32,6 +32,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread_narrow_scan(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
+_SPLITS: dict[str, tuple[int, int]] = {}   # path -> (input splits, bytes); files are read-only
+
+
 def spread_narrow_scan(df: DataFrame, min_bytes: int = 4 << 20) -> DataFrame:
     """Spread the rows of a scan that has fewer input splits than the cluster
     has cores (one unsplittable file) but is not tiny, so the map side of the
@@ -39,17 +42,20 @@ def spread_narrow_scan(df: DataFrame, min_bytes: int = 4 << 20) -> DataFrame:
     spark = df.sparkSession
     try:
         cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        size = 0
-        for f in df.inputFiles():
-            p = jvm.org.apache.hadoop.fs.Path(f)
-            size += p.getFileSystem(conf).getFileStatus(p).getLen()
+        files = df.inputFiles()
+        key = "|".join(sorted(files))
+        if key not in _SPLITS:
+            jvm = spark.sparkContext._jvm
+            conf = spark.sparkContext._jsc.hadoopConfiguration()
+            size = 0
+            for f in files:
+                p = jvm.org.apache.hadoop.fs.Path(f)
+                size += p.getFileSystem(conf).getFileStatus(p).getLen()
+            _SPLITS[key] = (df.rdd.getNumPartitions(), size)
+        splits, size = _SPLITS[key]
     except Exception:  # noqa: BLE001  (no JVM access, e.g. a remote session)
         return df
-    return df.repartition(cores) if size >= min_bytes else df
+    return df.repartition(cores) if splits < cores and size >= min_bytes else df
 
 
 def _regions(spark, sf_dir) -> DataFrame:
