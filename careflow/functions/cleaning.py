@@ -13,6 +13,13 @@ NULL_TOKENS = ("", "None")
 DATE_FORMAT = "yyyy-MM-dd"
 
 
+def ts_literal(value) -> Column:
+    """A wall-clock timestamp literal (TIMESTAMP WITHOUT TIME ZONE): the same
+    value whatever the session or process time zone."""
+    text = value.isoformat(sep=" ") if hasattr(value, "isoformat") else str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def null_normalised(c: Column) -> Column:
     """V1: missing, '' and 'None' become null."""
     return F.when(c.isin(*NULL_TOKENS), F.lit(None)).otherwise(c)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import HIGH_DATE
+from ..functions.cleaning import ts_literal
 from .warehouse import dedup_keep_last
 
 
@@ -19,11 +20,24 @@ def high_water_mark(target: DataFrame | None, column: str = "ingested_at"):
     return target.agg(F.max(column)).first()[0]
 
 
+def mark_column(target: DataFrame | None, column: str = "ingested_at") -> Column | None:
+    """I1 as an uncorrelated scalar subquery: the mark stays on the JVM side
+    with its own type (no round trip through a driver-side value)."""
+    if target is None or column not in target.columns:
+        return None
+    return target.select(F.max(column)).scalar()
+
+
 def delta_rows(source: DataFrame, mark, column: str = "ingested_at") -> DataFrame:
-    """Rows strictly newer than the mark (pushed to the scan); all rows without a mark."""
+    """Rows strictly newer than the mark; all rows without a mark.
+    ``mark`` is a Column (``mark_column``) or a value (``high_water_mark``)."""
     if mark is None:
         return source
-    return source.filter(F.col(column) > F.lit(mark).cast(source.schema[column].dataType))
+    if isinstance(mark, Column):
+        return source.filter(mark.isNull() | (F.col(column) > mark))
+    typ = source.schema[column].dataType
+    lit = ts_literal(mark) if typ.simpleString() == "timestamp_ntz" else F.lit(mark).cast(typ)
+    return source.filter(F.col(column) > lit)
 
 
 def upsert(target: DataFrame, delta: DataFrame, key: str) -> DataFrame:
@@ -43,8 +57,7 @@ def incremental_load(source: DataFrame, target: DataFrame | None, key: str,
     """I1 + I2 + I3 as one plan: (new target, delta).  The caller writes the new
     target to a new location (or checkpoints first) -- never over the path
     it is reading."""
-    mark = high_water_mark(target, column)
-    delta = delta_rows(source, mark, column)
+    delta = delta_rows(source, mark_column(target, column), column)
     if target is None:
         return dedup_keep_last(delta, key, [column]), delta
     return upsert(target, delta, key), delta

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.cleaning import ts_literal
 from ..schemas import DQ_GATE
 
 CHECK_SCHEMA = T.StructType([
@@ -230,7 +231,7 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check] | None =
 def dq_report(check_rows: DataFrame, timestamp=None) -> DataFrame:
     """Q7: one row: total, passed, failed count, overall score (0 without
     checks) and the failed checks as an array of structs (sorted by name)."""
-    ts = F.current_timestamp() if timestamp is None else F.lit(timestamp).cast("timestamp")
+    ts = F.localtimestamp() if timestamp is None else ts_literal(timestamp)
     failed = F.filter(F.collect_list(F.struct(*[F.col(c) for c in CHECK_SCHEMA.names])),
                       lambda s: ~s.getField("passed"))
     return check_rows.agg(

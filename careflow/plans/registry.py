@@ -537,8 +537,7 @@ def _i1(t):
 
 @register("i2_delta_rows", "SELECT * FROM inc_delta", ("inc_delta",))
 def _i2(t):
-    target = _inc_target(t)
-    return _inc.delta_rows(_inc_source(t), _inc.high_water_mark(target))
+    return _inc.delta_rows(_inc_source(t), _inc.mark_column(_inc_target(t)))
 
 
 @register("i3_upsert", """

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-S, I, D, DT, TS = T.StringType(), T.IntegerType(), T.DoubleType(), T.DateType(), T.TimestampType()
+# TIMESTAMP (without time zone) -> TimestampNTZType
+S, I, D, DT, TS = T.StringType(), T.IntegerType(), T.DoubleType(), T.DateType(), T.TimestampNTZType()
 
 
 def _struct(*fields) -> T.StructType:

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.cleaning import ts_literal
 from ..schemas import DQ_SCORES, PIPELINE_RUNS
 
 log = logging.getLogger(__name__)
@@ -106,7 +107,7 @@ def load_staging(store: TableStore, df: DataFrame, table: str, key: str,
 
     if df.isEmpty():
         return 0
-    stamped = df.withColumn("ingested_at", F.lit(batch_ts).cast("timestamp"))
+    stamped = df.withColumn("ingested_at", ts_literal(batch_ts))
     deduped = dedup_keep_last(stamped, key, order if order is not None else ["_row_number"])
     deduped = deduped.drop(*[c for c in ("_row_number", "_file") if c in deduped.columns])
     obs = Observation(f"load_{table}")
@@ -140,7 +141,7 @@ def save_dq_report(store: TableStore, report: DataFrame, report_root: str,
 def dq_score_row(report: DataFrame, run_id: str, run_ts, report_path: str) -> DataFrame:
     """The dq_scores row of a report."""
     return report.select(
-        F.lit(run_id).alias("run_id"), F.lit(run_ts).cast("timestamp").alias("run_timestamp"),
+        F.lit(run_id).alias("run_id"), ts_literal(run_ts).alias("run_timestamp"),
         F.col("total_checks").cast("int").alias("total_checks"),
         F.col("passed").cast("int").alias("passed_checks"),
         F.col("overall_score").cast("decimal(5,4)").alias("overall_score"),

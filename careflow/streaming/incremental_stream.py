@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.cleaning import ts_literal
 from ..operators import incremental, validate
 from ..schemas import KEYS, RAW_COLUMNS, STAGING_TABLE
 from ..sources import tables
@@ -46,7 +47,7 @@ def _batch_handler(store: TableStore, dataset: str, quarantine_root: str):
         try:
             valid, invalid = validate.split(checked, dataset)
             tables.quarantine(invalid, quarantine_root, f"{dataset}_epoch{epoch_id}", stamp)
-            delta = valid.withColumn("ingested_at", F.lit(stamp).cast("timestamp")).drop("_file")
+            delta = valid.withColumn("ingested_at", ts_literal(stamp)).drop("_file")
             target = store.read_or_none(table)
             if target is None:
                 new = incremental.dedup_keep_last(delta, key, ["ingested_at", "_row_number"])
