@@ -121,9 +121,12 @@ def _uniform_hash(seed: int, key: str):
 
 def fit(df: DataFrame, features: list[str], key: str = "physician_id", n_trees: int = 100,
         max_samples: int = 256, contamination: float = 0.05, seed: int = 42,
-        oversample: float = 1.3) -> ForestModel:
+        oversample: float = 1.3, return_scores: bool = False):
     """M3: grow the forest on ``df`` (one row per entity, numeric features) and
-    set the offset so that ``contamination`` of the training rows score below 0."""
+    set the offset so that ``contamination`` of the training rows score below 0.
+
+    With ``return_scores`` the training rows' ``score_samples`` (checkpointed,
+    they were needed for the offset anyway) are returned with the model."""
     spark = df.sparkSession
     data = df.select(F.col(key).alias("_k"), *[F.col(c).cast("double").alias(c) for c in features])
     n = data.count()
@@ -148,7 +151,12 @@ def fit(df: DataFrame, features: list[str], key: str = "physician_id", n_trees:
     model = ForestModel(pd.concat(parts, ignore_index=True), list(features), psi, n_trees, max_depth,
                         contamination=contamination)
     scored = score_samples(df, model, key)
+    if return_scores:
+        from ..session import reliable_checkpoint
+        scored = reliable_checkpoint(scored)
     model.offset = float(scored.select(F.percentile("score_samples", contamination)).first()[0])
+    if return_scores:
+        return model, scored
     return model
 
 

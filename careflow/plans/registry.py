@@ -486,14 +486,14 @@ def _m3(t):
 
 @register("m4_forest_scores")
 def _m4(t):
-    model, stats, feats = _aj.train(t.fact_prescription)
-    return _aj.score(feats, model, stats)
+    _model, _stats, scored = _aj.train_and_score(t.fact_prescription)
+    return scored
 
 
 @register("m7_anomaly_results")
 def _m7(t):
-    model, stats, feats = _aj.train(t.fact_prescription)
-    return anomaly.anomaly_results(_aj.score(feats, model, stats), t.as_of, TEST_LIMITS)
+    _model, _stats, scored = _aj.train_and_score(t.fact_prescription)
+    return anomaly.anomaly_results(scored, t.as_of, TEST_LIMITS)
 
 
 # ----------------------------------------------------------------- I1-I3, T8 (incremental, SCD-2)

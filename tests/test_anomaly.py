@@ -86,3 +86,13 @@ def test_zscore_first_days_never_flagged(spark):
 def test_confidence_zero_max(spark):
     df = spark.createDataFrame([(0.0,), (0.0,)], "anomaly_score double")
     assert [r.confidence for r in A.with_confidence(df).collect()] == [0.0, 0.0]
+
+
+def test_train_and_score_equals_separate_scoring(spark):
+    fact = _fact(spark)
+    model, stats, scored = anomaly_jobs.train_and_score(fact, n_trees=30)
+    feats = A.physician_features(fact)
+    again = {r.physician_id: (round(r.anomaly_score, 12), r.is_anomaly)
+             for r in anomaly_jobs.score(feats, model, stats).collect()}
+    once = {r.physician_id: (round(r.anomaly_score, 12), r.is_anomaly) for r in scored.collect()}
+    assert once == again
