@@ -30,6 +30,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EULER = 0.5772156649
+# The node arrays are broadcast to every scoring task; n_trees x (2^(depth+1) - 1)
+# nodes x 40 bytes must stay below this (about 2 MB for the defaults).
+MAX_MODEL_BYTES = 256 << 20
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree", T.IntegerType()), T.StructField("node", T.IntegerType()),
@@ -163,7 +166,12 @@ def fit(df: DataFrame, features: list[str], key: str = "physician_id", n_trees:
 def score_samples(df: DataFrame, model: ForestModel, key: str = "physician_id") -> DataFrame:
     """M4 (raw): ``df`` plus ``score_samples`` = -2^(-E[h(x)] / c(psi)); lower is more abnormal."""
     spark: SparkSession = df.sparkSession
-    bc = spark.sparkContext.broadcast(model.arrays())
+    arrays = model.arrays()
+    nbytes = sum(a.nbytes for a in arrays)
+    if nbytes > MAX_MODEL_BYTES:
+        raise ValueError(f"forest of {nbytes} bytes is too large to broadcast; "
+                         "lower max_samples (tree depth) or n_trees")
+    bc = spark.sparkContext.broadcast(arrays)
     feats, n_trees, depth_cap = list(model.features), model.n_trees, model.max_depth
     norm = float(average_path_length([model.psi])[0]) or 1.0
     schema = T.StructType(df.schema.fields + [T.StructField("score_samples", T.DoubleType())])

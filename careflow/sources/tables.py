@@ -1,16 +1,17 @@
 """Table IO: a folder of parquet tables (or a JDBC database), and the
 operational sinks (staging, quarantine, DQ report, run log, model).
 
-A table is a parquet folder ``<root>/<name>``.  A full replace (S8/S9) that
-reads the table it replaces first cuts the lineage with ``checkpoint()`` (in
-the shared ``spark.checkpoint.dir``), so the overwrite never deletes files
-the plan still reads.
+A table is a parquet folder ``<root>/<name>``.  A full replace (S8/S9/I3)
+writes the new version beside the table and swaps the folders once the write
+has finished, so a plan that reads the table it replaces never loses its
+input, and a failed write leaves the old table in place.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -59,8 +60,13 @@ class TableStore:
     def read_or_none(self, name: str) -> DataFrame | None:
         return self.read(name) if self.exists(name) else None
 
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
     def write(self, df: DataFrame, name: str, mode: str = "overwrite",
-              partition_by: list[str] | None = None) -> None:
+              partition_by: list[str] | None = None, path: str | None = None) -> None:
         """Write a table (full replace by default)."""
         if self.fmt == "jdbc":
             df.write.mode(mode).jdbc(self.jdbc_url, name, properties=self.jdbc_props)
@@ -68,25 +74,35 @@ class TableStore:
         w = df.write.mode(mode)
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(self.path(name))
+        w.parquet(path or self.path(name))
 
     def replace(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
-        """S9 for a result that may read ``name`` itself: checkpoint, then overwrite."""
-        if self.exists(name) and self._reads(df, name):
-            from ..session import reliable_checkpoint
-            df = reliable_checkpoint(df)
-        self.write(df, name, "overwrite", partition_by)
+        """Full replace that may read ``name`` itself.
 
-    def _reads(self, df: DataFrame, name: str) -> bool:
-        """Does the plan of ``df`` scan files of table ``name``?  (planning only)"""
+        The new version is written next to the table first; only when that
+        write has finished are the folders swapped.  The plan therefore never
+        reads files that are being deleted, and a failed write leaves the old
+        table untouched."""
         if self.fmt == "jdbc":
-            return True
-        try:
-            files = df.inputFiles()
-        except Exception:  # noqa: BLE001
-            return True
-        prefix = self.path(name).split("://", 1)[-1].rstrip("/") + "/"
-        return any(prefix in f for f in files)
+            from ..session import reliable_checkpoint
+            self.write(reliable_checkpoint(df), name, "overwrite", partition_by)
+            return
+        final = self.path(name)
+        tag = uuid.uuid4().hex[:12]
+        staged, previous = f"{final}.__staged_{tag}", f"{final}.__previous_{tag}"
+        self.write(df, name, "overwrite", partition_by, path=staged)
+        fpath, fs = self._fs(final)
+        spath, _ = self._fs(staged)
+        ppath, _ = self._fs(previous)
+        had_old = fs.exists(fpath)
+        if had_old and not fs.rename(fpath, ppath):
+            raise OSError(f"could not move {final} aside")
+        if not fs.rename(spath, fpath):
+            if had_old:
+                fs.rename(ppath, fpath)
+            raise OSError(f"could not publish {staged}")
+        if had_old:
+            fs.delete(ppath, True)
 
     def create_if_absent(self, schemas: dict[str, T.StructType]) -> list[str]:
         """Create empty typed tables that do not exist; return the created names."""

@@ -53,7 +53,7 @@ def _batch_handler(store: TableStore, dataset: str, quarantine_root: str):
                 new = incremental.dedup_keep_last(delta, key, ["ingested_at", "_row_number"])
             else:
                 new = incremental.upsert(target, delta, key)
-            # the new table reads the old one: replace() checkpoints before overwriting
+            # the new table reads the old one: replace() writes beside it, then swaps
             store.replace(new.drop("_row_number"), table)
         finally:
             checked.unpersist()

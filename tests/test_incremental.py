@@ -71,3 +71,13 @@ def test_stream_twice_is_once(spark, tmpdir_path):
     out3 = {r.physician_id: r.region for r in
             run_available(spark, land, "physicians", store, os.path.join(tmpdir_path, "q"), ck).collect()}
     assert out3 == {"PHY-1": "West", "PHY-3": "East"}
+
+
+def test_replace_reading_itself(spark, tmpdir_path):
+    store = TableStore(spark, os.path.join(tmpdir_path, "tables"))
+    store.write(spark.createDataFrame([("a", "1")], "id string, v string"), "t")
+    for i in range(3):
+        cur = store.read("t")
+        store.replace(cur.unionByName(spark.createDataFrame([(f"n{i}", "1")], "id string, v string")), "t")
+    assert sorted(r.id for r in store.read("t").collect()) == ["a", "n0", "n1", "n2"]
+    assert sorted(os.listdir(os.path.join(tmpdir_path, "tables"))) == ["t"]
