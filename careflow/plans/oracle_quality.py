@@ -33,7 +33,7 @@ def check_sql(c: Check, view: dict[str, str]) -> str:
           FROM (SELECT COUNT(*) AS total, {agg} AS k FROM {t})"""
     if c.check_type == "row_count":
         return f"""SELECT {_head(c)}, total >= {c.min_rows} AS passed,
-            CASE WHEN total >= {c.min_rows} THEN 1.0 ELSE 0.0 END AS score,
+            CAST(CASE WHEN total >= {c.min_rows} THEN 1.0 ELSE 0.0 END AS DOUBLE) AS score,
             printf('%d rows (need at least {c.min_rows})', total) AS details
           FROM (SELECT COUNT(*) AS total FROM {t})"""
     if c.check_type == "distribution":
