@@ -55,14 +55,16 @@ def sequence_number(df: DataFrame, group: str, day: str, tie: Sequence[str],
     last) then ``tie``.  Rows whose group is null get a null position."""
     tie = list(tie)
     base = df.withColumn("_dk", _day_key(day))
-    in_day = base.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy(group, "_dk").orderBy(*tie)))
-    days = (base.groupBy(group, "_dk").agg(F.count(F.lit(1)).alias("_n"))
+    w_in = Window.partitionBy(group, "_dk")
+    in_day = (base.withColumn("_rn", F.row_number().over(w_in.orderBy(*tie)))
+                  .withColumn("_n", F.count(F.lit(1)).over(w_in)))
+    # one row per (group, day), taken from the windowed rows (no second pass over the input)
+    days = (in_day.filter(F.col("_rn") == 1).select(group, "_dk", "_n")
                 .withColumn("_off", F.coalesce(F.sum("_n").over(
                     Window.partitionBy(group).orderBy("_dk")
                           .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                 .drop("_n"))
-    return (in_day.join(days, [group, "_dk"], "left")
+    return (in_day.drop("_n").join(days, [group, "_dk"], "left")
                   .withColumn(out, (F.col("_off") + F.col("_rn")).cast("int"))
                   .drop("_dk", "_rn", "_off"))
 
