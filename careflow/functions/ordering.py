@@ -10,15 +10,21 @@ task holds a third of the data.  The helpers here split the work:
   (group, day) and carry the cross-day state through a one-row-per-day
   summary.  A day summary per group is bounded by the calendar, not by the
   data, so the per-group window over it stays small however hot the group is.
+  A single (group, day) bucket that is itself hot is cut into ordered slices
+  by range partitioning (``_with_slices``); the state then crosses slices
+  the same way it crosses days.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
+
 # Null days sort after every real day; they are bucketed under this key.
 NULL_DAY = "9999-12-31"
 
@@ -49,49 +55,98 @@ def _day_key(day: str) -> Column:
     return F.coalesce(F.col(day), F.lit(NULL_DAY).cast("date"))
 
 
-def sequence_number(df: DataFrame, group: str, day: str, tie: Sequence[str],
-                    out: str = "sequence_num") -> DataFrame:
+# A (group, day) bucket estimated to hold more rows than this is split into
+# ordered slices (one window task sorts about this many rows).
+HOT_ROWS = 2_000_000
+SAMPLE_FRACTION = 0.01
+MAX_BROADCAST_HOT = 1_000_000      # hot bucket keys broadcast below this count
+
+
+def _with_slices(base: DataFrame, group: str, tie: list, hot_rows: int | None,
+                 fraction: float) -> DataFrame:
+    """Add ``_sl``: 0 for an ordinary (group, day) bucket; for a hot bucket,
+    the index of an ordered slice of it.
+
+    Hot buckets are found on a sample (one light pass, no full shuffle).
+    Only their rows are range-partitioned on (group, day, tie): Spark's
+    sampled range bounds cut a hot bucket into ordered slices, and the slice
+    id is the range partition index.  The slice assignment is materialised
+    with a reliable checkpoint so that every later use sees the same slices.
+    """
+    if hot_rows is None:
+        return base.withColumn("_sl", F.lit(0))
+    counts = (base.select(group, "_dk").sample(fraction=fraction, seed=29)
+              .groupBy(group, "_dk").agg(F.count(F.lit(1)).alias("_c")))
+    hot = counts.filter(F.col(group).isNotNull() & (F.col("_c") >= F.lit(max(1.0, hot_rows * fraction))))
+    stats = hot.agg(F.count(F.lit(1)).alias("n"), F.sum("_c").alias("rows")).first()
+    if not stats["n"]:
+        return base.withColumn("_sl", F.lit(0))
+    keys = hot.select(group, "_dk")
+    keys = F.broadcast(keys) if stats["n"] <= MAX_BROADCAST_HOT else keys
+    normal = base.join(keys, [group, "_dk"], "left_anti").withColumn("_sl", F.lit(0))
+    heavy = base.join(keys, [group, "_dk"], "left_semi")
+    n_slices = max(2, int(math.ceil(stats["rows"] / fraction / hot_rows)) * 2)
+    sliced = reliable_checkpoint(
+        heavy.repartitionByRange(n_slices, F.col(group), F.col("_dk"), *tie)
+             .withColumn("_sl", F.spark_partition_id() + 1))
+    return normal.unionByName(sliced)
+
+
+def sequence_number(df: DataFrame, group: str, day: str, tie: Sequence, out: str = "sequence_num",
+                    hot_rows: int | None = HOT_ROWS, sample_fraction: float = SAMPLE_FRACTION) -> DataFrame:
     """1-based position of each row inside its group, ordered by day (nulls
-    last) then ``tie``.  Rows whose group is null get a null position."""
+    last) then ``tie``.  Rows whose group is null get a null position.
+
+    Level 1 numbers rows inside (group, day, slice) with a window; level 2
+    turns the per-segment counts (one row per segment) into offsets with a
+    running sum over the group's segments, joined back."""
     tie = list(tie)
-    base = df.withColumn("_dk", _day_key(day))
-    w_in = Window.partitionBy(group, "_dk")
-    in_day = (base.withColumn("_rn", F.row_number().over(w_in.orderBy(*tie)))
+    keyed = df.withColumn("_dk", _day_key(day))
+    no_group = keyed.filter(F.col(group).isNull()).withColumn(out, F.lit(None).cast("int")).drop("_dk")
+    base = _with_slices(keyed.filter(F.col(group).isNotNull()), group, tie, hot_rows, sample_fraction)
+    seg = [group, "_dk", "_sl"]
+    w_in = Window.partitionBy(*seg)
+    in_seg = (base.withColumn("_rn", F.row_number().over(w_in.orderBy(*tie)))
                   .withColumn("_n", F.count(F.lit(1)).over(w_in)))
-    # one row per (group, day), taken from the windowed rows (no second pass over the input)
-    days = (in_day.filter(F.col("_rn") == 1).select(group, "_dk", "_n")
+    # one row per segment, taken from the windowed rows (no second pass over the input)
+    segs = (in_seg.filter(F.col("_rn") == 1).select(*seg, "_n")
                 .withColumn("_off", F.coalesce(F.sum("_n").over(
-                    Window.partitionBy(group).orderBy("_dk")
+                    Window.partitionBy(group).orderBy("_dk", "_sl")
                           .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                 .drop("_n"))
-    return (in_day.drop("_n").join(days, [group, "_dk"], "left")
-                  .withColumn(out, (F.col("_off") + F.col("_rn")).cast("int"))
-                  .drop("_dk", "_rn", "_off"))
+    numbered = (in_seg.drop("_n").join(segs, seg, "inner")
+                      .withColumn(out, (F.col("_off") + F.col("_rn")).cast("int"))
+                      .drop("_dk", "_sl", "_rn", "_off"))
+    return numbered.unionByName(no_group.select(*numbered.columns))
 
 
 def previous_value(df: DataFrame, group: str, day: str, tie: Sequence[str],
-                   value: str, out: str = "previous", has_out: str = "has_previous") -> DataFrame:
+                   value: str, out: str = "previous", has_out: str = "has_previous",
+                   hot_rows: int | None = HOT_ROWS, sample_fraction: float = SAMPLE_FRACTION) -> DataFrame:
     """Value of ``value`` on the preceding row of the same group, ordered by
     day then ``tie``; ``has_out`` says whether such a row exists (the previous
     value itself may be null).  Rows with a null group are dropped.
 
-    One shuffle of the rows (by group and day); the last row of each day is
-    picked from the windowed rows, lagged over the group's days (one row per
-    day), and joined back to the first row of the next day."""
+    One shuffle of the rows (by group, day and slice); the last row of each
+    segment is picked from the windowed rows, lagged over the group's
+    segments (one row per segment), and joined back to the first row of the
+    next segment."""
     tie = list(tie)
-    base = df.filter(F.col(group).isNotNull()).withColumn("_dk", _day_key(day))
-    w_in = Window.partitionBy(group, "_dk").orderBy(*tie)
-    in_day = (base.withColumn("_rn", F.row_number().over(w_in))
+    keyed = df.filter(F.col(group).isNotNull()).withColumn("_dk", _day_key(day))
+    base = _with_slices(keyed, group, [F.col(c) for c in tie], hot_rows, sample_fraction)
+    seg = [group, "_dk", "_sl"]
+    w_in = Window.partitionBy(*seg).orderBy(*tie)
+    in_seg = (base.withColumn("_rn", F.row_number().over(w_in))
                   .withColumn("_lag", F.lag(value).over(w_in))
                   .withColumn("_is_last", F.lead(F.lit(1)).over(w_in).isNull()))
-    w_days = Window.partitionBy(group).orderBy("_dk")
-    days = (in_day.filter(F.col("_is_last"))
-                  .select(group, "_dk", F.col(value).alias("_day_last"))
-                  .withColumn("_prev_day_last", F.lag("_day_last").over(w_days))
-                  .withColumn("_prev_day_exists", F.row_number().over(w_days) > 1)
-                  .drop("_day_last"))
+    w_segs = Window.partitionBy(group).orderBy("_dk", "_sl")
+    segs = (in_seg.filter(F.col("_is_last"))
+                  .select(*seg, F.col(value).alias("_seg_last"))
+                  .withColumn("_prev_seg_last", F.lag("_seg_last").over(w_segs))
+                  .withColumn("_prev_seg_exists", F.row_number().over(w_segs) > 1)
+                  .drop("_seg_last"))
     first = F.col("_rn") == 1
-    return (in_day.join(days, [group, "_dk"], "inner")
-                  .withColumn(out, F.when(first, F.col("_prev_day_last")).otherwise(F.col("_lag")))
-                  .withColumn(has_out, F.when(first, F.col("_prev_day_exists")).otherwise(F.lit(True)))
-                  .drop("_dk", "_rn", "_lag", "_is_last", "_prev_day_last", "_prev_day_exists"))
+    return (in_seg.join(segs, seg, "inner")
+                  .withColumn(out, F.when(first, F.col("_prev_seg_last")).otherwise(F.col("_lag")))
+                  .withColumn(has_out, F.when(first, F.col("_prev_seg_exists")).otherwise(F.lit(True)))
+                  .drop("_dk", "_sl", "_rn", "_lag", "_is_last", "_prev_seg_last", "_prev_seg_exists"))

@@ -71,3 +71,45 @@ def test_keep_last_hot_key_reduces_map_side(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan  # partial aggregation before the shuffle
     assert out.filter("k = 0").first()["seq"] == 19998
+
+
+def _hot_day_rows(n=900, seed=11):
+    """One (patient, day) bucket holds over a third of all rows."""
+    rnd = random.Random(seed)
+    rows = _skewed_rows(n // 2, seed)
+    for i in range(n // 2):
+        rows.append((9, dt.date(2023, 1, 5), f"h{rnd.randint(0, 10**6):07d}-{i}", rnd.choice(["A", "B", None])))
+    rnd.shuffle(rows)
+    return rows
+
+
+def test_hot_bucket_is_sliced_and_exact(spark):
+    rows = _hot_day_rows()
+    df = spark.createDataFrame(rows, "patient_id int, d date, tie string, drug string")
+    got = previous_value(df, "patient_id", "d", ["tie"], "drug", out="prev", has_out="has",
+                         hot_rows=40, sample_fraction=1.0).collect()
+    exp = _brute_prev(rows)
+    assert len(got) == len(exp)
+    for r in got:
+        want = exp[r["tie"]]
+        if want == "<none>":
+            assert not r["has"]
+        else:
+            assert r["has"] and r["prev"] == (None if pd.isna(want) else want)
+    seq = sequence_number(df, "patient_id", "d", ["tie"], hot_rows=40, sample_fraction=1.0).toPandas()
+    assert len(seq) == len(rows)
+    for pid, g in seq[seq.patient_id.notna()].groupby("patient_id"):
+        g = g.assign(dk=g.d.fillna(dt.date(9999, 12, 31))).sort_values(["dk", "tie"])
+        assert list(g.sequence_num) == list(range(1, len(g) + 1))
+    assert seq[seq.patient_id.isna()].sequence_num.isna().all()
+
+
+def test_hot_bucket_gets_several_slices(spark):
+    from careflow.functions.ordering import _day_key, _with_slices
+    rows = _hot_day_rows()
+    df = spark.createDataFrame(rows, "patient_id int, d date, tie string, drug string")
+    base = df.filter("patient_id is not null").withColumn("_dk", _day_key("d"))
+    sl = _with_slices(base, "patient_id", [F.col("tie")], 40, 1.0)
+    hot = sl.filter("patient_id = 9").groupBy("_sl").count().collect()
+    assert len(hot) > 2 and max(r["count"] for r in hot) < 450
+    assert sl.filter("patient_id = 9 and _sl = 0").count() == 0
