@@ -509,10 +509,11 @@ def _inc_target(t: DomainTables) -> DataFrame:
 
 
 def _inc_source(t: DomainTables) -> DataFrame:
-    """New staging content: every diagnosis, plus re-sent copies (every 10th
-    diagnosis before the cut) with a revised code, stamped 30 days later."""
+    """New staging content: every diagnosis, plus re-sent copies of the
+    'purchase' diagnoses before the cut with a revised code, stamped 30 days
+    later."""
     d = t.dx_stage
-    resent = (d.filter((F.col("diagnosis_id") % 10 == 0) & (F.col("ingested_at") < F.lit(INC_CUT).cast("timestamp_ntz")))
+    resent = (d.filter((F.col("icd_code") == "purchase") & (F.col("ingested_at") < F.lit(INC_CUT).cast("timestamp_ntz")))
               .withColumn("icd_code", F.concat(F.col("icd_code"), F.lit("-rev")))
               .withColumn("ingested_at", F.col("ingested_at") + F.expr("INTERVAL 30 DAYS")))
     return d.unionByName(resent)
@@ -524,7 +525,7 @@ _sqlview("inc_source", f"""
   UNION ALL
   SELECT diagnosis_id, patient_id, icd_code || '-rev', diagnosis_date, physician_id, severity,
          ingested_at + INTERVAL 30 DAY
-  FROM dx_stage WHERE diagnosis_id % 10 = 0 AND ingested_at < TIMESTAMP '{INC_CUT}'""", "dx_stage")
+  FROM dx_stage WHERE icd_code = 'purchase' AND ingested_at < TIMESTAMP '{INC_CUT}'""", "dx_stage")
 _sqlview("inc_delta", """
   SELECT * FROM inc_source WHERE ingested_at > (SELECT MAX(ingested_at) FROM inc_target)""",
          "inc_source", "inc_target")
@@ -557,23 +558,24 @@ _SCD_ATTRS = ["gender", "date_of_birth", "region", "enrollment_date"]
 
 
 def _scd_incoming(t: DomainTables) -> DataFrame:
-    """Second load of the patient dimension: every 7th patient moved region,
-    every 11th patient has a new twin key (key + 1,000,000)."""
+    """Second load of the patient dimension: the 'BUILDING' segment moved
+    region; the 'AUTOMOBILE' segment arrives again under new keys (key +
+    1,000,000)."""
     d = t.dim_patient.select("patient_id", *_SCD_ATTRS)
-    moved = d.withColumn("region", F.when(F.col("patient_id") % 7 == 0, F.concat(F.col("region"), F.lit("-moved")))
+    moved = d.withColumn("region", F.when(F.col("gender") == "BUILDING", F.concat(F.col("region"), F.lit("-moved")))
                          .otherwise(F.col("region")))
-    new = d.filter(F.col("patient_id") % 11 == 0).withColumn("patient_id", F.col("patient_id") + 1000000)
+    new = d.filter(F.col("gender") == "AUTOMOBILE").withColumn("patient_id", F.col("patient_id") + 1000000)
     return moved.unionByName(new)
 
 
 _SAME = " AND ".join(f"c.{a} IS NOT DISTINCT FROM i.{a}" for a in _SCD_ATTRS)
 _sqlview("scd_in", """
   SELECT patient_id, gender, date_of_birth,
-         CASE WHEN patient_id % 7 = 0 THEN region || '-moved' ELSE region END AS region, enrollment_date
+         CASE WHEN gender = 'BUILDING' THEN region || '-moved' ELSE region END AS region, enrollment_date
   FROM dim_patient
   UNION ALL
   SELECT patient_id + 1000000, gender, date_of_birth, region, enrollment_date FROM dim_patient
-  WHERE patient_id % 11 = 0""", "dim_patient")
+  WHERE gender = 'AUTOMOBILE'""", "dim_patient")
 
 
 @register("t8_scd2_merge", f"""

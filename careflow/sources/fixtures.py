@@ -9,9 +9,10 @@ Mapping: patient = customer / order customer / event user, physician =
 supplier, prescription = lineitem line (drug = part brand, therapy area =
 part type), diagnosis = event, claim = order, region = region name.
 
-Dirty values are injected by expression (never by dropping rows): an
-unparseable prescription date on every 50th order and an unparseable
-birth date on every 97th customer, so the cleaning steps have work to do.
+Dirty values are injected by rules on ordinary data columns (never by
+dropping rows): an unparseable prescription date on lines with the top
+discount and a high tax, an unparseable birth date for customers with a
+large negative balance, so the cleaning steps have work to do.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ from pyspark.sql import functions as F
 # Fixed values of the mapping.
 AS_OF = "2025-01-01"              # SCD effective_from and detection date in checks
 BAD_DATE = "not-a-date"
-RX_BAD_DATE_EVERY = 50           # l_orderkey % 50 = 0 -> unparseable prescription date
-DOB_BAD_EVERY = 97               # c_custkey % 97 = 0 -> unparseable date of birth
+RX_BAD_DATE_DISCOUNT = 0.095    # l_discount >= this and l_tax >= RX_BAD_DATE_TAX -> bad date (~3 %)
+RX_BAD_DATE_TAX = 0.055
+DOB_BAD_BALANCE = -900           # c_acctbal < this -> unparseable date of birth (~1 %)
+NONE_DRUG_PRICE = 2000           # l_extendedprice < this -> drug name 'None' in the raw text (~1 %)
 # Arrival order used for keep-last on the prescription fixture (no batch stamp).
 RX_ORDER = ["prescription_date", "physician_id", "source_part", "quantity", "source_price"]
 
@@ -73,7 +76,7 @@ def _iso(c):
 def rx_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-        "l_extendedprice", "l_shipdate")
+        "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
@@ -83,7 +86,7 @@ def rx_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("patient_id"),
         F.col("l_suppkey").alias("physician_id"),
         F.col("p_brand").alias("drug_name"),
-        F.when(F.col("l_orderkey") % RX_BAD_DATE_EVERY == 0, F.lit(BAD_DATE))
+        F.when((F.col("l_discount") >= RX_BAD_DATE_DISCOUNT) & (F.col("l_tax") >= RX_BAD_DATE_TAX), F.lit(BAD_DATE))
          .otherwise(_iso(F.col("l_shipdate").cast("date"))).alias("prescription_date"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.col("l_linenumber").alias("refills"),
@@ -120,14 +123,14 @@ def claims_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def patients_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal")
     j = c.join(_regions(spark, sf_dir), c.c_nationkey == F.col("n_nationkey"))
     dob = F.date_add(F.lit("1940-01-01").cast("date"), (F.col("c_custkey") % 20000).cast("int"))
     enrol = F.date_add(F.lit("2015-01-01").cast("date"), (F.col("c_custkey") % 2500).cast("int"))
     return j.select(
         F.col("c_custkey").alias("patient_id"),
         F.col("c_mktsegment").alias("gender"),
-        F.when(F.col("c_custkey") % DOB_BAD_EVERY == 0, F.lit(BAD_DATE))
+        F.when(F.col("c_acctbal") < DOB_BAD_BALANCE, F.lit(BAD_DATE))
          .otherwise(_iso(dob)).alias("date_of_birth"),
         F.col("r_name").alias("region"),
         _iso(enrol).alias("enrollment_date"),
@@ -147,13 +150,13 @@ def physicians_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw (all-text) prescriptions as a CSV would hold them, with dirt:
-    'None' drug names (part key % 101 = 0) and quantities shifted below the
+    'None' drug names on the cheapest lines and quantities shifted below the
     minimum (quantity > 45 -> quantity - 50)."""
     r = rx_stage(spark, sf_dir)
     return r.select(
         "prescription_id", F.col("patient_id").cast("string").alias("patient_id"),
         F.col("physician_id").cast("string").alias("physician_id"),
-        F.when(F.col("source_part") % 101 == 0, F.lit("None")).otherwise(F.col("drug_name")).alias("drug_name"),
+        F.when(F.col("source_price") < NONE_DRUG_PRICE, F.lit("None")).otherwise(F.col("drug_name")).alias("drug_name"),
         "prescription_date",
         F.when(F.col("quantity") > 45, F.col("quantity") - 50).otherwise(F.col("quantity"))
          .cast("string").alias("quantity"),
@@ -190,7 +193,7 @@ _view("regions", """
 _view("rx_stage", f"""
   SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS prescription_id,
          o_custkey AS patient_id, l_suppkey AS physician_id, p_brand AS drug_name,
-         CASE WHEN l_orderkey % {RX_BAD_DATE_EVERY} = 0 THEN '{BAD_DATE}'
+         CASE WHEN l_discount >= {RX_BAD_DATE_DISCOUNT} AND l_tax >= {RX_BAD_DATE_TAX} THEN '{BAD_DATE}'
               ELSE strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') END AS prescription_date,
          CAST(l_quantity AS INTEGER) AS quantity, l_linenumber AS refills, p_type AS therapy_area,
          l_partkey AS source_part, l_extendedprice AS source_price
@@ -210,7 +213,7 @@ _view("claims_stage", """
 
 _view("patients_stage", f"""
   SELECT c_custkey AS patient_id, c_mktsegment AS gender,
-         CASE WHEN c_custkey % {DOB_BAD_EVERY} = 0 THEN '{BAD_DATE}'
+         CASE WHEN c_acctbal < {DOB_BAD_BALANCE} THEN '{BAD_DATE}'
               ELSE strftime(DATE '1940-01-01' + CAST(c_custkey % 20000 AS INTEGER), '%Y-%m-%d') END AS date_of_birth,
          r_name AS region,
          strftime(DATE '2015-01-01' + CAST(c_custkey % 2500 AS INTEGER), '%Y-%m-%d') AS enrollment_date
@@ -240,9 +243,9 @@ def sql_with(body: str, *names: str) -> str:
     ctes = ",\n".join(f"{n} AS ({SQL_VIEWS[n][0]}\n)" for n in ordered)
     return f"WITH {ctes}\n{body.strip()}"
 
-_view("rx_raw", """
+_view("rx_raw", f"""
   SELECT prescription_id, CAST(patient_id AS VARCHAR) AS patient_id, CAST(physician_id AS VARCHAR) AS physician_id,
-         CASE WHEN source_part % 101 = 0 THEN 'None' ELSE drug_name END AS drug_name, prescription_date,
+         CASE WHEN source_price < {NONE_DRUG_PRICE} THEN 'None' ELSE drug_name END AS drug_name, prescription_date,
          CAST(CASE WHEN quantity > 45 THEN quantity - 50 ELSE quantity END AS VARCHAR) AS quantity,
          CAST(refills AS VARCHAR) AS refills, therapy_area
   FROM rx_stage""", "rx_stage")
