@@ -42,11 +42,14 @@ def standard_scale(features: DataFrame, stats: DataFrame | None = None, cols=FEA
     ``stats`` (from ``scaling_stats``) is a one-row frame; it is applied as
     uncorrelated scalar subqueries, so the big side is never joined."""
     stats = stats if stats is not None else scaling_stats(features, cols)
+    fields = []
+    for c in cols:
+        fields += [F.col(f"{c}__mean").alias(f"{c}__mean"),
+                   F.when(F.col(f"{c}__std") == 0, F.lit(1.0)).otherwise(F.col(f"{c}__std")).alias(f"{c}__std")]
+    s = stats.select(F.struct(*fields)).scalar()          # one subquery for all statistics
     out = [F.col(key)]
     for c in cols:
-        mean = stats.select(f"{c}__mean").scalar()
-        std = stats.select(F.when(F.col(f"{c}__std") == 0, F.lit(1.0))
-                           .otherwise(F.col(f"{c}__std"))).scalar()
+        mean, std = s.getField(f"{c}__mean"), s.getField(f"{c}__std")
         v = F.coalesce(F.col(c).cast("double"), F.lit(0.0))
         out.append(((v - mean) / std).alias(c))
     return features.select(*out)

@@ -172,13 +172,14 @@ def _table_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
 def _ri_check(child: DataFrame, parent: DataFrame, c: Check) -> DataFrame:
     """Q3: 1 - orphans / distinct child values (nulls dropped); no values -> 1."""
     kids = child.select(F.col(c.column).alias("_v")).filter(F.col("_v").isNotNull()).distinct()
-    parents = parent.select(F.col(c.parent_column).alias("_v")).filter(F.col("_v").isNotNull()).distinct()
-    orphans = kids.join(parents, "_v", "left_anti")
-    n_kids = kids.select(F.count(F.lit(1))).scalar()
-    n_orph = orphans.select(F.count(F.lit(1))).scalar()
+    parents = (parent.select(F.col(c.parent_column).alias("_v")).filter(F.col("_v").isNotNull()).distinct()
+               .withColumn("_found", F.lit(True)))
+    # one pass: distinct child values left-joined to distinct parent values
+    counted = (kids.join(parents, "_v", "left")
+               .agg(F.count(F.lit(1)).alias("_kids"), F.count_if(F.col("_found").isNull()).alias("_orph")))
+    n_kids, n_orph = F.col("_kids"), F.col("_orph")
     score = F.when(n_kids > 0, F.lit(1.0) - n_orph.cast("double") / n_kids.cast("double")).otherwise(F.lit(1.0))
-    spark = child.sparkSession
-    return spark.range(1).select(F.inline(F.array(_row(
+    return counted.select(F.inline(F.array(_row(
         c, score >= c.threshold, score,
         F.format_string("%d orphan values out of %d", n_orph, n_kids)))))
 
