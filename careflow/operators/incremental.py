@@ -20,34 +20,46 @@ def high_water_mark(target: DataFrame | None, column: str = "ingested_at"):
     return target.agg(F.max(column)).first()[0]
 
 
-def mark_column(target: DataFrame | None, column: str = "ingested_at") -> Column | None:
-    """I1 as an uncorrelated scalar subquery: the mark stays on the JVM side
-    with its own type (no round trip through a driver-side value)."""
+def mark_text(target: DataFrame | None, column: str = "ingested_at") -> str | None:
+    """I1 as text rendered by Spark (full precision, session time zone for a
+    zoned timestamp), so casting it back in the same session is exact.  One
+    one-row aggregate; None when the table / column is absent or empty."""
     if target is None or column not in target.columns:
         return None
-    return target.select(F.max(column)).scalar()
+    return target.agg(F.max(column).cast("string")).first()[0]
 
 
 def delta_rows(source: DataFrame, mark, column: str = "ingested_at") -> DataFrame:
     """Rows strictly newer than the mark; all rows without a mark.
-    ``mark`` is a Column (``mark_column``) or a value (``high_water_mark``)."""
+
+    ``mark`` is the text from ``mark_text`` (or a datetime).  It becomes a
+    literal, so the comparison is pushed to the parquet scan and row groups
+    older than the mark are skipped."""
     if mark is None:
         return source
-    if isinstance(mark, Column):
-        return source.filter(mark.isNull() | (F.col(column) > mark))
     typ = source.schema[column].dataType
-    lit = ts_literal(mark) if typ.simpleString() == "timestamp_ntz" else F.lit(mark).cast(typ)
+    if isinstance(mark, str):
+        lit = F.lit(mark).cast(typ)
+    elif typ.simpleString() == "timestamp_ntz":
+        lit = ts_literal(mark)
+    else:
+        lit = F.lit(mark).cast(typ)
     return source.filter(F.col(column) > lit)
 
 
-def upsert(target: DataFrame, delta: DataFrame, key: str) -> DataFrame:
+def upsert(target: DataFrame, delta: DataFrame, key: str, materialize: bool = False) -> DataFrame:
     """Target rows whose key is not in the delta, plus the delta.
 
     The delta is first reduced to its last row per key (V9 by ingested_at).
     Removing the matched keys is a left-anti join; when the delta is small,
-    adaptive execution broadcasts its key side at run time."""
+    adaptive execution broadcasts its key side at run time.  The delta is
+    read twice (keys, rows); ``materialize`` checkpoints it once so the
+    source is not scanned twice."""
     order = [c for c in ("ingested_at", "_row_number") if c in delta.columns]
     delta = dedup_keep_last(delta, key, order)
+    if materialize:
+        from ..session import reliable_checkpoint
+        delta = reliable_checkpoint(delta)
     keep = target.join(delta.select(key).distinct(), key, "left_anti")
     return keep.unionByName(delta, allowMissingColumns=True)
 
@@ -57,10 +69,10 @@ def incremental_load(source: DataFrame, target: DataFrame | None, key: str,
     """I1 + I2 + I3 as one plan: (new target, delta).  The caller writes the new
     target to a new location (or checkpoints first) -- never over the path
     it is reading."""
-    delta = delta_rows(source, mark_column(target, column), column)
+    delta = delta_rows(source, mark_text(target, column), column)
     if target is None:
         return dedup_keep_last(delta, key, [column]), delta
-    return upsert(target, delta, key), delta
+    return upsert(target, delta, key, materialize=True), delta
 
 
 def _day(value) -> Column:
@@ -78,26 +90,26 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, attributes: li
     * attributes changed -> the current version is closed the day before
       ``as_of`` (is_current 0) and a new version starts at ``as_of``; a rerun
       on the same day replaces the version it created instead of closing it.
-    History rows (is_current 0) pass through.  One full outer join on the key;
-    each joined row emits its 0-2 output rows through ``inline``.
+    History rows (is_current 0) pass through.  One full outer join on the key
+    that matches incoming rows to current versions only, so the dimension is
+    read once; each joined row emits its 0-2 output rows through ``inline``.
     """
     cols = [key] + list(attributes)
-    hist = current.filter(F.col("is_current") != 1)
-    cur = current.filter(F.col("is_current") == 1)
-    c = cur.select(*[F.col(x).alias(f"c_{x}") for x in cols], "effective_from", "effective_to", "is_current")
+    c = current.select(*[F.col(x).alias(f"c_{x}") for x in cols], "effective_from", "effective_to", "is_current")
     i = incoming.select(*[F.col(x).alias(f"i_{x}") for x in cols])
-    j = c.join(i, F.col(f"c_{key}") == F.col(f"i_{key}"), "full_outer")
+    j = c.join(i, (F.col(f"c_{key}") == F.col(f"i_{key}")) & (F.col("is_current") == 1), "full_outer")
     start = _day(as_of)
 
     def row(prefix, eff_from, eff_to, is_cur):
+        flag = F.col("is_current") if is_cur is None else F.lit(is_cur)
         return F.struct(*[F.col(f"{prefix}_{x}").alias(x) for x in cols],
                         eff_from.cast("date").alias("effective_from"), eff_to.cast("date").alias("effective_to"),
-                        F.lit(is_cur).cast("smallint").alias("is_current"))
+                        flag.cast("smallint").alias("is_current"))
 
     same = F.lit(True)
     for a in attributes:
         same = same & F.col(f"c_{a}").eqNullSafe(F.col(f"i_{a}"))
-    kept = row("c", F.col("effective_from"), F.col("effective_to"), 1)
+    kept = row("c", F.col("effective_from"), F.col("effective_to"), None)
     new = row("i", start, _day(HIGH_DATE), 1)
     expired = row("c", F.col("effective_from"), F.date_sub(start, 1), 0)
     in_c, in_i = F.col(f"c_{key}").isNotNull(), F.col(f"i_{key}").isNotNull()
@@ -106,5 +118,4 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, attributes: li
             .when(same, F.array(kept))
             .when(F.col("effective_from") == start, F.array(new))
             .otherwise(F.array(expired, new)))
-    merged = j.select(F.inline(out))
-    return hist.select(*merged.columns).unionByName(merged)
+    return j.select(F.inline(out))

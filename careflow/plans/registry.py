@@ -538,7 +538,7 @@ def _i1(t):
 
 @register("i2_delta_rows", "SELECT * FROM inc_delta", ("inc_delta",))
 def _i2(t):
-    return _inc.delta_rows(_inc_source(t), _inc.mark_column(_inc_target(t)))
+    return _inc.delta_rows(_inc_source(t), _inc.mark_text(_inc_target(t)))
 
 
 @register("i3_upsert", """
