@@ -39,17 +39,16 @@ def standard_scale(features: DataFrame, stats: DataFrame | None = None, cols=FEA
                    key: str = "physician_id") -> DataFrame:
     """M2: fill nulls with 0 and standard-scale every feature column.
 
-    ``stats`` (from ``scaling_stats``) is a one-row frame; it is applied as
-    uncorrelated scalar subqueries, so the big side is never joined."""
+    ``stats`` (from ``scaling_stats``) is a one-row frame of 2 x features
+    numbers; it is read once (``first()``) and applied as literals, so the
+    feature table is neither joined nor re-aggregated per column."""
     stats = stats if stats is not None else scaling_stats(features, cols)
-    fields = []
-    for c in cols:
-        fields += [F.col(f"{c}__mean").alias(f"{c}__mean"),
-                   F.when(F.col(f"{c}__std") == 0, F.lit(1.0)).otherwise(F.col(f"{c}__std")).alias(f"{c}__std")]
-    s = stats.select(F.struct(*fields)).scalar()          # one subquery for all statistics
+    row = stats.first()
     out = [F.col(key)]
     for c in cols:
-        mean, std = s.getField(f"{c}__mean"), s.getField(f"{c}__std")
+        mean = F.lit(float(row[f"{c}__mean"] or 0.0))
+        sd = row[f"{c}__std"]
+        std = F.lit(1.0 if not sd else float(sd))
         v = F.coalesce(F.col(c).cast("double"), F.lit(0.0))
         out.append(((v - mean) / std).alias(c))
     return features.select(*out)

@@ -87,7 +87,9 @@ class DomainTables:
     # anomaly ---------------------------------------------------------------
     @cached_property
     def features(self) -> DataFrame:
-        return anomaly.physician_features(self.fact_prescription)
+        """One row per physician, read by several passes: checkpointed as the
+        inference job does."""
+        return reliable_checkpoint(anomaly.physician_features(self.fact_prescription))
 
     @cached_property
     def scored(self) -> DataFrame:
