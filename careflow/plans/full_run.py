@@ -65,7 +65,8 @@ def ensure_tables(store: TableStore) -> list[str]:
 
 
 def run(spark: SparkSession, root: str, steps: list[str] | None = None, scale: float = 1.0,
-        as_of: _dt.date | None = None, gate: bool = False, n_trees: int = 100) -> dict:
+        as_of: _dt.date | None = None, gate: bool = False, n_trees: int = 100,
+        gate_threshold: float = DQ_GATE) -> dict:
     """Run the chosen steps (default all) in order; log the run (S14) in any case."""
     steps = steps or STEPS
     unknown = set(steps) - set(STEPS)
@@ -92,11 +93,13 @@ def run(spark: SparkSession, root: str, steps: list[str] | None = None, scale: f
             elif step == "validate":
                 staging = {t: store.read(t) for t in STAGING_TABLE.values() if store.exists(t)}
                 report = quality.dq_report(quality.run_checks(staging)).cache()
-                save_dq_report(store, report, report_dir, _now())
-                out["validate"] = report.select("total_checks", "passed", "overall_score").first().asDict()
-                if gate:
-                    quality.enforce_gate(report, DQ_GATE)        # Q8 (scheduled job only)
-                report.unpersist()
+                try:
+                    save_dq_report(store, report, report_dir, _now())
+                    out["validate"] = report.select("total_checks", "passed", "overall_score").first().asDict()
+                    if gate:
+                        quality.enforce_gate(report, gate_threshold)  # Q8 (scheduled job only)
+                finally:
+                    report.unpersist()
             elif step == "transform":
                 out["transform"] = run_all_transformations(store, as_of)
             elif step == "train":
