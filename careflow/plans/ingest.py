@@ -8,6 +8,7 @@ import os
 
 from pyspark import StorageLevel
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import validate as V
 from ..schemas import KEYS, STAGING_TABLE
@@ -33,6 +34,8 @@ def ingest_file(spark: SparkSession, path: str, dataset: str, store: TableStore,
     # two sinks read the validated rows: keep them (recomputed if an executor is lost)
     checked = V.validate(raw, dataset).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        err = F.col(V.ERROR_COL)
+        tally = checked.agg(F.count_if(err.isNull()).alias("valid"), F.count_if(err.isNotNull()).alias("invalid")).first()
         valid, invalid = V.split(checked, dataset)
         stem = os.path.splitext(os.path.basename(path.rstrip("/")))[0]
         n_bad = tables.quarantine(invalid, quarantine_root, stem, batch_ts)
@@ -40,6 +43,7 @@ def ingest_file(spark: SparkSession, path: str, dataset: str, store: TableStore,
     finally:
         checked.unpersist()
     return {"file": path, "dataset_type": dataset, "records_loaded": n_ok,
+            "records_valid": int(tally["valid"]), "records_invalid": int(tally["invalid"]),
             "records_quarantined": n_bad, "timestamp": batch_ts.isoformat()}
 
 

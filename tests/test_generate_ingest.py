@@ -32,10 +32,13 @@ def test_ingest_end_to_end(spark, tmpdir_path):
     q = spark.read.parquet(os.path.join(tmpdir_path, "q"))
     assert q.filter("source = 'prescriptions'").count() == res["prescriptions"]["records_quarantined"]
     assert set(store.read("stg_prescriptions").columns) >= {"ingested_at", "quantity"}
-    # valid + invalid = input rows
-    total_in = spark.read.option("header", True).csv(os.path.join(raw, "prescriptions.csv")).count()
-    n_valid = total_in - res["prescriptions"]["records_quarantined"]
-    assert n_valid >= 500
+    # valid + invalid = input rows; every invalid row is quarantined; 3 % dirty copies
+    for name, n in [("prescriptions", 500), ("diagnoses", 300), ("claims", 400)]:
+        total_in = spark.read.option("header", True).csv(os.path.join(raw, f"{name}.csv")).count()
+        r = res[name]
+        assert r["records_valid"] + r["records_invalid"] == total_in
+        assert r["records_quarantined"] == r["records_invalid"]
+        assert r["records_loaded"] == n <= r["records_valid"]
 
 
 def test_missing_file_is_skipped(spark, tmpdir_path):
