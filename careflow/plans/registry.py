@@ -670,3 +670,44 @@ def _t7(t):
         store.write(df, name)
     counts = run_all_transformations(store, t.as_of)
     return t.spark.createDataFrame(sorted(counts.items()), "table string, row_count long")
+
+
+# ----------------------------------------------------------------- S13, S14, S15, M9 (sinks and jobs; rows-only)
+@register("s13_dq_report_saved")
+def _s13(t):
+    """Run the suite on the fixture staging tables, save the JSON report and
+    the dq_scores row, read the dq_scores table back."""
+    import datetime as _dt
+    root = _scratch(t.spark, f"careflow-s13-{_uuid.uuid4().hex[:12]}")
+    store = _tables.TableStore(t.spark, f"{root}/tables")
+    path = _tables.save_dq_report(store, _report(t), f"{root}/reports", _dt.datetime(2025, 1, 1))
+    t.spark.read.json(path).count()                      # the report is readable JSON
+    return store.read("dq_scores")
+
+
+@register("s14_pipeline_run_log")
+def _s14(t):
+    """Build the warehouse from the fixture staging tables and log the run."""
+    import datetime as _dt
+    from .full_run import run_all_transformations
+    root = _scratch(t.spark, f"careflow-s14-{_uuid.uuid4().hex[:12]}")
+    store = _tables.TableStore(t.spark, f"{root}/tables")
+    store.write(t.patients_stage, "stg_patients")
+    store.write(t.physicians_stage, "stg_physicians")
+    store.write(t.rx_stage, "stg_prescriptions")
+    started = _dt.datetime(2025, 1, 1)
+    counts = run_all_transformations(store, t.as_of)
+    _tables.record_pipeline_run(store, "warehouse_build", "success", started, _dt.datetime(2025, 1, 1, 0, 5),
+                                counts["fact_prescription"], 0)
+    return store.read("pipeline_runs")
+
+
+@register("m9_train_save_load")
+def _m9(t):
+    """M9 + S15: train on the fixture fact table, save the model, load it back,
+    score with the loaded model."""
+    root = _scratch(t.spark, f"careflow-m9-{_uuid.uuid4().hex[:12]}")
+    model, stats, feats = _aj.train(t.fact_prescription)
+    _forest.save_model(t.spark, model, f"{root}/model", stats)
+    loaded, loaded_stats = _forest.load_model(t.spark, f"{root}/model")
+    return _aj.score(feats, loaded, loaded_stats)
