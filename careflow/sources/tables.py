@@ -124,7 +124,8 @@ def load_staging(store: TableStore, df: DataFrame, table: str, key: str,
     if df.isEmpty():
         return 0
     stamped = df.withColumn("ingested_at", ts_literal(batch_ts))
-    deduped = dedup_keep_last(stamped, key, order if order is not None else ["_row_number"])
+    order = [c for c in (order if order is not None else ["_row_number"]) if c in stamped.columns]
+    deduped = dedup_keep_last(stamped, key, order)
     deduped = deduped.drop(*[c for c in ("_row_number", "_file") if c in deduped.columns])
     obs = Observation(f"load_{table}")
     store.replace(deduped.observe(obs, F.count(F.lit(1)).alias("rows")), table)

@@ -49,3 +49,14 @@ def test_missing_file_is_skipped(spark, tmpdir_path):
         raise AssertionError("expected ValueError")
     except ValueError:
         pass
+
+
+def test_load_staging_without_row_numbers_and_empty(spark, tmpdir_path):
+    import datetime as dt
+    from careflow.sources.tables import load_staging
+    store = TableStore(spark, os.path.join(tmpdir_path, "tables"))
+    df = spark.createDataFrame([("PHY-1", "A"), ("PHY-1", "B"), ("PHY-2", "C")], "physician_id string, specialty string")
+    assert load_staging(store, df, "stg_physicians", "physician_id", dt.datetime(2025, 1, 1)) == 2
+    # an empty load leaves the table as it was
+    assert load_staging(store, df.limit(0), "stg_physicians", "physician_id", dt.datetime(2025, 1, 2)) == 0
+    assert store.read("stg_physicians").count() == 2
