@@ -62,6 +62,15 @@ SAMPLE_FRACTION = 0.01
 MAX_BROADCAST_HOT = 1_000_000      # hot bucket keys broadcast below this count
 
 
+def hot_rows_for(total_rows: int | None, hot_rows: int | None = HOT_ROWS) -> int | None:
+    """Detection threshold for an input of ``total_rows`` rows: none is needed
+    when the whole input is not larger than one bucket may be (no bucket can
+    then be hot) -- an exact shortcut, not an estimate."""
+    if hot_rows is None or (total_rows is not None and total_rows <= hot_rows):
+        return None
+    return hot_rows
+
+
 def _with_slices(base: DataFrame, group: str, tie: list, hot_rows: int | None,
                  fraction: float) -> DataFrame:
     """Add ``_sl``: 0 for an ordinary (group, day) bucket; for a hot bucket,

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import drop_if_present, normalize_dates, to_int_or_zero, with_constants
-from ..functions.ordering import keep_last, previous_value, sequence_number
+from ..functions.ordering import HOT_ROWS, keep_last, previous_value, sequence_number
 from ..schemas import HIGH_DATE
 
 # Default arrival order of staging rows: batch stamp, then position in file.
@@ -72,7 +72,8 @@ def transform_therapy(fact_prescription: DataFrame) -> DataFrame:
             .orderBy(F.col("drug_count").desc(), F.col("therapy_area")))
 
 
-def build_patient_journey(fact_prescription: DataFrame, stg_diagnoses: DataFrame | None) -> DataFrame:
+def build_patient_journey(fact_prescription: DataFrame, stg_diagnoses: DataFrame | None,
+                          hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """T5 fact_patient_journey: prescriptions and diagnoses of a patient in one
     ordered sequence.  Order: event date (nulls last), prescriptions before
     diagnoses on the same day, then the source id.  Without a diagnosis table
@@ -90,12 +91,12 @@ def build_patient_journey(fact_prescription: DataFrame, stg_diagnoses: DataFrame
             F.col("diagnosis_id").cast("string").alias("_source_id"))
         events = rx.unionByName(dx)
     seq = sequence_number(events, "patient_id", "event_date",
-                          [F.col("event_type").desc(), F.col("_source_id")])
+                          [F.col("event_type").desc(), F.col("_source_id")], hot_rows=hot_rows)
     return seq.select("patient_id", "event_type", "event_date", "event_detail",
                       "therapy_area", "sequence_num")
 
 
-def detect_therapy_switches(fact_prescription: DataFrame) -> DataFrame:
+def detect_therapy_switches(fact_prescription: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """T6 therapy_switches: consecutive prescriptions of a patient (by date,
     then prescription id) whose drug differs (null-safe).  The switch carries
     the new prescription's date and therapy area.  Rows without patient are
@@ -103,7 +104,7 @@ def detect_therapy_switches(fact_prescription: DataFrame) -> DataFrame:
     rx = fact_prescription.select("patient_id", "drug_name", "prescription_date",
                                   "therapy_area", "prescription_id")
     prev = previous_value(rx, "patient_id", "prescription_date", ["prescription_id"],
-                          "drug_name", out="from_drug", has_out="_has_prev")
+                          "drug_name", out="from_drug", has_out="_has_prev", hot_rows=hot_rows)
     return (prev.filter(F.col("_has_prev") & ~F.col("drug_name").eqNullSafe(F.col("from_drug")))
                 .select("patient_id", "from_drug", F.col("drug_name").alias("to_drug"),
                         F.col("prescription_date").alias("switch_date"), "therapy_area"))

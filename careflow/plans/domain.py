@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.ordering import hot_rows_for
 from ..operators import anomaly, warehouse
 from ..session import reliable_checkpoint
 from ..sources import fixtures
@@ -62,7 +63,11 @@ class DomainTables:
     def fact_prescription(self) -> DataFrame:
         """Materialised once (reliable checkpoint in the shared folder), as the
         batch job writes the fact table; every query part reads it from there."""
-        return reliable_checkpoint(warehouse.transform_prescriptions(self.rx_stage, order=fixtures.RX_ORDER))
+        obs = Observation("fact_rows")
+        fact = warehouse.transform_prescriptions(self.rx_stage, order=fixtures.RX_ORDER)
+        fact = reliable_checkpoint(fact.observe(obs, F.count(F.lit(1)).alias("n")))
+        self.fact_rows = int(obs.get["n"])                  # counted while checkpointing
+        return fact
 
     @cached_property
     def dim_patient(self) -> DataFrame:
@@ -78,11 +83,14 @@ class DomainTables:
 
     @cached_property
     def fact_patient_journey(self) -> DataFrame:
-        return warehouse.build_patient_journey(self.fact_prescription, self.dx_stage)
+        fact = self.fact_prescription
+        total = self.fact_rows + self.dx_stage.count()      # parquet row counts come from footers
+        return warehouse.build_patient_journey(fact, self.dx_stage, hot_rows=hot_rows_for(total))
 
     @cached_property
     def therapy_switches(self) -> DataFrame:
-        return warehouse.detect_therapy_switches(self.fact_prescription)
+        fact = self.fact_prescription
+        return warehouse.detect_therapy_switches(fact, hot_rows=hot_rows_for(self.fact_rows))
 
     # anomaly ---------------------------------------------------------------
     @cached_property
