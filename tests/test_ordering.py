@@ -113,3 +113,33 @@ def test_hot_bucket_gets_several_slices(spark):
     hot = sl.filter("patient_id = 9").groupBy("_sl").count().collect()
     assert len(hot) > 2 and max(r["count"] for r in hot) < 450
     assert sl.filter("patient_id = 9 and _sl = 0").count() == 0
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_row = st.tuples(st.sampled_from([1, 2, 3, None]),
+                 st.one_of(st.none(), st.integers(0, 4).map(lambda d: dt.date(2023, 1, 1) + dt.timedelta(days=d))),
+                 st.sampled_from(["A", "B", None]),
+                 st.integers(0, 3))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(_row, min_size=1, max_size=40), st.sampled_from([None, 3]))
+def test_property_previous_and_keep_last(spark, rows, hot):
+    data = [(p, d, f"t{i:03d}", drug, v) for i, (p, d, drug, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "patient_id int, d date, tie string, drug string, v int")
+    got = {r["tie"]: (r["has"], r["prev"]) for r in
+           previous_value(df, "patient_id", "d", ["tie"], "drug", out="prev", has_out="has",
+                          hot_rows=hot, sample_fraction=1.0).collect()}
+    exp = _brute_prev([(p, d, t, drug) for p, d, t, drug, _ in data])
+    assert set(got) == set(exp)
+    for k, want in exp.items():
+        assert got[k] == ((False, None) if want == "<none>" else (True, None if pd.isna(want) else want))
+    # keep-last per patient by (v, tie) equals pandas
+    kl = {r["patient_id"]: r["tie"] for r in keep_last(df, "patient_id", ["v", "tie"]).collect()}
+    pdf = pd.DataFrame(data, columns=["patient_id", "d", "tie", "drug", "v"])
+    pdf["k"] = pdf["patient_id"].astype("object").where(pdf["patient_id"].notna(), None)
+    want = {(None if pd.isna(k) else int(k)): g.sort_values(["v", "tie"]).iloc[-1]["tie"]
+            for k, g in pdf.groupby("k", dropna=False)}
+    assert kl == want
