@@ -225,10 +225,12 @@ def filter_values(dim_patient: DataFrame, fact_prescription: DataFrame) -> DataF
 
 
 def _patients(dim_patient: DataFrame, f: DashboardFilter) -> DataFrame:
+    """Current patients under the region filter (one current row per patient;
+    used as the right side of semi joins, so no distinct is needed)."""
     df = dim_patient.filter(F.col("is_current") == 1)
     if f.region_value is not None:
         df = df.filter(F.col("region") == F.lit(f.region_value))
-    return df.select("patient_id").distinct()
+    return df.select("patient_id")
 
 
 def _rx(fact_prescription: DataFrame, f: DashboardFilter) -> DataFrame:
