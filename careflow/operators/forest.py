@@ -33,6 +33,11 @@ EULER = 0.5772156649
 # The node arrays are broadcast to every scoring task; n_trees x (2^(depth+1) - 1)
 # nodes x 40 bytes must stay below this (about 2 MB for the defaults).
 MAX_MODEL_BYTES = 256 << 20
+# The offset is the exact ``contamination`` quantile of the training scores.
+# Spark's exact ``percentile`` keeps every value in the final aggregation
+# task; above this many training rows (one per physician) it is replaced by
+# ``percentile_approx`` with a rank error of at most n / 1e6.
+EXACT_OFFSET_MAX_ROWS = 10_000_000
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree", T.IntegerType()), T.StructField("node", T.IntegerType()),
@@ -157,7 +162,11 @@ def fit(df: DataFrame, features: list[str], key: str = "physician_id", n_trees:
     if return_scores:
         from ..session import reliable_checkpoint
         scored = reliable_checkpoint(scored)
-    model.offset = float(scored.select(F.percentile("score_samples", contamination)).first()[0])
+    if n <= EXACT_OFFSET_MAX_ROWS:
+        q = F.percentile("score_samples", contamination)
+    else:
+        q = F.percentile_approx("score_samples", contamination, 1_000_000)
+    model.offset = float(scored.select(q).first()[0])
     if return_scores:
         return model, scored
     return model
