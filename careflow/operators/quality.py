@@ -192,7 +192,7 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check] | None =
     ``skip_missing=True`` drops such rows instead (the reference's behaviour).
     """
     checks = list(checks) if checks is not None else default_suite()
-    spark = SparkSession.getActiveSession()
+    spark = (next(iter(tables.values())).sparkSession if tables else None) or SparkSession.getActiveSession()
     parts: list[DataFrame] = []
     by_table: dict[str, list[Check]] = {}
     for c in checks:
