@@ -60,3 +60,15 @@ def test_load_staging_without_row_numbers_and_empty(spark, tmpdir_path):
     # an empty load leaves the table as it was
     assert load_staging(store, df.limit(0), "stg_physicians", "physician_id", dt.datetime(2025, 1, 2)) == 0
     assert store.read("stg_physicians").count() == 2
+
+
+def test_generated_claims_and_patients_look_right(spark):
+    import re
+    sizes = {"patients": 20, "physicians": 5, "prescriptions": 50, "diagnoses": 30, "claims": 40}
+    claims = G.generate(spark, "claims", 40, sizes=sizes, as_of="2025-01-01").collect()
+    assert all(re.fullmatch(r"CLM-\d{7}", r.claim_id) for r in claims)
+    assert all(50.0 <= float(r.amount) <= 15000.0 and re.fullmatch(r"\d+\.\d{2}", r.amount) for r in claims)
+    assert {r.status for r in claims} <= {"approved", "denied", "pending"}
+    pats = G.generate(spark, "patients", 20, sizes=sizes, as_of="2025-01-01").collect()
+    assert [r.patient_id for r in pats][:2] == ["PAT-000001", "PAT-000002"]
+    assert all("1939-" < r.date_of_birth < "2007-" for r in pats)

@@ -86,3 +86,15 @@ def test_dim_therapy_and_patients(spark):
     assert len(dim) == 1 and dim[0].region == "South" and dim[0].is_current == 1
     assert dim[0].effective_to == dt.date(9999, 12, 31)
     assert "ingested_at" not in W.transform_patients(pats, "2025-01-01").columns
+
+
+def test_dim_physician_years_and_keep_last(spark):
+    rows = [("PHY-1", "Onc", "North", "12.9", dt.datetime(2024, 1, 1)),
+            ("PHY-1", "Card", "South", "x", dt.datetime(2024, 2, 1)),
+            ("PHY-2", "Neuro", "East", None, dt.datetime(2024, 1, 1))]
+    df = spark.createDataFrame(rows, "physician_id string, specialty string, region string, "
+                                     "years_experience string, ingested_at timestamp")
+    out = {r.physician_id: (r.specialty, r.years_experience) for r in W.transform_physicians(df).collect()}
+    assert out == {"PHY-1": ("Card", 0), "PHY-2": ("Neuro", 0)}
+    df2 = df.filter("specialty = 'Onc'")
+    assert W.transform_physicians(df2).first().years_experience == 12
