@@ -62,9 +62,10 @@ def _batch_handler(store: TableStore, dataset: str, quarantine_root: str):
 
 
 def start(spark: SparkSession, landing_dir: str, dataset: str, store: TableStore, quarantine_root: str,
-          checkpoint: str, available_now: bool = True):
-    """Start the stream; returns the StreamingQuery."""
-    w = (raw_stream(spark, landing_dir, dataset).writeStream
+          checkpoint: str, available_now: bool = True, max_files_per_trigger: int | None = None):
+    """Start the stream; returns the StreamingQuery.  ``max_files_per_trigger``
+    bounds each micro-batch when a large backlog of files is waiting."""
+    w = (raw_stream(spark, landing_dir, dataset, max_files_per_trigger).writeStream
          .foreachBatch(_batch_handler(store, dataset, quarantine_root))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -72,9 +73,11 @@ def start(spark: SparkSession, landing_dir: str, dataset: str, store: TableStore
 
 
 def run_available(spark: SparkSession, landing_dir: str, dataset: str, store: TableStore,
-                  quarantine_root: str, checkpoint: str) -> DataFrame:
-    """Process every file that is there now, then return the target table."""
-    q = start(spark, landing_dir, dataset, store, quarantine_root, checkpoint, available_now=True)
+                  quarantine_root: str, checkpoint: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Process every file that is there now (in batches of at most
+    ``max_files_per_trigger`` files), then return the target table."""
+    q = start(spark, landing_dir, dataset, store, quarantine_root, checkpoint, available_now=True,
+              max_files_per_trigger=max_files_per_trigger)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

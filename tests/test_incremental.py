@@ -81,3 +81,17 @@ def test_replace_reading_itself(spark, tmpdir_path):
         store.replace(cur.unionByName(spark.createDataFrame([(f"n{i}", "1")], "id string, v string")), "t")
     assert sorted(r.id for r in store.read("t").collect()) == ["a", "n0", "n1", "n2"]
     assert sorted(os.listdir(os.path.join(tmpdir_path, "tables"))) == ["t"]
+
+
+def test_stream_in_small_batches(spark, tmpdir_path):
+    land = os.path.join(tmpdir_path, "landing")
+    os.makedirs(land)
+    for i in range(3):
+        with open(os.path.join(land, f"f{i}.csv"), "w") as f:
+            f.write(f"physician_id,specialty,region,years_experience\nPHY-{i},Onc,North,{i}\nPHY-9,S{i},East,1\n")
+    store = TableStore(spark, os.path.join(tmpdir_path, "tables"))
+    out = run_available(spark, land, "physicians", store, os.path.join(tmpdir_path, "q"),
+                        os.path.join(tmpdir_path, "ckpt"), max_files_per_trigger=1)
+    rows = {r.physician_id: r.specialty for r in out.collect()}
+    assert set(rows) == {"PHY-0", "PHY-1", "PHY-2", "PHY-9"}
+    assert rows["PHY-9"] in {"S0", "S1", "S2"}
