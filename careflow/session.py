@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -49,8 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a private one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS/S3/...).
-    A machine-local temporary folder is only acceptable for local runs, which
-    is the only case where nothing is configured.
+    A machine-local temporary folder is only acceptable for local runs; any
+    other master without a configured folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -58,11 +59,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="careflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this package's sources to the Python workers, once per context, so
+    that functions run by ``mapInPandas`` and the like can import it wherever
+    the executors run (what ``spark-submit --py-files`` does for a job)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_careflow_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="careflow-code-"), "careflow_code.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("careflow", os.path.relpath(path, package)))
+    sc.addPyFile(archive)
+    sc._careflow_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
