@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -50,3 +50,18 @@ def chunks(frames: Iterable[pd.DataFrame], column: str = "text",
 def spread(df: DataFrame, *keys: str, width: int, salt: str = "part") -> DataFrame:
     """Add a pseudo-random but repeatable slice number of 0 .. width-1."""
     return df.withColumn(salt, F.pmod(F.xxhash64(*keys), F.lit(width)).cast("int"))
+
+
+def text_udf(schema: str, prepare: Callable[[], Callable[[list[str]], pd.DataFrame]]):
+    """A column function over whole texts.  ``prepare`` runs once in each worker
+    and gives the function that maps texts to as many rows of ``schema`` (null
+    texts come as empty ones).  Other columns never leave the JVM."""
+
+    @F.pandas_udf(schema)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        work = prepare()
+        for series in batches:
+            parts = [work(texts) for _, texts in chunks([series.to_frame("text")])]
+            yield pd.concat(parts, ignore_index=True) if parts else work([])
+
+    return run

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from careflow.llm import bpe, packing, token_counts
+from careflow.llm import bpe, language_id, packing, quality, token_counts
 from careflow.llm.common import read_table
 
 #: Vocabularies of public tokenizers, read where they are installed.
@@ -15,6 +15,15 @@ MERGE_FILE = "byte_bpe_50k.json"
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents; learned from those that are not held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = quality.held_out("doc_id", 4, 2)
+    models = language_id.fit_on_table(docs, ~held_out)
+    return language_id.identify(docs, models).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     return packing.best_fit_packing(read_table(spark, sf_dir, "documents"), public_tokenizers.path(MERGE_FILE))
@@ -30,8 +39,16 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(MERGE_FILE))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents; learned from labels that are not held out."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = quality.held_out("doc_id", 5, 0)
+    model = quality.fit_on_tables(docs, read_table(spark, sf_dir, "labels"), ~held_out)
+    return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_best_fit_packing, op6_byte_bpe, op8_token_counts)
+    f.__name__: f for f in (op1_language_id, op4_best_fit_packing, op6_byte_bpe, op8_token_counts, op10_quality)
 }
 #: DuckDB SQL by query; what SQL can't express is tested in tests/llm/.
 ORACLE: dict[str, str] = {}
