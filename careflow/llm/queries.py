@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from careflow.llm import bpe, language_id, packing, quality, token_counts
+from careflow.llm import bpe, language_id, minhash_dedup, packing, quality, token_counts
 from careflow.llm.common import read_table
 
 #: Vocabularies of public tokenizers, read where they are installed.
@@ -24,6 +24,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents (5-word shingles, similarity 0.85)."""
+    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     return packing.best_fit_packing(read_table(spark, sf_dir, "documents"), public_tokenizers.path(MERGE_FILE))
@@ -48,7 +53,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op4_best_fit_packing, op6_byte_bpe, op8_token_counts, op10_quality)
+    f.__name__: f for f in (op1_language_id, op2_minhash_dedup, op4_best_fit_packing, op6_byte_bpe, op8_token_counts, op10_quality)
 }
 #: DuckDB SQL by query; what SQL can't express is tested in tests/llm/.
 ORACLE: dict[str, str] = {}
