@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from careflow.llm import bpe, language_id, minhash_dedup, packing, quality, token_counts
+from careflow.llm import bpe, language_id, minhash_dedup, packing, pii, quality, token_counts
 from careflow.llm.common import read_table
 
 #: Vocabularies of public tokenizers, read where they are installed.
@@ -44,6 +44,16 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(MERGE_FILE))
 
 
+#: Keys the surrogates; in production the secret comes from the job's configuration.
+PII_SECRET = "careflow surrogates"
+
+
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with personal data replaced by surrogates."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.with_surrogates(docs, PII_SECRET, count="n_replaced")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of all documents; learned from labels that are not held out."""
     docs = read_table(spark, sf_dir, "documents")
@@ -53,7 +63,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_minhash_dedup, op4_best_fit_packing, op6_byte_bpe, op8_token_counts, op10_quality)
+    f.__name__: f for f in (op1_language_id, op2_minhash_dedup, op4_best_fit_packing, op6_byte_bpe, op8_token_counts, op9_pii_surrogates, op10_quality)
 }
 #: DuckDB SQL by query; what SQL can't express is tested in tests/llm/.
 ORACLE: dict[str, str] = {}
