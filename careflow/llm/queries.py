@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from careflow.llm import bpe, language_id, minhash_dedup, packing, pii, quality, token_counts
+from careflow.llm import bpe, language_id, minhash_dedup, packing, pii, quality, simhash, token_counts
 from careflow.llm.common import read_table
 
 #: Vocabularies of public tokenizers, read where they are installed.
@@ -39,6 +39,12 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digest(read_table(spark, sf_dir, "documents"), public_tokenizers.path(RANK_FILE))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts; near ones counted
+    for every document whose id is divisible by 20."""
+    return simhash.edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every line of all documents, each document encoded once."""
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(MERGE_FILE))
@@ -63,7 +69,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_minhash_dedup, op4_best_fit_packing, op6_byte_bpe, op8_token_counts, op9_pii_surrogates, op10_quality)
+    f.__name__: f for f in (op1_language_id, op2_minhash_dedup, op4_best_fit_packing, op6_byte_bpe, op7_simhash, op8_token_counts, op9_pii_surrogates, op10_quality)
 }
 #: DuckDB SQL by query; what SQL can't express is tested in tests/llm/.
 ORACLE: dict[str, str] = {}
