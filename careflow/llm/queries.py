@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from careflow.llm import bpe, language_id, minhash_dedup, packing, pii, quality, simhash, token_counts
+from careflow.llm import bpe, embedding_dedup, html_text, language_id, minhash_dedup, packing, pii, quality, simhash, token_counts
 from careflow.llm.common import read_table
 
 #: Vocabularies of public tokenizers, read where they are installed.
@@ -29,11 +29,21 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     return packing.best_fit_packing(read_table(spark, sf_dir, "documents"), public_tokenizers.path(MERGE_FILE))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all vectors of one label (cosine 0.93)."""
+    return embedding_dedup.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents and the bytes that they decode to, as digests."""
     return bpe.encode_digest(read_table(spark, sf_dir, "documents"), public_tokenizers.path(RANK_FILE))
@@ -69,7 +79,9 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_minhash_dedup, op4_best_fit_packing, op6_byte_bpe, op7_simhash, op8_token_counts, op9_pii_surrogates, op10_quality)
+    f.__name__: f for f in (
+        op1_language_id, op2_minhash_dedup, op3_html_text, op4_best_fit_packing, op5_embedding_dedup, op6_byte_bpe,
+        op7_simhash, op8_token_counts, op9_pii_surrogates, op10_quality)
 }
 #: DuckDB SQL by query; what SQL can't express is tested in tests/llm/.
 ORACLE: dict[str, str] = {}
