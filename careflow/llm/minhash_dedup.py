@@ -127,9 +127,11 @@ def estimate(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     return np.maximum(0.0, (agree - _COLLISION) / (1 - _COLLISION))
 
 
-def _sketch_documents(docs: DataFrame, key: str) -> DataFrame:
-    """key, n_shingles, class (digest of the set), registers; null for empty sets."""
-    key_type = docs.schema[key].dataType.simpleString()
+def _sketch_documents(docs: DataFrame, key: str, carry: list[str]) -> DataFrame:
+    """key, carried columns, n_shingles, class (digest of the set), registers;
+    the last two are null for empty sets."""
+    kept = [key, *carry]
+    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame, texts in chunks(frames):
@@ -140,11 +142,9 @@ def _sketch_documents(docs: DataFrame, key: str) -> DataFrame:
             for i, row in zip(full, sketches([sets[i] for i in full]), strict=True):
                 registers[i] = row.astype("<u2").tobytes()
                 digest[i] = hashlib.blake2b(sets[i].astype("<u8").tobytes(), digest_size=16).digest()
-            yield pd.DataFrame({key: frame[key].to_numpy(), "n_shingles": [len(s) for s in sets], "class": digest,
-                                "registers": registers})
+            yield frame[kept].assign(n_shingles=[len(s) for s in sets], **{"class": digest, "registers": registers})
 
-    return docs.select(key, "text").mapInPandas(
-        run, f"{key} {key_type}, n_shingles long, class binary, registers binary")
+    return docs.select(*kept, "text").mapInPandas(run, f"{schema}, n_shingles long, class binary, registers binary")
 
 
 def _sets_of(candidates: DataFrame) -> DataFrame:
@@ -243,7 +243,8 @@ def _confirmed_links(sets: DataFrame, percent: int) -> DataFrame:
     return first.unionAll(second)
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id") -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id",
+                    carry: tuple[str, ...] = ()) -> DataFrame:
     """Components of documents whose shingle sets have 100 * |A & B| >= percent * |A | B|.
 
     One row per input row: key, n_shingles (size of the set), component_id (the
@@ -251,9 +252,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id") ->
     Null and empty texts link with nothing.  A row with a null key links with
     nothing either: its component_id is null and it is kept.  Rows that repeat a
     key are rows like others: each has the component of its own text, and equal
-    rows the same.  Other columns are ignored; an empty table gives an empty
-    result."""
-    sketched = materialise(_sketch_documents(docs, key), "sketches")
+    rows the same.  Columns named in ``carry`` stay, others are ignored; an
+    empty table gives an empty result."""
+    sketched = materialise(_sketch_documents(docs, key, list(carry)), "sketches")
     usable = sketched.filter(F.col("class").isNotNull() & F.col(key).isNotNull())
     classes = materialise(usable.groupBy("class").agg(F.min(F.col(key).cast("long")).alias("rep"),
                                                       F.first("registers").alias("registers")), "classes")
@@ -282,5 +283,5 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id") ->
     joined = sketched.drop("registers").join(of_class, "class", "left")
     key_type = docs.schema[key].dataType
     component = F.when(F.col(key).isNotNull(), F.coalesce(F.col("component").cast(key_type), F.col(key)))
-    return joined.select(key, "n_shingles", component.alias("component_id"),
+    return joined.select(key, *carry, "n_shingles", component.alias("component_id"),
                          F.coalesce(F.col(key) == component, F.lit(True)).alias("kept"))
