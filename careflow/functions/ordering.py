@@ -6,13 +6,14 @@ task holds a third of the data.  The helpers here split the work:
 
 * ``keep_last`` is an aggregation (``max`` of a struct), so map-side partial
   aggregation collapses a hot key to one row per map task before the shuffle.
-* ``sequence_number`` and ``previous_value`` run the row window per
-  (group, day) and carry the cross-day state through a one-row-per-day
-  summary.  A day summary per group is bounded by the calendar, not by the
-  data, so the per-group window over it stays small however hot the group is.
-  A single (group, day) bucket that is itself hot is cut into ordered slices
-  by range partitioning (``_with_slices``); the state then crosses slices
-  the same way it crosses days.
+* ``sequence_number`` and ``previous_value`` count the rows of every group
+  first (one column, combined on the map side).  Ordinary groups take one
+  window: one shuffle of their rows.  The rows of groups with more than
+  ``hot_rows`` rows are range-partitioned on the full ordering key, which cuts
+  each such group into ordered slices; a window numbers each slice, and a
+  running sum (or a lag) over one row per slice carries the state across.
+  The set of hot groups and the slices are written once, so every use and
+  every retried task sees the same ones.
 """
 
 from __future__ import annotations
@@ -55,107 +56,72 @@ def _day_key(day: str) -> Column:
     return F.coalesce(F.col(day), F.lit(NULL_DAY).cast("date"))
 
 
-# A (group, day) bucket estimated to hold more rows than this is split into
-# ordered slices (one window task sorts about this many rows).
+# A group with more rows than this is cut into slices of about half as many.
 HOT_ROWS = 2_000_000
-SAMPLE_FRACTION = 0.01
-MAX_BROADCAST_HOT = 1_000_000      # hot bucket keys broadcast below this count
 
 
-def hot_rows_for(total_rows: int | None, hot_rows: int | None = HOT_ROWS) -> int | None:
-    """Detection threshold for an input of ``total_rows`` rows: none is needed
-    when the whole input is not larger than one bucket may be (no bucket can
-    then be hot) -- an exact shortcut, not an estimate."""
-    if hot_rows is None or (total_rows is not None and total_rows <= hot_rows):
-        return None
-    return hot_rows
+def _hot_groups(df: DataFrame, group: str, hot_rows: int) -> tuple[DataFrame, int]:
+    """Groups with more than ``hot_rows`` rows (written once), and the rows they hold."""
+    hot = reliable_checkpoint(df.groupBy(group).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > hot_rows))
+    return hot, hot.agg(F.coalesce(F.sum("_c"), F.lit(0))).first()[0]
 
 
-def _with_slices(base: DataFrame, group: str, tie: list, hot_rows: int | None,
-                 fraction: float) -> DataFrame:
-    """Add ``_sl``: 0 for an ordinary (group, day) bucket; for a hot bucket,
-    the index of an ordered slice of it.
-
-    Hot buckets are found on a sample (one light pass, no full shuffle).
-    Only their rows are range-partitioned on (group, day, tie): Spark's
-    sampled range bounds cut a hot bucket into ordered slices, and the slice
-    id is the range partition index.  The slice assignment is materialised
-    with a reliable checkpoint so that every later use sees the same slices.
-    """
-    if hot_rows is None:
-        return base.withColumn("_sl", F.lit(0))
-    counts = (base.select(group, "_dk").sample(fraction=fraction, seed=29)
-              .groupBy(group, "_dk").agg(F.count(F.lit(1)).alias("_c")))
-    hot = counts.filter(F.col(group).isNotNull() & (F.col("_c") >= F.lit(max(1.0, hot_rows * fraction))))
-    stats = hot.agg(F.count(F.lit(1)).alias("n"), F.sum("_c").alias("rows")).first()
-    if not stats["n"]:
-        return base.withColumn("_sl", F.lit(0))
-    keys = hot.select(group, "_dk")
-    keys = F.broadcast(keys) if stats["n"] <= MAX_BROADCAST_HOT else keys
-    normal = base.join(keys, [group, "_dk"], "left_anti").withColumn("_sl", F.lit(0))
-    heavy = base.join(keys, [group, "_dk"], "left_semi")
-    n_slices = max(2, int(math.ceil(stats["rows"] / fraction / hot_rows)) * 2)
-    sliced = reliable_checkpoint(
-        heavy.repartitionByRange(n_slices, F.col(group), F.col("_dk"), *tie)
-             .withColumn("_sl", F.spark_partition_id() + 1))
-    return normal.unionByName(sliced)
+def _sliced(df: DataFrame, group: str, order: list, rows: int, hot_rows: int) -> DataFrame:
+    """Rows with ``_sl``, the index of an ordered slice: Spark's sampled range
+    bounds on (group, order) cut the rows; the slice id is the range partition.
+    Rows that are equal in group and order lie in one slice."""
+    n = max(2, int(math.ceil(2 * rows / hot_rows)))
+    return reliable_checkpoint(df.repartitionByRange(n, F.col(group), *order).withColumn("_sl", F.spark_partition_id()))
 
 
 def sequence_number(df: DataFrame, group: str, day: str, tie: Sequence, out: str = "sequence_num",
-                    hot_rows: int | None = HOT_ROWS, sample_fraction: float = SAMPLE_FRACTION) -> DataFrame:
+                    hot_rows: int = HOT_ROWS) -> DataFrame:
     """1-based position of each row inside its group, ordered by day (nulls
-    last) then ``tie``.  Rows whose group is null get a null position.
-
-    Level 1 numbers rows inside (group, day, slice) with a window; level 2
-    turns the per-segment counts (one row per segment) into offsets with a
-    running sum over the group's segments, joined back."""
-    tie = list(tie)
+    last) then ``tie``.  Rows whose group is null get a null position."""
+    order = [F.col("_dk"), *tie]
     keyed = df.withColumn("_dk", _day_key(day))
     no_group = keyed.filter(F.col(group).isNull()).withColumn(out, F.lit(None).cast("int")).drop("_dk")
-    base = _with_slices(keyed.filter(F.col(group).isNotNull()), group, tie, hot_rows, sample_fraction)
-    seg = [group, "_dk", "_sl"]
-    w_in = Window.partitionBy(*seg)
-    in_seg = (base.withColumn("_rn", F.row_number().over(w_in.orderBy(*tie)))
-                  .withColumn("_n", F.count(F.lit(1)).over(w_in)))
-    # one row per segment, taken from the windowed rows (no second pass over the input)
-    segs = (in_seg.filter(F.col("_rn") == 1).select(*seg, "_n")
-                .withColumn("_off", F.coalesce(F.sum("_n").over(
-                    Window.partitionBy(group).orderBy("_dk", "_sl")
-                          .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                .drop("_n"))
-    numbered = (in_seg.drop("_n").join(segs, seg, "inner")
-                      .withColumn(out, (F.col("_off") + F.col("_rn")).cast("int"))
-                      .drop("_dk", "_sl", "_rn", "_off"))
-    return numbered.unionByName(no_group.select(*numbered.columns))
+    base = keyed.filter(F.col(group).isNotNull())
+    hot, n_hot = _hot_groups(df.filter(F.col(group).isNotNull()), group, hot_rows)
+    rows = base.join(hot.select(group), group, "left_anti").withColumn(
+        out, F.row_number().over(Window.partitionBy(group).orderBy(*order)).cast("int"))
+    if n_hot:  # otherwise no row is left for the slices
+        heavy = _sliced(base.join(hot.select(group), group, "left_semi"), group, order, n_hot, hot_rows)
+        before = heavy.groupBy(group, "_sl").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+            "_off", F.sum("_n").over(Window.partitionBy(group).orderBy("_sl")) - F.col("_n")).drop("_n")
+        numbered = heavy.withColumn("_rn", F.row_number().over(Window.partitionBy(group, "_sl").orderBy(*order)))
+        rows = rows.unionByName(numbered.join(before, [group, "_sl"])
+                                .withColumn(out, (F.col("_off") + F.col("_rn")).cast("int")).drop("_sl", "_rn", "_off"))
+    rows = rows.drop("_dk")
+    return rows.unionByName(no_group.select(*rows.columns))
 
 
 def previous_value(df: DataFrame, group: str, day: str, tie: Sequence[str],
                    value: str, out: str = "previous", has_out: str = "has_previous",
-                   hot_rows: int | None = HOT_ROWS, sample_fraction: float = SAMPLE_FRACTION) -> DataFrame:
+                   hot_rows: int = HOT_ROWS) -> DataFrame:
     """Value of ``value`` on the preceding row of the same group, ordered by
     day then ``tie``; ``has_out`` says whether such a row exists (the previous
-    value itself may be null).  Rows with a null group are dropped.
-
-    One shuffle of the rows (by group, day and slice); the last row of each
-    segment is picked from the windowed rows, lagged over the group's
-    segments (one row per segment), and joined back to the first row of the
-    next segment."""
-    tie = list(tie)
-    keyed = df.filter(F.col(group).isNotNull()).withColumn("_dk", _day_key(day))
-    base = _with_slices(keyed, group, [F.col(c) for c in tie], hot_rows, sample_fraction)
-    seg = [group, "_dk", "_sl"]
-    w_in = Window.partitionBy(*seg).orderBy(*tie)
-    in_seg = (base.withColumn("_rn", F.row_number().over(w_in))
-                  .withColumn("_lag", F.lag(value).over(w_in))
-                  .withColumn("_is_last", F.lead(F.lit(1)).over(w_in).isNull()))
-    w_segs = Window.partitionBy(group).orderBy("_dk", "_sl")
-    segs = (in_seg.filter(F.col("_is_last"))
-                  .select(*seg, F.col(value).alias("_seg_last"))
-                  .withColumn("_prev_seg_last", F.lag("_seg_last").over(w_segs))
-                  .withColumn("_prev_seg_exists", F.row_number().over(w_segs) > 1)
-                  .drop("_seg_last"))
-    first = F.col("_rn") == 1
-    return (in_seg.join(segs, seg, "inner")
-                  .withColumn(out, F.when(first, F.col("_prev_seg_last")).otherwise(F.col("_lag")))
-                  .withColumn(has_out, F.when(first, F.col("_prev_seg_exists")).otherwise(F.lit(True)))
-                  .drop("_dk", "_sl", "_rn", "_lag", "_is_last", "_prev_seg_last", "_prev_seg_exists"))
+    value itself may be null).  Rows with a null group are dropped."""
+    order = [F.col("_dk"), *[F.col(c) for c in tie]]
+    known = df.filter(F.col(group).isNotNull())
+    base = known.withColumn("_dk", _day_key(day))
+    hot, n_hot = _hot_groups(known, group, hot_rows)
+    w = Window.partitionBy(group).orderBy(*order)
+    rows = (base.join(hot.select(group), group, "left_anti")
+            .withColumn(out, F.lag(value).over(w)).withColumn(has_out, F.row_number().over(w) > 1))
+    if n_hot:
+        heavy = _sliced(base.join(hot.select(group), group, "left_semi"), group, order, n_hot, hot_rows)
+        w = Window.partitionBy(group, "_sl").orderBy(*order)
+        in_slice = (heavy.withColumn("_rn", F.row_number().over(w)).withColumn("_lag", F.lag(value).over(w))
+                    .withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull()))
+        slices = Window.partitionBy(group).orderBy("_sl")
+        ends = (in_slice.filter("_is_last").select(group, "_sl", F.col(value).alias("_end"))
+                .withColumn("_before", F.lag("_end").over(slices))
+                .withColumn("_some", F.row_number().over(slices) > 1).drop("_end"))
+        first = F.col("_rn") == 1
+        rows = rows.unionByName(
+            in_slice.join(ends, [group, "_sl"])
+            .withColumn(out, F.when(first, F.col("_before")).otherwise(F.col("_lag")))
+            .withColumn(has_out, F.when(first, F.col("_some")).otherwise(F.lit(True)))
+            .drop("_sl", "_rn", "_lag", "_is_last", "_before", "_some"))
+    return rows.drop("_dk")

@@ -16,13 +16,24 @@ FEATURE_COLS = ["total_prescriptions", "avg_quantity", "max_quantity", "unique_p
 
 
 def physician_features(fact_prescription: DataFrame) -> DataFrame:
-    """M1: per physician: prescriptions, mean / max quantity, distinct patients and drugs."""
-    return fact_prescription.groupBy("physician_id").agg(
-        F.count(F.lit(1)).alias("total_prescriptions"),
-        F.avg("quantity").alias("avg_quantity"),
-        F.max("quantity").alias("max_quantity"),
-        F.count_distinct("patient_id").alias("unique_patients"),
-        F.count_distinct("drug_name").alias("unique_drugs"))
+    """M1: per physician: prescriptions, mean / max quantity, distinct patients and drugs.
+
+    Rows shrink to (physician, patient, drug) before anything else, combined on
+    the map side, so no row is multiplied for the two distinct counts and a
+    physician with very many rows is spread over many tasks."""
+    pairs = fact_prescription.groupBy("physician_id", "patient_id", "drug_name").agg(
+        F.count(F.lit(1)).alias("n"), F.count("quantity").alias("n_quantity"),
+        F.sum(F.col("quantity").cast("double")).alias("sum_quantity"), F.max("quantity").alias("max_quantity"))
+    totals = (F.sum("n").alias("n"), F.sum("n_quantity").alias("n_quantity"),
+              F.sum("sum_quantity").alias("sum_quantity"), F.max("max_quantity").alias("max_quantity"))
+    by_patient = (pairs.groupBy("physician_id", "patient_id").agg(*totals)
+                  .groupBy("physician_id").agg(*totals, F.count("patient_id").alias("unique_patients")))
+    by_drug = (pairs.select(F.col("physician_id").alias("_p"), "drug_name").distinct()
+               .groupBy("_p").agg(F.count("drug_name").alias("unique_drugs")))
+    return (by_patient.join(by_drug, F.col("physician_id").eqNullSafe(F.col("_p")))
+            .select("physician_id", F.col("n").alias("total_prescriptions"),
+                    F.try_divide("sum_quantity", "n_quantity").alias("avg_quantity"), "max_quantity",
+                    "unique_patients", "unique_drugs"))
 
 
 def scaling_stats(features: DataFrame, cols=FEATURE_COLS) -> DataFrame:
@@ -40,15 +51,13 @@ def standard_scale(features: DataFrame, stats: DataFrame | None = None, cols=FEA
     """M2: fill nulls with 0 and standard-scale every feature column.
 
     ``stats`` (from ``scaling_stats``) is a one-row frame of 2 x features
-    numbers; it is read once (``first()``) and applied as literals, so the
-    feature table is neither joined nor re-aggregated per column."""
+    numbers; it enters as scalar subqueries, so nothing runs before the result
+    is asked for and the feature table is not joined."""
     stats = stats if stats is not None else scaling_stats(features, cols)
-    row = stats.first()
     out = [F.col(key)]
     for c in cols:
-        mean = F.lit(float(row[f"{c}__mean"] or 0.0))
-        sd = row[f"{c}__std"]
-        std = F.lit(1.0 if not sd else float(sd))
+        mean = F.coalesce(stats.select(f"{c}__mean").scalar(), F.lit(0.0))
+        std = F.coalesce(F.nullif(stats.select(f"{c}__std").scalar(), F.lit(0.0)), F.lit(1.0))
         v = F.coalesce(F.col(c).cast("double"), F.lit(0.0))
         out.append(((v - mean) / std).alias(c))
     return features.select(*out)
@@ -118,8 +127,6 @@ def daily_zscore(fact_prescription: DataFrame, window: int = ZSCORE_WINDOW,
     df = (daily.withColumn("rolling_mean", F.avg(v).over(w))
                .withColumn("rolling_std", F.coalesce(F.stddev_samp(v).over(w), F.lit(1.0))))
     z = F.try_divide(v - F.col("rolling_mean"), F.col("rolling_std"))
-    return (df.withColumn("z_score", F.round(z, 6))
+    return (df.withColumn("z_score", z)
               .withColumn("is_anomaly", F.coalesce(F.abs(z) > F.lit(limit), F.lit(False)))
-              .withColumn("rolling_mean", F.round("rolling_mean", 6))
-              .withColumn("rolling_std", F.round("rolling_std", 6))
               .orderBy("prescription_date"))

@@ -33,11 +33,8 @@ EULER = 0.5772156649
 # The node arrays are broadcast to every scoring task; n_trees x (2^(depth+1) - 1)
 # nodes x 40 bytes must stay below this (about 2 MB for the defaults).
 MAX_MODEL_BYTES = 256 << 20
-# The offset is the exact ``contamination`` quantile of the training scores.
-# Spark's exact ``percentile`` keeps every value in the final aggregation
-# task; above this many training rows (one per physician) it is replaced by
-# ``percentile_approx`` with a rank error of at most n / 1e6.
-EXACT_OFFSET_MAX_ROWS = 10_000_000
+# Rows that the last step of the exact quantile sorts; see ``exact_quantile``.
+QUANTILE_ROWS = 100_000
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree", T.IntegerType()), T.StructField("node", T.IntegerType()),
@@ -121,12 +118,43 @@ class ForestModel:
         return feat, split, left, right, size
 
 
-def _uniform_hash(seed: int, key: str):
+def _uniform_hash(seed: int, tree, key: str):
     """Uniform double in [0, 1) from (seed, tree, key)."""
-    return (F.pmod(F.xxhash64(F.lit(seed), F.col("tree"), F.col(key)), F.lit(1 << 53)).cast("double")
+    return (F.pmod(F.xxhash64(F.lit(seed), tree, F.col(key)), F.lit(1 << 53)).cast("double")
             / float(1 << 53))
 
 
+def exact_quantile(df: DataFrame, column: str, share: float, n: int) -> float:
+    """The exact ``share`` quantile (linear between order statistics) of the
+    ``n`` values of a column, the same way at every size.
+
+    ``percentile_approx`` brackets the rank, the rows below the bracket are
+    counted, and the bracket narrows until few rows are inside; two order
+    statistics of these give the value."""
+    at = share * (n - 1)
+    rank = int(math.floor(at))
+    x = F.col(column)
+    below, inside = 0, n
+    rows = df.select(column)
+    while inside > QUANTILE_ROWS:
+        cut = [min(1.0, max(0.0, (rank - below + d) / inside)) for d in (-inside / 1000 - 2, inside / 1000 + 2)]
+        a, b = rows.select(F.percentile_approx(column, cut, 10_000)).first()[0]
+        got = rows.agg(F.count_if(x < a).alias("less"), F.count_if(x <= b).alias("upto")).first()
+        if not got["less"] <= rank - below <= got["upto"] - 1 - (at > rank):
+            break                          # the rank lies at the edge: sort what is inside
+        narrowed = rows.filter((x >= a) & (x <= b))
+        size = got["upto"] - got["less"]
+        rows, below = narrowed, below + got["less"]
+        if a == b:                         # one value fills the bracket
+            return float(a)
+        if size == inside:
+            break
+        inside = size
+    two = [r[0] for r in rows.orderBy(column).offset(rank - below).limit(2).collect()]
+    first, second = two[0], two[-1]
+    return float(first + (at - rank) * (second - first))
+
+
 def fit(df: DataFrame, features: list[str], key: str = "physician_id", n_trees: int = 100,
         max_samples: int = 256, contamination: float = 0.05, seed: int = 42,
         oversample: float = 1.3, return_scores: bool = False):
@@ -147,10 +175,10 @@ def fit(df: DataFrame, features: list[str], key: str = "physician_id", n_trees:
     p = min(1.0, oversample * psi / n)
     parts = []
     while trees:
-        cand = (data.withColumn("tree", F.explode(F.array(*[F.lit(t) for t in trees])))
-                .withColumn("_h", _uniform_hash(seed, "_k")))
-        if p < 1.0:
-            cand = cand.filter(F.col("_h") < p)
+        # the trees that draw a row, found before it is repeated for each of them
+        drawn = F.filter(F.array(*[F.lit(t) for t in trees]), lambda t: _uniform_hash(seed, t, "_k") < p)
+        cand = (data.withColumn("tree", F.explode(drawn))
+                .withColumn("_h", _uniform_hash(seed, F.col("tree"), "_k")))
         nodes = cand.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
         roots = nodes[nodes["node"] == 0].set_index("tree")["size"]
         short = [t for t in trees if roots.get(t, 0) < psi] if p < 1.0 else []
@@ -162,11 +190,7 @@ def fit(df: DataFrame, features: list[str], key: str = "physician_id", n_trees:
     if return_scores:
         from ..session import reliable_checkpoint
         scored = reliable_checkpoint(scored)
-    if n <= EXACT_OFFSET_MAX_ROWS:
-        q = F.percentile("score_samples", contamination)
-    else:
-        q = F.percentile_approx("score_samples", contamination, 1_000_000)
-    model.offset = float(scored.select(q).first()[0])
+    model.offset = exact_quantile(scored, "score_samples", contamination, n)
     if return_scores:
         return model, scored
     return model
@@ -241,7 +265,7 @@ def load_model(spark: SparkSession, path: str) -> tuple[ForestModel, DataFrame |
     p = jvm.org.apache.hadoop.fs.Path(f"{path}/params")
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p):
-        raise FileNotFoundError(f"Model files not found in {path} - run training first")
+        raise FileNotFoundError(f"no saved forest under {path}: train and save one before loading")
     prm = spark.read.parquet(f"{path}/params").first()
     nodes = spark.read.parquet(f"{path}/nodes").toPandas()
     model = ForestModel(nodes, prm["features"].split(","), prm["psi"], prm["n_trees"], prm["max_depth"],

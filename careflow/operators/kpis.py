@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import filter_at_least
+from ..functions.cleaning import filter_at_least, filter_equal
 from ..schemas import DROP_OFF_MAX_RX, REGIONS, THERAPY_AREAS
 
 
@@ -69,7 +69,7 @@ def anomalies_by_region(anomaly_results: DataFrame, dim_physician: DataFrame) ->
     return (anomaly_results.select("physician_id", "confidence").join(phys, "physician_id")
             .groupBy("region")
             .agg(F.count(F.lit(1)).alias("flagged_physicians"),
-                 F.round(F.avg(F.col("confidence").cast("double")), 6).alias("avg_confidence")))
+                 F.avg(F.col("confidence").cast("double")).alias("avg_confidence")))
 
 
 # --------------------------------------------------------------------------- A
@@ -85,9 +85,16 @@ def patient_journey_lookup(fact_patient_journey: DataFrame, dim_patient: DataFra
             .orderBy("sequence_num"))
 
 
+def _limit(limit: int, most: int) -> int:
+    """A list's limit; one outside 1 .. ``most`` is an error, never silently changed."""
+    if not 1 <= int(limit) <= most:
+        raise ValueError(f"limit must be between 1 and {most}")
+    return int(limit)
+
+
 def list_patients(dim_patient: DataFrame, region: str | None = None, limit: int = 50) -> DataFrame:
-    """A2: current patients, optional region, first ``limit`` by patient id (at most 500)."""
-    limit = min(int(limit), 500)
+    """A2: current patients, optional region, first ``limit`` (1 to 500) by patient id."""
+    limit = _limit(limit, 500)
     df = dim_patient.filter(F.col("is_current") == 1)
     if region:
         df = df.filter(F.col("region") == F.lit(region))
@@ -101,8 +108,8 @@ ANOMALY_ORDER = ["anomaly_score", "physician_id", "anomaly_type", "total_prescri
 def list_anomalies(anomaly_results: DataFrame, date=None, min_confidence: float = 0.0,
                    limit: int = 50) -> DataFrame:
     """A3: anomalies, optional detection date and minimum confidence (applied
-    only when > 0), lowest score first, at most ``limit`` (<= 500)."""
-    limit = min(int(limit), 500)
+    only when > 0), lowest score first, first ``limit`` (1 to 500)."""
+    limit = _limit(limit, 500)
     df = anomaly_results
     if date:
         df = df.filter(F.col("detection_date") == F.lit(str(date)).cast("date"))
@@ -143,23 +150,20 @@ SWITCH_ORDER = ["switch_date", "patient_id", "from_drug", "to_drug", "therapy_ar
 
 
 def list_switches(therapy_switches: DataFrame, therapy_area: str | None = None, limit: int = 100) -> DataFrame:
-    """A6 (list): switches, optional area, first ``limit`` (<= 1000) in a stated order."""
-    limit = min(int(limit), 1000)
-    df = therapy_switches
-    if therapy_area:
-        df = df.filter(F.col("therapy_area") == F.lit(therapy_area))
-    return df.orderBy(*SWITCH_ORDER).limit(limit)
+    """A6 (list): switches, optional area, first ``limit`` (1 to 1000) in a stated order."""
+    limit = _limit(limit, 1000)
+    return filter_equal(therapy_switches, therapy_area=therapy_area or None).orderBy(*SWITCH_ORDER).limit(limit)
 
 
-def switch_list_summary(listed: DataFrame) -> DataFrame:
-    """A6 (summary) over the listed rows: total and distinct patients."""
-    return listed.agg(F.count(F.lit(1)).alias("total_switches"),
-                      F.count_distinct("patient_id").alias("unique_patients"))
+def switch_summary(therapy_switches: DataFrame, therapy_area: str | None = None) -> DataFrame:
+    """A6 (summary) over all switches of the area: total and distinct patients."""
+    return filter_equal(therapy_switches, therapy_area=therapy_area or None).agg(
+        F.count(F.lit(1)).alias("total_switches"), F.count_distinct("patient_id").alias("unique_patients"))
 
 
-def switch_list_top(listed: DataFrame, column: str, k: int = 5) -> DataFrame:
-    """A6 (top from / to drugs) over the listed rows: most frequent values, ties by value."""
-    return (listed.groupBy(F.col(column).alias("drug")).agg(F.count(F.lit(1)).alias("n"))
+def switch_top(therapy_switches: DataFrame, column: str, therapy_area: str | None = None, k: int = 5) -> DataFrame:
+    """A6 (top from / to drugs) over all switches of the area: most frequent values, ties by value."""
+    return (filter_equal(therapy_switches, therapy_area=therapy_area or None).groupBy(F.col(column).alias("drug")).agg(F.count(F.lit(1)).alias("n"))
             .orderBy(F.col("n").desc(), F.col("drug").asc_nulls_last()).limit(k))
 
 

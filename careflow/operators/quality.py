@@ -107,7 +107,7 @@ def _row(c: Check, passed: Column, score: Column, details: Column) -> Column:
     return F.struct(F.lit(c.name).alias("name"), F.lit(c.check_type).alias("check_type"),
                     F.lit(c.table).alias("table"), F.lit(c.column).cast("string").alias("column"),
                     F.lit(float(c.threshold)).alias("threshold"), passed.alias("passed"),
-                    F.round(score.cast("double"), 6).alias("score"), details.alias("details"))
+                    score.cast("double").alias("score"), details.alias("details"))
 
 
 def _missing_row(c: Check, reason: str) -> Column:
@@ -115,9 +115,13 @@ def _missing_row(c: Check, reason: str) -> Column:
 
 
 def _table_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
-    """All single-table checks of one table in one aggregation -> check rows."""
+    """All single-table checks of one table -> check rows.
+
+    One aggregate, combined on the map side, gives all counts; a uniqueness
+    check counts its key column alone in a subquery, so only keys are shuffled."""
     types = {f.name: f.dataType for f in df.schema.fields}
     aggs: dict[str, Column] = {"_total": F.count(F.lit(1))}
+    unique: dict[int, Column] = {}
     for i, c in enumerate(checks):
         if c.column is not None and c.column not in types:
             continue
@@ -128,7 +132,10 @@ def _table_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
                 present = present & ~F.isnan(col)
             aggs[f"_c{i}"] = F.count_if(present)
         elif c.check_type == "uniqueness":
-            aggs[f"_c{i}"] = F.approx_count_distinct(col) if c.approx else F.count_distinct(col)
+            if c.approx:
+                aggs[f"_c{i}"] = F.approx_count_distinct(col)
+            else:
+                unique[i] = df.select(F.count_distinct(col)).scalar()
         elif c.check_type == "distribution":
             v = col.cast("string").try_cast("double")
             v = F.when(~F.isnan(v), v)
@@ -138,6 +145,7 @@ def _table_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
             aggs[f"_mean{i}"] = F.avg(v)
             aggs[f"_std{i}"] = F.stddev_samp(v)
     one = df.agg(*[e.alias(k) for k, e in aggs.items()])
+    one = one.withColumns({f"_c{i}": e for i, e in unique.items()}) if unique else one
     total = F.col("_total")
     rows = []
     for i, c in enumerate(checks):

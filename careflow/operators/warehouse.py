@@ -15,8 +15,9 @@ from ..functions.cleaning import drop_if_present, normalize_dates, to_int_or_zer
 from ..functions.ordering import HOT_ROWS, keep_last, previous_value, sequence_number
 from ..schemas import HIGH_DATE
 
-# Default arrival order of staging rows: batch stamp, then position in file.
-ARRIVAL_ORDER = ("ingested_at", "_row_number")
+# Default arrival order of staging rows: batch stamp, file, then position in file.
+# These are helper columns; the dimensions drop them.
+ARRIVAL_ORDER = ("ingested_at", "_file_time", "_file", "_row_number")
 
 
 def _order(df: DataFrame, order: Sequence[str] | None) -> list[str]:
@@ -42,14 +43,14 @@ def transform_patients(stg_patients: DataFrame, as_of: _dt.date | str,
         "effective_to": F.lit(HIGH_DATE).cast("date"),
         "is_current": F.lit(1).cast("smallint"),
     })
-    return drop_if_present(df, "ingested_at", "_row_number", *(order or []))
+    return drop_if_present(df, *ARRIVAL_ORDER)
 
 
 def transform_physicians(stg_physicians: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
     """T2 dim_physician: keep-last per physician, years_experience -> int (bad -> 0)."""
     df = dedup_keep_last(stg_physicians, "physician_id", order)
     df = to_int_or_zero(df, ["years_experience"])
-    return drop_if_present(df, "ingested_at", "_row_number", *(order or []))
+    return drop_if_present(df, *ARRIVAL_ORDER)
 
 
 FACT_COLUMNS = ["prescription_id", "patient_id", "physician_id", "drug_name", "prescription_date",
@@ -73,7 +74,7 @@ def transform_therapy(fact_prescription: DataFrame) -> DataFrame:
 
 
 def build_patient_journey(fact_prescription: DataFrame, stg_diagnoses: DataFrame | None,
-                          hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                          hot_rows: int = HOT_ROWS) -> DataFrame:
     """T5 fact_patient_journey: prescriptions and diagnoses of a patient in one
     ordered sequence.  Order: event date (nulls last), prescriptions before
     diagnoses on the same day, then the source id.  Without a diagnosis table
@@ -96,7 +97,7 @@ def build_patient_journey(fact_prescription: DataFrame, stg_diagnoses: DataFrame
                       "therapy_area", "sequence_num")
 
 
-def detect_therapy_switches(fact_prescription: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def detect_therapy_switches(fact_prescription: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """T6 therapy_switches: consecutive prescriptions of a patient (by date,
     then prescription id) whose drug differs (null-safe).  The switch carries
     the new prescription's date and therapy area.  Rows without patient are

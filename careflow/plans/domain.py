@@ -9,10 +9,9 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ordering import hot_rows_for
 from ..operators import anomaly, warehouse
 from ..session import reliable_checkpoint
 from ..sources import fixtures
@@ -61,13 +60,9 @@ class DomainTables:
     # warehouse -------------------------------------------------------------
     @cached_property
     def fact_prescription(self) -> DataFrame:
-        """Materialised once (reliable checkpoint in the shared folder), as the
-        batch job writes the fact table; every query part reads it from there."""
-        obs = Observation("fact_rows")
-        fact = warehouse.transform_prescriptions(self.rx_stage, order=fixtures.RX_ORDER)
-        fact = reliable_checkpoint(fact.observe(obs, F.count(F.lit(1)).alias("n")))
-        self.fact_rows = int(obs.get["n"])                  # counted while checkpointing
-        return fact
+        """Written once as parquet in the shared folder, as the batch job writes
+        the fact table; every query part scans only the columns it needs."""
+        return reliable_checkpoint(warehouse.transform_prescriptions(self.rx_stage, order=fixtures.RX_ORDER))
 
     @cached_property
     def dim_patient(self) -> DataFrame:
@@ -83,20 +78,16 @@ class DomainTables:
 
     @cached_property
     def fact_patient_journey(self) -> DataFrame:
-        fact = self.fact_prescription
-        total = self.fact_rows + self.dx_stage.count()      # parquet row counts come from footers
-        return warehouse.build_patient_journey(fact, self.dx_stage, hot_rows=hot_rows_for(total))
+        return warehouse.build_patient_journey(self.fact_prescription, self.dx_stage)
 
     @cached_property
     def therapy_switches(self) -> DataFrame:
-        fact = self.fact_prescription
-        return warehouse.detect_therapy_switches(fact, hot_rows=hot_rows_for(self.fact_rows))
+        return warehouse.detect_therapy_switches(self.fact_prescription)
 
     # anomaly ---------------------------------------------------------------
     @cached_property
     def features(self) -> DataFrame:
-        """One row per physician, read by several passes: checkpointed as the
-        inference job does."""
+        """One row per physician, read by several passes: written once."""
         return reliable_checkpoint(anomaly.physician_features(self.fact_prescription))
 
     @cached_property

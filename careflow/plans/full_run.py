@@ -15,7 +15,6 @@ import logging
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ordering import hot_rows_for
 from ..operators import quality, warehouse
 from ..schemas import DQ_GATE, STAGING_TABLE, WAREHOUSE_SCHEMAS, staging_schema
 from ..sources import generate as gen
@@ -51,14 +50,9 @@ def run_all_transformations(store: TableStore, as_of: _dt.date | str) -> dict[st
     fact = store.read("fact_prescription")
     counts["dim_therapy"] = _write_counted(store, warehouse.transform_therapy(fact), "dim_therapy")
     dx = store.read_or_none("stg_diagnoses")
-    # the fact row count was observed while writing; hot-bucket detection is
-    # skipped only when the whole input is smaller than one hot bucket
-    n_events = counts["fact_prescription"] + (dx.count() if dx is not None else 0)
     counts["fact_patient_journey"] = _write_counted(
-        store, warehouse.build_patient_journey(fact, dx, hot_rows=hot_rows_for(n_events)), "fact_patient_journey")
-    counts["therapy_switches"] = _write_counted(
-        store, warehouse.detect_therapy_switches(fact, hot_rows=hot_rows_for(counts["fact_prescription"])),
-        "therapy_switches")
+        store, warehouse.build_patient_journey(fact, dx), "fact_patient_journey")
+    counts["therapy_switches"] = _write_counted(store, warehouse.detect_therapy_switches(fact), "therapy_switches")
     return counts
 
 
@@ -120,5 +114,5 @@ def run(spark: SparkSession, root: str, steps: list[str] | None = None, scale: f
             out["run_id"] = record_pipeline_run(store, "full_pipeline", status, started, _now(),
                                                 processed, failed)
         except Exception as e:  # noqa: BLE001
-            log.warning("Could not record pipeline run: %s", e)
+            log.warning("the run log could not be written: %s", e)
     return out

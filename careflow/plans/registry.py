@@ -132,7 +132,8 @@ def _k3(t):
   FROM anomalies ar JOIN dim_physician dp ON ar.physician_id = dp.physician_id
   GROUP BY dp.region""", ("anomalies", "dim_physician"))
 def _k4(t):
-    return kpis.anomalies_by_region(t.anomaly_results, t.dim_physician)
+    return (kpis.anomalies_by_region(t.anomaly_results, t.dim_physician)
+            .withColumn("avg_confidence", F.round("avg_confidence", 6)))
 
 
 # ----------------------------------------------------------------- A (API routes)
@@ -218,23 +219,23 @@ def _a6(t):
 
 @register("a6_switch_summary", f"""
   SELECT COUNT(*) AS total_switches, COUNT(DISTINCT patient_id) AS unique_patients
-  FROM ({_SW_LIST})""", ("switches",))
+  FROM switches WHERE therapy_area = '{THERAPY}'""", ("switches",))
 def _a6s(t):
-    return kpis.switch_list_summary(kpis.list_switches(t.therapy_switches, therapy_area=THERAPY))
+    return kpis.switch_summary(t.therapy_switches, THERAPY)
 
 
 @register("a6_top_from_drugs", f"""
-  SELECT from_drug AS drug, COUNT(*) AS n FROM ({_SW_LIST}) GROUP BY from_drug
+  SELECT from_drug AS drug, COUNT(*) AS n FROM switches WHERE therapy_area = '{THERAPY}' GROUP BY from_drug
   ORDER BY n DESC, drug NULLS LAST LIMIT 5""", ("switches",))
 def _a6f(t):
-    return kpis.switch_list_top(kpis.list_switches(t.therapy_switches, therapy_area=THERAPY), "from_drug")
+    return kpis.switch_top(t.therapy_switches, "from_drug", THERAPY)
 
 
 @register("a6_top_to_drugs", f"""
-  SELECT to_drug AS drug, COUNT(*) AS n FROM ({_SW_LIST}) GROUP BY to_drug
+  SELECT to_drug AS drug, COUNT(*) AS n FROM switches WHERE therapy_area = '{THERAPY}' GROUP BY to_drug
   ORDER BY n DESC, drug NULLS LAST LIMIT 5""", ("switches",))
 def _a6t(t):
-    return kpis.switch_list_top(kpis.list_switches(t.therapy_switches, therapy_area=THERAPY), "to_drug")
+    return kpis.switch_top(t.therapy_switches, "to_drug", THERAPY)
 
 
 @register("a7_global_totals", """
@@ -403,7 +404,9 @@ def _m7s(t):
           WINDOW w AS (ORDER BY prescription_date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)))
   ORDER BY prescription_date""", ("fact_rx",))
 def _m8(t):
-    return anomaly.daily_zscore(t.fact_prescription)
+    return anomaly.daily_zscore(t.fact_prescription).select(
+        "prescription_date", "daily_volume", *[F.round(c, 6).alias(c) for c in ("rolling_mean", "rolling_std", "z_score")],
+        "is_anomaly")
 
 
 # ----------------------------------------------------------------- Q (data quality)
@@ -428,7 +431,8 @@ for _qid, _kind in [("q1_completeness", "completeness"), ("q2_uniqueness", "uniq
                     ("q3_referential_integrity", "referential_integrity"), ("q4_row_count", "row_count"),
                     ("q5_distribution", "distribution"), ("q6_quality_suite", None)]:
     register(_qid, suite_sql(_suite(_kind), _STG_VIEW), _STG_VIEWS)(
-        (lambda checks: (lambda t: quality.run_checks(_staging(t), checks)))(_suite(_kind)))
+        (lambda checks: (lambda t: quality.run_checks(_staging(t), checks)
+                          .withColumn("score", F.round("score", 6))))(_suite(_kind)))
 
 _SUITE_SQL = suite_sql(_suite(), _STG_VIEW)
 _REPORT_SQL = f"""

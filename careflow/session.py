@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -92,7 +93,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def reliable_checkpoint(df):
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder
-    (never a local checkpoint: a lost executor must not lose the data)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write ``df`` once as a parquet table in the shared folder and
+    read it back.  A lost executor loses nothing, later reads prune columns and
+    push filters, and every reader sees the same rows."""
+    path = scratch_path(df.sparkSession, f"careflow-table-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._careflow_path = path
+    return out
+
+
+def drop_checkpoint(df) -> None:
+    """Delete the table behind a frame of ``reliable_checkpoint`` (call it when no
+    plan reads it any more)."""
+    path = getattr(df, "_careflow_path", None)
+    if path:
+        sc = df.sparkSession.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)

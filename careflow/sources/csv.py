@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CORRUPT = "_corrupt"
-# The block-offset table has one row per input split (~40 bytes); above this
-# many splits it is joined by a shuffle instead of being broadcast.
-MAX_BROADCAST_SPLITS = 1_000_000
 
 
 def header_columns(spark: SparkSession, path: str) -> list[str]:
@@ -59,13 +56,7 @@ def with_file_row_number(df: DataFrame, out: str = "_row_number", path_col: str
               .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")))
     blocks = blocks.withColumn(
         "_off", F.sum("_n").over(Window.partitionBy("_fk").orderBy("_blk")) - F.col("_n")).drop("_n")
-    # one row per input split: bounded by (input bytes / split size), checked here
-    try:
-        n_splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001
-        n_splits = None
-    if n_splits is not None and n_splits <= MAX_BROADCAST_SPLITS:
-        blocks = F.broadcast(blocks)
+    # one row per input split; adaptive execution chooses the join by its size
     return (base.join(blocks, ["_fk", "_blk"])
             .withColumn(out, F.col("_off") + (F.col("_mid") - F.col("_first")) + F.lit(1))
             .drop("_fk", "_blk", "_mid", "_first", "_off"))

@@ -1,6 +1,7 @@
 """Anomaly model (FIXTURES.md A5) and the daily z-score."""
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from careflow.operators import anomaly as A
@@ -96,3 +97,26 @@ def test_train_and_score_equals_separate_scoring(spark):
              for r in anomaly_jobs.score(feats, model, stats).collect()}
     once = {r.physician_id: (round(r.anomaly_score, 12), r.is_anomaly) for r in scored.collect()}
     assert once == again
+
+
+def test_exact_quantile_equals_numpy(spark, monkeypatch):
+    """Narrowing brackets or not, ties or not: the value of the definition."""
+    import numpy as np
+
+    from careflow.operators import forest
+    rng = np.random.default_rng(3)
+    for values in (rng.normal(size=5000), np.round(rng.normal(size=3000), 1), np.zeros(700), np.array([2.0]), np.array([1.0, 4.0])):
+        df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(5)
+        for rows in (100, 100_000):
+            monkeypatch.setattr(forest, "QUANTILE_ROWS", rows)
+            for share in (0.0, 0.05, 0.5, 1.0):
+                assert forest.exact_quantile(df, "x", share, len(values)) == pytest.approx(np.quantile(values, share), abs=1e-12)
+
+
+def test_features_need_no_expand(spark):
+    fact = spark.createDataFrame([(1, 1, "A", 5), (1, 1, "B", None), (1, None, "A", 7), (None, 2, None, 3)],
+                                 "physician_id int, patient_id int, drug_name string, quantity int")
+    features = A.physician_features(fact)
+    assert "Expand" not in features._jdf.queryExecution().toString()
+    got = {r["physician_id"]: tuple(r)[1:] for r in features.collect()}
+    assert got == {1: (3, 6.0, 7, 1, 2), None: (1, 3.0, 3, 1, 0)}

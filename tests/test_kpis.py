@@ -40,7 +40,12 @@ def test_routes(wh):
     assert [r.sequence_num for r in j] == [1, 2] and j[0].total_events == 2 and j[0].region == "North"
     assert K.patient_journey_lookup(wh["journey"], wh["dim"], "PAT-999999").count() == 0   # not found
     assert [r.patient_id for r in K.list_patients(wh["dim"], region="South").collect()] == ["PAT-000002"]
-    assert K.list_patients(wh["dim"], limit=10_000).count() == 2
+    assert K.list_patients(wh["dim"], limit=500).count() == 2
+    for call in (lambda n: K.list_patients(wh["dim"], limit=n), lambda n: K.list_anomalies(wh["anomalies"], limit=n),
+                 lambda n: K.list_switches(wh["switches"], limit=n)):
+        for wrong in (0, -1, 1001):
+            with pytest.raises(ValueError):
+                call(wrong)
     assert K.list_anomalies(wh["anomalies"], min_confidence=0.9).count() == 0
     assert K.list_anomalies(wh["anomalies"], date="2024-01-15").count() == 1
     a4 = K.physician_anomaly(wh["anomalies"], "PHY-00001").first()
@@ -48,9 +53,10 @@ def test_routes(wh):
     assert not K.physician_anomaly(wh["anomalies"], "PHY-99999").first().is_anomalous
     s = K.anomaly_summary(wh["anomalies"]).first()
     assert (s.total_anomalies, s.avg_confidence) == (1, 0.85)
-    listed = K.list_switches(wh["switches"])
-    assert K.switch_list_summary(listed).first().asDict() == {"total_switches": 1, "unique_patients": 1}
-    assert [r.drug for r in K.switch_list_top(listed, "from_drug").collect()] == ["DrugA-Onc"]
+    assert K.list_switches(wh["switches"]).count() == 1
+    assert K.switch_summary(wh["switches"]).first().asDict() == {"total_switches": 1, "unique_patients": 1}
+    assert K.switch_summary(wh["switches"], "no-such-area").first().asDict() == {"total_switches": 0, "unique_patients": 0}
+    assert [r.drug for r in K.switch_top(wh["switches"], "from_drug").collect()] == ["DrugA-Onc"]
     g = K.global_totals(wh["dim"], wh["fact"], wh["switches"], wh["anomalies"]).first()
     assert (g.total_patients, g.total_prescriptions, g.total_therapy_switches, g.total_anomalies_detected) == (2, 2, 1, 1)
     d = K.overall_drop_off(wh["fact"]).first()

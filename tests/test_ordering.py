@@ -87,7 +87,7 @@ def test_hot_bucket_is_sliced_and_exact(spark):
     rows = _hot_day_rows()
     df = spark.createDataFrame(rows, "patient_id int, d date, tie string, drug string")
     got = previous_value(df, "patient_id", "d", ["tie"], "drug", out="prev", has_out="has",
-                         hot_rows=40, sample_fraction=1.0).collect()
+                         hot_rows=40).collect()
     exp = _brute_prev(rows)
     assert len(got) == len(exp)
     for r in got:
@@ -96,7 +96,7 @@ def test_hot_bucket_is_sliced_and_exact(spark):
             assert not r["has"]
         else:
             assert r["has"] and r["prev"] == (None if pd.isna(want) else want)
-    seq = sequence_number(df, "patient_id", "d", ["tie"], hot_rows=40, sample_fraction=1.0).toPandas()
+    seq = sequence_number(df, "patient_id", "d", ["tie"], hot_rows=40).toPandas()
     assert len(seq) == len(rows)
     for pid, g in seq[seq.patient_id.notna()].groupby("patient_id"):
         g = g.assign(dk=g.d.fillna(dt.date(9999, 12, 31))).sort_values(["dk", "tie"])
@@ -104,15 +104,33 @@ def test_hot_bucket_is_sliced_and_exact(spark):
     assert seq[seq.patient_id.isna()].sequence_num.isna().all()
 
 
-def test_hot_bucket_gets_several_slices(spark):
-    from careflow.functions.ordering import _day_key, _with_slices
+def test_hot_group_gets_several_slices_and_others_one_shuffle(spark):
+    from careflow.functions.ordering import _hot_groups, _sliced
     rows = _hot_day_rows()
-    df = spark.createDataFrame(rows, "patient_id int, d date, tie string, drug string")
-    base = df.filter("patient_id is not null").withColumn("_dk", _day_key("d"))
-    sl = _with_slices(base, "patient_id", [F.col("tie")], 40, 1.0)
-    hot = sl.filter("patient_id = 9").groupBy("_sl").count().collect()
-    assert len(hot) > 2 and max(r["count"] for r in hot) < 450
-    assert sl.filter("patient_id = 9 and _sl = 0").count() == 0
+    df = spark.createDataFrame(rows, "patient_id int, d date, tie string, drug string").filter("patient_id is not null")
+    hot, n = _hot_groups(df, "patient_id", 300)
+    assert {r["patient_id"] for r in hot.collect()} == {9} and n == 450
+    sliced = _sliced(df.filter("patient_id = 9"), "patient_id", [F.col("d"), F.col("tie")], n, 100)
+    sizes = [r["count"] for r in sliced.groupBy("_sl").count().collect()]
+    assert len(sizes) > 5 and sum(sizes) == 450 and max(sizes) < 150
+    plan = previous_value(df, "patient_id", "d", ["tie"], "drug")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(patient_id") == 1
+
+
+def test_hot_patient_in_shuffled_input_is_exact(spark):
+    """A third of all rows belong to one patient, over many days and partitions."""
+    rnd = random.Random(5)
+    rows = [(1 if i % 3 == 0 else rnd.randint(2, 60), dt.date(2023, 1, 1) + dt.timedelta(days=rnd.randint(0, 90)),
+             f"id{i:05d}", rnd.choice(["A", "B", None])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "patient_id int, d date, tie string, drug string").repartition(7)
+    got = {r["tie"]: (r["has"], r["prev"]) for r in
+           previous_value(df, "patient_id", "d", ["tie"], "drug", out="prev", has_out="has", hot_rows=500).collect()}
+    want = _brute_prev(rows)
+    assert len(got) == len(rows)
+    assert got == {k: (False, None) if v == "<none>" else (True, None if pd.isna(v) else v) for k, v in want.items()}
+    seq = sequence_number(df, "patient_id", "d", ["tie"], hot_rows=500).toPandas()
+    for _, g in seq.groupby("patient_id"):
+        assert list(g.sort_values(["d", "tie"]).sequence_num) == list(range(1, len(g) + 1))
 
 
 from hypothesis import HealthCheck, given, settings  # noqa: E402
@@ -125,13 +143,13 @@ _row = st.tuples(st.sampled_from([1, 2, 3, None]),
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.lists(_row, min_size=1, max_size=40), st.sampled_from([None, 3]))
+@given(st.lists(_row, min_size=1, max_size=40), st.sampled_from([1, 3, 10**6]))
 def test_property_previous_and_keep_last(spark, rows, hot):
     data = [(p, d, f"t{i:03d}", drug, v) for i, (p, d, drug, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "patient_id int, d date, tie string, drug string, v int")
     got = {r["tie"]: (r["has"], r["prev"]) for r in
            previous_value(df, "patient_id", "d", ["tie"], "drug", out="prev", has_out="has",
-                          hot_rows=hot, sample_fraction=1.0).collect()}
+                          hot_rows=hot).collect()}
     exp = _brute_prev([(p, d, t, drug) for p, d, t, drug, _ in data])
     assert set(got) == set(exp)
     for k, want in exp.items():
