@@ -55,12 +55,12 @@ def upsert(target: DataFrame, delta: DataFrame, key: str, materialize: bool = Fa
     adaptive execution broadcasts its key side at run time.  The delta is
     read twice (keys, rows); ``materialize`` checkpoints it once so the
     source is not scanned twice."""
-    order = [c for c in ("ingested_at", "_row_number") if c in delta.columns]
-    delta = dedup_keep_last(delta, key, order)
+    delta = dedup_keep_last(delta, key)
     if materialize:
         from ..session import reliable_checkpoint
         delta = reliable_checkpoint(delta)
-    keep = target.join(delta.select(key).distinct(), key, "left_anti")
+    keys = delta.select(F.col(key).alias("_key")).distinct()
+    keep = target.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
     return keep.unionByName(delta, allowMissingColumns=True)
 
 
@@ -90,14 +90,16 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, attributes: li
     * attributes changed -> the current version is closed the day before
       ``as_of`` (is_current 0) and a new version starts at ``as_of``; a rerun
       on the same day replaces the version it created instead of closing it.
-    History rows (is_current 0) pass through.  One full outer join on the key
+    History rows (is_current 0) pass through.  A null key is a key like others
+    (keep-last keeps one row for it).  One full outer join on the key
     that matches incoming rows to current versions only, so the dimension is
     read once; each joined row emits its 0-2 output rows through ``inline``.
     """
     cols = [key] + list(attributes)
-    c = current.select(*[F.col(x).alias(f"c_{x}") for x in cols], "effective_from", "effective_to", "is_current")
-    i = incoming.select(*[F.col(x).alias(f"i_{x}") for x in cols])
-    j = c.join(i, (F.col(f"c_{key}") == F.col(f"i_{key}")) & (F.col("is_current") == 1), "full_outer")
+    c = current.select(*[F.col(x).alias(f"c_{x}") for x in cols], "effective_from", "effective_to", "is_current",
+                       F.lit(True).alias("_in_c"))
+    i = incoming.select(*[F.col(x).alias(f"i_{x}") for x in cols], F.lit(True).alias("_in_i"))
+    j = c.join(i, F.col(f"c_{key}").eqNullSafe(F.col(f"i_{key}")) & (F.col("is_current") == 1), "full_outer")
     start = _day(as_of)
 
     def row(prefix, eff_from, eff_to, is_cur):
@@ -112,7 +114,7 @@ def scd2_merge(current: DataFrame, incoming: DataFrame, key: str, attributes: li
     kept = row("c", F.col("effective_from"), F.col("effective_to"), None)
     new = row("i", start, _day(HIGH_DATE), 1)
     expired = row("c", F.col("effective_from"), F.date_sub(start, 1), 0)
-    in_c, in_i = F.col(f"c_{key}").isNotNull(), F.col(f"i_{key}").isNotNull()
+    in_c, in_i = F.col("_in_c").isNotNull(), F.col("_in_i").isNotNull()
     out = (F.when(in_c & ~in_i, F.array(kept))
             .when(~in_c & in_i, F.array(new))
             .when(same, F.array(kept))

@@ -17,7 +17,7 @@ from ..schemas import HIGH_DATE
 
 # Default arrival order of staging rows: batch stamp, file, then position in file.
 # These are helper columns; the dimensions drop them.
-ARRIVAL_ORDER = ("ingested_at", "_file_time", "_file", "_row_number")
+ARRIVAL_ORDER = ("ingested_at", "_file", "_row_number")
 
 
 def _order(df: DataFrame, order: Sequence[str] | None) -> list[str]:
@@ -28,7 +28,7 @@ def _order(df: DataFrame, order: Sequence[str] | None) -> list[str]:
 
 def dedup_keep_last(df: DataFrame, key: str, order: Sequence[str] | None = None) -> DataFrame:
     """V9: one row per key, the last one in arrival order (``order``; default
-    ingested_at then _row_number).  Remaining columns break ties, so the
+    ingested_at, then file, then row number).  Remaining columns break ties, so the
     result does not depend on partitioning."""
     return keep_last(df, key, _order(df, order))
 

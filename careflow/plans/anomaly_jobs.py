@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import anomaly, forest
-from ..session import reliable_checkpoint
+from ..session import drop_checkpoint, reliable_checkpoint
 from ..sources.tables import TableStore
 
 KEY = "physician_id"
@@ -69,11 +69,12 @@ def run_inference(spark: SparkSession, store: TableStore, model_path: str,
     model, stats = forest.load_model(spark, model_path)
     detection_date = detection_date or _dt.datetime.now(_dt.timezone.utc).date()
     feats = reliable_checkpoint(anomaly.physician_features(store.read("fact_prescription")))
-    scored = score(feats, model, stats).cache()
+    scored = reliable_checkpoint(score(feats, model, stats))
     try:
         results = anomaly.anomaly_results(scored, detection_date, limits)
         store.replace(results, "anomaly_results")
         return {"total_scored": scored.count(),
                 "anomalies_detected": store.read("anomaly_results").count()}
     finally:
-        scored.unpersist()
+        drop_checkpoint(scored)
+        drop_checkpoint(feats)

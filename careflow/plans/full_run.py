@@ -16,7 +16,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality, warehouse
+from ..operators.incremental import scd2_merge
 from ..schemas import DQ_GATE, STAGING_TABLE, WAREHOUSE_SCHEMAS, staging_schema
+from ..session import drop_checkpoint, reliable_checkpoint
 from ..sources import generate as gen
 from ..sources.tables import TableStore, record_pipeline_run, save_dq_report
 from . import anomaly_jobs, ingest
@@ -36,17 +38,29 @@ def _write_counted(store: TableStore, df: DataFrame, name: str) -> int:
     return int(obs.get["rows"])
 
 
-def run_all_transformations(store: TableStore, as_of: _dt.date | str) -> dict[str, int]:
+PATIENT_ATTRIBUTES = ["gender", "date_of_birth", "region", "enrollment_date"]
+
+
+def run_all_transformations(store: TableStore, as_of: _dt.date | str, incremental: bool = False,
+                            rx_order: list[str] | None = None) -> dict[str, int]:
     """Staging -> warehouse tables; returns rows written per table
     (counted by ``observe`` while writing).  dim_therapy is built after
-    fact_prescription so it reflects the current run."""
+    fact_prescription so it reflects the current run.
+
+    With ``incremental`` the patient dimension keeps its history: the staged
+    patients are merged into it (T8) instead of replacing it.  ``rx_order``
+    names the columns that order prescriptions of one id (default: arrival)."""
     counts = {}
-    counts["dim_patient"] = _write_counted(
-        store, warehouse.transform_patients(store.read("stg_patients"), as_of), "dim_patient")
+    patients = warehouse.transform_patients(store.read("stg_patients"), as_of)
+    before = store.read_or_none("dim_patient") if incremental else None
+    if before is not None:
+        patients = scd2_merge(before, patients.select("patient_id", *PATIENT_ATTRIBUTES), "patient_id",
+                              PATIENT_ATTRIBUTES, as_of)
+    counts["dim_patient"] = _write_counted(store, patients, "dim_patient")
     counts["dim_physician"] = _write_counted(
         store, warehouse.transform_physicians(store.read("stg_physicians")), "dim_physician")
     counts["fact_prescription"] = _write_counted(
-        store, warehouse.transform_prescriptions(store.read("stg_prescriptions")), "fact_prescription")
+        store, warehouse.transform_prescriptions(store.read("stg_prescriptions"), rx_order), "fact_prescription")
     fact = store.read("fact_prescription")
     counts["dim_therapy"] = _write_counted(store, warehouse.transform_therapy(fact), "dim_therapy")
     dx = store.read_or_none("stg_diagnoses")
@@ -65,15 +79,17 @@ def ensure_tables(store: TableStore) -> list[str]:
 
 def run(spark: SparkSession, root: str, steps: list[str] | None = None, scale: float = 1.0,
         as_of: _dt.date | None = None, gate: bool = False, n_trees: int = 100,
-        gate_threshold: float = DQ_GATE) -> dict:
-    """Run the chosen steps (default all) in order; log the run (S14) in any case."""
+        gate_threshold: float = DQ_GATE, incremental: bool = False, raw_dir: str | None = None) -> dict:
+    """Run the chosen steps (default all) in order; log the run (S14) in any case.
+    ``incremental`` keeps the history of the patient dimension; ``raw_dir`` names a
+    landing folder other than the job's own."""
     steps = steps or STEPS
     unknown = set(steps) - set(STEPS)
     if unknown:
         raise ValueError(f"unknown steps: {sorted(unknown)}")
     as_of = as_of or _now().date()
     store = TableStore(spark, f"{root}/tables")
-    raw_dir, quarantine_dir = f"{root}/raw", f"{root}/quarantine"
+    raw_dir, quarantine_dir = raw_dir or f"{root}/raw", f"{root}/quarantine"
     model_dir, report_dir = f"{root}/models/isolation_forest", f"{root}/reports"
     started, status, processed, failed = _now(), "success", 0, 0
     out: dict = {}
@@ -91,16 +107,16 @@ def run(spark: SparkSession, root: str, steps: list[str] | None = None, scale: f
                 out["ingest"] = res
             elif step == "validate":
                 staging = {t: store.read(t) for t in STAGING_TABLE.values() if store.exists(t)}
-                report = quality.dq_report(quality.run_checks(staging)).cache()
+                report = reliable_checkpoint(quality.dq_report(quality.run_checks(staging)))
                 try:
                     save_dq_report(store, report, report_dir, _now())
                     out["validate"] = report.select("total_checks", "passed", "overall_score").first().asDict()
                     if gate:
                         quality.enforce_gate(report, gate_threshold)  # Q8 (scheduled job only)
                 finally:
-                    report.unpersist()
+                    drop_checkpoint(report)
             elif step == "transform":
-                out["transform"] = run_all_transformations(store, as_of)
+                out["transform"] = run_all_transformations(store, as_of, incremental)
             elif step == "train":
                 out["train"] = anomaly_jobs.train_and_save(spark, store, model_dir, n_trees=n_trees)
             elif step == "infer":

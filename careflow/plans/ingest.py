@@ -6,11 +6,11 @@ import datetime as _dt
 import logging
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import validate as V
+from ..session import drop_checkpoint, reliable_checkpoint
 from ..schemas import KEYS, STAGING_TABLE
 from ..sources import tables
 from ..sources.csv import read_raw_csv
@@ -24,15 +24,17 @@ FILES = [("patients.csv", "patients"), ("physicians.csv", "physicians"),
 
 
 def ingest_file(spark: SparkSession, path: str, dataset: str, store: TableStore, quarantine_root: str,
-                batch_ts: _dt.datetime | None = None) -> dict:
+                batch_ts: _dt.datetime | None = None, multiline: bool = False) -> dict:
     """Validate one dataset file, quarantine the invalid rows, load the
-    valid ones (coerced, last row per key) into its staging table."""
+    valid ones (coerced, last row per key) into its staging table.
+
+    ``multiline``: records may span lines inside quotes (such a file cannot be
+    split, so one task reads it)."""
     if dataset not in STAGING_TABLE:
-        raise ValueError(f"Unknown dataset type: {dataset}")
+        raise ValueError(f"no dataset is called {dataset}; there are {sorted(STAGING_TABLE)}")
     batch_ts = batch_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    raw = read_raw_csv(spark, path)
-    # two sinks read the validated rows: keep them (recomputed if an executor is lost)
-    checked = V.validate(raw, dataset).persist(StorageLevel.MEMORY_AND_DISK)
+    raw = read_raw_csv(spark, path, multiline=multiline)
+    checked = reliable_checkpoint(V.validate(raw, dataset))  # two sinks read the validated rows
     try:
         err = F.col(V.ERROR_COL)
         tally = checked.agg(F.count_if(err.isNull()).alias("valid"), F.count_if(err.isNotNull()).alias("invalid")).first()
@@ -41,22 +43,22 @@ def ingest_file(spark: SparkSession, path: str, dataset: str, store: TableStore,
         n_bad = tables.quarantine(invalid, quarantine_root, stem, batch_ts)
         n_ok = tables.load_staging(store, valid, STAGING_TABLE[dataset], KEYS[dataset], batch_ts)
     finally:
-        checked.unpersist()
+        drop_checkpoint(checked)
     return {"file": path, "dataset_type": dataset, "records_loaded": n_ok,
             "records_valid": int(tally["valid"]), "records_invalid": int(tally["invalid"]),
             "records_quarantined": n_bad, "timestamp": batch_ts.isoformat()}
 
 
 def ingest_all(spark: SparkSession, data_dir: str, store: TableStore, quarantine_root: str,
-               batch_ts: _dt.datetime | None = None) -> list[dict]:
+               batch_ts: _dt.datetime | None = None, multiline: bool = False) -> list[dict]:
     """Ingest the five datasets; a missing file is skipped with a warning."""
     results = []
     for fname, dataset in FILES:
         path = f"{data_dir.rstrip('/')}/{fname}"
         if not _exists(spark, path):
-            log.warning("File not found, skipping: %s", path)
+            log.warning("no file for %s at %s; dataset left out", dataset, path)
             continue
-        results.append(ingest_file(spark, path, dataset, store, quarantine_root, batch_ts))
+        results.append(ingest_file(spark, path, dataset, store, quarantine_root, batch_ts, multiline))
     return results
 
 

@@ -2,14 +2,16 @@
 
 The column list comes from the header line; every column is read as text
 (no schema inference pass), plus a corrupt-record column that catches short
-and long lines.  Files are split into blocks as usual (no ``multiLine``
-unless asked), so a large file is read by many tasks.
+and long lines.  A file whose header names other columns, or the same in
+another order, is an error, not a silent mix-up.  Files are split into blocks
+as usual; records that span lines need ``multiline=True``, which reads each
+file whole.
 
-Row numbers are exact and distributed: rows of one (file, block) are
-consecutive within a task, so ``monotonically_increasing_id`` minus the
-block's first id is the position inside the block; a block's offset is the
-row count of the earlier blocks of the same file, computed over a table with
-one row per input split (bounded by input size / split size, not by rows).
+The CSV is parsed once, into a table in the shared folder.  Row numbers are
+exact and distributed: rows of one (file, block) are consecutive within a
+task, so ``monotonically_increasing_id`` minus the block's first id is the
+position inside the block; a block's offset is the row count of the earlier
+blocks of the same file, computed over one row per input split.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import reliable_checkpoint
+
 CORRUPT = "_corrupt"
 
 
@@ -34,7 +38,7 @@ def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = Non
     df = (spark.read.schema(schema)
           .option("header", True).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", CORRUPT)
-          .option("escape", '"').option("multiLine", multiline)
+          .option("escape", '"').option("multiLine", multiline).option("enforceSchema", False)
           .csv(path))
     if not row_number:
         return df
@@ -51,12 +55,12 @@ def with_file_row_number(df: DataFrame, out: str = "_row_number", path_col: str
     blk = F.col(block_col) if block_col else F.col("_metadata.file_block_start")
     base = df.select("*", path.alias("_file"), F.xxhash64(path).alias("_fk"), blk.alias("_blk"),
                      F.monotonically_increasing_id().alias("_mid"))
-    base = base.drop(*[c for c in (path_col, block_col) if c])
+    base = reliable_checkpoint(base.drop(*[c for c in (path_col, block_col) if c]))  # parsed once
     blocks = (base.groupBy("_fk", "_blk")
               .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_n")))
     blocks = blocks.withColumn(
         "_off", F.sum("_n").over(Window.partitionBy("_fk").orderBy("_blk")) - F.col("_n")).drop("_n")
-    # one row per input split; adaptive execution chooses the join by its size
+    blocks = reliable_checkpoint(blocks)  # one row per input split; its size decides the join
     return (base.join(blocks, ["_fk", "_blk"])
             .withColumn(out, F.col("_off") + (F.col("_mid") - F.col("_first")) + F.lit(1))
             .drop("_fk", "_blk", "_mid", "_first", "_off"))

@@ -1,10 +1,11 @@
 """Table IO: a folder of parquet tables (or a JDBC database), and the
 operational sinks (staging, quarantine, DQ report, run log, model).
 
-A table is a parquet folder ``<root>/<name>``.  A full replace (S8/S9/I3)
-writes the new version beside the table and swaps the folders once the write
-has finished, so a plan that reads the table it replaces never loses its
-input, and a failed write leaves the old table in place.
+A table is a folder ``<root>/<name>`` of versions, each a parquet folder, and a
+small file ``_current`` that names the one in force.  A full replace (S8/S9/I3)
+writes a new version and then renames a new ``_current`` over the old one.  So a
+plan that reads the table it replaces never loses its input, and a job that
+dies at any point leaves the old table or the new one, never none.
 """
 
 from __future__ import annotations
@@ -46,16 +47,28 @@ class TableStore:
                 return True
             except Exception:  # noqa: BLE001
                 return False
-        jvm = self.spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return fs.exists(hpath)
+        return self.current(name) is not None
+
+    def current(self, name: str) -> str | None:
+        """The folder of the version in force; None without a table."""
+        p, fs = self._fs(f"{self.path(name)}/_current")
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            tag = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return f"{self.path(name)}/{tag}"
 
     def read(self, name: str) -> DataFrame:
         """A table as a DataFrame (lazy)."""
         if self.fmt == "jdbc":
             return self.spark.read.jdbc(self.jdbc_url, name, properties=self.jdbc_props)
-        return self.spark.read.parquet(self.path(name))
+        path = self.current(name)
+        if path is None:
+            raise FileNotFoundError(f"no table {name} under {self.root}")
+        return self.spark.read.parquet(path)
 
     def read_or_none(self, name: str) -> DataFrame | None:
         return self.read(name) if self.exists(name) else None
@@ -66,43 +79,52 @@ class TableStore:
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def write(self, df: DataFrame, name: str, mode: str = "overwrite",
-              partition_by: list[str] | None = None, path: str | None = None) -> None:
-        """Write a table (full replace by default)."""
+              partition_by: list[str] | None = None) -> None:
+        """Write a table (full replace by default; ``append`` adds to the version in force)."""
         if self.fmt == "jdbc":
             df.write.mode(mode).jdbc(self.jdbc_url, name, properties=self.jdbc_props)
             return
-        w = df.write.mode(mode)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path or self.path(name))
+        path = self.current(name) if mode == "append" else None
+        if path is None:
+            self.replace(df, name, partition_by)
+            return
+        w = df.write.mode("append")
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
     def replace(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
-        """Full replace that may read ``name`` itself.
-
-        The new version is written next to the table first; only when that
-        write has finished are the folders swapped.  The plan therefore never
-        reads files that are being deleted, and a failed write leaves the old
-        table untouched."""
+        """Full replace that may read ``name`` itself (see the module text).
+        The version before the new one stays for plans that still read it; older
+        ones are deleted."""
         if self.fmt == "jdbc":
             from ..session import reliable_checkpoint
             self.write(reliable_checkpoint(df), name, "overwrite", partition_by)
             return
-        final = self.path(name)
-        tag = uuid.uuid4().hex[:12]
-        staged, previous = f"{final}.__staged_{tag}", f"{final}.__previous_{tag}"
-        self.write(df, name, "overwrite", partition_by, path=staged)
-        fpath, fs = self._fs(final)
-        spath, _ = self._fs(staged)
-        ppath, _ = self._fs(previous)
-        had_old = fs.exists(fpath)
-        if had_old and not fs.rename(fpath, ppath):
-            raise OSError(f"could not move {final} aside")
-        if not fs.rename(spath, fpath):
-            if had_old:
-                fs.rename(ppath, fpath)
-            raise OSError(f"could not publish {staged}")
-        if had_old:
-            fs.delete(ppath, True)
+        before, tag = self.current(name), uuid.uuid4().hex[:12]
+        w = df.write.mode("errorifexists")
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{self.path(name)}/{tag}")
+        self._publish(name, tag)
+        folder, fs = self._fs(self.path(name))
+        for status in fs.listStatus(folder):
+            old = status.getPath().getName()
+            if status.isDirectory() and old != tag and not (before or "").endswith(f"/{old}"):
+                fs.delete(status.getPath(), True)
+
+    def _publish(self, name: str, tag: str) -> None:
+        """Make version ``tag`` the one in force by one rename."""
+        jvm = self.spark.sparkContext._jvm
+        new, fs = self._fs(f"{self.path(name)}/_next_{tag}")
+        stream = fs.create(new, True)
+        try:
+            stream.writeBytes(tag)
+        finally:
+            stream.close()
+        current, _ = self._fs(f"{self.path(name)}/_current")
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+        options = self.spark.sparkContext._gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        files.rename(fs.makeQualified(new), fs.makeQualified(current), options)
 
     def create_if_absent(self, schemas: dict[str, T.StructType]) -> list[str]:
         """Create empty typed tables that do not exist; return the created names."""
@@ -116,15 +138,16 @@ class TableStore:
 
 def load_staging(store: TableStore, df: DataFrame, table: str, key: str,
                  batch_ts: _dt.datetime, order: list[str] | None = None) -> int:
-    """Stamp ``ingested_at``, keep the last row per key, replace the table.
-    An empty input leaves the table as it was.  Returns the rows loaded
-    (counted while writing, no second pass)."""
+    """Stamp ``ingested_at``, keep the last row per key (by file, then row
+    number, unless ``order`` says otherwise), replace the table.  An empty input
+    leaves the table as it was.  Returns the rows loaded (counted while writing,
+    no second pass)."""
     from ..operators.warehouse import dedup_keep_last
 
     if df.isEmpty():
         return 0
     stamped = df.withColumn("ingested_at", ts_literal(batch_ts))
-    order = [c for c in (order if order is not None else ["_row_number"]) if c in stamped.columns]
+    order = [c for c in (order if order is not None else ["_file", "_row_number"]) if c in stamped.columns]
     deduped = dedup_keep_last(stamped, key, order)
     deduped = deduped.drop(*[c for c in ("_row_number", "_file") if c in deduped.columns])
     obs = Observation(f"load_{table}")
@@ -132,16 +155,17 @@ def load_staging(store: TableStore, df: DataFrame, table: str, key: str,
     return int(obs.get["rows"])
 
 
-def quarantine(invalid: DataFrame, root: str, source: str, batch_ts: _dt.datetime) -> int:
-    """Append invalid rows (raw text, error, row number) under
-    ``root/source=<name>/batch_ts=<stamp>``; nothing is written when empty."""
-    stamp = batch_ts.strftime("%Y%m%d_%H%M%S")
-    rows = invalid.withColumn("source", F.lit(source)).withColumn("batch_ts", F.lit(stamp))
-    obs = Observation(f"quarantine_{source}")
-    rows = rows.observe(obs, F.count(F.lit(1)).alias("rows"))
+def quarantine(invalid: DataFrame, root: str, source: str, batch_ts: _dt.datetime | str) -> int:
+    """Write invalid rows (raw text, error, row number) under
+    ``root/source=<name>/batch_ts=<stamp>``; nothing is written when empty.
+    The same source and stamp again replace their own rows, so a repeated batch
+    is not stored twice.  ``batch_ts`` may be any text that names the batch."""
+    stamp = batch_ts if isinstance(batch_ts, str) else batch_ts.strftime("%Y%m%d_%H%M%S")
     if invalid.isEmpty():
         return 0
-    rows.drop("_corrupt").write.mode("append").partitionBy("source", "batch_ts").parquet(root)
+    obs = Observation(f"quarantine_{source}")
+    rows = invalid.drop("_corrupt").observe(obs, F.count(F.lit(1)).alias("rows"))
+    rows.write.mode("overwrite").parquet(f"{root.rstrip('/')}/source={source}/batch_ts={stamp}")
     return int(obs.get["rows"])
 
 

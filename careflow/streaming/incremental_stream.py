@@ -20,17 +20,21 @@ from pyspark.sql import types as T
 from ..functions.cleaning import ts_literal
 from ..operators import incremental, validate
 from ..schemas import KEYS, RAW_COLUMNS, STAGING_TABLE
+from ..session import drop_checkpoint, reliable_checkpoint
 from ..sources import tables
 from ..sources.csv import CORRUPT, with_file_row_number
 from ..sources.tables import TableStore
 
 
 def raw_stream(spark: SparkSession, landing_dir: str, dataset: str,
-               max_files_per_trigger: int | None = None) -> DataFrame:
+               max_files_per_trigger: int | None = None, multiline: bool = False) -> DataFrame:
+    """New files as raw text rows.  A header that names other columns, or the same
+    in another order, stops the stream; ``multiline`` reads records that span lines."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS[dataset]]
                           + [T.StructField(CORRUPT, T.StringType())])
     r = (spark.readStream.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-         .option("columnNameOfCorruptRecord", CORRUPT).option("escape", '"'))
+         .option("columnNameOfCorruptRecord", CORRUPT).option("escape", '"')
+         .option("enforceSchema", False).option("multiLine", multiline))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.csv(landing_dir).select(
@@ -43,29 +47,31 @@ def _batch_handler(store: TableStore, dataset: str, quarantine_root: str):
     def handle(batch: DataFrame, epoch_id: int) -> None:
         stamp = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         numbered = with_file_row_number(batch, path_col="_mpath", block_col="_mblk")
-        checked = validate.validate(numbered, dataset).persist()
+        checked = reliable_checkpoint(validate.validate(numbered, dataset))
         try:
             valid, invalid = validate.split(checked, dataset)
-            tables.quarantine(invalid, quarantine_root, f"{dataset}_epoch{epoch_id}", stamp)
-            delta = valid.withColumn("ingested_at", ts_literal(stamp)).drop("_file")
+            # named by the epoch, so an epoch that is run again replaces its own rows
+            tables.quarantine(invalid, quarantine_root, dataset, f"epoch_{epoch_id}")
+            delta = valid.withColumn("ingested_at", ts_literal(stamp))
             target = store.read_or_none(table)
             if target is None:
-                new = incremental.dedup_keep_last(delta, key, ["ingested_at", "_row_number"])
+                new = incremental.dedup_keep_last(delta, key)
             else:
                 new = incremental.upsert(target, delta, key)
             # the new table reads the old one: replace() writes beside it, then swaps
-            store.replace(new.drop("_row_number"), table)
+            store.replace(new.drop("_file", "_row_number"), table)
         finally:
-            checked.unpersist()
+            drop_checkpoint(checked)
 
     return handle
 
 
 def start(spark: SparkSession, landing_dir: str, dataset: str, store: TableStore, quarantine_root: str,
-          checkpoint: str, available_now: bool = True, max_files_per_trigger: int | None = None):
+          checkpoint: str, available_now: bool = True, max_files_per_trigger: int | None = None,
+          multiline: bool = False):
     """Start the stream; returns the StreamingQuery.  ``max_files_per_trigger``
     bounds each micro-batch when a large backlog of files is waiting."""
-    w = (raw_stream(spark, landing_dir, dataset, max_files_per_trigger).writeStream
+    w = (raw_stream(spark, landing_dir, dataset, max_files_per_trigger, multiline).writeStream
          .foreachBatch(_batch_handler(store, dataset, quarantine_root))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
@@ -73,11 +79,12 @@ def start(spark: SparkSession, landing_dir: str, dataset: str, store: TableStore
 
 
 def run_available(spark: SparkSession, landing_dir: str, dataset: str, store: TableStore,
-                  quarantine_root: str, checkpoint: str, max_files_per_trigger: int | None = None) -> DataFrame:
+                  quarantine_root: str, checkpoint: str, max_files_per_trigger: int | None = None,
+                  multiline: bool = False) -> DataFrame:
     """Process every file that is there now (in batches of at most
     ``max_files_per_trigger`` files), then return the target table."""
     q = start(spark, landing_dir, dataset, store, quarantine_root, checkpoint, available_now=True,
-              max_files_per_trigger=max_files_per_trigger)
+              max_files_per_trigger=max_files_per_trigger, multiline=multiline)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
