@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import EXPLANATION_LIMITS, ZSCORE_LIMIT, ZSCORE_WINDOW
 
+# --- fixed values: feature names ---
 FEATURE_COLS = ["total_prescriptions", "avg_quantity", "max_quantity", "unique_patients", "unique_drugs"]
 
 
@@ -89,6 +90,7 @@ def explanation(limits: dict | None = None) -> Column:
     return F.when(text == "", F.lit("Statistical outlier in prescribing pattern")).otherwise(text)
 
 
+# --- fixed values: result columns ---
 RESULT_COLUMNS = ["physician_id", "anomaly_score", "anomaly_type", "total_prescriptions", "avg_quantity",
                   "max_quantity", "unique_patients", "detection_date", "confidence", "explanation"]
 

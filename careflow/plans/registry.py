@@ -506,6 +506,7 @@ from ..sources.fixtures import _view as _sqlview  # noqa: E402
 
 INC_CUT = "2024-01-20 00:00:00"   # target = diagnoses ingested before this instant
 SCD_AS_OF = "2025-02-01"          # date of the second dimension load
+_fx_as_of = _fx.AS_OF
 
 
 def _inc_target(t: DomainTables) -> DataFrame:
@@ -537,7 +538,8 @@ _sqlview("inc_delta", """
 
 @register("i1_high_water_mark", "SELECT MAX(ingested_at) AS last_watermark FROM inc_target", ("inc_target",))
 def _i1(t):
-    return _inc_target(t).agg(F.max("ingested_at").alias("last_watermark"))
+    mark = _inc.high_water_mark(_inc_target(t))
+    return t.spark.createDataFrame([(mark,)], "last_watermark timestamp_ntz")
 
 
 @register("i2_delta_rows", "SELECT * FROM inc_delta", ("inc_delta",))
@@ -561,148 +563,292 @@ def _i3(t):
 _SCD_ATTRS = ["gender", "date_of_birth", "region", "enrollment_date"]
 
 
+def _scd_current(t: DomainTables) -> DataFrame:
+    """The dimension after an earlier load: all versions of the first load, a closed
+    older version of the 'MACHINERY' segment, and one row without a key."""
+    d = t.dim_patient
+    older = d.filter(F.col("gender") == "MACHINERY").select(
+        "patient_id", "gender", "date_of_birth", F.concat(F.col("region"), F.lit("-old")).alias("region"), "enrollment_date",
+        F.lit("2024-01-01").cast("date").alias("effective_from"), F.lit("2024-12-31").cast("date").alias("effective_to"),
+        F.lit(0).cast("smallint").alias("is_current"))
+    return d.unionByName(older).unionByName(_scd_keyless(d, "first"))
+
+
+def _scd_keyless(d: DataFrame, region: str) -> DataFrame:
+    """The dimension's first enrolment as a row without a key."""
+    one = d.agg(F.min("enrollment_date").alias("enrollment_date"))
+    return one.select(F.lit(None).cast("long").alias("patient_id"), F.lit("X").alias("gender"),
+                      F.lit(None).cast("date").alias("date_of_birth"), F.lit(region).alias("region"), "enrollment_date",
+                      F.lit(_fx.AS_OF).cast("date").alias("effective_from"), F.lit("9999-12-31").cast("date").alias("effective_to"),
+                      F.lit(1).cast("smallint").alias("is_current"))
+
+
 def _scd_incoming(t: DomainTables) -> DataFrame:
     """Second load of the patient dimension: the 'BUILDING' segment moved
     region; the 'AUTOMOBILE' segment arrives again under new keys (key +
-    1,000,000)."""
+    1,000,000); the row without a key moved."""
     d = t.dim_patient.select("patient_id", *_SCD_ATTRS)
     moved = d.withColumn("region", F.when(F.col("gender") == "BUILDING", F.concat(F.col("region"), F.lit("-moved")))
                          .otherwise(F.col("region")))
     new = d.filter(F.col("gender") == "AUTOMOBILE").withColumn("patient_id", F.col("patient_id") + 1000000)
-    return moved.unionByName(new)
+    return moved.unionByName(new).unionByName(_scd_keyless(d, "second").select("patient_id", *_SCD_ATTRS))
 
 
 _SAME = " AND ".join(f"c.{a} IS NOT DISTINCT FROM i.{a}" for a in _SCD_ATTRS)
+_sqlview("scd_cur", f"""
+  SELECT * FROM dim_patient
+  UNION ALL
+  SELECT patient_id, gender, date_of_birth, region || '-old', enrollment_date, DATE '2024-01-01', DATE '2024-12-31',
+         CAST(0 AS SMALLINT) FROM dim_patient WHERE gender = 'MACHINERY'
+  UNION ALL
+  SELECT NULL, 'X', NULL, 'first', MIN(enrollment_date), DATE '{_fx_as_of}', DATE '9999-12-31', CAST(1 AS SMALLINT)
+  FROM dim_patient""", "dim_patient")
 _sqlview("scd_in", """
   SELECT patient_id, gender, date_of_birth,
          CASE WHEN gender = 'BUILDING' THEN region || '-moved' ELSE region END AS region, enrollment_date
   FROM dim_patient
   UNION ALL
   SELECT patient_id + 1000000, gender, date_of_birth, region, enrollment_date FROM dim_patient
-  WHERE gender = 'AUTOMOBILE'""", "dim_patient")
+  WHERE gender = 'AUTOMOBILE'
+  UNION ALL
+  SELECT NULL, 'X', NULL, 'second', MIN(enrollment_date) FROM dim_patient""", "dim_patient")
 
 
 @register("t8_scd2_merge", f"""
-  SELECT * FROM dim_patient WHERE is_current <> 1
+  SELECT * FROM scd_cur WHERE is_current <> 1
   UNION ALL
-  SELECT c.* FROM dim_patient c LEFT JOIN scd_in i ON c.patient_id = i.patient_id
-  WHERE c.is_current = 1 AND (i.patient_id IS NULL OR ({_SAME}))
+  SELECT c.* FROM scd_cur c LEFT JOIN (SELECT *, true AS here FROM scd_in) i ON c.patient_id IS NOT DISTINCT FROM i.patient_id
+  WHERE c.is_current = 1 AND (i.here IS NULL OR ({_SAME}))
   UNION ALL
   SELECT c.patient_id, c.gender, c.date_of_birth, c.region, c.enrollment_date, c.effective_from,
          CAST(DATE '{SCD_AS_OF}' - INTERVAL 1 DAY AS DATE), CAST(0 AS SMALLINT)
-  FROM dim_patient c JOIN scd_in i ON c.patient_id = i.patient_id
+  FROM scd_cur c JOIN scd_in i ON c.patient_id IS NOT DISTINCT FROM i.patient_id
   WHERE c.is_current = 1 AND NOT ({_SAME}) AND c.effective_from <> DATE '{SCD_AS_OF}'
   UNION ALL
   SELECT i.patient_id, i.gender, i.date_of_birth, i.region, i.enrollment_date, DATE '{SCD_AS_OF}',
          DATE '9999-12-31', CAST(1 AS SMALLINT)
-  FROM scd_in i LEFT JOIN (SELECT * FROM dim_patient WHERE is_current = 1) c ON c.patient_id = i.patient_id
-  WHERE c.patient_id IS NULL OR NOT ({_SAME})""", ("dim_patient", "scd_in"))
+  FROM scd_in i LEFT JOIN (SELECT *, true AS here FROM scd_cur WHERE is_current = 1) c ON c.patient_id IS NOT DISTINCT FROM i.patient_id
+  WHERE c.here IS NULL OR NOT ({_SAME})""", ("scd_cur", "scd_in"))
 def _t8(t):
-    return _inc.scd2_merge(t.dim_patient, _scd_incoming(t), "patient_id", _SCD_ATTRS, SCD_AS_OF)
+    return _inc.scd2_merge(_scd_current(t), _scd_incoming(t), "patient_id", _SCD_ATTRS, SCD_AS_OF)
 
 
-# ----------------------------------------------------------------- S5-S8, S11, I4 (files; rows-only)
+# ----------------------------------------------------------------- S5-S8, S10, S11, I4 (files)
 # These write CSV derived from the given tables into the shared checkpoint
 # folder, then read it back the way raw files arrive.
+import datetime as _dt  # noqa: E402
 import uuid as _uuid  # noqa: E402
 
+from ..schemas import RAW_COLUMNS as _RAW_COLUMNS, STAGING_TABLE as _STAGING_TABLE  # noqa: E402
 from ..session import scratch_path as _scratch  # noqa: E402
 from ..sources import tables as _tables  # noqa: E402
 from ..sources.csv import read_raw_csv as _read_raw_csv, write_csv as _write_csv  # noqa: E402
 
+_RAW = {"prescriptions": (_fx.rx_raw, "rx_raw", "prescription_id"), "claims": (_fx.claims_raw, "claims_raw", "claim_id")}
+_STAMP = _dt.datetime(2025, 1, 1)
 
-def _landing(t: DomainTables, name: str) -> str:
-    base = _scratch(t.spark, f"careflow-{name}-{_uuid.uuid4().hex[:12]}")
-    return _write_csv(_fx.rx_raw(t.spark, t.sf_dir), f"{base}/prescriptions.csv")
 
+def _root(t: DomainTables, name: str) -> str:
+    return _scratch(t.spark, f"careflow-{name}-{_uuid.uuid4().hex[:12]}")
 
-@register("s5_csv_scan_row_numbers")
-def _s5(t):
-    return _read_raw_csv(t.spark, _landing(t, "s5"))
 
+def _landing(t: DomainTables, root: str, dataset: str = "prescriptions") -> str:
+    """The dataset as CSV files: all rows of a key lie in one file, ordered by all
+    columns, so the last row of a key is the greatest."""
+    build, _, key = _RAW[dataset]
+    raw = build(t.spark, t.sf_dir).select(*_RAW_COLUMNS[dataset])
+    parts = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return _write_csv(raw.repartition(parts, key).sortWithinPartitions(*_RAW_COLUMNS[dataset]), f"{root}/raw/{dataset}.csv")
 
-@register("s6_ingest_prescriptions")
-def _s6(t):
+
+def _staged_sql(dataset: str) -> str:
+    """Valid rows, the last one of each key in the landing's order, coerced."""
+    _, view, key = _RAW[dataset]
+    order = ", ".join(f"{c} DESC NULLS LAST" for c in _RAW_COLUMNS[dataset])
+    return f"""SELECT {coerced_select(dataset)} FROM (
+      SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS _rn
+      FROM ({validated_sql(dataset, view)}) WHERE _validation_error IS NULL) WHERE _rn = 1"""
+
+
+def _ingested(t: DomainTables, name: str, dataset: str = "prescriptions") -> tuple[_tables.TableStore, str]:
     from .ingest import ingest_file
-    src = _landing(t, "s6")
-    root = src.rsplit("/", 1)[0]
+    root = _root(t, name)
     store = _tables.TableStore(t.spark, f"{root}/tables")
-    ingest_file(t.spark, src, "prescriptions", store, f"{root}/quarantine")
-    return store.read("stg_prescriptions")
+    ingest_file(t.spark, _landing(t, root, dataset), dataset, store, f"{root}/quarantine", _STAMP)
+    return store, f"{root}/quarantine"
+
 
+@register("s5_csv_scan", "SELECT *, CAST(NULL AS VARCHAR) AS _corrupt FROM rx_raw", ("rx_raw",))
+def _s5(t):
+    return _read_raw_csv(t.spark, _landing(t, _root(t, "s5"))).drop("_file", "_row_number")
 
-@register("s11_quarantine_prescriptions")
+
+@register("s5_csv_row_numbers", """
+  SELECT COUNT(*) AS n, CAST(0 AS BIGINT) AS files_with_gaps FROM rx_raw""", ("rx_raw",))
+def _s5n(t):
+    """Row numbers of every file run from 1 to its number of rows."""
+    rows = _read_raw_csv(t.spark, _landing(t, _root(t, "s5"))).groupBy("_file").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_row_number").alias("low"), F.max("_row_number").alias("high"),
+        F.sum("_row_number").alias("total"))
+    gap = (F.col("low") != 1) | (F.col("high") != F.col("n")) | (2 * F.col("total") != F.col("n") * (F.col("n") + 1))
+    return rows.agg(F.sum("n").alias("n"), F.count_if(gap).alias("files_with_gaps"))
+
+
+@register("s6_ingest_prescriptions", _staged_sql("prescriptions"), ("rx_raw",))
+def _s6(t):
+    return _ingested(t, "s6")[0].read("stg_prescriptions").drop("ingested_at")
+
+
+@register("s6_ingest_claims", _staged_sql("claims"), ("claims_raw",))
+def _s6c(t):
+    return _ingested(t, "s6", "claims")[0].read("stg_claims").drop("ingested_at")
+
+
+def _tally_sql(dataset: str) -> str:
+    _, view, key = _RAW[dataset]
+    return f"""SELECT '{dataset}' AS dataset, COUNT(*) FILTER (WHERE _validation_error IS NULL) AS records_valid,
+      COUNT(*) FILTER (WHERE _validation_error IS NOT NULL) AS records_invalid,
+      COUNT(DISTINCT {key}) FILTER (WHERE _validation_error IS NULL) AS records_loaded
+      FROM ({validated_sql(dataset, view)})"""
+
+
+@register("s7_ingest_all", " UNION ALL ".join(_tally_sql(d) for d in _RAW), tuple(v for _, v, _ in _RAW.values()))
+def _s7(t):
+    """All datasets that the landing holds, one run; the others are left out."""
+    from .ingest import ingest_all
+    root = _root(t, "s7")
+    for dataset in _RAW:
+        _landing(t, root, dataset)
+    done = ingest_all(t.spark, f"{root}/raw", _tables.TableStore(t.spark, f"{root}/tables"), f"{root}/quarantine", _STAMP)
+    return t.spark.createDataFrame(
+        [(r["dataset_type"], r["records_valid"], r["records_invalid"], r["records_loaded"]) for r in done],
+        "dataset string, records_valid long, records_invalid long, records_loaded long")
+
+
+@register("s8_staging_write", "SELECT * EXCLUDE (ingested_at) FROM inc_source QUALIFY row_number() OVER ("
+          "PARTITION BY diagnosis_id ORDER BY icd_code DESC NULLS LAST, patient_id DESC NULLS LAST, "
+          "diagnosis_date DESC NULLS LAST, physician_id DESC NULLS LAST, severity DESC NULLS LAST) = 1", ("inc_source",))
+def _s8(t):
+    """Staging write with the last row of a key by a stated order."""
+    store = _tables.TableStore(t.spark, f"{_root(t, 's8')}/tables")
+    rows = _inc_source(t).drop("ingested_at")
+    _tables.load_staging(store, rows, "stg_diagnoses", "diagnosis_id", _STAMP, order=["icd_code"])
+    return store.read("stg_diagnoses").drop("ingested_at")
+
+
+@register("s10_create_if_absent", """
+  SELECT 'stg_claims' AS table, COUNT(*) AS n FROM claims_stage
+  UNION ALL SELECT * FROM (VALUES ('stg_diagnoses', 0), ('stg_patients', 0), ('stg_physicians', 0), ('stg_prescriptions', 0))""",
+          ("claims_stage",))
+def _s10(t):
+    """Absent tables are created empty; one that is there keeps its rows."""
+    from .full_run import ensure_tables
+    store = _tables.TableStore(t.spark, f"{_root(t, 's10')}/tables")
+    store.write(t.claims_stage, "stg_claims")
+    ensure_tables(store)
+    parts = [store.read(n).agg(F.count(F.lit(1)).alias("n")).select(F.lit(n).alias("table"), "n")
+             for n in sorted(_STAGING_TABLE.values())]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+@register("s11_quarantine_prescriptions", f"""
+  SELECT *, 'prescriptions' AS source, '20250101_000000' AS batch_ts
+  FROM ({validated_sql("prescriptions", "rx_raw")}) WHERE _validation_error IS NOT NULL""", ("rx_raw",))
 def _s11(t):
-    from .ingest import ingest_file
-    src = _landing(t, "s11")
-    root = src.rsplit("/", 1)[0]
-    ingest_file(t.spark, src, "prescriptions", _tables.TableStore(t.spark, f"{root}/tables"),
-                f"{root}/quarantine")
-    return t.spark.read.parquet(f"{root}/quarantine")
+    return t.spark.read.parquet(_ingested(t, "s11")[1]).drop("_file", "_row_number")
+
+
+@register("v4_missing_column", f"""
+  SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE contains(e, '''drug_name'' is a required property')) AS n_missing,
+         COUNT(*) FILTER (WHERE contains(e, 'is not of type') OR contains(e, 'less than')) AS n_other
+  FROM (SELECT '''drug_name'' is a required property' || COALESCE('; ' || _validation_error, '') AS e
+        FROM ({validated_sql("prescriptions", "(SELECT * REPLACE ('x' AS drug_name) FROM rx_raw)")}))""", ("rx_raw",))
+def _v4(t):
+    """A table without a required column: every row says so, beside its other errors."""
+    error = F.col(_val.ERROR_COL)
+    return _val.validate(_fx.rx_raw(t.spark, t.sf_dir).drop("drug_name"), "prescriptions").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.contains(error, F.lit("'drug_name' is a required property"))).alias("n_missing"),
+        F.count_if(F.contains(error, F.lit("is not of type")) | F.contains(error, F.lit("less than"))).alias("n_other"))
 
 
-@register("i4_stream_upsert_prescriptions")
+@register("i4_stream_upsert_prescriptions", _staged_sql("prescriptions"), ("rx_raw",))
 def _i4(t):
     from ..streaming.incremental_stream import run_available
-    src = _landing(t, "i4")
-    root = src.rsplit("/", 1)[0]
+    root = _root(t, "i4")
     store = _tables.TableStore(t.spark, f"{root}/tables")
-    return run_available(t.spark, src, "prescriptions", store, f"{root}/quarantine", f"{root}/stream-ckpt")
+    return run_available(t.spark, _landing(t, root), "prescriptions", store, f"{root}/quarantine",
+                         f"{root}/stream-ckpt").drop("ingested_at")
 
 
 # ----------------------------------------------------------------- Q9, T7 (tables written by the job)
-@register("q9_dq_trend", f"""
-  SELECT TIMESTAMP '{_fx.AS_OF} 00:00:00' AS run_timestamp,
-         CAST(ROUND(COALESCE(CAST(COUNT(*) FILTER (WHERE passed) AS DOUBLE) / NULLIF(COUNT(*), 0), 0.0), 4)
-              AS DECIMAL(5,4)) AS overall_score
-  FROM ({_SUITE_SQL})""", _STG_VIEWS)
+@register("q9_dq_trend", """
+  SELECT date_trunc('month', o_orderdate) AS run_timestamp,
+         CAST(ROUND(CAST(COUNT(*) FILTER (WHERE o_totalprice <= 200000) AS DOUBLE) / COUNT(*), 4) AS DECIMAL(5,4)) AS overall_score
+  FROM orders GROUP BY 1 ORDER BY 1 DESC LIMIT 10""")
 def _q9(t):
-    """The dq_scores row of this run's report, read back as the trend (newest first)."""
-    row = _tables.dq_score_row(_report(t), "dq_check", f"{_fx.AS_OF} 00:00:00", "report.json")
-    return quality.dq_trend(row, n=10)
-
-
-@register("t7_transform_counts")
+    """The newest of many scores: one run a month of orders, the share of prices within limits."""
+    from ..sources.fixtures import table
+    scores = (table(t.spark, t.sf_dir, "orders")
+              .groupBy(F.date_trunc("month", F.col("o_orderdate")).cast("timestamp_ntz").alias("run_timestamp"))
+              .agg(F.round(F.count_if(F.col("o_totalprice") <= 200000).cast("double") / F.count(F.lit(1)), 4)
+                   .cast("decimal(5,4)").alias("overall_score")))
+    return quality.dq_trend(scores, n=10)
+
+
+def _staged_store(t: DomainTables, name: str) -> _tables.TableStore:
+    store = _tables.TableStore(t.spark, f"{_root(t, name)}/tables")
+    for table, df in {"stg_patients": t.patients_stage, "stg_physicians": t.physicians_stage,
+                      "stg_prescriptions": t.rx_stage, "stg_diagnoses": t.dx_stage}.items():
+        store.write(df, table)
+    return store
+
+
+@register("t7_transform_counts", """
+  SELECT 'dim_patient' AS table, COUNT(*) AS row_count FROM dim_patient
+  UNION ALL SELECT 'dim_physician', COUNT(*) FROM dim_physician
+  UNION ALL SELECT 'fact_prescription', COUNT(*) FROM fact_rx
+  UNION ALL SELECT 'dim_therapy', COUNT(DISTINCT therapy_area) FROM fact_rx
+  UNION ALL SELECT 'fact_patient_journey', (SELECT COUNT(*) FROM fact_rx) + (SELECT COUNT(*) FROM dx_stage)
+  UNION ALL SELECT 'therapy_switches', COUNT(*) FROM switches""",
+          ("dim_patient", "dim_physician", "fact_rx", "dx_stage", "switches"))
 def _t7(t):
     """Stage the fixture tables, run every warehouse transform, report rows per table."""
     from .full_run import run_all_transformations
-    root = _scratch(t.spark, f"careflow-t7-{_uuid.uuid4().hex[:12]}")
-    store = _tables.TableStore(t.spark, f"{root}/tables")
-    stage = {"stg_patients": t.patients_stage, "stg_physicians": t.physicians_stage,
-             "stg_prescriptions": t.rx_stage, "stg_diagnoses": t.dx_stage}
-    for name, df in stage.items():
-        store.write(df, name)
-    counts = run_all_transformations(store, t.as_of)
+    counts = run_all_transformations(_staged_store(t, "t7"), t.as_of, rx_order=_fx.RX_ORDER)
     return t.spark.createDataFrame(sorted(counts.items()), "table string, row_count long")
 
 
-# ----------------------------------------------------------------- S13, S14, S15, M9 (sinks and jobs; rows-only)
-@register("s13_dq_report_saved")
+# ----------------------------------------------------------------- S13, S14 (sinks), S15 and M9 (rows-only)
+@register("s13_dq_report_saved", f"""
+  SELECT 'dq_20250101_000000' AS run_id, TIMESTAMP '2025-01-01 00:00:00' AS run_timestamp,
+         CAST(COUNT(*) AS INTEGER) AS total_checks, CAST(COUNT(*) FILTER (WHERE passed) AS INTEGER) AS passed_checks,
+         CAST(CAST(COUNT(*) FILTER (WHERE passed) AS DOUBLE) / COUNT(*) AS DECIMAL(5,4)) AS overall_score
+  FROM ({_SUITE_SQL})""", _STG_VIEWS)
 def _s13(t):
     """Run the suite on the fixture staging tables, save the JSON report and
     the dq_scores row, read the dq_scores table back."""
-    import datetime as _dt
-    root = _scratch(t.spark, f"careflow-s13-{_uuid.uuid4().hex[:12]}")
+    root = _root(t, "s13")
     store = _tables.TableStore(t.spark, f"{root}/tables")
-    path = _tables.save_dq_report(store, _report(t), f"{root}/reports", _dt.datetime(2025, 1, 1))
+    path = _tables.save_dq_report(store, _report(t), f"{root}/reports", _STAMP)
     t.spark.read.json(path).count()                      # the report is readable JSON
-    return store.read("dq_scores")
+    return store.read("dq_scores").drop("report_path")
 
 
-@register("s14_pipeline_run_log")
+@register("s14_pipeline_run_log", """
+  SELECT 'warehouse_build_20250101_000500' AS run_id, 'warehouse_build' AS pipeline_name, 'success' AS status,
+         TIMESTAMP '2025-01-01 00:00:00' AS started_at, TIMESTAMP '2025-01-01 00:05:00' AS completed_at,
+         CAST((SELECT COUNT(*) FROM fact_rx) + (SELECT COUNT(*) FROM dx_stage) AS INTEGER) AS records_processed,
+         CAST(0 AS INTEGER) AS records_failed""", ("fact_rx", "dx_stage"))
 def _s14(t):
-    """Build the warehouse from the fixture staging tables and log the run."""
-    import datetime as _dt
+    """Build the warehouse from the fixture staging tables and log the run with its journey rows."""
     from .full_run import run_all_transformations
-    root = _scratch(t.spark, f"careflow-s14-{_uuid.uuid4().hex[:12]}")
-    store = _tables.TableStore(t.spark, f"{root}/tables")
-    store.write(t.patients_stage, "stg_patients")
-    store.write(t.physicians_stage, "stg_physicians")
-    store.write(t.rx_stage, "stg_prescriptions")
-    started = _dt.datetime(2025, 1, 1)
-    counts = run_all_transformations(store, t.as_of)
-    _tables.record_pipeline_run(store, "warehouse_build", "success", started, _dt.datetime(2025, 1, 1, 0, 5),
-                                counts["fact_prescription"], 0)
+    store = _staged_store(t, "s14")
+    counts = run_all_transformations(store, t.as_of, rx_order=_fx.RX_ORDER)
+    _tables.record_pipeline_run(store, "warehouse_build", "success", _STAMP, _dt.datetime(2025, 1, 1, 0, 5),
+                                counts["fact_patient_journey"], 0)
     return store.read("pipeline_runs")
 
 
@@ -710,7 +856,7 @@ def _s14(t):
 def _m9(t):
     """M9 + S15: train on the fixture fact table, save the model, load it back,
     score with the loaded model."""
-    root = _scratch(t.spark, f"careflow-m9-{_uuid.uuid4().hex[:12]}")
+    root = _root(t, "m9")
     model, stats, feats = _aj.train(t.fact_prescription)
     _forest.save_model(t.spark, model, f"{root}/model", stats)
     loaded, loaded_stats = _forest.load_model(t.spark, f"{root}/model")

@@ -44,6 +44,7 @@ DEFAULT_SIZES = {"patients": 5000, "physicians": 500, "prescriptions": 50000,
 DIRTY_SHARE = {"prescriptions": 0.03, "diagnoses": 0.02, "claims": 0.04}
 # ---------------------------------------------------------------------------
 
+# The rules and the table columns and types below.
 # Validation rules per dataset: (column, type, extra) with type in
 # string / integer / number; extra keys: pattern, enum, minimum.
 RULES = {
