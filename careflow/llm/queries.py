@@ -83,5 +83,48 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_language_id, op2_minhash_dedup, op3_html_text, op4_best_fit_packing, op5_embedding_dedup, op6_byte_bpe,
         op7_simhash, op8_token_counts, op9_pii_surrogates, op10_quality)
 }
+#: Words and shingles of the contract, every pair with a common shingle, links on
+#: full sets, and their transitive closure.
+_OP2_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3),
+                        lambda i: array_to_string(list_slice(w, i, i + 4), ' ')))
+                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+  FROM words),
+one AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both, any_value(a.n) AS nx, any_value(b.n) AS ny
+  FROM one a JOIN one b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT x, y FROM pairs WHERE 100 * n_both >= 85 * (nx + ny - n_both)),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM documents
+          UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT s.doc_id, len(s.s) AS n_shingles, l.component_id, s.doc_id = l.component_id AS kept
+FROM sets s JOIN least l ON s.doc_id = l.x
+"""
+
+#: Every pair of vectors of one label, compared in double precision.
+_OP5_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR isnan(c) OR isinf(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM vectors a JOIN vectors b
+  ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (SELECT vec_id AS x, vec_id AS y FROM embeddings
+          UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.x = e.vec_id) AS n_links, l.component_id,
+       e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN least l ON e.vec_id = l.x
+"""
+
 #: DuckDB SQL by query; what SQL can't express is tested in tests/llm/.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_minhash_dedup": _OP2_SQL, "op5_embedding_dedup": _OP5_SQL}
