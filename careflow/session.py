@@ -8,6 +8,7 @@ folder is set here only when the cluster has not named one (local tests).
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -86,12 +87,30 @@ def ship_code(spark: SparkSession) -> None:
     sc._careflow_shipped = True
 
 
+_SCRATCH: dict[str, set[str]] = {}   # application -> its intermediate tables
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for intermediate tables."""
+    """A path under the shared checkpoint folder for intermediate tables; what
+    lies there is deleted when the driver's Python ends (or by ``drop_scratch``)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
+    sc = spark.sparkContext
+    if sc.applicationId not in _SCRATCH:
+        _SCRATCH[sc.applicationId] = set()
+        atexit.register(lambda: drop_scratch(spark) if sc._jsc is not None else None)
+    _SCRATCH[sc.applicationId].add(f"{base}/{name}")
     return f"{base}/{name}"
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; frames that read them end here."""
+    sc = spark.sparkContext
+    paths = _SCRATCH.get(sc.applicationId, set())
+    while paths:
+        p = sc._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def reliable_checkpoint(df):
     """Cut lineage: write ``df`` once as a parquet table in the shared folder and
     read it back.  A lost executor loses nothing, later reads prune columns and
