@@ -183,10 +183,12 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", radius: int = RADI
     near = within_radius(queries, done.select("fingerprint"), radius)
     likeness = lambda a, b: 1 - distance(F.col(a), F.col(b)) / BITS
     shown = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
-    asked = F.when(F.col("id") % every == 0, F.col("fingerprint")).alias("asked")
-    return (done.withColumn("asked", asked).join(near.withColumnRenamed("fingerprint", "asked"), "asked", "left").select(
+    # only the queries join their counts; all other rows would meet in one null key
+    counted = queries.join(near, "fingerprint").unionByName(
+        done.filter((F.col("id") % every != 0) | F.col("id").isNull()).withColumn("n_near", F.lit(None).cast("long")))
+    return counted.select(
         F.col("id").cast(docs.schema[key].dataType).alias(key), "n_chars",
         F.concat(*(shown(c) for c in sha)).alias("edited_sha256"),
         shown("fingerprint").alias("fingerprint"), shown("edited_fingerprint").alias("edited_fingerprint"),
         likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
-        likeness("fingerprint", "next").alias("near_next"), (F.col("n_near") - 1).alias("n_near")))
+        likeness("fingerprint", "next").alias("near_next"), (F.col("n_near") - 1).alias("n_near"))
