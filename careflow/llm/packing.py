@@ -212,7 +212,7 @@ def pack(pieces: DataFrame, capacity: int, key: str = "doc_id") -> DataFrame:
     # at most `capacity` rows, whatever the number of documents
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     segments = spark.createDataFrame(plan(histogram, capacity), SEGMENTS)
-    slices = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sliced = pieces.withColumn("slice", F.pmod(F.xxhash64(key, "piece", "start", "ids_crc32"), F.lit(slices)))
     before = (sliced.groupBy("length", "slice").agg(F.count("*").alias("n"))
               .select("length", "slice", (F.sum("n").over(Window.partitionBy("length").orderBy("slice"))
