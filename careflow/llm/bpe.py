@@ -28,7 +28,7 @@ _NONE = np.int32(2**31 - 1)
 #: Matches longer than this are encoded one by one (see ``_encode_long``).
 _LONG = 256
 #: Tokens kept of already encoded matches in one worker before it starts afresh.
-_MEMO_TOKENS = 4_000_000
+_MEMO_TOKENS = 1_500_000
 
 _LETTER, _NUMBER, _OTHER, _SPACE = 1, 2, 3, 4
 
@@ -257,7 +257,7 @@ class Encoder:
                 at += 1
                 continue
             cap = next(c for c in (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 16, 24, 32, 64, 128, 256) if c >= width)
-            to = min(int(np.searchsorted(ordered, cap, side="right")), at + max(1, 2_000_000 // cap))
+            to = min(int(np.searchsorted(ordered, cap, side="right")), at + max(1, 1_000_000 // cap))
             group = order[at:to]
             flat = np.frombuffer(b"".join([words[i] for i in group.tolist()]), np.uint8)
             matrix = np.full((len(group), cap), -1, np.int32)

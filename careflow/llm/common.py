@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from careflow.session import scratch_path, ship_code
 
 #: Code points that one numpy pass works on; one longer text is a chunk of its own.
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 400_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
