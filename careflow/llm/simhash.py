@@ -95,7 +95,8 @@ def within_radius(queries: DataFrame, index: DataFrame, radius: int = RADIUS, bl
          .select("fingerprint", "table", F.col("fingerprint").bitwiseAND(F.col("mask")).alias("part")).alias("q"))
     differ = F.col("q.fingerprint").bitwiseXOR(F.col("i.fingerprint"))
     first = F.coalesce(*(F.when(differ.bitwiseAND(F.lit(m).cast("long")) == 0, F.lit(t)) for t, m in enumerate(masks)))
-    met = q.join(i, (F.col("q.table") == F.col("i.table")) & (F.col("q.part") == F.col("i.part"))
+    # a table's rows shrink so much in a shuffle that its size there says little: no broadcast
+    met = q.hint("merge").join(i, (F.col("q.table") == F.col("i.table")) & (F.col("q.part") == F.col("i.part"))
                  & (F.bit_count(differ) <= radius) & (first == F.col("q.table")))
     return met.groupBy(F.col("q.fingerprint").alias("fingerprint")).agg(F.sum("i.n").alias("n_near"))
 
