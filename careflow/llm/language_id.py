@@ -11,7 +11,9 @@ known, and falls back to shorter ones otherwise.
 The language with the lowest cross-entropy per character wins.  Its confidence
 is the posterior under a temperature fitted on texts that the models have not
 seen.  Rejection is calibrated on the same texts: a text is rejected if its best
-cross-entropy is above what texts of its length reach, or if the posterior is low.
+cross-entropy is above the ceiling of that language at its length, or if the
+posterior is low.  A ceiling is a high quantile of the cross-entropies of unseen
+texts of the language, taken length by length.
 """
 
 from __future__ import annotations
@@ -33,6 +35,11 @@ DISCOUNT = 0.75
 #: Prediction always reads whole texts.
 SAMPLE_PER_LANGUAGE = 800
 SAMPLE_CHARS = 3000
+#: Lengths of the stretches of unseen texts that calibrate, and how many of each a text gives.
+STRETCHES, STRETCHES_PER_TEXT = (8, 15, 30, 60, 120, 400, 3000), 4
+#: Quantile of unseen cross-entropies that is the ceiling, the same of the normal
+#: distribution, and the stretches of one length that it takes.
+CEILING_QUANTILE, CEILING_Z, LEAST_STRETCHES = 0.999, 3.09, 20
 #: Least posterior of an accepted text.
 LEAST_SCORE = 0.5
 UNDETERMINED = "und"
@@ -56,7 +63,13 @@ class LanguageModels:
     orders: tuple[Order, ...]  # of 1 .. ORDER characters
     log_unseen: np.ndarray  # per language: a character never seen
     temperature: float
-    ceiling: tuple[float, float]  # highest accepted cross-entropy: a + b / sqrt(characters)
+    ceiling: tuple[float, float]  # highest accepted cross-entropy, all languages: a + b / sqrt(characters)
+    ceilings: np.ndarray  # the same of each language
+
+    def limit(self, language: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Highest accepted cross-entropy of texts of ``n`` characters in a language."""
+        a, b = self.ceilings[language].T
+        return a + b / np.sqrt(np.maximum(n, 1))
 
 
 def fold(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -231,23 +244,52 @@ def fit(texts: list[str], langs: list[str]) -> LanguageModels | None:
         else:
             train[k].append(text)
     orders, log_unseen = fit_orders(train)
-    pieces, truth = [], []
-    for i, (text, k) in enumerate(rest):
-        size = (8, 15, 30, 60, 120, 400, 3000)[i % 7]
-        pieces += [text[a:a + size] for a in range(0, min(len(text), 4 * size), size)]
-        truth += [k] * (len(pieces) - len(truth))
-    entropy, n, letters = cross_entropies(pieces, orders, log_unseen)
-    ok = letters > 2
-    entropy, n, truth = entropy[ok], n[ok], np.array(truth, int)[ok]
+    parts, places = [], []
+    for size in STRETCHES:  # one length at a time bounds the memory
+        pieces, truth = [], []
+        for text, k in rest:
+            pieces += [text[a:a + size] for a in range(0, min(len(text), STRETCHES_PER_TEXT * size), size)]
+            truth += [k] * (len(pieces) - len(truth))
+        for at in range(0, len(pieces), max(1, 400_000 // size)):
+            cut = slice(at, at + max(1, 400_000 // size))
+            entropy, n, letters = cross_entropies(pieces[cut], orders, log_unseen)
+            ok = letters > 2
+            parts.append((entropy[ok], n[ok]))
+            places.append(np.array(truth[cut], int)[ok])
+    truth = np.concatenate(places) if places else np.zeros(0, int)
     if not len(truth):
-        return LanguageModels(languages, orders, log_unseen, 1.0, (np.inf, 0.0))
+        return LanguageModels(languages, orders, log_unseen, 1.0, (np.inf, 0.0), np.array([(np.inf, 0.0)] * len(languages)))
+    entropy, n = (np.concatenate(x) for x in zip(*parts, strict=True))
     steps = np.geomspace(0.02, 2, 40)
     loss = [-np.log(_posterior(entropy, n, t)[np.arange(len(truth)), truth] + 1e-12).mean() for t in steps]
+    # what a text of the language reaches where it is recognised
+    right = entropy.argmin(axis=1) == truth
     own = entropy[np.arange(len(truth)), truth]
-    # a text is rejected if its cross-entropy lies clearly above what texts of its length reach
-    slope = float(np.quantile((own - np.median(own)) * np.sqrt(n), 0.999))
-    return LanguageModels(languages, orders, log_unseen, float(steps[int(np.argmin(loss))]),
-                          (float(np.median(own)) + 2.0, max(slope, 0.0)))
+    ceiling = _ceiling(own[right], n[right]) or (np.inf, 0.0)
+    ceilings = [_ceiling(own[of], n[of]) or ceiling for of in (right & (truth == k) for k in range(len(languages)))]
+    return LanguageModels(languages, orders, log_unseen, float(steps[int(np.argmin(loss))]), ceiling, np.array(ceilings))
+
+
+def _ceiling(own: np.ndarray, n: np.ndarray) -> tuple[float, float] | None:
+    """a, b of the lowest a + b / sqrt(n) that is at no length below the quantile of the
+    cross-entropies there; None if no length has LEAST_STRETCHES.
+
+    Of fewer than 1 / (1 - CEILING_QUANTILE) stretches the quantile is but the
+    largest; it is then at least that of a log-normal distribution with their
+    mean and deviation."""
+    length = np.searchsorted([12, 24, 48, 96, 192], n)
+    high, typical = [], []
+    for k in range(6):
+        here = length == k
+        if here.sum() >= LEAST_STRETCHES:
+            logs = np.log(np.maximum(own[here], 1e-9))
+            high.append(max(float(np.quantile(own[here], CEILING_QUANTILE)),
+                            float(np.exp(logs.mean() + CEILING_Z * logs.std(ddof=1)))))
+            typical.append(float(np.median(n[here])))
+    if not high:
+        return None
+    a = high[-1]
+    return a, max(0.0, *((h - a) * m ** 0.5 for h, m in zip(high, typical, strict=True)))
 
 
 def fit_on_table(docs: DataFrame, train: Column, key: str = "doc_id",
@@ -299,8 +341,7 @@ def language_udf(spark: SparkSession, models: LanguageModels | None):
                 real = letters > 0
                 pred[real] = np.array(m.languages, object)[best[real]]
                 score[real], low[real] = posterior[real], least[real]
-                limit = m.ceiling[0] + m.ceiling[1] / np.sqrt(np.maximum(n, 1))
-                rejected = ~real | (posterior < LEAST_SCORE) | (least > limit)
+                rejected = ~real | (posterior < LEAST_SCORE) | (least > m.limit(best, n))
             return pd.DataFrame({"lang_pred": pred, "score": score, "cross_entropy": low, "rejected": rejected})
 
         return work

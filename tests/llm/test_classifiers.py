@@ -52,6 +52,32 @@ def test_foreign_text_is_rejected_and_order_of_texts_does_not_matter():
     assert np.allclose(again[::-1], entropy)
 
 
+@pytest.mark.parametrize("unlearned", ["en", "de", "es", "fr"])
+def test_a_language_left_out_of_training_is_rejected(spark, unlearned):
+    """All four are written in one script; the other three stay."""
+    rows = sorted(spark.read.parquet(f"{SF_CHECK}/documents.parquet").filter("length(text) >= 200")
+                  .select("doc_id", "lang", "text").collect(), key=lambda r: r["doc_id"])
+    held = lambda r: zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2
+    train = [r for r in rows if r["lang"] != unlearned and not held(r)]
+    models = language_id.fit([r["text"][:3000] for r in train], [r["lang"] for r in train])
+    probe = [r for r in rows if held(r)]
+    entropy, n, _ = language_id.cross_entropies([r["text"] for r in probe], models.orders, models.log_unseen)
+    rejected = entropy.min(axis=1) > models.limit(entropy.argmin(axis=1), n)
+    foreign = np.array([r["lang"] == unlearned for r in probe])
+    assert rejected[foreign].mean() > 0.85 and rejected[~foreign].mean() < 0.02
+
+
+def test_ceiling_is_the_quantile_of_every_length():
+    draw = np.random.default_rng(3)
+    n = np.repeat([9, 16, 31, 61, 121, 401, 3001], 4000)
+    own = 1.5 + draw.normal(0, 1, len(n)) / np.sqrt(n)
+    a, b = language_id._ceiling(own, n)
+    for size in np.unique(n):
+        above = (own > a + b / np.sqrt(size))[n == size].mean()
+        assert above <= 0.0015
+    assert a < 1.5 + 4 / np.sqrt(401) and language_id._ceiling(own[:5], n[:5]) is None
+
+
 def test_languages_of_odd_rows(odd_docs, no_docs):
     models = language_id.fit_on_table(odd_docs, F.lit(True))
     rows = language_id.identify(odd_docs, models).collect()
