@@ -29,6 +29,7 @@ from careflow.llm.common import chunks, materialise
 # --- fixed values: issuer prefixes by length, titles by gender, name parts by script ---
 CARD_PREFIXES = {13: r"4", 14: r"3(?:6|8|0[0-5])", 15: r"3[47]", 19: r"4",
                  16: r"4|5[1-5]|2(?:22[1-9]|2[3-9]|[3-6]|7[01]|720)|6(?:011|5|4[4-9])|35(?:2[89]|[3-8])"}
+LEAST_IBAN = 12
 TITLES = {"m": ["Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Don", "г-н", "господин", "κύριος"],
           "f": ["Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mademoiselle", "Mme", "Señora", "Señorita",
                 "Doña", "г-жа", "госпожа", "κυρία"]}
@@ -57,8 +58,8 @@ _PATTERNS: list[tuple[str, re.Pattern]] = [
     ("ssn", re.compile(r"(?<![\w-])(?P<v>\d{3}-\d{2}-\d{4})(?![\w-])")),
     ("phone", re.compile(r"(?<![\w.])(?P<v>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4})(?!\w)")),
     ("phone", re.compile(r"(?<![\w.])(?P<v>(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4})(?!\w)")),
-    ("card", re.compile(r"(?<![\w.])(?P<v>\d(?:[ -]?\d){12,18})(?!\w)")),
 ]
+_FIGURES = re.compile(r"\d+(?:[ -]\d+)*")
 _NAME = re.compile(rf"(?<!\w)(?P<title>(?i:{_TITLE}))\.? (?P<v>{_WORD}(?: {_WORD}){{0,2}})")
 
 #: What a text must hold to be looked at: a digit, an at sign or a title.  (A
@@ -80,6 +81,47 @@ def _is_card(digits: str) -> bool:
     return bool(prefix and re.match(prefix, digits)) and luhn_digit(digits[:-1]) == int(digits[-1])
 
 
+def _cards(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """Card numbers in runs of figures.  A run may hold more than the number (a date, a
+    check code, a room): all spans of whole groups are tried, the longest first."""
+    for run in _FIGURES.finditer(text):
+        if run.end() - run.start() < min(CARD_PREFIXES):
+            continue
+        groups = [(run.start() + m.start(), run.start() + m.end()) for m in re.finditer(r"\d+", run[0])]
+        spans = []
+        for i, (a, _) in enumerate(groups):
+            if re.match(r"[\w.]", text[a - 1:a]):
+                continue
+            digits = ""
+            for c, b in groups[i:]:
+                digits += text[c:b]
+                if len(digits) > max(CARD_PREFIXES):
+                    break
+                if _is_card(digits) and not re.match(r"\w", text[b:b + 1]):
+                    spans.append((-len(digits), a, b, digits))
+        taken: list[tuple[int, int]] = []
+        for _, a, b, digits in sorted(spans):
+            if all(b <= x or a >= y for x, y in taken):
+                taken.append((a, b))
+                yield a, b, "card", digits
+
+
+def _ibans(text: str, pattern: re.Pattern) -> Iterator[tuple[int, int, str, str]]:
+    """Account numbers.  A match may hold words that follow the number: it is cut at
+    spaces, the longest span first, and the search goes on after what was accepted."""
+    at = 0
+    while m := pattern.search(text, at):
+        a, b = m.span("v")
+        at = a + 1
+        while b > a:
+            plain = text[a:b].replace(" ", "")
+            if len(plain) >= LEAST_IBAN and _iban_number(plain) % 97 == 1:
+                yield a, b, "iban", plain
+                at = b
+                break
+            b = max(a, text.rfind(" ", a, b))
+
+
 def _iban_number(s: str) -> int:
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4]))
 
@@ -102,6 +144,9 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         for kind, pattern in _PATTERNS:
             if kind == "email" and "@" not in text:
                 continue
+            if kind == "iban":
+                found.extend(_ibans(text, pattern))
+                continue
             for m in pattern.finditer(text):
                 a, b = m.span("v")
                 value = m["v"]
@@ -111,19 +156,14 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                     if len(value) < 8:
                         continue
                     found.append((a, b, kind, value))
-                elif kind in ("card", "phone"):
-                    digits = re.sub(r"\D", "", value)
-                    if kind == "card" and not _is_card(digits):
-                        continue
-                    if kind == "phone" and not 7 <= len(digits) <= 15:
-                        continue
-                    found.append((a, b, kind, digits))
-                elif kind == "iban":
-                    plain = value.replace(" ", "")
-                    if _iban_number(plain) % 97 == 1:
-                        found.append((a, b, kind, plain))
+                elif kind == "phone":
+                    while len(digits := re.sub(r"\D", "", value)) > 15 and (cut := re.search(r"[ .-]\d+$", value)):
+                        value = value[:cut.start()]  # figures that follow the number
+                    if 7 <= len(digits) <= 15:
+                        found.append((a, a + len(value), kind, digits))
                 else:
                     found.append((a, b, kind, value.lower()))
+        found.extend(_cards(text))
     for m in _NAME.finditer(text):
         at, words = m.start("v"), []
         for w in re.finditer(_WORD, m["v"]):

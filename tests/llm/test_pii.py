@@ -86,3 +86,23 @@ def test_odd_rows(odd_docs, no_docs):
     changed = [r["text"] for r in rows if r["n_replaced"]]
     assert len(changed) == 2 and changed[0] == changed[1] and "jo.doe" not in changed[0]
     assert pii.with_surrogates(no_docs, "secret").count() == 0
+
+
+@pytest.mark.parametrize("text, number", [
+    ("4111 1111 1111 1111 12/27", "4111 1111 1111 1111"), ("4111-1111-1111-1111 123", "4111-1111-1111-1111"),
+    ("room 12 4111111111111111", "4111111111111111"), ("12 4111 1111 1111 1111 12 27 x", "4111 1111 1111 1111"),
+    ("3.5 4111 1111 1111 1111 12th", "4111 1111 1111 1111"),
+    ("BE71 0961 2345 6769 EUR", "BE71 0961 2345 6769"), ("AT61 1904 3002 3457 3201 BIC", "AT61 1904 3002 3457 3201"),
+    ("NO99 1234 BE71 0961 2345 6769 EUR PAID", "BE71 0961 2345 6769"),
+    ("+1 555 123 4567 2024 2025", "+1 555 123 4567 2024")])
+def test_numbers_beside_other_figures_or_words(text, number):
+    found = pii.find(text)
+    assert [text[a:b] for a, b, _, _ in found] == [number]
+    new, n = pii.replace(text, KEY)
+    assert n == 1 and number not in new and new.replace(new[found[0][0]:found[0][1]], "") == text.replace(number, "")
+
+
+def test_two_numbers_in_one_run():
+    text = "4111 1111 1111 1111 5500 0000 0000 0004 and BE71 0961 2345 6769 AT61 1904 3002 3457 3201"
+    assert [text[a:b] for a, b, _, _ in pii.find(text)] == [
+        "4111 1111 1111 1111", "5500 0000 0000 0004", "BE71 0961 2345 6769", "AT61 1904 3002 3457 3201"]
