@@ -4,7 +4,8 @@ Detected entities receive replacements of the same kind and format: a valid
 address for an address, a card number of the same brand with a right check
 digit, a name of the same gender and script.  A surrogate is a keyed function
 of the kind and the canonical form, so one entity has one surrogate wherever
-and however it is written (coreference).
+and however it is written (coreference).  A name is one that follows a title
+somewhere in the text; its capitalised words are replaced in the whole text.
 
 Distinctness is checked over the whole corpus: all distinct entities get their
 first surrogate; where two have the same one, or a surrogate is itself a real
@@ -18,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -33,6 +35,7 @@ LEAST_IBAN = 12
 TITLES = {"m": ["Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Don", "г-н", "господин", "κύριος"],
           "f": ["Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mademoiselle", "Mme", "Señora", "Señorita",
                 "Doña", "г-жа", "госпожа", "κυρία"]}
+DEGREES = ["Dr", "Prof", "Professor", "Doktor", "Doctor", "Docteur"]
 SYLLABLES = {"LATIN": ["ba", "den", "fi", "gor", "hal", "ki", "lo", "mar", "nel", "ro", "sen", "ta", "ver", "wi"],
              "CYRILLIC": ["ба", "ден", "фи", "гор", "ка", "ли", "мар", "нел", "ро", "сен", "та", "вер"],
              "GREEK": ["βα", "δεν", "φι", "γορ", "κα", "λι", "μαρ", "νελ", "ρο", "σεν", "τα"]}
@@ -60,7 +63,8 @@ _PATTERNS: list[tuple[str, re.Pattern]] = [
     ("phone", re.compile(r"(?<![\w.])(?P<v>(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4})(?!\w)")),
 ]
 _FIGURES = re.compile(r"\d+(?:[ -]\d+)*")
-_NAME = re.compile(rf"(?<!\w)(?P<title>(?i:{_TITLE}))\.? (?P<v>{_WORD}(?: {_WORD}){{0,2}})")
+_TITLED = re.compile(rf"(?<!\w)(?P<title>(?i:{_TITLE}))\.? (?:(?:{'|'.join(DEGREES)})\.? )*(?=[^\W\d_])")
+_NAME_PART = re.compile(_WORD)
 
 #: What a text must hold to be looked at: a digit, an at sign or a title.  (A
 #: secret has a digit.)
@@ -135,10 +139,57 @@ def _script(text: str) -> str:
     return "LATIN"
 
 
+def _names(text: str) -> list[tuple[int, int, str, str]]:
+    """Names, word by word.  After a title stands a name: the whole run of capitalised
+    words, initials with their dots among them, to the next title.  Its last word is
+    the family name, those before it given names.  Every other capitalised mention of
+    such a word in the text, before or after, is the same name; initials are names
+    only within a run."""
+    titled: list[tuple[int, int, str, str]] = []
+    alone: dict[int, str] = {}  # gender of names of one word, by place in titled
+    for m in _TITLED.finditer(text):
+        at, words = m.end(), []
+        while (w := _NAME_PART.match(text, at)) and w[0][0].isupper() and w[0].casefold() not in _TITLE_GENDER:
+            word = re.sub(r"['’][sS]$", "", w[0])
+            words.append((at, at + len(word), word))
+            at = w.end()
+            if word == w[0] and len(word) == 1 and text[at:at + 1] == ".":
+                at += 1
+            elif word != w[0] or text[at:at + 1] != " ":
+                break
+            at += text[at:at + 1] == " "
+        gender = _TITLE_GENDER[m["title"].casefold()]
+        if len(words) == 1:
+            alone[len(titled)] = gender
+        for i, (a, b, word) in enumerate(words):
+            kind = f"family {_script(word)}" if i == len(words) - 1 else f"given {gender} {_script(word)}"
+            titled.append((a, b, kind, word.casefold()))
+    if not titled:
+        return []
+    known = {x[2:] for i, x in enumerate(titled) if i not in alone}
+    for i, gender in alone.items():  # 'Sir Arthur' is the Arthur of 'Sir Arthur Doyle'
+        a, b, kind, word = titled[i]
+        given = f"given {gender} {kind.split()[1]}"
+        if (kind, word) not in known and (given, word) in known:
+            titled[i] = a, b, given, word
+    kinds: dict[str, str] = {}
+    forms = set()  # a folded ß is no ß any more
+    for a, b, kind, word in titled:
+        if b - a > 1:
+            kinds.setdefault(word, kind)
+            forms |= {word, text[a:b]}
+    if not kinds:
+        return titled
+    parts = "|".join(re.escape(w) for w in sorted(forms, key=lambda w: (-len(w), w)))
+    again = [(m.start(), m.end(), kinds[m[0].casefold()], m[0].casefold())
+             for m in re.finditer(rf"(?<!\w)(?:{parts})(?!\w)", text, re.I)
+             if m[0][0].isupper() and m[0].casefold() in kinds]
+    return titled + again
+
+
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical form) of the entities of a text, in order,
-    without overlap.  Names are found after a title, word by word: the last word
-    is the family name, those before it given names."""
+    without overlap."""
     found: list[tuple[int, int, str, str]] = []
     if re.search("[0-9]", text) or "@" in text:
         for kind, pattern in _PATTERNS:
@@ -164,23 +215,13 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 else:
                     found.append((a, b, kind, value.lower()))
         found.extend(_cards(text))
-    for m in _NAME.finditer(text):
-        at, words = m.start("v"), []
-        for w in re.finditer(_WORD, m["v"]):
-            if not w[0][0].isupper():
-                break
-            words.append((at + w.start(), at + w.end(), w[0]))
-        gender = _TITLE_GENDER[m["title"].casefold()]
-        for i, (a, b, word) in enumerate(words):
-            family = i == len(words) - 1
-            kind = f"family {_script(word)}" if family else f"given {gender} {_script(word)}"
-            found.append((a, b, kind, word.casefold()))
+    found.extend(_names(text))
     out: list[tuple[int, int, str, str]] = []
-    rank = {id(x): i for i, x in enumerate(found)}  # the order of the patterns decides overlaps
-    taken: list[tuple[int, int]] = []
-    for x in sorted(found, key=lambda x: rank[id(x)]):
-        if all(x[1] <= a or x[0] >= b for a, b in taken):
-            taken.append(x[:2])
+    taken: list[tuple[int, int]] = []  # the order of the patterns decides overlaps
+    for x in found:
+        i = bisect(taken, (x[0], x[1]))
+        if (not i or taken[i - 1][1] <= x[0]) and (i == len(taken) or taken[i][0] >= x[1]):
+            taken.insert(i, x[:2])
             out.append(x)
     return sorted(out)
 

@@ -106,3 +106,24 @@ def test_two_numbers_in_one_run():
     text = "4111 1111 1111 1111 5500 0000 0000 0004 and BE71 0961 2345 6769 AT61 1904 3002 3457 3201"
     assert [text[a:b] for a, b, _, _ in pii.find(text)] == [
         "4111 1111 1111 1111", "5500 0000 0000 0004", "BE71 0961 2345 6769", "AT61 1904 3002 3457 3201"]
+
+
+def test_names_are_replaced_wherever_they_stand():
+    text = ("Smith was late. Mr. John Smith. Smith left. John Smith too, and JOHN SMITH's friend; Mr. John said so. "
+            "A smith in Smithfield, Johnson.")
+    new, n = pii.replace(text, KEY)
+    assert n == 9 and not re.search(r"(?i)\bjohn\b", new) and not re.search(r"\bSmith\b|\bSMITH\b", new)
+    given, family = re.search(r"Mr\. (\w+) (\w+)\.", new).groups()
+    assert new == (f"{family} was late. Mr. {given} {family}. {family} left. {given} {family} too, and {given.upper()} "
+                   f"{family.upper()}'s friend; Mr. {given} said so. A smith in Smithfield, Johnson.")
+
+
+@pytest.mark.parametrize("text, names", [
+    ("Sir Arthur Ignatius Conan Doyle wrote.", ["Arthur", "Ignatius", "Conan", "Doyle"]),
+    ("Mr. J. R. Smith and Mrs. A.B. Jones: J. stays", ["J", "R", "Smith", "A", "B", "Jones"]),
+    ("Herr Dr. Müller Frau Schmidt's Haus", ["Müller", "Schmidt"]),
+    ("Herr Weiß kam. Weiß ging, WEISS blieb", ["Weiß", "Weiß", "WEISS"]), ("Mr Smith's Paris, Mr Smith", ["Smith", "Smith"]), ("Sir Don Bradman", ["Bradman"])])
+def test_runs_of_names(text, names):
+    found = pii.find(text)
+    assert [text[a:b] for a, b, _, _ in found] == names
+    assert found[-1][2].startswith("family")
