@@ -254,51 +254,60 @@ class _Draw:
 
 
 def surrogate(secret: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
-    """The replacement of a canonical form, itself in canonical form."""
+    """The replacement of a canonical form, itself in canonical form.
+
+    Later attempts have a wider format, so there is always another surrogate,
+    however many entities of a narrow format the corpus holds."""
     draw = _Draw(secret, kind, canonical, attempt)
+    wider = attempt // 4
+    more = "".join(str(draw.below(10)) for _ in range(wider))
     if kind == "card":
+        if wider:  # the longest numbers
+            canonical = "4" * 19
         body = canonical[:2] if canonical[0] in "356" else canonical[0]
         keep = next(p for p in (4, 3, 2, 1) if re.match(CARD_PREFIXES[len(canonical)], canonical[:p]))
         body = canonical[:max(keep, len(body))]
         body += "".join(str(draw.below(10)) for _ in range(len(canonical) - 1 - len(body)))
         return body + str(luhn_digit(body))
     if kind == "ip":
-        span = {1: (1, 9), 2: (10, 90), 3: (100, 156)}
-        return ".".join(str(span[len(o)][0] + draw.below(span[len(o)][1])) for o in canonical.split("."))
+        if wider > 3:  # a corpus that fills the short addresses
+            return ":".join("%x" % draw.below(2**16) for _ in range(8))
+        span = {1: (1, 9), 2: (10, 90), 3: (100, 156), 4: (1, 255)}  # 4: any octet
+        return ".".join(str(span[n][0] + draw.below(span[n][1])) for n in (
+            len(o) + wider if wider < 2 else 4 for o in canonical.split(".")))
     if kind in ("ipv6", "mac"):
         return "".join("0123456789abcdef"[draw.below(16)] if c.isalnum() else c for c in canonical)
     if kind == "phone":
-        return canonical[0] + "".join(str(draw.below(10)) for _ in canonical[1:])
+        return (canonical[0] + "".join(str(draw.below(10)) for _ in canonical[1:]) + more)[:max(15, len(canonical))]
     if kind == "iban":
-        body = canonical[:2] + "00" + "".join(draw.alike(c) for c in canonical[4:])
+        body = canonical[:2] + "00" + "".join(draw.alike(c) for c in canonical[4:]) + more
         return f"{body[:2]}{98 - _iban_number(body) % 97:02d}{body[4:]}"
     if kind == "secret":
         if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", canonical):
             figures = "0123456789ABCDEF" if re.search("[A-F]", canonical) else "0123456789abcdef"
-            return "".join(figures[draw.below(16)] for _ in canonical)
-        return "".join(draw.alike(c) for c in canonical)
+            return "".join(figures[draw.below(16)] for _ in canonical) + more
+        return "".join(draw.alike(c) for c in canonical) + more
     if kind == "email":
         local, _, domain = canonical.rpartition("@")
         labels = domain.split(".")
         mask = lambda s: "".join(draw.alike(c) for c in s)
         # the top level stays, and the domains that are reserved for examples
         kept = 2 if len(labels) > 2 and labels[-2] == "example" and labels[-1] in ("com", "net", "org") else 1
-        return mask(local) + "@" + ".".join([*map(mask, labels[:-kept]), *labels[-kept:]])
+        return mask(local) + more + "@" + ".".join([*map(mask, labels[:-kept]), *labels[-kept:]])
     if kind.startswith(("family", "given")):
         script = kind.split()[-1]
         parts = SYLLABLES[script]
-        # a later attempt is a longer name, so there is always another one
-        name = "".join(parts[draw.below(len(parts))] for _ in range(2 + attempt // 4))
+        name = "".join(parts[draw.below(len(parts))] for _ in range(2 + wider))
         ends = GIVEN_ENDS[script][kind.split()[1]] if kind.startswith("given") else parts
         return name + ends[draw.below(len(ends))]
-    return "".join(draw.alike(c) for c in canonical)  # national numbers and the like
+    return "".join(draw.alike(c) for c in canonical) + more  # national numbers and the like
 
 
 def _written_like(mention: str, kind: str, new: str) -> str:
     """The surrogate in the mention's format: punctuation, spacing and case."""
     if kind in ("card", "phone", "iban"):
         rest = iter(new)
-        return "".join(next(rest) if c.isalnum() else c for c in mention)
+        return "".join(next(rest) if c.isalnum() else c for c in mention) + "".join(rest)
     if kind.startswith(("family", "given")):
         if mention.isupper() and len(mention) > 1:
             return new.upper()

@@ -127,3 +127,29 @@ def test_runs_of_names(text, names):
     found = pii.find(text)
     assert [text[a:b] for a, b, _, _ in found] == names
     assert found[-1][2].startswith("family")
+
+
+def test_a_filled_format_is_widened(spark):
+    """All addresses of one figure an octet are real: the loop ends, with distinct surrogates outside of them."""
+    addresses = [f"{a}.{b}.{c}.{d}" for a in range(1, 10) for b in range(1, 10) for c in range(1, 10) for d in range(1, 10)]
+    entities = spark.createDataFrame([("ip", x) for x in addresses], "kind string, canonical string")
+    moved = {r["canonical"]: r["attempt"] for r in pii.moved_entities(entities, KEY).collect()}
+    new = [pii.surrogate(KEY, "ip", x, moved.get(x, 0)) for x in addresses]
+    assert len(set(new)) == len(new) and not set(new) & set(addresses)
+    assert all(pii.find(x) == [(0, len(x), "ip", x)] for x in new)
+
+
+@pytest.mark.parametrize("kind, canonical", [
+    ("ip", "1.2.3.4"), ("ip", "100.20.3.44"), ("phone", "1234567"), ("card", "4222222222222"), ("card", "36000000000008"),
+    ("iban", "BE71096123456769"), ("email", "a@b.de"), ("ssn", "123-45-6789"), ("secret", "a1b2c3d4"), ("secret", "pass-123")])
+def test_later_surrogates_have_a_wider_format(kind, canonical):
+    drawn = [pii.surrogate(KEY, kind, canonical, k) for k in range(24)]
+    assert len(set(drawn)) == 24 and len(drawn[23]) > len(canonical)
+    for new in drawn:
+        mention = pii._written_like(canonical, kind, new)
+        if kind in ("phone", "card", "iban", "email"):
+            assert re.sub(r"\W", "", mention).lower() == re.sub(r"\W", "", new).lower()
+        if kind == "card":
+            assert pii._is_card(new)
+        if kind == "iban":
+            assert pii._iban_number(new) % 97 == 1
