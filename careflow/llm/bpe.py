@@ -22,7 +22,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from careflow.llm.common import chunks
+from careflow.llm.common import chunks, keyed_texts, with_key
 
 _NONE = np.int32(2**31 - 1)
 #: Matches longer than this are encoded one by one (see ``_encode_long``).
@@ -406,7 +406,6 @@ def encode_digest(docs: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     One row per input row: key, n_tokens, ids_sha256 (of the decimal ids joined
     by commas), decoded_sha256 (of the decoded bytes).  Null texts count as
     empty; keys may repeat or be null; other columns are ignored."""
-    key_type = docs.schema[key].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = rank_file_encoder(path)
@@ -419,8 +418,8 @@ def encode_digest(docs: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
                 tokens.append(b - a)
                 digests.append(hashlib.sha256(",".join([decimal[i] for i in listed[a:b]]).encode()).hexdigest())
                 decoded.append(hashlib.sha256(encoder.decode(ids[a:b])).hexdigest())
-            yield pd.DataFrame({key: frame[key].to_numpy(), "n_tokens": tokens, "ids_sha256": digests,
+            yield pd.DataFrame({"key": frame["key"].to_numpy(), "n_tokens": tokens, "ids_sha256": digests,
                                 "decoded_sha256": decoded})
 
-    return docs.select(key, "text").mapInPandas(
-        run, f"{key} {key_type}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return with_key(keyed_texts(docs, key).mapInPandas(
+        run, "key string, n_tokens long, ids_sha256 string, decoded_sha256 string"), docs, key)

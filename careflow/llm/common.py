@@ -47,9 +47,16 @@ def chunks(frames: Iterable[pd.DataFrame], column: str = "text",
         yield frame.iloc[first:], texts[first:]
 
 
-def spread(df: DataFrame, *keys: str, width: int, salt: str = "part") -> DataFrame:
-    """Add a pseudo-random but repeatable slice number of 0 .. width-1."""
-    return df.withColumn(salt, F.pmod(F.xxhash64(*keys), F.lit(width)).cast("int"))
+def keyed_texts(docs: DataFrame, key: str) -> DataFrame:
+    """key (as a string), text: what goes to a function on frames.  A numeric key
+    beside a null one would become a float there, and large ones would change."""
+    return docs.select(F.col(key).cast("string").alias("key"), "text")
+
+
+def with_key(found: DataFrame, docs: DataFrame, key: str) -> DataFrame:
+    """``found`` with its string column ``key`` turned back into that of ``docs``."""
+    others = [c for c in found.columns if c != "key"]
+    return found.select(F.col("key").cast(docs.schema[key].dataType).alias(key), *others)
 
 
 def text_udf(schema: str, prepare: Callable[[], Callable[[list[str]], pd.DataFrame]]):

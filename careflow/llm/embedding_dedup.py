@@ -9,7 +9,9 @@ radius, decides which vectors meet (a cell and its right neighbour), then the
 block's distance, then the exact cosine.  A pair counts in the first block that
 finds it.
 
-Equal vectors are one representative with a multiplicity.  Tasks hold bounded
+Equal vectors of one label are one representative with a multiplicity and a
+number of its own; keys come in only at the end, so a key that repeats with
+another vector or label joins nothing.  Tasks hold bounded
 parts of a cell and give numbers of links and a spanning set of links, never
 lists of all pairs.
 """
@@ -156,9 +158,9 @@ def near_duplicate_vectors(table: DataFrame, cosine: float = 0.93, key: str = "v
     rows = rows.withColumn("ok", usable("vector", "label", "id"))
     sound = rows.filter("ok")
     reps = materialise(
-        sound.groupBy("label", "vector").agg(F.min(F.col("id").cast("long")).alias("rep"), F.count("*").alias("copies"))
-        .withColumn("place", _placed(cosine)("vector"))
-        .select("label", "vector", "rep", "copies", F.col("place.unit").alias("unit"), F.col("place.cells").alias("cells")),
+        sound.groupBy("label", "vector").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+        .withColumns({"place": _placed(cosine)("vector"), "rep": F.monotonically_increasing_id()})
+        .select("label", "vector", "rep", "least", "copies", F.col("place.unit").alias("unit"), F.col("place.cells").alias("cells")),
         "vectors")
     homes = reps.select("label", F.size("unit").alias("d"), "rep", "copies", "unit",
                         F.posexplode("cells").alias("block", "cell"))
@@ -174,11 +176,12 @@ def near_duplicate_vectors(table: DataFrame, cosine: float = 0.93, key: str = "v
     found = materialise(tasks.groupBy(*where, "one", "two").applyInPandas(_joiner(cosine), "a long, b long, n long"), "found")
     counts = found.filter("n > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     components = connected_components(found.filter("n = 0").select("a", "b")).withColumnRenamed("node", "rep")
-    of_rep = (reps.select("label", "vector", "rep", "copies").join(counts, "rep", "left").join(components, "rep", "left")
+    known = reps.select("label", "vector", "rep", "least", "copies").join(components, "rep", "left")
+    smallest = known.filter("component is not null").groupBy("component").agg(F.min("least").alias("smallest"))
+    of_rep = (known.join(smallest, "component", "left").join(counts, "rep", "left")
               .select("label", "vector", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                      F.coalesce("component", "rep").alias("component"), F.lit(True).alias("ok")))
-    key_type = table.schema[key].dataType
-    component = F.when(F.col("id").isNotNull(), F.coalesce(F.col("component").cast(key_type), F.col("id")))
+                      F.coalesce("smallest", "least").alias("component"), F.lit(True).alias("ok")))
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return (rows.join(of_rep, ["ok", "label", "vector"], "left")
             .select(F.col("id").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept")))

@@ -6,20 +6,21 @@ leading zeros and the next MANTISSA bits.  Bands of registers find candidates;
 the collision-corrected estimate of the Jaccard similarity drops clear
 non-links; the rest is confirmed on the full sets.
 
-No list of pairs is made.  Texts with equal sets are one class.  Classes that
-share a bucket form candidate groups (connected components of stars around each
-bucket's smallest class).  In a small group all classes are compared in one
-task.  In a large one every class is first compared with a central class; what
-links with it needs no comparison among itself, as it is in one component
-already.  Only the remaining classes are compared with the whole group, block
-by block.  So every component is exact, for a cost that is linear in a group of
-copies.
+No list of pairs is made.  Texts with equal sets are one class, which has a
+number of its own through the whole graph; keys come in only at the end, so a
+key that repeats with another text joins nothing.  First every class is compared
+with the smallest class of each of its buckets (at most BANDS comparisons a
+class).  What links with it is one component with it, and needs no comparison
+within.  Left are the classes of a bucket outside its main component: they are
+compared with the rest of the bucket, block by block, each pair in the first
+band that it shares, on registers alone; only classes that then still have a
+partner bring their full sets.  So every component is exact, for a cost that is
+linear in a group of copies.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,17 +28,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from careflow.llm.common import chunks, materialise
+from careflow.llm.common import materialise, text_udf
 from careflow.llm.components import connected_components
 
 WORDS = 5
-#: 30 bands of 7 registers: two sets of Jaccard similarity 0.85 share no bucket
-#: with probability 1e-5; at 0.3 they share one with probability 0.007.
-BANDS, ROWS = 30, 7
-REGISTERS = BANDS * ROWS
+REGISTERS = 210
 MANTISSA = 10
-#: Classes compared in one task at most (on average, by hash).
-BLOCK = 64
+#: Two sets at the limit of similarity share no bucket with this probability at most.
+MISSED = 1e-4
+#: Classes of one block (on average, by hash): of registers, and of full sets.
+BLOCK, SET_BLOCK = 512, 64
 
 _LONG = 256
 
@@ -49,6 +49,17 @@ def _constants():
     return odd(256), odd(_LONG), odd(WORDS), odd(REGISTERS), odd(REGISTERS)
 
 
+def band_shape(percent: int) -> tuple[int, int]:
+    """(bands, registers of a band): the longest bands that miss a pair of this
+    similarity with at most MISSED.  At 85: 30 bands of 7, a miss has probability
+    1e-5, and two sets of similarity 0.3 share a bucket with 0.007; at 80: 35 of 6, 2e-5."""
+    for rows in range(REGISTERS, 1, -1):
+        bands = REGISTERS // rows
+        if (1 - (percent / 100) ** rows) ** bands <= MISSED:
+            return bands, rows
+    return REGISTERS, 1
+
+
 def _finish(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
@@ -127,14 +138,12 @@ def estimate(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     return np.maximum(0.0, (agree - _COLLISION) / (1 - _COLLISION))
 
 
-def _sketch_documents(docs: DataFrame, key: str, carry: list[str]) -> DataFrame:
-    """key, carried columns, n_shingles, class (digest of the set), registers;
-    the last two are null for empty sets."""
-    kept = [key, *carry]
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
+def _sketcher():
+    """Column function: n_shingles, class (digest of the set) and registers of
+    whole texts; the last two are null for empty sets."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame, texts in chunks(frames):
+    def prepare():
+        def work(texts: list[str]) -> pd.DataFrame:
             sets = shingle_sets(texts)
             full = [i for i, s in enumerate(sets) if len(s)]
             registers: list[bytes | None] = [None] * len(sets)
@@ -142,105 +151,187 @@ def _sketch_documents(docs: DataFrame, key: str, carry: list[str]) -> DataFrame:
             for i, row in zip(full, sketches([sets[i] for i in full]), strict=True):
                 registers[i] = row.astype("<u2").tobytes()
                 digest[i] = hashlib.blake2b(sets[i].astype("<u8").tobytes(), digest_size=16).digest()
-            yield frame[kept].assign(n_shingles=[len(s) for s in sets], **{"class": digest, "registers": registers})
+            return pd.DataFrame({"n_shingles": np.array([len(s) for s in sets], np.int64),
+                                 "class": pd.Series(digest, dtype=object), "registers": pd.Series(registers, dtype=object)})
 
-    return docs.select(*kept, "text").mapInPandas(run, f"{schema}, n_shingles long, class binary, registers binary")
+        return work
 
+    return text_udf("n_shingles long, class binary, registers binary", prepare)
 
-def _sets_of(candidates: DataFrame) -> DataFrame:
-    """Full sets of the candidate classes, from the text of one document of each."""
-    carried = [c for c in candidates.columns if c != "text"]
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in candidates.schema.fields if f.name != "text")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame, texts in chunks(frames):
-            sets = shingle_sets(texts)
-            rows = frame[carried].copy()
-            rows["shingles"] = [s.astype("<u8").tobytes() for s in sets]
-            yield rows[[len(s) > 0 for s in sets]]
+def _set_maker():
+    """Column function: the full set of shingles of whole texts, as bytes."""
+
+    def prepare():
+        return lambda texts: pd.DataFrame({"shingles": pd.Series([s.astype("<u8").tobytes() for s in shingle_sets(texts)],
+                                                                 dtype=object)})
+
+    return text_udf("shingles binary", prepare)
 
-    return candidates.mapInPandas(run, f"{schema}, shingles binary")
 
+def _registers(column: pd.Series) -> np.ndarray:
+    return np.array(list(map(bytes, column)), f"V{2 * REGISTERS}").view("<u2").reshape(len(column), REGISTERS)
 
-def _comparer(percent: int):
-    """The function that compares the classes of one block; emits a spanning set of links."""
+
+def _worth(percent: int) -> float:
+    """Five standard deviations of the estimate below the limit."""
     sure = percent / 100
-    # five standard deviations of the estimate below the limit
-    worth = sure - 5 * (sure * (1 - sure) / REGISTERS) ** 0.5
-
-    def compare(block: pd.DataFrame) -> pd.DataFrame:
-        home, other = block[block["role"] == 0], block[block["role"] == 1]
-        within = not len(other)
-        if within:
-            other = home
-        ids = home["rep"].to_numpy()
-        sets = [np.frombuffer(s, "<u8") for s in home["shingles"]]
-        registers = np.stack([np.frombuffer(r, "<u2") for r in home["registers"]]) if len(home) else None
-        sizes = np.array([len(s) for s in sets], np.int64)
-        parent: dict[int, int] = {}
-
-        def root(x: int) -> int:
-            while parent.setdefault(x, x) != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        links = []
-        for k in range(len(other)):
-            if not len(home):
-                break
-            row = other.iloc[k]
-            me, mine = int(row["rep"]), np.frombuffer(row["shingles"], "<u8")
-            try_these = estimate(np.frombuffer(row["registers"], "<u2"), registers) >= worth
-            if within:
-                try_these[:k + 1] = False
-            for i in np.flatnonzero(try_these):
-                you = int(ids[i])
-                if root(me) == root(you):
-                    continue
-                common = len(np.intersect1d(mine, sets[i], assume_unique=True))
-                if 100 * common >= percent * (len(mine) + sizes[i] - common):
-                    parent[root(me)] = root(you)
-                    links.append((you, me))
+    return sure - 5 * (sure * (1 - sure) / REGISTERS) ** 0.5
+
+
+def _linked(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * common >= percent * (len(one) + len(two) - common)
+
+
+def _likely(percent: int):
+    """Column function: whether the estimate of two sketches leaves a link possible."""
+    worth = _worth(percent)
+
+    def likely(one: pd.Series, two: pd.Series) -> pd.Series:
+        agree = (_registers(one) == _registers(two)).mean(axis=1)
+        return pd.Series((agree - _COLLISION) / (1 - _COLLISION) >= worth)
+
+    return F.pandas_udf(likely, "boolean")
+
+
+def _confirmed(percent: int):
+    """Column function: whether two full sets link."""
+
+    def confirmed(one: pd.Series, two: pd.Series) -> pd.Series:
+        return pd.Series([_linked(np.frombuffer(a, "<u8"), np.frombuffer(b, "<u8"), percent)
+                          for a, b in zip(one, two, strict=True)], dtype=bool)
+
+    return F.pandas_udf(confirmed, "boolean")
+
+
+def _dealt(members: DataFrame, block: int, columns: list[str]) -> DataFrame:
+    """Tasks (bucket, part, other_part) that bring each class outside its bucket's
+    main component (role 1) together with every class of the bucket but its hub
+    (role 0; every class was compared with the hub before).
+    ``members``: bucket, node, rest (outside the main component) and ``columns``."""
+    sizes = (members.groupBy("bucket").agg(F.count("*").alias("n"), F.sum(F.col("rest").cast("long")).alias("n_rest"))
+             .filter("n > 1 and n_rest > 0")
+             .select("bucket", F.ceil(F.col("n") / block).cast("int").alias("parts"),
+                     F.ceil(F.col("n_rest") / block).cast("int").alias("rest_parts")))
+    there = members.join(sizes, "bucket")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    other = F.pmod(F.xxhash64("node", F.lit(1)), F.col("rest_parts")).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    by = ["bucket", "part", "other_part", "role", "node", "rest", *columns]
+    home = there.select("*", part.alias("part"), every("rest_parts").alias("other_part"), F.lit(0).alias("role"))
+    probes = there.filter("rest").select("*", every("parts").alias("part"), other.alias("other_part"), F.lit(1).alias("role"))
+    return home.select(*by).unionAll(probes.select(*by))
+
+
+def _partners(percent: int, bands: int, rows: int):
+    """Of one task on registers: the classes that have a partner of another
+    component which the estimate leaves possible, the pair's first shared band being this."""
+    worth = _worth(percent)
+
+    def find(task: pd.DataFrame) -> pd.DataFrame:
+        home, probes = task[task["role"] == 0], task[task["role"] == 1]
+        found: set[int] = set()
+        if len(home) and len(probes):
+            many = _registers(home["registers"])
+            nodes, rest, comps = (home[c].to_numpy() for c in ("node", "rest", "comp"))
+            band = int(task["band"].iloc[0])
+            for node, comp, own in zip(probes["node"], probes["comp"], _registers(probes["registers"]), strict=True):
+                may = np.flatnonzero((comps != comp) & ~(rest & (nodes >= node)))
+                may = may[estimate(own, many[may]) >= worth]
+                if len(may):
+                    same = (many[may, :bands * rows] == own[:bands * rows]).reshape(len(may), bands, rows).all(axis=2)
+                    may = may[same.argmax(axis=1) == band]
+                if len(may):
+                    found.add(node)
+                    found.update(nodes[may].tolist())
+        return pd.DataFrame({"bucket": np.full(len(found), task["bucket"].iloc[0], np.int64),
+                             "node": np.array(sorted(found), np.int64)})
+
+    return find
+
+
+def _compare(percent: int):
+    """Of one task on full sets: a spanning set of the confirmed links between components."""
+    worth = _worth(percent)
+
+    def compare(task: pd.DataFrame) -> pd.DataFrame:
+        home, probes = task[task["role"] == 0], task[task["role"] == 1]
+        links: list[tuple[int, int]] = []
+        if len(home) and len(probes):
+            sets = [np.frombuffer(s, "<u8") for s in home["shingles"]]
+            many = _registers(home["registers"])
+            nodes, rest, comps = (home[c].to_numpy() for c in ("node", "rest", "comp"))
+            parent: dict[int, int] = {}
+
+            def root(x: int) -> int:
+                while parent.setdefault(x, x) != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            for node, comp, own, mine in zip(probes["node"], probes["comp"], _registers(probes["registers"]),
+                                             probes["shingles"], strict=True):
+                mine = np.frombuffer(mine, "<u8")
+                for i in np.flatnonzero((estimate(own, many) >= worth) & ~(rest & (nodes >= node))):
+                    a, b = root(int(comps[i])), root(int(comp))
+                    if a != b and _linked(mine, sets[i], percent):
+                        parent[a] = b
+                        links.append((int(nodes[i]), int(node)))
         return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
 
     return compare
 
 
-def _confirmed_links(sets: DataFrame, percent: int) -> DataFrame:
-    """A spanning set of the confirmed links of every candidate group.
-    ``sets``: rep, candidate group, its size and centre, registers, shingles."""
-    compare = _comparer(percent)
-    parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    members = sets.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-    columns = ["block", "part", "other_part", "role", "rep", "registers", "shingles"]
-    home = (members.withColumn("role", F.lit(0)).withColumn("other_part", F.lit(0)).select(*columns))
-    centres = (members.filter("size > %d and rep = centre" % BLOCK).withColumn("role", F.lit(1))
-               .withColumn("other_part", F.lit(0))
-               .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*columns))
-    by = ["block", "part", "other_part"]
-    first = materialise(home.unionAll(centres).groupBy(*by).applyInPandas(compare, "a long, b long"), "links1")
-    large = members.filter(f"size > {BLOCK}")
-    # a large group's classes that do not link with its centre
-    linked = first.select(F.col("a").alias("rep"), F.col("b").alias("centre"))
-    rest = materialise(large.filter("rep <> centre").join(linked, ["rep", "centre"], "left_anti"), "rest")
-    left = rest.groupBy("block").agg(F.count("*").alias("n_rest"))
-    left = materialise(left.withColumn("rest_parts", F.ceil(F.col("n_rest") / BLOCK).cast("int")), "left")
-    again = (large.join(left, "block").withColumn("role", F.lit(0))
-             .withColumn("other_part", F.explode(F.sequence(F.lit(0), F.col("rest_parts") - 1))).select(*columns))
-    probes = (rest.join(left, "block").withColumn("role", F.lit(1))
-              .withColumn("other_part", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("rest_parts")).cast("int"))
-              .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*columns))
-    compare_rest = _comparer(percent)
-
-    def only_probed(block: pd.DataFrame) -> pd.DataFrame:
-        """A block without probes has nothing left to compare."""
-        if not (block["role"] == 1).any():
-            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-        return compare_rest(block)
-
-    second = again.unionAll(probes).groupBy(*by).applyInPandas(only_probed, "a long, b long")
-    return first.unionAll(second)
+def _with_sets(nodes: DataFrame, classes: DataFrame, repeated: DataFrame, docs: DataFrame) -> DataFrame:
+    """node, shingles of the classes in ``nodes`` (distinct), from the text of one
+    row of each.  ``classes``: node, id, copy of that row; ``docs``: id, copy, text;
+    ``repeated``: classes whose id and copy several rows have, of which one is taken."""
+    wanted = classes.join(nodes, "node", "left_semi").select("node", "id", "copy")
+    single = docs.join(wanted.join(repeated, "node", "left_anti"), ["id", "copy"]).select("node", "text")
+    several = docs.join(wanted.join(repeated, "node", "left_semi"), ["id", "copy"]).groupBy("node").agg(F.first("text").alias("text"))
+    return single.unionAll(several).select("node", _set_maker()("text").getField("shingles").alias("shingles"))
+
+
+def _components(classes: DataFrame, repeated: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of the classes that link with others."""
+    bands, rows = band_shape(percent)
+    size = 2 * rows
+    banded = (classes.select("node", "registers", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band"))
+              .select("node", "band", F.xxhash64("band", F.substring("registers", F.col("band") * size + 1, F.lit(size)))
+                      .alias("bucket")))
+    buckets = banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter("n > 1")
+    members = materialise(banded.join(buckets, "bucket"), "members")
+    registers = classes.select("node", "registers")
+    stars = members.filter("node <> hub").select("node", "hub").distinct()
+    stars = materialise(
+        stars.join(registers, "node")
+        .join(registers.select(F.col("node").alias("hub"), F.col("registers").alias("hub_registers")), "hub")
+        .filter(_likely(percent)("registers", "hub_registers")).select("node", "hub"), "stars")
+    sets = materialise(_with_sets(stars.select("node").unionAll(stars.select(F.col("hub").alias("node"))).distinct(),
+                                  classes, repeated, docs), "sets")
+    hub_sets = sets.select(F.col("node").alias("hub"), F.col("shingles").alias("hub_shingles"))
+    first = materialise(stars.join(sets, "node").join(hub_sets, "hub").filter(_confirmed(percent)("shingles", "hub_shingles"))
+                        .select(F.col("node").alias("a"), F.col("hub").alias("b")), "links1")
+    # what stands in a bucket outside the component of its hub
+    comps = connected_components(first)
+    comp_of = lambda c: comps.select(F.col("node").alias(c), F.col("component").alias(f"{c}_comp"))
+    apart = (members.filter("n > 2 and node <> hub").join(comp_of("node"), "node", "left").join(comp_of("hub"), "hub", "left")
+             .select("bucket", "band", "node", F.coalesce("node_comp", "node").alias("comp"),
+                     F.coalesce("hub_comp", "hub").alias("main"))
+             .select("bucket", "band", "node", "comp", (F.col("comp") != F.col("main")).alias("rest")))
+    apart = materialise(apart, "apart")
+    mixed = apart.groupBy("bucket").agg(F.max("rest").alias("some")).filter("some").select("bucket")
+    apart = apart.join(mixed, "bucket", "left_semi").join(registers, "node")
+    told = materialise(
+        _dealt(apart, BLOCK, ["band", "comp", "registers"]).groupBy("bucket", "part", "other_part")
+        .applyInPandas(_partners(percent, bands, rows), "bucket long, node long").distinct(), "partners")
+    found = apart.join(told, ["bucket", "node"])
+    more = _with_sets(told.select("node").distinct().join(sets.select("node"), "node", "left_anti"), classes, repeated, docs)
+    full = materialise(sets.join(told.select("node").distinct(), "node", "left_semi").unionAll(more), "sets")
+    second = (_dealt(found.join(full, "node"), SET_BLOCK, ["comp", "registers", "shingles"])
+              .groupBy("bucket", "part", "other_part").applyInPandas(_compare(percent), "a long, b long"))
+    return connected_components(first.unionAll(materialise(second, "links2")))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id",
@@ -248,40 +339,35 @@ def near_duplicates(docs: DataFrame, percent: int = 85, key: str = "doc_id",
     """Components of documents whose shingle sets have 100 * |A & B| >= percent * |A | B|.
 
     One row per input row: key, n_shingles (size of the set), component_id (the
-    smallest key reachable by links, itself included), kept (key = component_id).
-    Null and empty texts link with nothing.  A row with a null key links with
-    nothing either: its component_id is null and it is kept.  Rows that repeat a
-    key are rows like others: each has the component of its own text, and equal
-    rows the same.  Columns named in ``carry`` stay, others are ignored; an
-    empty table gives an empty result."""
-    sketched = materialise(_sketch_documents(docs, key, list(carry)), "sketches")
-    usable = sketched.filter(F.col("class").isNotNull() & F.col(key).isNotNull())
-    classes = materialise(usable.groupBy("class").agg(F.min(F.col(key).cast("long")).alias("rep"),
-                                                      F.first("registers").alias("registers")), "classes")
-    size = 2 * ROWS
-    banded = (classes.select("rep", "registers", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
-              .select("rep", F.xxhash64("band", F.substring("registers", F.col("band") * size + 1, F.lit(size)))
-                      .alias("bucket")))
-    buckets = materialise(banded.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count("*").alias("n"))
-                          .filter("n > 1"), "buckets")
-    stars = materialise(banded.join(buckets, "bucket").groupBy("rep", "hub").agg(F.sum("n").alias("n")), "stars")
-    groups = connected_components(stars.filter("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")))
-    # the centre of a group: the class that shares buckets with most
-    degree = stars.groupBy("rep").agg(F.sum("n").alias("degree"))
-    groups = materialise(groups.select(F.col("node").alias("rep"), F.col("component").alias("block"))
-                         .join(degree, "rep"), "groups")
-    centres = materialise(groups.groupBy("block").agg(
-        F.count("*").alias("size"), F.max(F.struct("degree", (-F.col("rep")).alias("rep"))).alias("top"))
-        .select("block", "size", (-F.col("top.rep")).alias("centre")), "centres")
-    candidates = (groups.join(centres, "block").select("rep", "block", "size", "centre")
-                  .join(classes.select("rep", "registers"), "rep")
-                  .join(docs.select(F.col(key).cast("long").alias("rep"), "text"), "rep"))
-    sets = materialise(_sets_of(candidates), "sets")
-    components = connected_components(_confirmed_links(sets, percent))
-    of_class = (classes.select("class", "rep").join(components.withColumnRenamed("node", "rep"), "rep", "left")
-                .select("class", F.coalesce("component", "rep").alias("component")))
-    joined = sketched.drop("registers").join(of_class, "class", "left")
+    smallest key reachable by links, itself included), kept (key = component_id),
+    first (its key and text are those of the one document that stands for its
+    component: the smallest key, then the smallest hash of the text).
+    The key must be integral.  Null and empty texts link with nothing.  A row
+    with a null key links with nothing either: its component_id is null and it is
+    kept.  Rows that repeat a key are rows like others: each has the component of
+    its own text, and equal rows the same; ``kept`` then holds for every row
+    whose key is its component's smallest.  Columns named in ``carry`` stay,
+    others are ignored; an empty table gives an empty result."""
+    own = F.struct(*carry) if carry else F.lit(0)
+    rows = docs.select(F.col(key).cast("long").alias("id"), own.alias("own"), "text")
+    keyed = rows.select("id", F.xxhash64("text").alias("copy"), "text")
+    sketched = materialise(rows.select("id", "own", F.xxhash64("text").alias("copy"), _sketcher()("text").alias("s"))
+                           .select("id", "own", "copy", "s.*"), "sketches")
+    usable = sketched.filter(F.col("class").isNotNull() & F.col("id").isNotNull())
+    classes = materialise(usable.groupBy("class").agg(F.min(F.struct("id", "copy")).alias("least"),
+                                                      F.first("registers").alias("registers"))
+                          .select("class", "least.*", "registers", F.monotonically_increasing_id().alias("node")), "classes")
+    rows_of = usable.groupBy("id", "copy").agg(F.count("*").alias("n")).filter("n > 1").select("id", "copy")
+    repeated = materialise(classes.join(rows_of, ["id", "copy"], "left_semi").select("node"), "repeated")
+    components = _components(classes, repeated, keyed, percent)
+    of_class = classes.select("class", "node", F.struct("id", "copy").alias("own_least")).join(components, "node", "left")
+    least = of_class.filter("component is not null").groupBy("component").agg(F.min("own_least").alias("least"))
+    of_class = (of_class.join(least, "component", "left").select("class", F.coalesce("least", "own_least").alias("least")))
+    joined = sketched.drop("registers").join(of_class, "class", "left").withColumn("component", F.col("least.id"))
     key_type = docs.schema[key].dataType
-    component = F.when(F.col(key).isNotNull(), F.coalesce(F.col("component").cast(key_type), F.col(key)))
-    return joined.select(key, *carry, "n_shingles", component.alias("component_id"),
-                         F.coalesce(F.col(key) == component, F.lit(True)).alias("kept"))
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    carried = [F.col("own").getField(c).alias(c) for c in carry]
+    return joined.select(F.col("id").cast(key_type).alias(key), *carried, "n_shingles",
+                         component.cast(key_type).alias("component_id"),
+                         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+                         F.coalesce(F.struct("id", "copy") == F.col("least"), F.lit(True)).alias("first"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from careflow.llm.bpe import merge_file_encoder
-from careflow.llm.common import chunks, materialise
+from careflow.llm.common import chunks, keyed_texts, materialise, with_key
 
 SEGMENTS = "length int, rank_from long, rank_to long, per_sequence long, first_sequence long, first_offset long"
 
@@ -38,7 +38,6 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, key: str
     A document is its token ids and then ``end_id``.  Only documents of more
     than ``capacity`` ids are cut, into pieces of ``capacity``, of which the
     first may be shorter.  Null texts count as empty (one piece: the end id)."""
-    key_type = docs.schema[key].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = merge_file_encoder(path)
@@ -46,17 +45,17 @@ def cut_pieces(docs: DataFrame, path: str, capacity: int, end_id: int, key: str
             ids, first = encoder.encode(texts)
             ids = np.insert(ids, first[1:], end_id).astype("<u4")
             first = first + np.arange(len(first))
-            keys = frame[key].tolist()
+            keys = frame["key"].tolist()
             rows: list[tuple] = []
             for k, a, b in zip(keys, first[:-1].tolist(), first[1:].tolist(), strict=True):
                 size = b - a
                 cuts = [0, size] if size <= capacity else [0, *range(size % capacity or capacity, size + 1, capacity)]
                 for piece, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)):
                     rows.append((k, piece, x, y - x, zlib.crc32(ids[a + x:a + y].tobytes())))
-            yield pd.DataFrame(rows, columns=[key, "piece", "start", "length", "ids_crc32"])
+            yield pd.DataFrame(rows, columns=["key", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(key, "text").mapInPandas(
-        run, f"{key} {key_type}, piece int, start long, length long, ids_crc32 long")
+    return with_key(keyed_texts(docs, key).mapInPandas(
+        run, "key string, piece int, start long, length long, ids_crc32 long"), docs, key)
 
 
 class _Counts:

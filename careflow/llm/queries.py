@@ -30,7 +30,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents (5-word shingles, similarity 0.85)."""
-    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return minhash_dedup.near_duplicates(read_table(spark, sf_dir, "documents")).drop("first")
 
 
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

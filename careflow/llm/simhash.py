@@ -14,6 +14,7 @@ A pair counts in the first table where it meets.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 from itertools import combinations
 
@@ -101,33 +102,30 @@ def within_radius(queries: DataFrame, index: DataFrame, radius: int = RADIUS, bl
     return met.groupBy(F.col("q.fingerprint").alias("fingerprint")).agg(F.sum("i.n").alias("n_near"))
 
 
-def in_order(docs: DataFrame, key: str, parts: int) -> DataFrame:
-    """Deal rows into ``part`` 0, 1, ... by descending key, nulls last.
+_PLACE = "none int, back long, tie long"
 
-    Quantiles of the key are the bounds (their number is a parameter).  Narrow
-    cells of the key lead each row to the few parts that can hold it, through a
-    broadcast table of as many rows as there are parts and cells."""
-    spark = docs.sparkSession
-    shares = [k / parts for k in range(1, parts)] or [0.5]
-    found = docs.agg(F.min(key).alias("low"), F.max(key).alias("high"),
-                     F.percentile_approx(key, shares, 100 * max(parts, 100)).alias("bounds")).first()
-    low, high = found["low"], found["high"]
-    if low is None:
-        return docs.withColumn("part", F.lit(0))
-    bounds = sorted({b for b in found["bounds"] if low < b})
-    starts = [low, *bounds]
-    ends = [*(b - 1 for b in bounds), high]
-    cells = 4 * parts
-    width = (high - low) // cells + 1
-    rows = []
-    for n, (a, b) in enumerate(zip(starts, ends, strict=True)):
-        rows += [(c, a, b, len(starts) - 1 - n) for c in range((a - low) // width, (b - low) // width + 1)]
-    table = F.broadcast(spark.createDataFrame(rows, "cell long, first long, last long, part int"))
-    cell = F.expr(f"({key} - {low}L) div {width}L")
-    joined = docs.join(table, (cell == F.col("cell")) & F.col(key).between(F.col("first"), F.col("last")), "left")
-    # rows without a key come after all others, spread by a hash
-    return (joined.withColumn("part", F.coalesce("part", len(starts) + F.shiftrightunsigned("tie", 60).cast("int")))
-            .drop("cell", "first", "last"))
+
+def first_of_parts(rows: DataFrame, parts: int) -> list[tuple[int, int, int]]:
+    """The least place (none, back, tie) of each of at most ``parts`` ranges of
+    ``rows``, in order.  Spark's sampled bounds on the whole place cut the ranges,
+    so neither the spread of the keys nor a repeated one matters.  One row a part
+    comes to the driver; any such list deals the rows, whatever a retry samples."""
+    place = ["none", "back", "tie"]
+    ranged = rows.select(*place).repartitionByRange(parts, *place)
+    found = ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.min(F.struct(*place)).alias("least")).collect()
+    return sorted(tuple(r["least"]) for r in found)
+
+
+def part_of(place: Column, firsts: list[tuple[int, int, int]]) -> tuple[Column, Column]:
+    """The number of the range that holds ``place``, and whether its first row lies
+    there: a binary search in a constant array."""
+    named = [dict(zip(("none", "back", "tie"), f, strict=True)) for f in firsts]
+    table = F.from_json(F.lit(json.dumps(named)), f"array<struct<{_PLACE}>>")
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(len(firsts).bit_length()))))
+    reached = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= len(firsts)) & (F.element_at(table, F.least(at + step, F.lit(len(firsts)))) <= place), at + step).otherwise(at))
+    part = F.greatest(reached - 1, F.lit(0))
+    return part, F.get(table, part) == place
 
 
 def edited_fingerprints(docs: DataFrame, key: str = "doc_id", radius: int = RADIUS, every: int = 20) -> DataFrame:
@@ -142,27 +140,25 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", radius: int = RADI
     whose fingerprint lies within the radius, for keys divisible by ``every``,
     else null).  Null texts count as empty; other columns are ignored.
 
-    The texts are shuffled once, dealt by ranges of the key; each range also
-    gets the first row of the following one."""
+    The texts are shuffled once, dealt by ranges of key and text; each range also
+    gets the first row of the following one.  Rows that are equal in key and text
+    lie in one range."""
     spark = docs.sparkSession
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = docs.select(F.col(key).cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    base = base.withColumn("tie", F.xxhash64("text"))
-    dealt = in_order(base, "id", parts)
-    order = [F.col("id").desc_nulls_last(), F.shiftrightunsigned("tie", 60), F.col("tie")]
+    # ascending (none, back, tie) is descending id, nulls last; no sum or difference of ids can overflow
+    base = base.select("id", "text", F.col("id").isNull().cast("int").alias("none"),
+                       F.coalesce(F.bitwise_not("id"), F.lit(0)).alias("back"), F.xxhash64("text").alias("tie"))
+    firsts = first_of_parts(base, parts) or [(0, 0, 0)]
+    place = F.struct("none", "back", "tie")
+    part, leads = part_of(place, firsts)
     # the first row of each part also ends the part before; that of the first part ends the last
-    place = F.struct(F.col("id").isNull().alias("none"), (-F.col("id")).alias("back"),
-                     F.shiftrightunsigned("tie", 60).alias("top"), F.col("tie").alias("tie"))
-    heads = materialise(dealt.groupBy("part").agg(F.min(place).alias("head")), "heads")  # a row a part
-    ordered = Window.orderBy("part")
-    target = F.coalesce(F.lag("part").over(ordered), F.max("part").over(Window.partitionBy()))
-    heads = heads.select(target.alias("part"), (-F.col("head.back")).alias("id"), F.col("head.tie").alias("tie"))
-    guests = (base.alias("b").join(F.broadcast(heads).alias("h"),
-                                   F.col("b.id").eqNullSafe(F.col("h.id")) & (F.col("b.tie") == F.col("h.tie")))
-              .select("b.id", "b.text", "b.tie", "h.part").withColumn("guest", F.lit(1)))
-    rows = dealt.withColumn("guest", F.lit(0)).select("id", "text", "tie", "part", "guest").unionAll(
-        guests.select("id", "text", "tie", "part", "guest"))
-    w = Window.partitionBy("part").orderBy("guest", *order)
+    before = F.when(F.col("at") > 0, F.col("at") - 1).otherwise(len(firsts) - 1)
+    rows = base.select("*", part.alias("at"), leads.alias("leads")).select(
+        "id", "text", "none", "back", "tie", F.inline(F.when(F.col("leads"), F.array(
+            F.struct(F.col("at").alias("part"), F.lit(0).alias("guest")), F.struct(before.alias("part"), F.lit(1).alias("guest"))))
+            .otherwise(F.array(F.struct(F.col("at").alias("part"), F.lit(0).alias("guest"))))))
+    w = Window.partitionBy("part").orderBy("guest", "none", "back", "tie")
     lined = rows.select("part", "guest", "id", "text", F.lead("text").over(w).alias("next"),
                         F.row_number().over(w).alias("row"))
     n = F.length("text")

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from careflow.llm.bpe import merge_file_encoder
-from careflow.llm.common import chunks
+from careflow.llm.common import chunks, keyed_texts, with_key
 
 RULES = ("start", "end", "largest")
 
@@ -53,7 +53,6 @@ def token_counts(docs: DataFrame, path: str, rule: str = "start", key: str = "do
     each give their own sections; other columns are ignored."""
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
-    key_type = docs.schema[key].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = merge_file_encoder(path)
@@ -83,10 +82,10 @@ def token_counts(docs: DataFrame, path: str, rule: str = "start", key: str = "do
             at = chars[text_from[text_of]]
             which = np.concatenate([text_of, empty])
             yield pd.DataFrame({
-                key: frame[key].to_numpy()[which],
+                "key": frame["key"].to_numpy()[which],
                 "section": np.concatenate([number, none]).astype(np.int32),
                 "start_char": np.concatenate([begin - at, none]), "end_char": np.concatenate([end - at, none]),
                 "n_tokens": np.concatenate([n, none]), "n_crossing": np.concatenate([over, none])})
 
-    return docs.select(key, "text").mapInPandas(
-        run, f"{key} {key_type}, section int, start_char long, end_char long, n_tokens long, n_crossing long")
+    return with_key(keyed_texts(docs, key).mapInPandas(
+        run, "key string, section int, start_char long, end_char long, n_tokens long, n_crossing long"), docs, key)

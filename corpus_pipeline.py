@@ -39,16 +39,18 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each near-duplicate group, that with the smallest
-    doc_id; of rows equal in doc_id and text one stays.  Rows without a doc_id
-    belong to no group and stay."""
+    """Keep one document of each near-duplicate group (similarity 0.8 or more), that
+    with the smallest doc_id; of rows equal in doc_id and text one stays.  Rows
+    without a doc_id belong to no group and stay."""
     ship_code(spark)
-    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    kept = minhash_dedup.near_duplicates(rows.select("doc_id", "text", "_row"), carry=("_row",)).filter("kept")
-    kept = materialise(kept.groupBy("_row").agg((F.count("doc_id") > 1).alias("repeated")), "kept")
-    single = rows.join(kept.filter("not repeated"), "_row", "left_semi")
-    repeated = rows.join(kept.filter("repeated"), "_row", "left_semi").dropDuplicates(["_row"])
-    return single.unionAll(repeated).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("own"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("copy"))
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("copy"))
+    found = minhash_dedup.near_duplicates(texts, percent=80, carry=("copy",)).filter("first and doc_id is not null")
+    kept = materialise(found.groupBy(F.col("doc_id").alias("id"), "copy").agg((F.count("*") > 1).alias("repeated")), "kept")
+    single = rows.join(kept.filter("not repeated"), ["id", "copy"], "left_semi")
+    repeated = rows.join(kept.filter("repeated"), ["id", "copy"], "left_semi").groupBy("id", "copy").agg(F.first("own").alias("own"))
+    nameless = rows.filter("id is null")
+    return single.select("own").unionAll(repeated.select("own")).unionAll(nameless.select("own")).select("own.*")
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,10 +28,13 @@ def odd_docs(spark):
         (None, None, None, None, None),
         (20, long_text, "en", "c", len(long_text)), (40, long_text, "en", "c", len(long_text)),
         (41, "x" * 70_000, None, "c", 70_000), (42, "日本語のテキスト 🙂 ça", None, "c", 5),
+        (-2**62 - 5, "low", "de", "d", 3), (2**53 + 1, "odd and large", "de", "d", 3), (2**53 + 3, "odd and larger", "de", "d", 3),
+        (2**62 + 5, "quite high up", "de", "d", 3),
     ]
     docs = spark.createDataFrame(rows, DOC_SCHEMA)
     clash = ["score", "class", "rep", "block", "row", "kind", "part", "component_id", "kept", "n_tokens", "length", "key",
-             "draw", "quality", "sequence_id"]
+             "draw", "quality", "sequence_id", "_row", "_moved", "_new", "guest", "tie", "id", "own", "copy", "node", "first",
+             "body", "h1", "doc", "no_doc", "at", "least", "k"]
     return docs.selectExpr("*", *(f"'clash' as `{c}`" for c in clash))
 
 

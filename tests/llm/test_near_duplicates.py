@@ -4,6 +4,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from careflow.llm import components, embedding_dedup, minhash_dedup
 
@@ -31,11 +32,11 @@ def closure(ids, links):
     return {i: root(i) for i in ids}
 
 
-def brute(texts):
+def brute(texts, percent=85):
     """Components by the definition, every pair compared."""
     sets = {i: shingles(t) for i, t in texts.items()}
     links = [(a, b) for a, b in combinations(sets, 2)
-             if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+             if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
     return closure(texts, links), sets
 
 
@@ -86,6 +87,7 @@ def test_estimate_is_close_to_the_similarity():
 def test_components_equal_brute_force(spark, monkeypatch, block):
     """With a small block, groups take the path of large ones."""
     monkeypatch.setattr(minhash_dedup, "BLOCK", block)
+    monkeypatch.setattr(minhash_dedup, "SET_BLOCK", max(2, block // 8))
     texts = corpus(block)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     want, sets = brute(texts)
@@ -108,6 +110,66 @@ def test_a_chain_and_a_group_of_copies(spark):
     assert got == brute(texts)[0]
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_rows_that_repeat_a_key(spark, percent):
+    """Components follow texts, not keys: keys repeat with other texts, texts with
+    other keys, rows altogether; keys near 2**62 stay exact beside null ones."""
+    texts = list(corpus(percent).values())
+    draw = random.Random(percent)
+    keys = [*range(40), 2**53 + 1, 2**53 + 3, -2**62 - 5, 2**62 + 5]
+    rows = [(draw.choice(keys), draw.choice(texts)) for _ in range(120)]
+    rows += rows[:9] + [(5, "a b c d e f g h"), (5, "p q r s t u v w"), (1, "a b c d e f g h i"), (None, texts[0]), (None, texts[0])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    distinct = sorted({t for k, t in rows if k is not None})
+    group, _ = brute(dict(enumerate(distinct)), percent)
+    least = {}
+    for k, t in rows:
+        if k is not None:
+            g = group[distinct.index(t)]
+            least[g] = min(least.get(g, k), k)
+    got = sorted((str(r["doc_id"]), r["tag"], str(r["component_id"])) for r in
+                 minhash_dedup.near_duplicates(docs.withColumn("tag", F.col("text")), percent, carry=("tag",)).collect())
+    want = sorted((str(k), t, str(None if k is None else least[group[distinct.index(t)]])) for k, t in rows)
+    assert got == want
+    firsts = minhash_dedup.near_duplicates(docs, percent).filter("first and doc_id is not null").collect()
+    assert {r["doc_id"] for r in firsts} == set(least.values())
+
+
+def test_bands_of_a_similarity():
+    assert minhash_dedup.band_shape(85) == (30, 7) and minhash_dedup.band_shape(80) == (35, 6)
+    for percent in range(50, 100):
+        bands, rows = minhash_dedup.band_shape(percent)
+        assert bands * rows <= minhash_dedup.REGISTERS and (1 - (percent / 100) ** rows) ** bands <= 1e-4
+
+
+def test_vectors_that_repeat_a_key(spark):
+    """Links stay within a label, and components follow vectors, not keys."""
+    draw = np.random.default_rng(4)
+    base = draw.standard_normal((12, 16))
+    rows = []
+    for i in range(150):
+        v = base[draw.integers(12)] + 0.12 * draw.standard_normal(16)
+        key = int(draw.choice([*range(50), 2**53 + 1, 2**53 + 3, 2**62 + 5]))
+        rows.append((None if i % 29 == 0 else key, str(draw.choice(["x", "y"])), [float(c) for c in v]))
+    rows += rows[:12] + [(k, "z", v) for k, _, v in rows[:12]]
+    table = spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>").repartition(4)
+    units = [np.array(v) / np.linalg.norm(v) for _, _, v in rows]
+    links = [(a, b) for a, b in combinations(range(len(rows)), 2)
+             if rows[a][0] is not None and rows[b][0] is not None and rows[a][1] == rows[b][1] and units[a] @ units[b] >= 0.93]
+    group = closure(range(len(rows)), links)
+    least, n = {}, [0] * len(rows)
+    for i, (k, _, _) in enumerate(rows):
+        if k is not None:
+            least[group[i]] = min(least.get(group[i], k), k)
+    for a, b in links:
+        n[a] += 1
+        n[b] += 1
+    want = sorted((str(k), n[i], str(None if k is None else least[group[i]])) for i, (k, _, _) in enumerate(rows))
+    got = sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"]))
+                 for r in embedding_dedup.near_duplicate_vectors(table).collect())
+    assert got == want and sum(n) > 100
+
+
 def test_documents_of_odd_rows(odd_docs, no_docs):
     rows = minhash_dedup.near_duplicates(odd_docs, carry=("lang",)).collect()
     assert len(rows) == odd_docs.count() and "lang" in rows[0].asDict()

@@ -40,7 +40,7 @@ def test_stages_against_brute_force(spark):
     assert sum(labels.get(i) == 1 for i in bad) <= 0.01 * sum(labels.values())  # clean documents stay
     assert sum(labels.get(i) == 0 for i in bad) >= 0.8 * sum(q == 0 for q in labels.values())
     before, after = rows["near_duplicates"]
-    component, _ = brute({i: r["text"] for i, r in before.items()})
+    component, _ = brute({i: r["text"] for i, r in before.items()}, 80)
     assert set(after) == {i for i, c in component.items() if i == c}
     before, after = rows["personal_data"]
     assert set(after) == set(before)
@@ -61,7 +61,8 @@ def test_pipeline_of_an_odd_table(spark, odd_docs, no_docs):
         out = materialise(stage(spark, docs, SF_CHECK), "test")
         if name == "near_duplicates":
             ids = [r["doc_id"] for r in out.collect()]
-            assert sorted(i for i in ids if i is not None) == [1, 2, 3, 4, 5, 7, 7, 20, 41, 42] and ids.count(None) == 3
+            assert sorted(i for i in ids if i is not None) == [
+                -2**62 - 5, 1, 2, 3, 4, 5, 7, 7, 20, 41, 42, 2**53 + 1, 2**53 + 3, 2**62 + 5] and ids.count(None) == 3
         if name != "packing":
             assert out.columns == docs.columns
             docs = out
@@ -69,5 +70,21 @@ def test_pipeline_of_an_odd_table(spark, odd_docs, no_docs):
         assert stage(spark, no_docs, SF_CHECK).count() == 0
 
 
+def test_near_duplicates_of_one_key_and_of_many(spark):
+    """A key that repeats with another text does not tie its texts together; of a
+    group one row stays, also where its rows share the key; a pair of 0.8 is found."""
+    words = [f"w{i}" for i in range(44)]
+    near = words[:-4] + ["other", "end", "of", "it"]       # 36 of 44 shingles: 0.818
+    rows = [(5, "a b c d e f g h i j k l m n"), (5, "p q r s t u v w x y"), (1, "a b c d e f g h i j k l m n o"),
+            (9, " ".join(words)), (9, " ".join(near)), (9, " ".join(near)), (None, "p q r s t u v w x y")]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1, "z") for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long, _row string")
+    out = corpus_pipeline.drop_near_duplicates(spark, docs, SF_CHECK)
+    got = sorted((str(r["doc_id"]), r["text"], r["_row"]) for r in out.collect())
+    assert out.columns == docs.columns and [g[:2] for g in got if g[0] != "9"] == [
+        ("1", "a b c d e f g h i j k l m n o"), ("5", "p q r s t u v w x y"), ("None", "p q r s t u v w x y")]
+    assert sum(g[0] == "9" for g in got) == 1 and {g[2] for g in got} == {"z"}
+
+
 def test_parameters_are_those_of_the_contract():
     assert minhash_dedup.WORDS == 5 and queries.RANK_FILE == "byte_bpe_multi_50k.tiktoken"

@@ -77,7 +77,8 @@ def test_odd_rows(odd_docs, no_docs):
     assert len(by[7]) == 3 and len(by[None]) == 3
     texts = [r for r in odd_docs.orderBy("doc_id").collect() if r["doc_id"] is not None]
     first = next(r for r in rows if r["doc_id"] == 42)
-    own, after = texts[-1]["text"], texts[-2]["text"]
+    at = [r["doc_id"] for r in texts].index(42)
+    own, after = texts[at]["text"], texts[at - 1]["text"]
     k = len(own) // 2
     assert first["edited_sha256"] == hashlib.sha256((own[:len(own) - k] + after[:k]).encode()).hexdigest()
     assert simhash.edited_fingerprints(no_docs).count() == 0
@@ -87,3 +88,25 @@ def test_odd_rows(odd_docs, no_docs):
     k = len(text) // 2
     assert got["edited_sha256"] == hashlib.sha256((text[:len(text) - k] + text[:k]).encode()).hexdigest()
     assert got["near_next"] == 1.0
+
+
+def test_ranges_of_far_and_repeated_keys(spark):
+    """No arithmetic on keys: the ends of the long range, one far outlier, clusters
+    and a key that many rows share are dealt into ranges of about one size."""
+    draw = random.Random(9)
+    ids = [*range(1500), *([7] * 1500), -2**63, 2**63 - 1, 2**62 + 5, -2**62 - 5, 2**53 + 1, 2**53 + 3, *([None] * 200)]
+    rows = [(i, f"{draw.random()} words here") for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = simhash.edited_fingerprints(docs)
+    assert sorted(str(r["doc_id"]) for r in got.collect()) == sorted(map(str, ids))
+    from pyspark.sql import functions as F
+    base = docs.select(F.col("doc_id").isNull().cast("int").alias("none"),
+                       F.coalesce(F.bitwise_not("doc_id"), F.lit(0)).alias("back"), F.xxhash64("text").alias("tie"))
+    firsts = simhash.first_of_parts(base, 16)
+    part, leads = simhash.part_of(F.struct("none", "back", "tie"), firsts)
+    dealt = base.select("*", part.alias("part"), leads.alias("leads")).collect()
+    for r in dealt:
+        place = (r["none"], r["back"], r["tie"])
+        assert r["part"] == sum(f <= place for f in firsts) - 1 and r["leads"] == (place in firsts)
+    sizes = [sum(r["part"] == k for r in dealt) for k in range(len(firsts))]
+    assert len(firsts) == 16 and max(sizes) <= 2 * len(dealt) / 16
