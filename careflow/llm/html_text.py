@@ -2,10 +2,12 @@
 
 A page is cut into its leaf blocks of text.  A linear-chain conditional random
 field labels the sequence of blocks as article text or not, from the tags,
-class and id words of a block's ancestors and from features of its text that no
-language or vocabulary decides.  It is trained by gradient steps on labelled
-pages, which ``training_pages`` lays out from the kinds of parts that pages
-have, and decoded by Viterbi.
+class and id words of a block's ancestors, from features of its text that no
+language or vocabulary decides, and from its place: how the long text of the
+page is spread over the elements, and what its neighbours are.  It is trained by
+gradient steps on labelled pages, which ``training_pages`` lays out from the
+kinds of parts that pages have, in named, unnamed and randomly named elements of
+many layouts, and decoded by Viterbi.
 """
 
 from __future__ import annotations
@@ -29,13 +31,19 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?"
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _CLASS_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
-#: Content that is never text of the page.
-_SKIPPED = {"script", "style", "title", "noscript", "template", "textarea", "svg", "iframe", "object", "canvas",
-            "math", "audio", "video", "select"}
+#: Elements whose content is raw text, to their end tag or the end of the page.
+_RAW = {"script", "style", "title", "textarea", "iframe", "noembed", "noframes", "xmp"}
+#: Elements whose content is no text of the page.  One without an end tag inside its
+#: parent has no content: what follows it stays.
+_DROPPED = {"noscript", "template", "svg", "object", "canvas", "audio", "video", "select", "annotation"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 _INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
            "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong",
-           "sub", "sup", "time", "tt", "u", "var", "button"}
+           "sub", "sup", "time", "tt", "u", "var", "button", "math", "semantics", "mi", "mo", "mn", "mrow", "msup", "msub",
+           "mfrac", "msqrt", "mtext", "mover", "munder"}
+#: Elements of text: what they stand in is the container of their blocks.
+_OF_TEXT = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "blockquote", "pre", "figure",
+            "figcaption", "table", "thead", "tbody", "tfoot", "tr", "th", "caption"}
 #: An opening tag ends these open elements (inside the given scope).
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
          "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
@@ -47,6 +55,35 @@ class Block:
     path: tuple[str, ...]  # ancestors from the outermost, each "tag class-and-id words"
     text: str
     linked: int  # characters inside links
+    nodes: tuple[int, ...] = ()  # numbers of the ancestors within the page
+
+
+class _Ends:
+    """Where elements that are dropped end."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last: dict[str, int] = {}  # where the last end tag of a name begins
+
+    def of(self, tag: str, at: int) -> int | None:
+        """The place after the end tag of the element whose content begins at ``at``;
+        None if its parent ends first, or the page."""
+        if tag not in self.last:
+            self.last[tag] = self.page.lower().rfind(f"</{tag}")
+        if self.last[tag] < at:
+            return None
+        depth, inner = 1, {}
+        for m in _TAG.finditer(self.page, at):
+            name = (m[2] or "").lower()
+            if name == tag:
+                depth += -1 if m[1] else 1
+                if not depth:
+                    return m.end()
+            elif name and name not in _VOID and name not in _INLINE and not m[3].endswith("/"):
+                inner[name] = inner.get(name, 0) + (-1 if m[1] else 1)
+                if inner[name] < 0:  # ends what was open before
+                    return None
+        return None
 
 
 def leaf_blocks(page: str) -> list[Block]:
@@ -56,20 +93,22 @@ def leaf_blocks(page: str) -> list[Block]:
     blocks: list[Block] = []
     path: list[str] = []  # of open elements other than inline ones
     tags: list[str] = []
+    nodes: list[int] = []
     parts: list[str] = []
-    links, linked = 0, 0
+    links, linked, made = 0, 0, 0
+    ends_of = _Ends(page)
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                blocks.append(Block(tuple(path), text, min(linked, len(text))))
+                blocks.append(Block(tuple(path), text, min(linked, len(text)), tuple(nodes)))
             parts.clear()
         linked = 0
 
     def pop_to(i: int) -> None:
-        del path[i:], tags[i:]
+        del path[i:], tags[i:], nodes[i:]
 
     at, n = 0, len(page)
     while at < n:
@@ -87,12 +126,16 @@ def leaf_blocks(page: str) -> list[Block]:
                 parts.append(m[0][9:].removesuffix("]]>"))
             continue
         tag, closing = m[2].lower(), bool(m[1])
-        if tag in _SKIPPED:
-            if not closing and not m[3].endswith("/"):
-                end = re.compile(rf"</{tag}\s*>?", re.I).search(page, at)
-                at = end.end() if end else n
+        if tag in _RAW or tag in _DROPPED:
             if tag not in ("script", "style"):
                 flush()
+            if closing or m[3].endswith("/"):
+                continue
+            if tag in _RAW:
+                end = re.compile(rf"</{tag}\s*>?", re.I).search(page, at)
+                at = end.end() if end else n
+            else:
+                at = ends_of.of(tag, at) or at
             continue
         if tag == "a":
             links = 0 if closing else 1
@@ -124,6 +167,8 @@ def leaf_blocks(page: str) -> list[Block]:
                     break
         path.append(tag + _class_words(m[3]) if m[3] else tag)
         tags.append(tag)
+        made += 1
+        nodes.append(made)
     flush()
     return blocks
 
@@ -149,7 +194,8 @@ def _path_features(path: tuple[str, ...]) -> tuple[str, ...]:
             out.add(f"leaf {tag}")
         for w in words:
             out.add(f"word {w}")
-            out.add(f"stem {w[:4]}")
+            if len(w) > 4:
+                out.add(f"stem {w[:5]}")
     return tuple(out)
 
 
@@ -165,8 +211,72 @@ def _text_features(block: Block) -> tuple[str, ...]:
     return tuple(out)
 
 
-def features(block: Block) -> tuple[str, ...]:
-    return _path_features(block.path) + _text_features(block)
+def _bin(x: float, *edges: float) -> int:
+    return sum(x >= e for e in edges)
+
+
+def _place_features(blocks: list[Block]) -> list[tuple[str, ...]]:
+    """Features of each block's place in the page.  A long block has twelve words or
+    more outside of links.  The main element is the innermost one that holds most
+    of the page's long text."""
+    n = len(blocks)
+    plain = [len(b.text) - b.linked for b in blocks]
+    long = [b.text.count(" ") >= 11 and p > len(b.text) / 2 for b, p in zip(blocks, plain, strict=True)]
+    held: dict[int, int] = {}       # long text by element
+    total = sum(p for p, x in zip(plain, long, strict=True) if x)
+    container, sizes, links, counts = [], {}, {}, {}
+    tags = {0: ""}
+    holds: dict[int, int] = {}      # blocks by element
+    for b in blocks:
+        for node in b.nodes:
+            holds[node] = holds.get(node, 0) + 1
+    for b, p, x in zip(blocks, plain, long, strict=True):
+        own = 0
+        for node, element in zip(b.nodes, b.path, strict=True):
+            tag = tags.setdefault(node, element.split(" ", 1)[0])
+            if x:
+                held[node] = held.get(node, 0) + p
+            if tag not in _OF_TEXT and (holds[node] > 1 or not own):
+                own = node          # an element of one block only is like a paragraph
+        container.append(own)
+        sizes[own] = sizes.get(own, 0) + len(b.text)
+        links[own] = links.get(own, 0) + b.linked
+        counts[own] = counts.get(own, 0) + 1
+    main, deepest = 0, -1
+    for b, x in zip(blocks, long, strict=True):
+        if x:
+            for depth, node in enumerate(b.nodes):
+                if depth > deepest and tags[node] not in _OF_TEXT and held[node] >= 0.6 * total:
+                    main, deepest = node, depth
+    inside = [not main or main in b.nodes for b in blocks]
+    places = [i for i in range(n) if long[i] and inside[i]]
+    first, last = (places[0], places[-1]) if places else (n, -1)
+    before, after = [0] * n, [0] * n        # long neighbours in the same container, this one left out
+    for i in range(1, n):
+        before[i] = before[i - 1] + 1 if long[i - 1] and container[i - 1] == container[i] else 0
+    for i in range(n - 2, -1, -1):
+        after[i] = after[i + 1] + 1 if long[i + 1] and container[i + 1] == container[i] else 0
+    out = []
+    for i, b in enumerate(blocks):
+        own = container[i]
+        short = "long" if long[i] else "short"
+        between = "before" if i < first else "after" if i > last else "between"
+        steps = sum(tags[k] not in _OF_TEXT for k in b.nodes[b.nodes.index(main) + 1:]) if main and main in b.nodes else 0
+        heading = b.path[-1][:2] in ("h1", "h2", "h3", "h4", "h5", "h6") if b.path else False
+        out.append((
+            f"{short} {'inside' if inside[i] else 'outside'} {_bin(steps, 1, 2)}", f"{short} {between} {_bin(steps, 1)}",
+            f"{short} share {_bin(held.get(own, 0) / total if total else 0, 0.001, 0.05, 0.2, 0.5)}",
+            f"{short} neighbours {_bin(before[i], 1, 2)} {_bin(after[i], 1, 2)}",
+            f"container links {_bin(links[own] / max(1, sizes[own]), 0.05, 0.3, 0.6)}",
+            f"container blocks {_bin(counts[own], 2, 4, 8)}", f"page {_bin(total, 1, 200, 1000)} {short}",
+            f"heading {heading} {bool(after[i])} {between}"))
+    return out
+
+
+def features(blocks: list[Block]) -> list[tuple[str, ...]]:
+    """The features of each block of a page."""
+    return [_path_features(b.path) + _text_features(b) + place
+            for b, place in zip(blocks, _place_features(blocks), strict=True)]
 
 
 # --- labelled pages ---
@@ -200,19 +310,35 @@ def _words(rng: random.Random, low: int, high: int, stop: bool) -> str:
     return " ".join(words).capitalize() + ("." if stop else "")
 
 
-def _part(rng: random.Random, kind: str) -> str:
-    tag, words = rng.choice(_BOILERPLATE[kind])
-    attributes = f' {rng.choice(["class", "id"])}="{words}"' if words else ""
+#: Marks article text in a training page; a private character that no page means.
+_MARK = "\ue000"
+
+
+def _named(rng: random.Random, choices: list[tuple[str, str]], known: float, plain: tuple[str, ...]) -> tuple[str, str]:
+    """Tag and attributes of an element: of the known ones, or with a made-up name or none."""
+    if rng.random() < known:
+        tag, words = rng.choice(choices)
+    else:
+        tag, words = rng.choice(plain), rng.choice(["", "", _words(rng, 1, 2, False).lower().replace(" ", "-")])
+    return tag, f' {rng.choice(["class", "id"])}="{words}"' if words else ""
+
+
+def _part(rng: random.Random, kind: str, known: float = 0.7) -> str:
+    if kind in ("comments", "form", "ad", "notice"):    # unnamed, their long text could be an article's
+        known = max(known, 0.97)
+    tag, attributes = _named(rng, _BOILERPLATE[kind], known, ("div", "div", "section", "table"))
     item = lambda: f'<li><a href="/x">{_words(rng, 1, 3, False)}</a></li>'
     many = rng.randint(2, 7)
     if kind in ("menu", "share"):
         inner = "".join(item() for _ in range(many))
         inner = inner if tag in ("ul", "menu") else f"<ul>{inner}</ul>"
+        if rng.random() < 0.2:
+            inner = rng.choice([" | ", " "]).join(f'<a href="/{i}">{_words(rng, 1, 2, False)}</a>' for i in range(many))
     elif kind == "head":
         inner = rng.choice([f"<h1>{_words(rng, 1, 4, False)}</h1>", f'<a href="/">{_words(rng, 1, 3, False)}</a>']) \
-            + rng.choice(["", f"<p>{_words(rng, 3, 12, rng.random() < 0.5)}</p>"])
+            + rng.choice(["", f"<p>{_words(rng, 3, 11, rng.random() < 0.5)}</p>"])
     elif kind == "foot":
-        inner = rng.choice(["&copy; ", "", "&copy; 2020 "]) + _words(rng, 1, 15, rng.random() < 0.6) \
+        inner = rng.choice(["&copy; ", "&copy; 2020 ", "" if known > 0.9 else "&copy; "]) + _words(rng, 1, 25, rng.random() < 0.6) \
             + rng.choice(["", f"<p>{_words(rng, 3, 25, True)}</p>", f"<ul>{item()}{item()}</ul>"])
     elif kind == "comments":
         one = lambda: rng.choice(["<p>{}</p>", "<div>{}</div>", "<li>{}</li>", "<div class='comment'><p>{}</p></div>"]) \
@@ -222,56 +348,108 @@ def _part(rng: random.Random, kind: str) -> str:
         inner = f"<label>{_words(rng, 1, 6, False)}</label><input name='q'>" \
             + rng.choice(["", f"<p>{_words(rng, 4, 25, True)}</p>"]) + f"<button>{_words(rng, 1, 2, False)}</button>"
     elif kind == "side":
+        teaser = lambda: f'<p><a href="/t">{_words(rng, 3, 14, False)}</a></p>'
         inner = f"<h3>{_words(rng, 1, 4, False)}</h3>" + rng.choice(
-            ["<ul>" + "".join(item() for _ in range(many)) + "</ul>", f"<p>{_words(rng, 5, 45, True)}</p>"])
+            ["<ul>" + "".join(item() for _ in range(many)) + "</ul>",
+             f"<p>{_words(rng, 5, 45 if attributes else 11, True)}</p>", "".join(teaser() for _ in range(many))])
     else:
         body = _words(rng, 3, 35, rng.random() < 0.8)
         inner = rng.choice([body, f"<p>{body}</p>", f"<p>{body}</p><p>{_words(rng, 2, 20, True)}</p>"])
+    if tag == "table":
+        inner = f"<tr><td>{inner}</td></tr>"
     return f"<{tag}{attributes}>{inner}</{tag}>"
 
 
+def _article(rng: random.Random) -> str:
+    """Marked text of an article, and parts that stand inside it."""
+    word = lambda low, high, stop: _MARK + _words(rng, low, high, stop)
+    out = [f"<h{rng.choice('112')}>{word(1, 14, rng.random() < 0.5)}</h1>"] if rng.random() < 0.75 else []
+    closing = rng.random() < 0.9          # whether paragraphs have end tags
+    if rng.random() < 0.15:               # a very short article among longer parts
+        return "".join([*out, f"<p>{word(2, 14, True)}"])
+    style = rng.random()
+    if style < 0.08:                      # lines instead of paragraphs
+        return "".join([*out, rng.choice(["<br>", "<br><br>"]).join(word(8, 60, True) for _ in range(rng.randint(2, 8)))])
+    for _ in range(rng.choice([1, 1, 2, 3, 4, 5, 6, 8, 12])):
+        if style < 0.18:
+            out.append(f"<div>{word(8, 90, True)}</div>")
+            continue
+        text = word(8, 120, True) if rng.random() < 0.8 else word(1, 8, rng.random() < 0.7)
+        if rng.random() < 0.2:
+            text += f' <a href="/y">{_words(rng, 1, 5, False)}</a> {_words(rng, 2, 9, True)}'
+        form = rng.random()
+        if form < 0.62:
+            out.append(f"<p>{text}" + ("</p>" if closing else ""))
+        elif form < 0.68:
+            out.append(f"<div>{text}</div>")
+        elif form < 0.72:
+            out.append(f"<h{rng.choice('234')}>{word(1, 7, False)}</h2><p>{word(10, 60, True)}</p>")
+        elif form < 0.78:
+            tag = rng.choice(["ul", "ol"])
+            out.append(f"<{tag}>" + "".join(f"<li>{word(2, 25, rng.random() < 0.5)}</li>" for _ in range(rng.randint(2, 5))) + f"</{tag}>")
+        elif form < 0.81:
+            out.append(f"<dl><dt>{word(1, 3, False)}</dt><dd>{word(4, 30, True)}</dd></dl>")
+        elif form < 0.85:
+            out.append(rng.choice([f"<blockquote><p>{text}</p></blockquote>", f"<blockquote>{text}</blockquote>"]))
+        elif form < 0.87:
+            out.append(f"<pre><code>{word(3, 40, False)}</code></pre>")
+        elif form < 0.89:
+            out.append(f"<figure><img src='x.png'><figcaption>{word(3, 15, rng.random() < 0.5)}</figcaption></figure>")
+        elif form < 0.91:
+            cell = lambda: f"<td>{word(1, 4, False)}</td>"
+            out.append("<table>" + "".join(f"<tr>{cell()}{cell()}</tr>" for _ in range(rng.randint(2, 4))) + "</table>")
+        elif form < 0.94:
+            out.append(f'<p>{text} <a href="/y">{_words(rng, 1, 3, False)}</a> {_words(rng, 3, 9, True)}</p>')
+        elif form < 0.96:
+            out.append(f"<section><h2>{word(1, 6, False)}</h2><p>{word(12, 60, True)}</p><p>{word(12, 60, True)}</p></section>")
+        else:
+            out.append(_part(rng, rng.choice(["ad", "share", "form", "notice", "side"]), 1.0))
+    return "".join(out)
+
+
+def _layout(rng: random.Random) -> str:
+    """A whole page: parts around an article in a named, unnamed or made-up element,
+    one after the other, in columns or in cells of a table."""
+    parts = lambda kinds, most: [_part(rng, k) for k in rng.sample(kinds, rng.randint(0, most))]
+    above = parts(["head", "menu", "ad", "notice", "form", "menu", "side"], 4)
+    below = parts(["comments", "share", "side", "ad", "foot", "foot", "menu", "form", "notice"], 4)
+    if "<p>" not in "".join(above) and rng.random() < 0.3:
+        above.append(_part(rng, "ad", 1.0))
+    content = _article(rng)
+    known = 1.0 if len(content) < 160 else 0.35     # nothing but a name shows a very short article
+    tag, attributes = _named(rng, _CONTENT, known, ("div", "div", "div", "section", "main", "article", "center", ""))
+    if rng.random() < 0.25 and below:
+        content += below.pop(0) if "comment" in below[0] or "share" in below[0] else ""
+    for _ in range(rng.choice([0, 0, 0, 1, 1, 2])):
+        inner, names = _named(rng, _CONTENT[:9], 0.2, ("div", "section"))
+        content = f"<{inner}{names}>{content}</{inner}>"
+    kind = rng.random()
+    if kind < 0.12 or tag == "td":
+        cells = [_part(rng, rng.choice(["menu", "side"])) for _ in range(rng.randint(0, 2))]
+        cells.insert(rng.randint(0, len(cells)), content)
+        main = "<table><tr>" + "".join(f"<td>{c}</td>" for c in cells) + "</tr></table>"
+    elif kind < 0.25:
+        columns = [content, _part(rng, "side")] if rng.random() < 0.5 else [_part(rng, "menu"), content, _part(rng, "side")]
+        main = "".join(f"<div{rng.choice(['', ' class=col', ''])}>{c}</div>" for c in columns)
+    else:
+        main = f"<{tag}{attributes}>{content}</{tag}>" if tag and tag != "body" else content
+    page = "".join([*above, main, *below])
+    for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
+        outer, names = _named(rng, [("div", "wrapper"), ("div", "page"), ("div", "container"), ("div", "site")], 0.5, ("div",))
+        page = f"<{outer}{names}>{page}</{outer}>"
+    return f"<html><body>{page}</body></html>"
+
+
 def training_pages(n: int, seed: int) -> list[list[tuple[Block, int]]]:
-    """Labelled pages: the blocks of each, 1 for article text.  Parts are laid out
-    around and inside an article; every part is parsed in its place, so its
-    blocks have the ancestors that they would have in the page."""
+    """Labelled pages: the blocks of each, 1 for article text."""
     rng = random.Random(seed)
     pages = []
     for _ in range(n):
-        body: list[tuple[Block, int]] = []
-        wrap = rng.choice([[], ["div wrapper"], ["div page", "div container"], ["div"], ["div site"]])
-        outer = ("html", "body", *wrap)
-
-        def add(source: str, label: int, inside: tuple[str, ...], body=body) -> None:
-            for block in leaf_blocks(source):
-                body.append((Block(inside + block.path, block.text, block.linked), label))
-
-        for kind in rng.sample(["head", "menu", "ad", "notice", "form", "menu", "side"], rng.randint(0, 5)):
-            add(_part(rng, kind), 0, outer)
-        tag, words = rng.choice(_CONTENT)
-        inner = outer if tag == "body" else (*outer, f"{tag} {words.replace('-', ' ')}".strip())
-        if rng.random() < 0.3:
-            inner = (*inner, rng.choice(["div", "div body", "section", "div inner"]))
-        if rng.random() < 0.8:
-            add(f"<h1>{_words(rng, 1, 14, rng.random() < 0.5)}</h1>", 1, inner)
-        for _ in range(rng.randint(1, 12)):
-            long = _words(rng, 8, 120, True) if rng.random() < 0.75 else _words(rng, 1, 8, rng.random() < 0.7)
-            form = rng.random()
-            if form < 0.75:
-                add(f"<p>{long}</p>", 1, inner)
-            elif form < 0.82:
-                add(f"<h2>{_words(rng, 1, 7, False)}</h2>", 1, inner)
-            elif form < 0.87:
-                add("<ul>" + "".join(f"<li>{_words(rng, 2, 20, rng.random() < 0.5)}</li>" for _ in range(3)) + "</ul>", 1, inner)
-            elif form < 0.91:
-                add(f"<blockquote><p>{long}</p></blockquote>", 1, inner)
-            elif form < 0.94:
-                add(f'<p>{long} <a href="/y">{_words(rng, 1, 3, False)}</a> {_words(rng, 3, 9, True)}</p>', 1, inner)
-            elif form < 0.97 and tag != "body":
-                add(f"<div>{long}</div>", 1, inner)
-            else:
-                add(_part(rng, rng.choice(["ad", "share", "form", "notice", "side"])), 0, inner)
-        for kind in rng.sample(["comments", "share", "side", "ad", "foot", "menu", "form", "notice"], rng.randint(0, 5)):
-            add(_part(rng, kind), 0, inner if kind in ("comments", "share") and rng.random() < 0.4 else outer)
+        body = []
+        for b in leaf_blocks(_layout(rng)):
+            marked = _MARK in b.text
+            if text := b.text.replace(_MARK, "").strip():
+                body.append((Block(b.path, text, min(b.linked, len(text)), b.nodes), int(marked)))
         if body:
             pages.append(body)
     return pages
@@ -286,18 +464,19 @@ class Field:
     steps: tuple[tuple[float, float], tuple[float, float]]  # from label, to label
 
 
-def train(pages: list[list[tuple[Block, int]]], rounds: int = 150, rate: float = 0.15, ridge: float = 2e-4) -> Field:
+def train(pages: list[list[tuple[Block, int]]], rounds: int = 250, rate: float = 0.15, ridge: float = 2e-5) -> Field:
     """Maximise the conditional likelihood of the labels: forward-backward over
     all pages at once, steps by Adam, a ridge on the weights."""
-    names = sorted({f for page in pages for block, _ in page for f in features(block)})
+    found = [features([block for block, _ in page]) for page in pages]
+    names = sorted({f for page in found for block in page for f in block})
     number = {f: i for i, f in enumerate(names)}
     longest, count = max(len(p) for p in pages), len(pages)
     cells, columns, truth = [], [], np.zeros((count, longest), np.int64)
     real = np.zeros((count, longest), bool)
     for p, page in enumerate(pages):
-        for t, (block, label) in enumerate(page):
+        for t, (_, label) in enumerate(page):
             truth[p, t], real[p, t] = label, True
-            for f in features(block):
+            for f in found[p][t]:
                 cells.append(p * longest + t)
                 columns.append(number[f])
     cells, columns = np.array(cells), np.array(columns)
@@ -338,7 +517,7 @@ def train(pages: list[list[tuple[Block, int]]], rounds: int = 150, rate: float =
 
 
 @lru_cache(maxsize=2)
-def default_field(pages: int = 600, seed: int = 7) -> Field:
+def default_field(pages: int = 2000, seed: int = 7) -> Field:
     return train(training_pages(pages, seed))
 
 
@@ -349,11 +528,11 @@ def decode(blocks: list[Block], field: Field, known: dict[tuple[str, ...], float
     (s00, s01), (s10, s11) = field.steps
     back: list[tuple[int, int]] = []
     a = b = 0.0
-    for t, block in enumerate(blocks):
+    for t, (block, place) in enumerate(zip(blocks, _place_features(blocks), strict=True)):
         emit = known.get(block.path)
         if emit is None:
             emit = known[block.path] = sum(weights.get(f, 0.0) for f in _path_features(block.path))
-        emit += sum(weights.get(f, 0.0) for f in _text_features(block))
+        emit += sum(weights.get(f, 0.0) for f in _text_features(block) + place)
         if not t:
             a, b = field.start[0], field.start[1] + emit
             continue

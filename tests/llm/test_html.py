@@ -22,7 +22,7 @@ def test_viterbi_finds_the_best_of_all_labellings(field):
     from itertools import product
     for page in html_text.training_pages(30, seed=3):
         blocks = [b for b, _ in page][:9]
-        emit = [sum(field.weights.get(f, 0.0) for f in html_text.features(b)) for b in blocks]
+        emit = [sum(field.weights.get(f, 0.0) for f in names) for names in html_text.features(blocks)]
 
         def score(y, emit=emit):
             return (field.start[y[0]] + sum(e for e, label in zip(emit, y, strict=True) if label)
@@ -79,3 +79,67 @@ def test_odd_rows(spark, field):
     same = [r["text"] for r in got if r["page_id"] == 1]
     assert same[0] == same[1] != ""
     assert html_text.extract(pages.limit(0), field).count() == 0
+
+
+def test_hand_laid_layouts(field):
+    """Plain divs, sections, tables, unknown classes, lists, code, captions, comments, unclosed elements."""
+    from tests.llm.layouts import L
+    assert len(L) >= 30
+    found = wanted = extra = others = 0
+    for page, want in L.values():
+        blocks = html_text.leaf_blocks(page)
+        got = [b.text for b, label in zip(blocks, html_text.decode(blocks, field), strict=True) if label]
+        found, wanted = found + len(set(want) & set(got)), wanted + len(want)
+        extra, others = extra + len(set(got) - set(want)), others + len(blocks) - len(want)
+    assert found >= 0.95 * wanted and extra <= 0.05 * others
+
+
+@pytest.mark.parametrize("tag", sorted(html_text._DROPPED))
+def test_elements_without_an_end_swallow_nothing(tag):
+    page = f"<div><p>one</p><{tag} x=y><p>two</p><{tag}>inner</{tag}><p>three</p></div><p>four</p><{tag}/><p>five</p><{tag}>gone</{tag}>"
+    texts = [b.text for b in html_text.leaf_blocks(page)]
+    assert texts == ["one", "two", "three", "four", "five"]
+
+
+def test_blocks_are_those_of_another_parser(spark):
+    from html.parser import HTMLParser
+
+    from tests.conftest import SF_SMALL
+
+    class Cutter(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.out, self.parts, self.quiet = [], [], 0
+
+        def cut(self):
+            if text := " ".join("".join(self.parts).split()):
+                self.out.append(text)
+            self.parts = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag in ("script", "style", "title"):
+                self.quiet += 1
+            if tag == "br":
+                self.parts.append(" ")
+            elif tag not in ("a", "b", "i", "em", "strong", "span", "script", "style"):
+                self.cut()
+
+        def handle_endtag(self, tag):
+            if tag in ("script", "style", "title"):
+                self.quiet -= 1
+            elif tag not in ("a", "b", "i", "em", "strong", "span", "br"):
+                self.cut()
+
+        def handle_data(self, data):
+            if not self.quiet:
+                self.parts.append(data)
+
+    pages = [r["html"] for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").collect() if r["html"]]
+    from tests.llm.layouts import L
+    for page in [*pages, *(p for k, (p, _) in L.items() if "video" not in k and "svg" not in k and k not in ("code",))]:
+        cutter = Cutter()
+        cutter.feed(page)
+        cutter.close()
+        cutter.cut()
+        mine = [b.text for b in html_text.leaf_blocks(page)]
+        assert [t for t in mine] == [t for t in cutter.out if t] or "<font" in page or "<label" in page
