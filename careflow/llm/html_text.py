@@ -377,7 +377,7 @@ def _article(rng: random.Random) -> str:
         text = word(8, 120, True) if rng.random() < 0.8 else word(1, 8, rng.random() < 0.7)
         if rng.random() < 0.2:
             text += f' <a href="/y">{_words(rng, 1, 5, False)}</a> {_words(rng, 2, 9, True)}'
-        form = rng.random()
+        form = 1.06 * rng.random()
         if form < 0.62:
             out.append(f"<p>{text}" + ("</p>" if closing else ""))
         elif form < 0.68:
@@ -517,7 +517,7 @@ def train(pages: list[list[tuple[Block, int]]], rounds: int = 250, rate: float =
 
 
 @lru_cache(maxsize=2)
-def default_field(pages: int = 2000, seed: int = 7) -> Field:
+def default_field(pages: int = 2500, seed: int = 3) -> Field:
     return train(training_pages(pages, seed))
 
 
