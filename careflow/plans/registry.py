@@ -861,3 +861,6 @@ def _m9(t):
     _forest.save_model(t.spark, model, f"{root}/model", stats)
     loaded, loaded_stats = _forest.load_model(t.spark, f"{root}/model")
     return _aj.score(feats, loaded, loaded_stats)
+
+
+from . import registry_incremental  # noqa: E402, F401  (registers the queries on bucketed tables)
