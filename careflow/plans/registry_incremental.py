@@ -16,7 +16,7 @@ from ..sources.buckets import BucketStore
 from ..sources.fixtures import _view
 from . import incremental_run
 from .domain import DomainTables
-from .registry import ORACLE, _inc_source, _inc_target, _scd_current, register
+from .registry import ORACLE, _inc_source, _inc_target, _landing, _scd_current, register
 
 
 def _store(t: DomainTables, name: str) -> BucketStore:
@@ -42,6 +42,21 @@ def _i3_buckets(t):
 ORACLE["i3_upsert_touched_buckets"] = ORACLE["i3_upsert"]
 
 
+# ----------------------------------------------------------------- I4
+@register("i4_stream_touched_buckets", None)
+def _i4_buckets(t):
+    """The stream of ``i4_stream_upsert_prescriptions`` into a bucketed table, in
+    micro-batches of two files: each reads and writes the buckets of its keys only."""
+    from ..streaming.incremental_stream import ARRIVAL, run_available
+    root = scratch_path(t.spark, f"careflow-i4b-{uuid.uuid4().hex[:12]}")
+    store = BucketStore(t.spark, f"{root}/tables", buckets=16)
+    return run_available(t.spark, _landing(t, root), "prescriptions", store, f"{root}/quarantine", f"{root}/stream-ckpt",
+                         max_files_per_trigger=2).drop("ingested_at", *ARRIVAL)
+
+
+ORACLE["i4_stream_touched_buckets"] = ORACLE["i4_stream_upsert_prescriptions"]
+
+
 # ----------------------------------------------------------------- the incremental job
 # Stand-in input: prescriptions stamped with their day, and copies that come later:
 # of some first lines under the next patient, of some second lines with a bad date.

@@ -205,3 +205,61 @@ def test_a_merge_dated_before_the_current_version(spark):
     got = sorted(tuple(r) for r in incremental.scd2_merge(old, new, "k", ["a"], "2025-01-10").collect())
     assert got == [(1, "x", dt.date(2025, 2, 1), HIGH, 1), (1, "y", dt.date(2025, 1, 10), dt.date(2025, 1, 31), 0),
                    (2, "x", dt.date(2024, 1, 1), dt.date(2025, 1, 9), 0), (2, "y", dt.date(2025, 1, 10), HIGH, 1)]
+
+
+# --- the stream into a bucketed table ---
+def _file(folder, name, *rows):
+    import os
+    os.makedirs(folder, exist_ok=True)
+    with open(os.path.join(folder, name), "w") as f:
+        f.write("\n".join(["physician_id,specialty,region,years_experience", *rows]) + "\n")
+
+
+def _stream(spark, land, store, base, checkpoint, **named):
+    from careflow.streaming.incremental_stream import run_available
+    out = run_available(spark, land, "physicians", store, f"{base}/quarantine", f"{base}/{checkpoint}", **named)
+    return {r["physician_id"]: r["specialty"] for r in out.collect()}
+
+
+def test_stream_order_of_files_and_replays(spark, tmpdir_path):
+    """A late earlier file, and all files again under a new checkpoint, change nothing; only touched buckets are written."""
+    land = f"{tmpdir_path}/landing"
+    store = BucketStore(spark, f"{tmpdir_path}/tables", buckets=8)
+    _file(land, "b.csv", "PHY-1,second,N,1", "PHY-1,third,N,1", "PHY-2,second,N,1")
+    assert _stream(spark, land, store, tmpdir_path, "one") == {"PHY-1": "third", "PHY-2": "second"}
+    before = store.head()["tables"]["stg_physicians"]["parts"]
+    _file(land, "a.csv", "PHY-1,first,N,1", "PHY-3,first,N,1")
+    want = {"PHY-1": "third", "PHY-2": "second", "PHY-3": "first"}
+    assert _stream(spark, land, store, tmpdir_path, "one") == want
+    after = store.head()["tables"]["stg_physicians"]["parts"]
+    assert sum(before.get(b) != t for b, t in after.items()) == 1
+    assert _stream(spark, land, store, tmpdir_path, "two", max_files_per_trigger=1) == want
+    assert store.head()["tables"]["stg_physicians"]["parts"] == after
+
+
+def test_an_epoch_that_was_committed_is_not_run_again(spark, tmpdir_path):
+    from careflow.streaming import incremental_stream as S
+    land = f"{tmpdir_path}/landing"
+    store = BucketStore(spark, f"{tmpdir_path}/tables", buckets=4)
+    _file(land, "a.csv", "PHY-1,x,N,1")
+    _stream(spark, land, store, tmpdir_path, "ck")
+    number = store.head()["number"]
+    batch = spark.createDataFrame([("PHY-9", "y", "N", "1", None, "a.csv", 0)],
+                                  "physician_id string, specialty string, region string, years_experience string, "
+                                  "_corrupt string, _mpath string, _mblk long")
+    handler = S._bucket_handler(store, "physicians", f"{tmpdir_path}/quarantine", f"{tmpdir_path}/ck")
+    handler(batch, 0)
+    assert store.head()["number"] == number
+    handler(batch, 1)
+    assert store.head()["number"] == number + 1 and store.read("stg_physicians").count() == 2
+
+
+@pytest.mark.parametrize("bucketed", [True, False])
+def test_two_streams_on_one_quarantine_folder(spark, tmpdir_path, bucketed):
+    from careflow.sources.tables import TableStore
+    for name in ("one", "two"):
+        store = (BucketStore if bucketed else TableStore)(spark, f"{tmpdir_path}/{name}")
+        _file(f"{tmpdir_path}/landing-{name}", "a.csv", "PHY-1,x,N,1", f"{name},x,N", "PHY-3,None,N,2")
+        _stream(spark, f"{tmpdir_path}/landing-{name}", store, tmpdir_path, f"ck-{name}")
+    bad = spark.read.parquet(f"{tmpdir_path}/quarantine")
+    assert {r["physician_id"] for r in bad.collect()} >= {"one", "two"}
