@@ -20,12 +20,13 @@ Work split
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -235,9 +236,41 @@ def score_samples(df: DataFrame, model: ForestModel, key: str = "physician_id")
     return df.mapInPandas(score, schema)
 
 
-def predict(df: DataFrame, model: ForestModel, key: str = "physician_id") -> DataFrame:
+def score_samples_native(df: DataFrame, model: ForestModel) -> DataFrame:
+    """``score_samples`` in Spark's own functions: the trees are one constant of
+    nested arrays (bounded like the broadcast one), walked by ``aggregate``.  No
+    Python worker; meant for few rows or plans that must stay in the JVM, as the
+    steps are interpreted while ``score_samples`` takes whole batches at a time."""
+    feat, split, left, right, size = model.arrays()
+    if sum(a.nbytes for a in (feat, split, left, right, size)) > MAX_MODEL_BYTES:
+        raise ValueError("the forest is too large for a constant; lower max_samples or n_trees")
+    length = average_path_length(size)
+    trees = [[{"f": int(f), "s": float(s), "l": int(a), "r": int(b), "h": float(h)} for f, s, a, b, h in zip(*tree, strict=True)]
+             for tree in zip(feat, split, left, right, length, strict=True)]
+    forest = F.from_json(F.lit(json.dumps(trees)), "array<array<struct<f: int, s: double, l: int, r: int, h: double>>>")
+    row = F.array(*[F.nanvl(F.coalesce(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)) for c in model.features])
+    steps = F.array(*[F.lit(i) for i in range(model.max_depth + 1)])
+
+    def path(tree: Column) -> Column:
+        """Depth of the leaf that the row reaches and the length that its size stands for."""
+        start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("depth"))
+
+        def step(now: Column, _: Column) -> Column:
+            node = F.get(tree, now["at"])
+            goes = F.when(F.get(F.col("_x"), node["f"]) <= node["s"], node["l"]).otherwise(node["r"])
+            return F.when(node["f"] < 0, now).otherwise(F.struct(goes.alias("at"), (now["depth"] + 1).alias("depth")))
+
+        return F.aggregate(steps, start, step, lambda end: end["depth"] + F.get(tree, end["at"])["h"])
+
+    norm = float(average_path_length([model.psi])[0]) or 1.0
+    total = F.aggregate(forest, F.lit(0.0), lambda acc, tree: acc + path(tree))
+    return (df.withColumn("_x", row)
+            .withColumn("score_samples", -F.pow(F.lit(2.0), -(total / model.n_trees) / F.lit(norm))).drop("_x"))
+
+
+def predict(df: DataFrame, model: ForestModel, key: str = "physician_id", native: bool = False) -> DataFrame:
     """M4: ``anomaly_score`` = score_samples - offset, ``is_anomaly`` = score < 0."""
-    s = score_samples(df, model, key)
+    s = score_samples_native(df, model) if native else score_samples(df, model, key)
     return (s.withColumn("anomaly_score", F.col("score_samples") - F.lit(model.offset))
              .withColumn("is_anomaly", F.col("anomaly_score") < 0).drop("score_samples"))
 

@@ -863,4 +863,4 @@ def _m9(t):
     return _aj.score(feats, loaded, loaded_stats)
 
 
-from . import registry_incremental  # noqa: E402, F401  (registers the queries on bucketed tables)
+from . import registry_forest, registry_incremental  # noqa: E402, F401  (register their queries)

@@ -120,3 +120,16 @@ def test_features_need_no_expand(spark):
     assert "Expand" not in features._jdf.queryExecution().toString()
     got = {r["physician_id"]: tuple(r)[1:] for r in features.collect()}
     assert got == {1: (3, 6.0, 7, 1, 2), None: (1, 3.0, 3, 1, 0)}
+
+
+def test_native_scores_equal_the_vectorised_ones(spark):
+    from careflow.operators import forest
+    rows = [(i, float(i % 17), float(i * i % 29), None if i == 5 else float(i % 3)) for i in range(200)]
+    df = spark.createDataFrame(rows, "physician_id long, a double, b double, c double")
+    model = forest.fit(df.fillna(0.0), ["a", "b", "c"], n_trees=12, max_samples=64)
+    one = {r["physician_id"]: r["score_samples"] for r in forest.score_samples(df, model).collect()}
+    native = forest.score_samples_native(df, model)
+    two = {r["physician_id"]: r["score_samples"] for r in native.collect()}
+    assert one.keys() == two.keys() and max(abs(one[k] - two[k]) for k in one) < 1e-12
+    plan = native._jdf.queryExecution().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))

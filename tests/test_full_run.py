@@ -9,7 +9,7 @@ from careflow.sources.tables import TableStore
 
 
 def test_full_run_end_to_end(spark, tmpdir_path):
-    out = full_run.run(spark, tmpdir_path, scale=0.01, as_of=dt.date(2025, 1, 1), n_trees=20)
+    out = full_run.run(spark, tmpdir_path, steps=full_run.STEPS, scale=0.01, as_of=dt.date(2025, 1, 1), n_trees=20)
     store = TableStore(spark, os.path.join(tmpdir_path, "tables"))
     loaded = {r["dataset_type"]: r["records_loaded"] for r in out["ingest"]}
     assert loaded == {"patients": 50, "physicians": 5, "prescriptions": 500, "diagnoses": 300, "claims": 400}
@@ -26,6 +26,26 @@ def test_full_run_end_to_end(spark, tmpdir_path):
     assert store.read("anomaly_results").count() >= 1
 
 
+def test_full_run_on_a_landing_of_the_given_tables(spark, tmpdir_path):
+    """The default steps on CSV files of the given tables, against plain counts of what was landed."""
+    from careflow.plans.landing import raw_tables, write_landing
+    from tests.conftest import SF_SMALL
+    write_landing(spark, SF_SMALL, f"{tmpdir_path}/raw")
+    out = full_run.run(spark, tmpdir_path, as_of=dt.date(2025, 1, 1), n_trees=10)
+    assert "generate" not in out and [r["dataset_type"] for r in out["ingest"]] == [
+        "patients", "physicians", "prescriptions", "diagnoses", "claims"]
+    landed = {n: df.count() for n, df in raw_tables(spark, SF_SMALL).items()}
+    for r in out["ingest"]:
+        assert r["records_valid"] + r["records_invalid"] == landed[r["dataset_type"]]
+        assert 0 < r["records_loaded"] <= r["records_valid"] and r["records_quarantined"] == r["records_invalid"]
+    store = TableStore(spark, os.path.join(tmpdir_path, "tables"))
+    fact, dx = store.read("fact_prescription"), store.read("stg_diagnoses")
+    assert out["transform"]["fact_patient_journey"] == fact.count() + dx.count()
+    assert fact.count() == fact.select("prescription_id").distinct().count()
+    assert out["infer"]["total_scored"] == fact.select("physician_id").distinct().count()
+    assert store.read("pipeline_runs").first()["status"] == "success"
+
+
 def test_failed_gate_is_logged(spark, tmpdir_path):
     with pytest.raises(ValueError):
         full_run.run(spark, tmpdir_path, steps=["generate", "ingest", "validate"], scale=0.01,
