@@ -10,6 +10,7 @@ output table.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import logging
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -22,6 +23,7 @@ from ..session import drop_checkpoint, reliable_checkpoint
 from ..sources import generate as gen
 from ..sources.tables import TableStore, record_pipeline_run, save_dq_report
 from . import anomaly_jobs, ingest
+from .ledger import StepLedger
 
 log = logging.getLogger(__name__)
 
@@ -79,12 +81,22 @@ def ensure_tables(store: TableStore) -> list[str]:
     return store.create_if_absent(schemas)
 
 
+STAGING = list(STAGING_TABLE.values())
+WAREHOUSE = ["dim_patient", "dim_physician", "fact_prescription", "dim_therapy", "fact_patient_journey", "therapy_switches"]
+#: Tables that a step writes.
+OUTPUTS = {"generate": [], "ingest": STAGING, "validate": [], "transform": WAREHOUSE, "train": [], "infer": ["anomaly_results"]}
+
+
 def run(spark: SparkSession, root: str, steps: list[str] | None = None, scale: float = 1.0,
         as_of: _dt.date | None = None, gate: bool = False, n_trees: int = 100,
-        gate_threshold: float = DQ_GATE, incremental: bool = False, raw_dir: str | None = None) -> dict:
+        gate_threshold: float = DQ_GATE, incremental: bool = False, raw_dir: str | None = None,
+        resume: bool = False) -> dict:
     """Run the chosen steps (default: all but generate) in order; log the run (S14) in any case.
     ``incremental`` keeps the history of the patient dimension; ``raw_dir`` names a
-    landing folder other than the job's own."""
+    landing folder other than the job's own.  With ``resume`` a step is left out
+    whose inputs, parameters and outputs are those of its last success
+    (``plans/ledger.py``): a run that failed goes on at the step that failed.  The
+    result of a step left out is that of its last success; ``skipped`` names them."""
     steps = steps or DEFAULT_STEPS
     unknown = set(steps) - set(STEPS)
     if unknown:
@@ -93,36 +105,59 @@ def run(spark: SparkSession, root: str, steps: list[str] | None = None, scale: f
     store = TableStore(spark, f"{root}/tables")
     raw_dir, quarantine_dir = raw_dir or f"{root}/raw", f"{root}/quarantine"
     model_dir, report_dir = f"{root}/models/isolation_forest", f"{root}/reports"
+    ledger = StepLedger(spark, f"{root}/ledger", store)
     started, status, processed, failed = _now(), "success", 0, 0
-    out: dict = {}
+    out: dict = {"skipped": []}
+
+    def inputs(step: str) -> dict:
+        """What decides the result of a step."""
+        if step == "generate":
+            return {"scale": scale, "as_of": str(as_of)}
+        if step == "ingest":
+            return {"files": ledger.files(raw_dir)}
+        if step in ("validate", "transform"):
+            more = {"gate": [gate, gate_threshold]} if step == "validate" else {"as_of": str(as_of), "incremental": incremental}
+            return {"tables": ledger.versions(STAGING), **more}
+        fact = {"tables": ledger.versions(["fact_prescription"])}
+        return {**fact, "n_trees": n_trees} if step == "train" else {**fact, "as_of": str(as_of), "model": ledger.files(model_dir)}
+
+    def work(step: str):
+        if step == "generate":
+            return gen.generate_all(spark, raw_dir, scale=scale, as_of=str(as_of))
+        if step == "ingest":
+            return ingest.ingest_all(spark, raw_dir, store, quarantine_dir, _now())
+        if step == "validate":
+            staging = {t: store.read(t) for t in STAGING if store.exists(t)}
+            report = reliable_checkpoint(quality.dq_report(quality.run_checks(staging)))
+            try:
+                save_dq_report(store, report, report_dir, _now())
+                if gate:
+                    quality.enforce_gate(report, gate_threshold)  # Q8 (scheduled job only)
+                return report.select("total_checks", "passed", "overall_score").first().asDict()
+            finally:
+                drop_checkpoint(report)
+        if step == "transform":
+            return run_all_transformations(store, as_of, incremental)
+        if step == "train":
+            return anomaly_jobs.train_and_save(spark, store, model_dir, n_trees=n_trees)
+        return anomaly_jobs.run_inference(spark, store, model_dir, detection_date=as_of)
+
     try:
         ensure_tables(store)
         for step in STEPS:
             if step not in steps:
                 continue
-            if step == "generate":
-                out["generate"] = gen.generate_all(spark, raw_dir, scale=scale, as_of=str(as_of))
-            elif step == "ingest":
-                res = ingest.ingest_all(spark, raw_dir, store, quarantine_dir, _now())
-                processed = sum(r["records_loaded"] for r in res)
-                failed = sum(r["records_quarantined"] for r in res)
-                out["ingest"] = res
-            elif step == "validate":
-                staging = {t: store.read(t) for t in STAGING_TABLE.values() if store.exists(t)}
-                report = reliable_checkpoint(quality.dq_report(quality.run_checks(staging)))
-                try:
-                    save_dq_report(store, report, report_dir, _now())
-                    out["validate"] = report.select("total_checks", "passed", "overall_score").first().asDict()
-                    if gate:
-                        quality.enforce_gate(report, gate_threshold)  # Q8 (scheduled job only)
-                finally:
-                    drop_checkpoint(report)
-            elif step == "transform":
-                out["transform"] = run_all_transformations(store, as_of, incremental)
-            elif step == "train":
-                out["train"] = anomaly_jobs.train_and_save(spark, store, model_dir, n_trees=n_trees)
-            elif step == "infer":
-                out["infer"] = anomaly_jobs.run_inference(spark, store, model_dir, detection_date=as_of)
+            needs = inputs(step)
+            result = ledger.done(step, needs) if resume else None
+            if result is not None:
+                out["skipped"].append(step)
+            else:
+                result = work(step)
+                ledger.record(step, needs, OUTPUTS[step], json.loads(json.dumps(result, default=str)))
+            out[step] = result
+            if step == "ingest":
+                processed = sum(r["records_loaded"] for r in result)
+                failed = sum(r["records_quarantined"] for r in result)
     except Exception:
         status = "failed"
         log.exception("pipeline failed")

@@ -46,6 +46,39 @@ def test_full_run_on_a_landing_of_the_given_tables(spark, tmpdir_path):
     assert store.read("pipeline_runs").first()["status"] == "success"
 
 
+def test_a_run_that_failed_goes_on_where_it_failed(spark, tmpdir_path, monkeypatch):
+    """Fails in train; the next run skips what is done and gives what an undisturbed run gives."""
+    from careflow.plans import anomaly_jobs
+    from careflow.plans.landing import raw_tables
+    from careflow.sources.csv import write_csv
+    from tests.conftest import SF_SMALL
+    raw = f"{tmpdir_path}/raw"
+    for name, df in raw_tables(spark, SF_SMALL).items():
+        write_csv(df, f"{raw}/{name}.csv")
+    named = {"as_of": dt.date(2025, 1, 1), "n_trees": 10, "raw_dir": raw, "resume": True}
+    whole = full_run.run(spark, f"{tmpdir_path}/whole", **named)
+    assert whole["skipped"] == []
+    train = anomaly_jobs.train_and_save
+    monkeypatch.setattr(anomaly_jobs, "train_and_save", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        full_run.run(spark, f"{tmpdir_path}/broken", **named)
+    monkeypatch.setattr(anomaly_jobs, "train_and_save", train)
+    store, other = (TableStore(spark, f"{tmpdir_path}/{n}/tables") for n in ("broken", "whole"))
+    before = store.current("fact_prescription")
+    out = full_run.run(spark, f"{tmpdir_path}/broken", **named)
+    assert out["skipped"] == ["ingest", "validate", "transform"] and store.current("fact_prescription") == before
+    for t in (*full_run.WAREHOUSE, "anomaly_results"):
+        rows = [sorted(map(str, s.read(t).drop("ingested_at").collect())) for s in (store, other)]
+        assert rows[0] == rows[1], t
+    assert [out[s] for s in ("transform", "infer")] == [whole[s] for s in ("transform", "infer")]
+    assert full_run.run(spark, f"{tmpdir_path}/broken", **named)["skipped"] == full_run.DEFAULT_STEPS
+    again = full_run.run(spark, f"{tmpdir_path}/broken", **{**named, "n_trees": 12})
+    assert again["skipped"] == ["ingest", "validate", "transform"]
+    store.write(store.read("fact_prescription").limit(50), "fact_prescription")     # somebody replaced a table
+    assert full_run.run(spark, f"{tmpdir_path}/broken", **named)["skipped"] == ["ingest", "validate"]
+    assert sorted(r["status"] for r in store.read("pipeline_runs").collect()) == ["failed", *["success"] * 4]
+
+
 def test_failed_gate_is_logged(spark, tmpdir_path):
     with pytest.raises(ValueError):
         full_run.run(spark, tmpdir_path, steps=["generate", "ingest", "validate"], scale=0.01,
