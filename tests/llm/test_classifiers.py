@@ -117,3 +117,76 @@ def test_quality_of_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (7, 5, 0), (None, 1, 0), (41, None, 0)],
                                    "doc_id long, quality int, toxic int")
     assert quality.fit_on_tables(odd_docs, labels, F.lit(True)).dictionaries is None
+
+
+def plain_kneser_ney(texts_by_language, wanted):
+    """Cross-entropies by dictionaries of strings, one language at a time."""
+    from collections import Counter, defaultdict
+    folded = lambda t: "".join(map(chr, language_id.fold([t])[0]))
+    corpora = [[folded(t) for t in texts] for texts in texts_by_language]
+    size = len({c for corpus in corpora for t in corpus for c in t}) + 1
+    d, top = language_id.DISCOUNT, language_id.ORDER
+    out = []
+    for corpus in corpora:
+        raw = {n: Counter(t[i:i + n] for t in corpus for i in range(len(t) - n + 1)) for n in range(1, top + 1)}
+        counts = {top: dict(raw[top])}
+        for n in range(1, top):     # different characters before; those that only begin texts have none
+            before = defaultdict(set)
+            for g in raw[n + 1]:
+                before[g[1:]].add(g[0])
+            counts[n] = {g: max(len(before[g]), 1e-9) for g in raw[n]}
+        totals, kinds = defaultdict(float), Counter()
+        for n in range(1, top + 1):
+            for g, c in counts[n].items():
+                totals[n, g[:-1]] += c
+                kinds[n, g[:-1]] += 1
+
+        def p(gram):
+            n, context = len(gram), gram[:-1]
+            if n == 1:
+                spare = min(1.0, d * kinds[1, ""] / max(totals[1, ""], 1.0)) or 1.0
+                return spare / size + max(counts[1].get(gram, 0) - d, 0) / max(totals[1, ""], 1.0)
+            if (n, context) not in kinds:
+                return p(gram[1:])
+            left = min(1.0, d * kinds[n, context] / totals[n, context])
+            return max(counts[n].get(gram, 0) - d, 0) / totals[n, context] + left * p(gram[1:])
+
+        out.append([])
+        for text in map(folded, wanted):
+            grams = [text[max(0, i - top + 1):i + 1] for i in range(1, len(text))]
+            out[-1].append(-sum(np.log(p(g)) for g in grams) / max(1, len(grams)))
+    return np.array(out).T
+
+
+def test_cross_entropies_against_dictionaries(spark):
+    rows = spark.read.parquet(f"{SF_CHECK}/documents.parquet").filter("length(text) between 50 and 600").orderBy("doc_id").collect()
+    languages = ["de", "en", "es", "fr"]
+    train = [[r["text"] for r in rows if r["lang"] == lang][:12] for lang in languages]
+    wanted = [r["text"] for r in rows[-25:]] + ["Совершенно другой текст", "a", "the QUICK brown — fox"]
+    orders, unseen = language_id.fit_orders(train)
+    got, _, _ = language_id.cross_entropies(wanted, orders, unseen)
+    assert np.allclose(got, plain_kneser_ney(train, wanted), atol=1e-4)
+
+
+def test_quality_score_against_a_direct_computation(spark):
+    import zstandard
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    marked = spark.read.parquet(f"{SF_CHECK}/labels.parquet")
+    model = quality.fit_on_tables(docs, marked, ~quality.held_out("doc_id", 5, 0))
+    rows = {r["doc_id"]: r["text"] for r in docs.orderBy("doc_id").limit(150).collect()}
+    got = {r["doc_id"]: r["score"] for r in quality.score(docs, model).collect()}
+    for i, text in rows.items():
+        raw = (text or "").encode()
+        if not raw:
+            assert got[i] == model.prior
+            continue
+        sizes = []
+        for data, trained in zip(model.dictionaries, model.trained, strict=True):
+            kind = zstandard.DICT_TYPE_FULLDICT if trained else zstandard.DICT_TYPE_RAWCONTENT
+            packer = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(data, dict_type=kind), level=quality.LEVEL,
+                                              write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes.append(sum(len(packer.compress(raw[k:k + 1024])) for k in range(0, len(raw), 1024)))
+        gain, size = (sizes[0] - sizes[1]) / len(raw), np.log1p(len(raw))
+        x = [1.0, gain, gain * size, size]
+        z = sum(w * (v - m) / s for w, v, m, s in zip(model.weights, x, model.mean, model.scale, strict=True))
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-z)), abs=2e-2)
