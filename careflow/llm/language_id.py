@@ -35,6 +35,8 @@ DISCOUNT = 0.75
 #: Prediction always reads whole texts.
 SAMPLE_PER_LANGUAGE = 800
 SAMPLE_CHARS = 3000
+#: Languages that are learned at most.
+MAX_LANGUAGES = 200
 #: Lengths of the stretches of unseen texts that calibrate, and how many of each a text gives.
 STRETCHES, STRETCHES_PER_TEXT = (8, 15, 30, 60, 120, 400, 3000), 4
 #: Quantile of unseen cross-entropies that is the ceiling, the same of the normal
@@ -293,12 +295,16 @@ def _ceiling(own: np.ndarray, n: np.ndarray) -> tuple[float, float] | None:
 
 
 def fit_on_table(docs: DataFrame, train: Column, key: str = "doc_id",
-                 per_language: int = SAMPLE_PER_LANGUAGE, chars: int = SAMPLE_CHARS) -> LanguageModels | None:
+                 per_language: int = SAMPLE_PER_LANGUAGE, chars: int = SAMPLE_CHARS,
+                 max_languages: int = MAX_LANGUAGES) -> LanguageModels | None:
     """Fit on at most ``per_language`` documents of each language, those with the
     smallest hash of the key among the rows for which ``train`` holds and text,
-    lang and key are not null.  The number of languages is taken to be small."""
+    lang and key are not null; of rows with one language and key, on the one with
+    the least text.  Of more than ``max_languages`` languages those with the most
+    documents are learned (then by name), so a dirty column bounds the models."""
     known = docs.filter(train & F.col("lang").isNotNull() & F.col(key).isNotNull())
-    n = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    n = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n"))
+         .orderBy(F.col("n").desc(), "lang").limit(max_languages).collect()}  # one row a language
     if not n:
         return None
     # a hash threshold draws about a third more rows than the bound, then the bound cuts
@@ -310,7 +316,7 @@ def fit_on_table(docs: DataFrame, train: Column, key: str = "doc_id",
     begin = F.pmod(draw, F.greatest(F.length("text") - chars, F.lit(0)) + 1).cast("int") + 1
     rows = known.filter((draw < share) & F.col("text").isNotNull()).select(
         "lang", F.substring(F.col("text"), begin, F.lit(chars)).alias("text"), draw.alias("draw"),
-        F.col(key).alias("key")).collect()
+        F.col(key).alias("key")).groupBy("lang", "draw", "key").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (r["draw"], r["key"], r["text"]))
     used = dict.fromkeys(n, 0)
     texts, langs = [], []

@@ -125,7 +125,7 @@ def fit_on_tables(docs: DataFrame, labels: DataFrame, train: Column, key: str =
     """Fit on at most ``per_class`` labelled documents of each class, those with
     the smallest hash of the key among the labels for which ``train`` holds.
     Labels other than 0 and 1, null keys and texts are left out; of repeated
-    labels of a key the smallest counts."""
+    labels of a key the smallest counts, of its texts the least."""
     known = (labels.filter(F.col("quality").isin(0, 1) & F.col(key).isNotNull() & train)
              .groupBy(key).agg(F.min("quality").cast("int").alias("quality")))
     n = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}  # two rows
@@ -140,7 +140,7 @@ def fit_on_tables(docs: DataFrame, labels: DataFrame, train: Column, key: str =
     rows = (docs.select(key, "text").join(F.broadcast(chosen), key).filter(F.col("text").isNotNull())
             .select("quality", F.substring(F.col("text"), begin, F.lit(chars)).alias("text"), draw.alias("draw"),
                     F.col(key).alias("key"))
-            .dropDuplicates(["key"]).collect())  # 2 * per_class rows of `chars` code points at most
+            .groupBy("key", "draw", "quality").agg(F.min("text").alias("text")).collect())  # 2 * per_class rows of `chars` code points at most
     rows.sort(key=lambda r: (r["draw"], r["key"]))
     return fit([r["text"] for r in rows], [r["quality"] for r in rows], prior)
 

@@ -190,3 +190,17 @@ def test_quality_score_against_a_direct_computation(spark):
         x = [1.0, gain, gain * size, size]
         z = sum(w * (v - m) / s for w, v, m, s in zip(model.weights, x, model.mean, model.scale, strict=True))
         assert got[i] == pytest.approx(1 / (1 + np.exp(-z)), abs=2e-2)
+
+
+def test_samples_are_bounded_and_repeatable(spark):
+    """A dirty language column, a key with many texts: the models learn from bounded, repeatable samples."""
+    rows = [(i, f"some english words of document {i} and the sea", "en") for i in range(40)]
+    rows += [(i, f"einige deutsche wörter im dokument {i} und die see", "de") for i in range(40, 70)]
+    rows += [(1000, f"text {i} of one key", "en") for i in range(300)] + [(2000 + i, f"dirt {i}", f"x{i}") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = [language_id.fit_on_table(docs.repartition(k), F.lit(True), max_languages=2) for k in (2, 7)]
+    assert models[0].languages == ("de", "en")
+    assert all(np.array_equal(a.log_p, b.log_p) for a, b in zip(models[0].orders, models[1].orders, strict=True))
+    labels = docs.select("doc_id", F.when(F.col("doc_id") < 40, 1).otherwise(0).alias("quality")).distinct()
+    fits = [quality.fit_on_tables(docs.repartition(k), labels, F.lit(True)) for k in (2, 7)]
+    assert fits[0] == fits[1]
