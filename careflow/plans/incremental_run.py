@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import incremental, warehouse
+from ..operators import incremental, kpi_state, warehouse
 from ..session import drop_checkpoint, reliable_checkpoint
 from ..sources.buckets import BucketStore, Commit
 
@@ -47,11 +47,13 @@ def _changed_facts(commit: Commit, name: str, index: str, key: str, ids: DataFra
     return places.select("patient_id").distinct()
 
 
-def run(store: BucketStore, sources: dict[str, DataFrame], column: str = "ingested_at", keep: int = 2) -> dict:
+def run(store: BucketStore, sources: dict[str, DataFrame], column: str = "ingested_at", keep: int = 2,
+        kpis: bool = False) -> dict:
     """One load of all that is new.  ``sources``: staged ``prescriptions``,
     ``diagnoses``, ``patients`` (any of them), append-only, stamped by ``column``;
     rows stamped like the mark or before are taken as loaded, rows without a stamp
-    are left.  Returns the number
+    are left.  ``kpis``: the state of the KPIs (``operators/kpi_state.py``) is kept too;
+    the first run with it builds it from the whole tables.  Returns the number
     of new rows of each source, the touched buckets of each table, and the commit."""
     unknown = set(sources) - {"prescriptions", "diagnoses", "patients"}
     if unknown:
@@ -79,6 +81,11 @@ def run(store: BucketStore, sources: dict[str, DataFrame], column: str = "ingest
                   None if rx_touched is None else reliable_checkpoint(rx_touched))
     if counts.get("patients"):
         _patients(commit, fresh["patients"], column)
+    if kpis:
+        moved = [] if rx_touched is None else [rx_touched]
+        if counts.get("patients"):
+            moved.append(fresh["patients"].select("patient_id").distinct())
+        _kpis(commit, moved)
     for name, rows in fresh.items():
         commit.marks[name] = incremental.mark_text(rows, column) or commit.marks.get(name)
     number = commit.publish()
@@ -121,3 +128,40 @@ def _patients(commit: Commit, arrived: DataFrame, column: str) -> None:
         history = None
     spliced = incremental.scd2_splice(history, changes, "patient_id", PATIENT_ATTRIBUTES)
     commit.upsert(name, spliced, "patient_id", keys=changes)
+
+
+def _kpis(commit: Commit, moved: list[DataFrame]) -> None:
+    """What the load changes, computed for the touched patients from the
+    tables as they were and as they are; one new part of each state table."""
+    tables = ["fact_prescription", "therapy_switches", "dim_patient"]
+    first = not commit.has("kpi_counts")
+    if not all(map(commit.has, tables)) or not (moved or first):
+        return      # no KPI before all three tables exist
+    who = None
+    if not first:
+        patients = moved[0]
+        for more in moved[1:]:
+            patients = patients.unionByName(more)
+        who = reliable_checkpoint(patients.distinct())
+
+    def of(name: str, read) -> DataFrame:
+        if who is None:
+            return read(name)
+        return _of_patients(read(name, commit.touched(name, who, "patient_id")), who)
+
+    after = reliable_checkpoint(kpi_state.contributions(*(of(name, commit.read) for name in tables)))
+    before = after.limit(0) if first else reliable_checkpoint(kpi_state.contributions(*(of(name, commit.base_table) for name in tables)))
+    changed = reliable_checkpoint(kpi_state.change(before, after))
+    commit.append("kpi_counts", kpi_state.count_changes(changed), kpi_state.merged_counts)
+    commit.append("kpi_physicians", kpi_state.physician_changes(changed), kpi_state.physician_changes)
+    toggles = reliable_checkpoint(kpi_state.toggled(before, after))
+    numbers = "patient_number"
+    slices = commit.touched(numbers, toggles, "patient_id")
+    known = commit.read(numbers, slices) if commit.has(numbers) else toggles.limit(0).select(
+        "patient_id", F.lit(0).alias("slice"), F.lit(0).cast("long").alias("position"))
+    fresh = reliable_checkpoint(kpi_state.new_numbers(toggles, known, commit.slice_of(numbers, F.col("patient_id"))))
+    commit.append("kpi_members", kpi_state.member_changes(toggles, known.unionByName(fresh)), kpi_state.merged_members)
+    commit.upsert(numbers, fresh, "patient_id")
+    for table in (after, before, changed, toggles, fresh, who):
+        if table is not None:
+            drop_checkpoint(table)

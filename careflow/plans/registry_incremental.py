@@ -16,7 +16,10 @@ from ..sources.buckets import BucketStore
 from ..sources.fixtures import _view
 from . import incremental_run
 from .domain import DomainTables
-from .registry import ORACLE, _inc_source, _inc_target, _landing, _scd_current, register
+from ..operators import kpi_state
+from ..operators.kpis import DashboardFilter
+from .registry import (ORACLE, REGION, TEST_AREAS, TEST_REGIONS, THERAPY, _dash_sql, _inc_source, _inc_target, _landing,
+                       _scd_current, register)
 
 
 def _store(t: DomainTables, name: str) -> BucketStore:
@@ -63,6 +66,7 @@ ORACLE["i4_stream_touched_buckets"] = ORACLE["i4_stream_upsert_prescriptions"]
 RESENT, SPOILED = "1999-06-01 00:00:00", "1999-06-02 00:00:00"
 #: Instants at which the job runs; the last run sees everything.
 RUNS = ["1995-01-01 00:00:00", "1997-06-30 00:00:00", None]
+MOVED_TO = "AMERICA"
 _RX = ["prescription_id", "patient_id", "physician_id", "drug_name", "prescription_date", "quantity", "refills", "therapy_area"]
 
 
@@ -97,15 +101,24 @@ _view("dx_arrivals", """
   WHERE _rn = 1""", "inc_source")
 
 
-def _loaded(t: DomainTables, *names: str) -> BucketStore:
+def patient_arrivals(t: DomainTables) -> DataFrame:
+    """Stand-in input: every patient comes once, those of one segment once more from another region."""
+    rows = t.patients_stage.withColumn("ingested_at", F.lit("1994-01-01 00:00:00").cast("timestamp_ntz"))
+    moved = rows.filter(F.col("gender") == "MACHINERY").withColumn("region", F.lit(MOVED_TO)).withColumn(
+        "ingested_at", F.lit("1997-01-15 00:00:00").cast("timestamp_ntz"))
+    return rows.unionByName(moved)
+
+
+def _loaded(t: DomainTables, *names: str, kpis: bool = False) -> BucketStore:
     """The store after a run of the job at each instant of ``RUNS``."""
     store = _store(t, "job")
-    sources = {"prescriptions": rx_arrivals(t), "diagnoses": _inc_source(t)}
+    sources = {"prescriptions": rx_arrivals(t), "diagnoses": _inc_source(t), "patients": patient_arrivals(t)}
     dx_until = ["2024-01-10 00:00:00", "2024-02-01 00:00:00", None]
     for i, until in enumerate(RUNS):
-        limits = {"prescriptions": until, "diagnoses": dx_until[i]}
+        limits = {"prescriptions": until, "diagnoses": dx_until[i], "patients": until}
         incremental_run.run(store, {n: sources[n] if limits[n] is None else
-                                    sources[n].filter(F.col("ingested_at") < F.lit(limits[n]).cast("timestamp_ntz")) for n in names})
+                                    sources[n].filter(F.col("ingested_at") < F.lit(limits[n]).cast("timestamp_ntz")) for n in names},
+                            kpis=kpis)
     return store
 
 
@@ -141,6 +154,73 @@ def _t6_incremental(t):
     return _loaded(t, "prescriptions").read("therapy_switches")
 
 
+# ----------------------------------------------------------------- KPIs of the job
+_view("dim_arrivals", f"""
+  SELECT * REPLACE (CASE WHEN gender = 'MACHINERY' THEN '{MOVED_TO}' ELSE region END AS region) FROM dim_patient""", "dim_patient")
+_view("switch_arrivals", """
+  SELECT patient_id, from_drug, drug_name AS to_drug, therapy_area FROM (
+    SELECT *, lag(drug_name) OVER w AS from_drug, row_number() OVER w AS _rn
+    FROM fact_arrivals WHERE patient_id IS NOT NULL
+    WINDOW w AS (PARTITION BY patient_id ORDER BY prescription_date, prescription_id))
+  WHERE _rn > 1 AND from_drug IS DISTINCT FROM drug_name""", "fact_arrivals")
+_KPI_VIEWS = ("dim_arrivals", "fact_arrivals", "switch_arrivals", "anomalies")
+_FILTERED = DashboardFilter(REGION, THERAPY, TEST_REGIONS, TEST_AREAS)
+_IN_REGION = DashboardFilter(REGION, "All", TEST_REGIONS, TEST_AREAS)
+
+
+def _kpi_tables(t: DomainTables) -> dict[str, DataFrame]:
+    """The KPI state after three incremental runs."""
+    store = _loaded(t, "prescriptions", "patients", kpis=True)
+    return {name: store.read(f"kpi_{name}") for name in ("counts", "members", "physicians")}
+
+
+def _over_arrivals(sql: str) -> str:
+    for old, new in [("dim_patient", "dim_arrivals"), ("fact_rx", "fact_arrivals"), ("switches ts", "switch_arrivals ts")]:
+        sql = sql.replace(old, new)
+    return sql
+
+
+@register("k1_switch_rate_incremental", """
+  SELECT s.therapy_area, s.n AS patients_switched, ROUND(s.n * 100.0 / f.n, 2) AS switch_rate
+  FROM (SELECT therapy_area, COUNT(DISTINCT patient_id) AS n FROM switch_arrivals GROUP BY therapy_area) s
+  LEFT JOIN (SELECT therapy_area, COUNT(DISTINCT patient_id) AS n FROM fact_arrivals GROUP BY therapy_area) f USING (therapy_area)
+  ORDER BY switch_rate DESC, therapy_area""", ("fact_arrivals", "switch_arrivals"))
+def _k1_incremental(t):
+    """K1 from the bitmaps that three incremental runs left."""
+    state = _kpi_tables(t)
+    return kpi_state.switch_rate(state["members"], state["counts"])
+
+
+@register("a7_totals_incremental", """
+  SELECT (SELECT COUNT(*) FROM dim_arrivals) AS total_patients, (SELECT COUNT(*) FROM fact_arrivals) AS total_prescriptions,
+         (SELECT COUNT(*) FROM switch_arrivals) AS total_therapy_switches,
+         (SELECT COUNT(*) FROM anomalies) AS total_anomalies_detected""", _KPI_VIEWS)
+def _a7_incremental(t):
+    """A7 from the counts that three incremental runs left."""
+    return kpi_state.global_totals(_kpi_tables(t)["counts"], t.anomaly_results)
+
+
+_CARDS = ["d2_patient_card", "d3_rx_card", "d4_switch_card", "d5_anomaly_card"]
+
+
+@register("d2_d5_cards_incremental", " UNION ALL ".join(
+    f"SELECT '{name}' AS card, cnt FROM ({_over_arrivals(_dash_sql(REGION, THERAPY)[name])})" for name in _CARDS), _KPI_VIEWS)
+def _cards_incremental(t):
+    """The cards D2 to D5 under both filters from the state that three incremental runs left."""
+    state = _kpi_tables(t)
+    cards = [kpi_state.patient_card(state["members"], _FILTERED), kpi_state.rx_card(state["counts"], _FILTERED),
+             kpi_state.switch_card(state["counts"], _FILTERED),
+             kpi_state.anomaly_card(state["physicians"], t.anomaly_results, _FILTERED)]
+    named = [card.select(F.lit(name).alias("card"), "cnt") for name, card in zip(_CARDS, cards, strict=True)]
+    return named[0].unionByName(named[1]).unionByName(named[2]).unionByName(named[3])
+
+
+@register("d6_rx_by_therapy_incremental", _over_arrivals(_dash_sql(REGION, None)["d6_rx_by_therapy"]), _KPI_VIEWS)
+def _d6_incremental(t):
+    """D6 of one region from the counts that three incremental runs left."""
+    return kpi_state.rx_volume_by_therapy(_kpi_tables(t)["counts"], _IN_REGION)
+
+
 # ----------------------------------------------------------------- T5, T6: the path of very long journeys
 @register("t5_journey_in_slices", "SELECT * FROM journey", ("journey",))
 def _t5_slices(t):
