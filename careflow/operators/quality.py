@@ -110,8 +110,8 @@ def _row(c: Check, passed: Column, score: Column, details: Column) -> Column:
                     score.cast("double").alias("score"), details.alias("details"))
 
 
-def _missing_row(c: Check, reason: str) -> Column:
-    return _row(c, F.lit(False), F.lit(0.0), F.lit(reason))
+def _missing_row(c: Check, reason: str | Column) -> Column:
+    return _row(c, F.lit(False), F.lit(0.0), reason if isinstance(reason, Column) else F.lit(reason))
 
 
 def _table_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
@@ -146,10 +146,16 @@ def _table_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
             aggs[f"_std{i}"] = F.stddev_samp(v)
     one = df.agg(*[e.alias(k) for k, e in aggs.items()])
     one = one.withColumns({f"_c{i}": e for i, e in unique.items()}) if unique else one
+    return _judge(one, checks, set(types))
+
+
+def _judge(one: DataFrame, checks: list[Check], columns: set[str]) -> DataFrame:
+    """Check rows of one table from one row of counts: ``_total``, and by the check's
+    place ``_c`` (present or distinct), ``_n`` / ``_lo`` / ``_hi`` / ``_mean`` / ``_std``."""
     total = F.col("_total")
     rows = []
     for i, c in enumerate(checks):
-        if c.column is not None and c.column not in types:
+        if c.column is not None and c.column not in columns:
             rows.append(_missing_row(c, f"Column {c.column} not found in {c.table}"))
             continue
         if c.check_type == "completeness":
@@ -185,6 +191,11 @@ def _ri_check(child: DataFrame, parent: DataFrame, c: Check) -> DataFrame:
     # one pass: distinct child values left-joined to distinct parent values
     counted = (kids.join(parents, "_v", "left")
                .agg(F.count(F.lit(1)).alias("_kids"), F.count_if(F.col("_found").isNull()).alias("_orph")))
+    return _judge_ri(counted, c)
+
+
+def _judge_ri(counted: DataFrame, c: Check) -> DataFrame:
+    """The check row from one row of ``_kids`` (distinct values) and ``_orph`` (those without a parent)."""
     n_kids, n_orph = F.col("_kids"), F.col("_orph")
     score = F.when(n_kids > 0, F.lit(1.0) - n_orph.cast("double") / n_kids.cast("double")).otherwise(F.lit(1.0))
     return counted.select(F.inline(F.array(_row(

@@ -14,12 +14,13 @@ from ..session import scratch_path
 from ..sources import fixtures
 from ..sources.buckets import BucketStore
 from ..sources.fixtures import _view
-from . import incremental_run
+from . import incremental_run, quality_run
 from .domain import DomainTables
 from ..operators import kpi_state
 from ..operators.kpis import DashboardFilter
-from .registry import (ORACLE, REGION, TEST_AREAS, TEST_REGIONS, THERAPY, _dash_sql, _inc_source, _inc_target, _landing,
-                       _scd_current, register)
+from .oracle_quality import suite_sql
+from .registry import (_STG_VIEW, _STG_VIEWS, ORACLE, REGION, TEST_AREAS, TEST_REGIONS, THERAPY, _dash_sql, _inc_source,
+                       _inc_target, _landing, _scd_current, _staging, _suite, register)
 
 
 def _store(t: DomainTables, name: str) -> BucketStore:
@@ -221,6 +222,32 @@ def _d6_incremental(t):
     return kpi_state.rx_volume_by_therapy(_kpi_tables(t)["counts"], _IN_REGION)
 
 
+# ----------------------------------------------------------------- Q1-Q6 by load
+#: Stand-in input: every staged row is stamped with a day of its own; loads end before these days.
+_STAMPED_BY = {"stg_prescriptions": "prescription_date", "stg_diagnoses": "diagnosis_date", "stg_claims": "claim_date",
+               "stg_patients": "enrollment_date", "stg_physicians": None}
+_LOADS = {"stg_prescriptions": ["1994-06-01", "1996-06-01"], "stg_diagnoses": ["2024-01-10", "2024-02-01"],
+          "stg_claims": ["1993-01-01", "1998-01-01"], "stg_patients": ["2015-06-01", "2015-12-01"],
+          "stg_physicians": ["2000-01-01", "2000-01-02"]}
+
+
+def _stamped(rows: DataFrame, day: str | None) -> DataFrame:
+    stamp = F.lit("1970-01-01") if day is None else F.coalesce(F.col(day).cast("string"), F.lit("1970-01-01"))
+    stamp = F.coalesce(F.try_to_timestamp(stamp, F.lit("yyyy-MM-dd")).cast("timestamp_ntz"), F.lit("1970-01-01").cast("timestamp_ntz"))
+    return rows.withColumn("ingested_at", stamp)
+
+
+@register("q6_suite_by_load", suite_sql(_suite(), _STG_VIEW), _STG_VIEWS)
+def _q6_by_load(t):
+    """The 16 checks from the profiles of three loads equal those over the whole tables."""
+    store = _store(t, "dq")
+    tables = {name: _stamped(rows, _STAMPED_BY[name]) for name, rows in _staging(t).items()}
+    for i in range(3):
+        quality_run.run(store, {name: rows if i == 2 else rows.filter(F.col("ingested_at") < F.lit(_LOADS[name][i]).cast("timestamp_ntz"))
+                                for name, rows in tables.items()})
+    return quality_run.suite(store).withColumn("score", F.round("score", 6))
+
+
 # ----------------------------------------------------------------- T5, T6: the path of very long journeys
 @register("t5_journey_in_slices", "SELECT * FROM journey", ("journey",))
 def _t5_slices(t):
