@@ -639,7 +639,7 @@ def _t8(t):
 import datetime as _dt  # noqa: E402
 import uuid as _uuid  # noqa: E402
 
-from ..schemas import RAW_COLUMNS as _RAW_COLUMNS, STAGING_TABLE as _STAGING_TABLE  # noqa: E402
+from ..schemas import KEYS as _KEYS, RAW_COLUMNS as _RAW_COLUMNS, STAGING_TABLE as _STAGING_TABLE  # noqa: E402
 from ..session import scratch_path as _scratch  # noqa: E402
 from ..sources import tables as _tables  # noqa: E402
 from ..sources.csv import read_raw_csv as _read_raw_csv, write_csv as _write_csv  # noqa: E402
@@ -704,25 +704,38 @@ def _s6c(t):
     return _ingested(t, "s6", "claims")[0].read("stg_claims").drop("ingested_at")
 
 
+_fx._view("dx_raw", """
+  SELECT CAST(diagnosis_id AS VARCHAR) AS diagnosis_id, CAST(patient_id AS VARCHAR) AS patient_id, icd_code,
+         CAST(diagnosis_date AS VARCHAR) AS diagnosis_date, 'none-known' AS physician_id, severity FROM dx_stage""", "dx_stage")
+_fx._view("patients_raw", """
+  SELECT CAST(patient_id AS VARCHAR) AS patient_id, CASE WHEN gender IN ('BUILDING', 'MACHINERY') THEN 'M' ELSE 'F' END AS gender,
+         date_of_birth, region, enrollment_date FROM patients_stage""", "patients_stage")
+_fx._view("physicians_raw", """
+  SELECT CAST(physician_id AS VARCHAR) AS physician_id, specialty, region, CAST(years_experience AS VARCHAR) AS years_experience
+  FROM physicians_stage""", "physicians_stage")
+_RAW_VIEW = {"prescriptions": "rx_raw", "claims": "claims_raw", "diagnoses": "dx_raw", "patients": "patients_raw",
+             "physicians": "physicians_raw"}
+
+
 def _tally_sql(dataset: str) -> str:
-    _, view, key = _RAW[dataset]
     return f"""SELECT '{dataset}' AS dataset, COUNT(*) FILTER (WHERE _validation_error IS NULL) AS records_valid,
       COUNT(*) FILTER (WHERE _validation_error IS NOT NULL) AS records_invalid,
-      COUNT(DISTINCT {key}) FILTER (WHERE _validation_error IS NULL) AS records_loaded
-      FROM ({validated_sql(dataset, view)})"""
+      COUNT(*) FILTER (WHERE _validation_error IS NOT NULL) AS records_quarantined,
+      COUNT(DISTINCT {_KEYS[dataset]}) FILTER (WHERE _validation_error IS NULL) AS records_loaded
+      FROM ({validated_sql(dataset, _RAW_VIEW[dataset])})"""
 
 
-@register("s7_ingest_all", " UNION ALL ".join(_tally_sql(d) for d in _RAW), tuple(v for _, v, _ in _RAW.values()))
+@register("s7_ingest_all", " UNION ALL ".join(_tally_sql(d) for d in _RAW_VIEW), tuple(_RAW_VIEW.values()))
 def _s7(t):
-    """All datasets that the landing holds, one run; the others are left out."""
+    """The five datasets of a landing folder, one run."""
     from .ingest import ingest_all
+    from .landing import write_landing
     root = _root(t, "s7")
-    for dataset in _RAW:
-        _landing(t, root, dataset)
+    write_landing(t.spark, t.sf_dir, f"{root}/raw")
     done = ingest_all(t.spark, f"{root}/raw", _tables.TableStore(t.spark, f"{root}/tables"), f"{root}/quarantine", _STAMP)
-    return t.spark.createDataFrame(
-        [(r["dataset_type"], r["records_valid"], r["records_invalid"], r["records_loaded"]) for r in done],
-        "dataset string, records_valid long, records_invalid long, records_loaded long")
+    names = ["dataset_type", "records_valid", "records_invalid", "records_quarantined", "records_loaded"]
+    return t.spark.createDataFrame([tuple(r[n] for n in names) for r in done],
+                                   "dataset string, " + ", ".join(f"{n} long" for n in names[1:]))
 
 
 @register("s8_staging_write", "SELECT * EXCLUDE (ingested_at) FROM inc_source QUALIFY row_number() OVER ("
