@@ -161,3 +161,15 @@ def test_property_previous_and_keep_last(spark, rows, hot):
     want = {(None if pd.isna(k) else int(k)): g.sort_values(["v", "tie"]).iloc[-1]["tie"]
             for k, g in pdf.groupby("k", dropna=False)}
     assert kl == want
+
+
+def test_slices_are_many_and_partitions_few(spark):
+    """Small slices do not ask for a partition each; every large group is cut, in order."""
+    from careflow.functions.ordering import _sliced
+    df = spark.range(20000).selectExpr("id % 100 AS g", "id AS d")
+    out = _sliced(df, "g", [F.col("d")], 20000, 10)
+    slices = out.groupBy("g", "_sl").agg(F.count("*").alias("n"), F.min("d").alias("low"), F.max("d").alias("high")).toPandas()
+    assert slices.n.max() <= 5 and slices.groupby("g").size().min() >= 40
+    for _, g in slices.sort_values("_sl").groupby("g"):
+        assert (g.high.shift().dropna().values < g.low.iloc[1:].values).all()
+    assert out.select(F.shiftright("_sl", 33).alias("p")).distinct().count() <= 2
