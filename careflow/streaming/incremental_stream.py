@@ -19,6 +19,7 @@ again changes nothing.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,11 +141,22 @@ def start(spark: SparkSession, landing_dir: str, dataset: str, store: TableStore
     return w.start()
 
 
+def files_per_batch(spark: SparkSession, landing_dir: str, least: int, most_batches: int) -> int:
+    """Files of a micro-batch so that those which lie in the folder take ``most_batches`` at most."""
+    waiting = len(spark.read.text(landing_dir).inputFiles())
+    return max(least, math.ceil(waiting / most_batches))
+
+
 def run_available(spark: SparkSession, landing_dir: str, dataset: str, store: TableStore | BucketStore,
                   quarantine_root: str, checkpoint: str, max_files_per_trigger: int | None = None,
-                  multiline: bool = False) -> DataFrame:
+                  multiline: bool = False, most_batches: int | None = None) -> DataFrame:
     """Process every file that is there now (in batches of at most
-    ``max_files_per_trigger`` files), then return the target table."""
+    ``max_files_per_trigger`` files), then return the target table.  A batch whose
+    keys lie anywhere rewrites the whole table, so many small batches of a large
+    backlog cost its square: with ``most_batches`` the batches take more files where
+    there would be more batches than that."""
+    if max_files_per_trigger and most_batches:
+        max_files_per_trigger = files_per_batch(spark, landing_dir, max_files_per_trigger, most_batches)
     q = start(spark, landing_dir, dataset, store, quarantine_root, checkpoint, available_now=True,
               max_files_per_trigger=max_files_per_trigger, multiline=multiline)
     q.awaitTermination()

@@ -237,6 +237,16 @@ def test_stream_order_of_files_and_replays(spark, tmpdir_path):
     assert store.head()["tables"]["stg_physicians"]["parts"] == after
 
 
+def test_a_large_backlog_takes_few_batches(spark, tmpdir_path):
+    land = f"{tmpdir_path}/landing"
+    store = BucketStore(spark, f"{tmpdir_path}/tables", buckets=2)
+    for i in range(7):
+        _file(land, f"{i}.csv", f"PHY-{i},x{i},N,1", f"PHY-0,x{i},N,1")
+    out = _stream(spark, land, store, tmpdir_path, "few", max_files_per_trigger=1, most_batches=2)
+    assert out == {"PHY-0": "x6"} | {f"PHY-{i}": f"x{i}" for i in range(1, 7)}
+    assert store.head()["number"] == 2
+
+
 def test_an_epoch_that_was_committed_is_not_run_again(spark, tmpdir_path):
     from careflow.streaming import incremental_stream as S
     land = f"{tmpdir_path}/landing"
