@@ -207,6 +207,32 @@ def test_a_merge_dated_before_the_current_version(spark):
                    (2, "x", dt.date(2024, 1, 1), dt.date(2025, 1, 9), 0), (2, "y", dt.date(2025, 1, 10), HIGH, 1)]
 
 
+def test_rows_placed_by_their_key_lie_in_few_files(spark, tmpdir_path):
+    """Rows behind a shuffle by the key are written without another one: a task has few buckets."""
+    store = BucketStore(spark, f"{tmpdir_path}/tables", buckets=8)
+    commit = store.begin()
+    rows = spark.range(2000).selectExpr("id as k", "id * 2 as v").repartition(16, "k")
+    commit.upsert("t", rows, "k", placed=True)
+    commit.publish()
+    assert len(store.read("t").inputFiles()) == 16
+    second = store.begin()
+    gone = spark.createDataFrame([(5,), (6,)], "k long")
+    second.upsert("t", spark.createDataFrame([(5, 1), (5, 2)], "k long, v long"), "k", keys=gone, placed=True)
+    second.publish()
+    got = sorted(tuple(r) for r in store.read("t").collect())
+    assert got == sorted([(i, 2 * i) for i in range(2000) if i not in (5, 6)] + [(5, 1), (5, 2)])
+    assert store.rows_of("t", 5).count() == 2
+
+
+def test_tables_of_older_records_keep_their_buckets(spark, tmpdir_path):
+    store = BucketStore(spark, f"{tmpdir_path}/tables", buckets=4)
+    commit = store.begin()
+    commit.tables["t"] = {"key": "k", "buckets": 4, "parts": {}}
+    commit.write("t", spark.range(50).withColumnRenamed("id", "k"), "k")
+    commit.publish()
+    assert all(store.rows_of("t", k).count() == 1 for k in (0, 7, 49))
+
+
 # --- the stream into a bucketed table ---
 def _file(folder, name, *rows):
     import os
