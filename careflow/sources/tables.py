@@ -14,12 +14,13 @@ import datetime as _dt
 import logging
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cleaning import ts_literal
 from ..schemas import DQ_SCORES, PIPELINE_RUNS
+from ..session import reliable_checkpoint
 
 log = logging.getLogger(__name__)
 
@@ -96,7 +97,6 @@ class TableStore:
         The version before the new one stays for plans that still read it; older
         ones are deleted."""
         if self.fmt == "jdbc":
-            from ..session import reliable_checkpoint
             self.write(reliable_checkpoint(df), name, "overwrite", partition_by)
             return
         before, tag = self.current(name), uuid.uuid4().hex[:12]
@@ -136,6 +136,17 @@ class TableStore:
         return made
 
 
+def numbered_files(df: DataFrame) -> DataFrame:
+    """``_file`` as a number in the order of the paths: rows that are sorted and shuffled
+    by arrival do not carry a path each.  One row per file; its size decides the join."""
+    if "_file" not in df.columns:
+        return df
+    files = df.select(F.col("_file").alias("_path")).distinct()
+    files = reliable_checkpoint(files.withColumn("_place", F.row_number().over(Window.orderBy("_path"))))
+    joined = df.join(files, F.col("_file").eqNullSafe(F.col("_path")))
+    return joined.select(*[F.col("_place").alias("_file") if c == "_file" else F.col(c) for c in df.columns])
+
+
 def load_staging(store: TableStore, df: DataFrame, table: str, key: str,
                  batch_ts: _dt.datetime, order: list[str] | None = None) -> int:
     """Stamp ``ingested_at``, keep the last row per key (by file, then row
@@ -146,7 +157,7 @@ def load_staging(store: TableStore, df: DataFrame, table: str, key: str,
 
     if df.isEmpty():
         return 0
-    stamped = df.withColumn("ingested_at", ts_literal(batch_ts))
+    stamped = numbered_files(df).withColumn("ingested_at", ts_literal(batch_ts))
     order = [c for c in (order if order is not None else ["_file", "_row_number"]) if c in stamped.columns]
     deduped = dedup_keep_last(stamped, key, order)
     deduped = deduped.drop(*[c for c in ("_row_number", "_file") if c in deduped.columns])

@@ -114,7 +114,7 @@ def _batch_handler(store: TableStore, dataset: str, quarantine_root: str, checkp
             valid, invalid = validate.split(checked, dataset)
             # named by stream and epoch, so an epoch that is run again replaces its own rows and no other stream's
             tables.quarantine(invalid, quarantine_root, dataset, f"{query_id(batch.sparkSession, checkpoint)}_epoch_{epoch_id}")
-            delta = valid.withColumn("ingested_at", ts_literal(stamp))
+            delta = tables.numbered_files(valid).withColumn("ingested_at", ts_literal(stamp))
             target = store.read_or_none(table)
             if target is None:
                 new = incremental.dedup_keep_last(delta, key)

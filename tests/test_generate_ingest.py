@@ -72,3 +72,12 @@ def test_generated_claims_and_patients_look_right(spark):
     pats = G.generate(spark, "patients", 20, sizes=sizes, as_of="2025-01-01").collect()
     assert [r.patient_id for r in pats][:2] == ["PAT-000001", "PAT-000002"]
     assert all("1939-" < r.date_of_birth < "2007-" for r in pats)
+
+
+def test_files_are_numbered_in_the_order_of_their_paths(spark):
+    """The last row of a key is that of the greatest path; its path is not carried along."""
+    from careflow.sources.tables import numbered_files
+    rows = [("file:/x/b.csv", 1, "k", "b1"), ("file:/x/a.csv", 9, "k", "a9"), ("file:/x/b.csv", 2, "k", "b2"), (None, 3, "k", "n3")]
+    out = numbered_files(spark.createDataFrame(rows, "_file string, _row_number long, k string, v string"))
+    assert out.columns == ["_file", "_row_number", "k", "v"] and dict(out.dtypes)["_file"] == "int"
+    assert {r.v: r._file for r in out.collect()} == {"n3": 1, "a9": 2, "b1": 3, "b2": 3}
