@@ -224,6 +224,81 @@ def test_rows_placed_by_their_key_lie_in_few_files(spark, tmpdir_path):
     assert store.rows_of("t", 5).count() == 2
 
 
+def test_rows_that_stay_are_not_shuffled_for_the_write(spark, tmpdir_path, monkeypatch):
+    """Rows that stay keep their place, and so do rows that lie in a table; null keys too."""
+    store = BucketStore(spark, f"{tmpdir_path}/tables", buckets=4)
+    first = store.begin()
+    old = spark.range(100).selectExpr("id as k", "0 as v").union(spark.sql("select cast(null as bigint), 0"))
+    first.upsert("t", old, "k")
+    first.publish()
+    shuffled, write = [], Commit.write
+
+    def noted(self, name, rows, key, touched=None, placed=None):
+        shuffled.append(rows.count())
+        write(self, name, rows, key, touched, placed)
+
+    monkeypatch.setattr(Commit, "write", noted)
+    second = store.begin()
+    second.upsert("t", spark.createDataFrame([(None, 1), (7, 1)], "k long, v int"), "k")
+    second.upsert("t", spark.createDataFrame([(8, 1)], "k long, v int"), "k", placed=True)
+    second.publish()
+    assert shuffled == [2, 0]
+    rows = sorted((-1 if r.k is None else r.k, r.v) for r in store.read("t").collect())
+    assert rows == sorted([(k, 0) for k in range(100) if k not in (7, 8)] + [(7, 1), (8, 1), (-1, 1)])
+
+
+def test_many_files_of_a_bucket_are_joined(spark, tmpdir_path, monkeypatch):
+    from careflow.sources import buckets
+    store = BucketStore(spark, f"{tmpdir_path}/tables", buckets=1)
+    commit = store.begin()
+    commit.upsert("t", spark.range(0, 400, 1, 20).withColumnRenamed("id", "k"), "k", placed=True)
+    commit.publish()
+    assert len(store.read("t").inputFiles()) > 20
+    monkeypatch.setattr(buckets, "MOST_FILES", 4)
+    second = store.begin()
+    second.upsert("t", spark.createDataFrame([(5,)], "k long"), "k", placed=True)
+    second.publish()
+    assert len(store.read("t").inputFiles()) <= 8 and store.read("t").count() == 400
+
+
+def test_rows_of_keys_hold_null_keys_and_keep_their_shuffle(spark, tmpdir_path):
+    """A semi join by plain equality: a window by the key needs no second shuffle."""
+    from pyspark.sql import Window, functions as F
+    store = BucketStore(spark, f"{tmpdir_path}/tables", buckets=4)
+    commit = store.begin()
+    commit.upsert("t", spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k long, v string"), "k")
+    keys = spark.createDataFrame([(None,), (2,)], "k long")
+    assert sorted(r.v for r in commit.rows_of_keys("t", keys, "k").collect()) == ["b", "c"]
+    assert [r.v for r in commit.rows_of_keys("t", keys.filter("k = 2"), "k").collect()] == ["b"]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = commit.rows_of_keys("t", keys.filter("k = 2"), "k").withColumn(
+            "n", F.row_number().over(Window.partitionBy("k").orderBy("v")))
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_journeys_and_switches_from_one_pass(spark):
+    """The rows of both functions, also where patients are cut into slices or unknown."""
+    from careflow.operators import warehouse as W
+    rx = [(f"p{i}", None if i % 11 == 0 else i % 5, f"d{i % 3}" if i % 7 else None,
+           dt.date(2024, 1, 1 + i % 4) if i % 6 else None, "area") for i in range(80)]
+    facts = spark.createDataFrame(rx, "prescription_id string, patient_id long, drug_name string, prescription_date date, therapy_area string")
+    dx = spark.createDataFrame([(i, i % 6, f"c{i}", dt.date(2024, 1, 1 + i % 5), "x") for i in range(30)],
+                               "diagnosis_id long, patient_id long, icd_code string, diagnosis_date date, severity string")
+    def rows(df):
+        return sorted(map(repr, df.collect()))
+
+    for diagnoses in (dx, None):
+        for hot in (1000, 15):
+            journeys, switches = W.journeys_and_switches(facts, diagnoses, hot_rows=hot)
+            assert rows(journeys) == rows(W.build_patient_journey(facts, diagnoses))
+            assert rows(switches) == rows(W.detect_therapy_switches(facts))
+
+
 def test_tables_of_older_records_keep_their_buckets(spark, tmpdir_path):
     store = BucketStore(spark, f"{tmpdir_path}/tables", buckets=4)
     commit = store.begin()
