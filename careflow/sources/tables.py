@@ -182,7 +182,9 @@ def quarantine(invalid: DataFrame, root: str, source: str, batch_ts: _dt.datetim
 
 def save_dq_report(store: TableStore, report: DataFrame, report_root: str,
                    run_ts: _dt.datetime) -> str:
-    """Write the report (one row) as JSON and append one dq_scores row."""
+    """Write the report (one row) as JSON and append one dq_scores row.  The
+    checks behind the report run once, not for each of the two."""
+    report = reliable_checkpoint(report)
     stamp = run_ts.strftime("%Y%m%d_%H%M%S")
     path = f"{report_root.rstrip('/')}/dq_report_{stamp}"
     report.write.mode("overwrite").json(path)

@@ -87,3 +87,20 @@ def test_keys_of_two_types_are_refused(spark, tmpdir_path):
         quality_run.run(store, {"c": spark.range(3).select("id", F.col("id").alias("p"), stamp)}, CHECKS)
     with pytest.raises(ValueError, match="holds string"):
         quality_run.run(store, {"p": spark.range(3).select(F.col("id").alias("p"), F.lit("2025-01-01").cast("timestamp_ntz").alias("ingested_at"))}, CHECKS)
+
+
+def test_a_saved_report_runs_its_checks_once(spark, tmpdir_path):
+    """The JSON report and the score row come from one run of the checks."""
+    from careflow.operators import quality
+    from careflow.sources import tables
+    seen = spark.sparkContext.accumulator(0)
+
+    def mark(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.createDataFrame([(1,), (2,)], "claim_id long").mapInPandas(mark, "claim_id long")
+    report = quality.dq_report(quality.run_checks({"stg_claims": rows}, [quality.row_count("stg_claims")]))
+    tables.save_dq_report(tables.TableStore(spark, f"{tmpdir_path}/t"), report, f"{tmpdir_path}/r", dt.datetime(2025, 1, 1))
+    assert seen.value == 2
