@@ -10,10 +10,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import validate as V
-from ..session import drop_checkpoint, reliable_checkpoint
+from ..session import drop_checkpoint
 from ..schemas import KEYS, STAGING_TABLE
 from ..sources import tables
-from ..sources.csv import read_raw_csv
+from ..sources.csv import read_raw_csv, with_file_row_number
 from ..sources.tables import TableStore
 
 log = logging.getLogger(__name__)
@@ -33,8 +33,11 @@ def ingest_file(spark: SparkSession, path: str, dataset: str, store: TableStore,
     if dataset not in STAGING_TABLE:
         raise ValueError(f"no dataset is called {dataset}; there are {sorted(STAGING_TABLE)}")
     batch_ts = batch_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    raw = read_raw_csv(spark, path, multiline=multiline)
-    checked = reliable_checkpoint(V.validate(raw, dataset))  # two sinks read the validated rows
+    raw = read_raw_csv(spark, path, multiline=multiline, row_number=False)
+    placed = raw.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_block"))
+    # parsed and validated once, into the one table that both sinks read
+    numbered = with_file_row_number(V.validate(placed, dataset), path_col="_path", block_col="_block")
+    checked = numbered.select(*raw.columns, "_file", "_row_number", V.ERROR_COL)
     try:
         err = F.col(V.ERROR_COL)
         tally = checked.agg(F.count_if(err.isNull()).alias("valid"), F.count_if(err.isNotNull()).alias("invalid")).first()
@@ -43,7 +46,7 @@ def ingest_file(spark: SparkSession, path: str, dataset: str, store: TableStore,
         n_bad = tables.quarantine(invalid, quarantine_root, stem, batch_ts)
         n_ok = tables.load_staging(store, valid, STAGING_TABLE[dataset], KEYS[dataset], batch_ts)
     finally:
-        drop_checkpoint(checked)
+        drop_checkpoint(numbered)
     return {"file": path, "dataset_type": dataset, "records_loaded": n_ok,
             "records_valid": int(tally["valid"]), "records_invalid": int(tally["invalid"]),
             "records_quarantined": n_bad, "timestamp": batch_ts.isoformat()}

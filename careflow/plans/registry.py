@@ -657,10 +657,10 @@ def _root(t: DomainTables, name: str) -> str:
 def _landing(t: DomainTables, root: str, dataset: str = "prescriptions") -> str:
     """The dataset as CSV files: all rows of a key lie in one file, ordered by all
     columns, so the last row of a key is the greatest."""
-    build, _, key = _RAW[dataset]
-    raw = build(t.spark, t.sf_dir).select(*_RAW_COLUMNS[dataset])
+    build, _, _ = _RAW[dataset]
     parts = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-    return _write_csv(raw.repartition(parts, key).sortWithinPartitions(*_RAW_COLUMNS[dataset]), f"{root}/raw/{dataset}.csv")
+    raw = build(t.spark, t.sf_dir, parts).select(*_RAW_COLUMNS[dataset])
+    return _write_csv(raw.sortWithinPartitions(*_RAW_COLUMNS[dataset]), f"{root}/raw/{dataset}.csv")
 
 
 def _staged_sql(dataset: str) -> str:

@@ -61,9 +61,11 @@ def with_file_row_number(df: DataFrame, out: str = "_row_number", path_col: str
     blocks = blocks.withColumn(
         "_off", F.sum("_n").over(Window.partitionBy("_fk").orderBy("_blk")) - F.col("_n")).drop("_n")
     blocks = reliable_checkpoint(blocks)  # one row per input split; its size decides the join
-    return (base.join(blocks, ["_fk", "_blk"])
-            .withColumn(out, F.col("_off") + (F.col("_mid") - F.col("_first")) + F.lit(1))
-            .drop("_fk", "_blk", "_mid", "_first", "_off"))
+    numbered = (base.join(blocks, ["_fk", "_blk"])
+                .withColumn(out, F.col("_off") + (F.col("_mid") - F.col("_first")) + F.lit(1))
+                .drop("_fk", "_blk", "_mid", "_first", "_off"))
+    numbered._careflow_path = base._careflow_path    # for drop_checkpoint
+    return numbered
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:

@@ -157,9 +157,12 @@ def load_staging(store: TableStore, df: DataFrame, table: str, key: str,
 
     if df.isEmpty():
         return 0
-    stamped = numbered_files(df).withColumn("ingested_at", ts_literal(batch_ts))
-    order = [c for c in (order if order is not None else ["_file", "_row_number"]) if c in stamped.columns]
-    deduped = dedup_keep_last(stamped, key, order)
+    rows = numbered_files(df)
+    order = [c for c in (order if order is not None else ["_file", "_row_number"]) if c in rows.columns and c != "ingested_at"]
+    if "ingested_at" in rows.columns:
+        rows = rows.withColumn("ingested_at", ts_literal(batch_ts))
+    # a new stamp comes behind the shuffle
+    deduped = dedup_keep_last(rows, key, order).withColumn("ingested_at", ts_literal(batch_ts))
     deduped = deduped.drop(*[c for c in ("_row_number", "_file") if c in deduped.columns])
     obs = Observation(f"load_{table}")
     store.replace(deduped.observe(obs, F.count(F.lit(1)).alias("rows")), table)

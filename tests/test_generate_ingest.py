@@ -1,4 +1,5 @@
 """Generator (S1-S4) and ingest (S6-S8, S11) invariants."""
+import datetime as dt
 import os
 
 from careflow.plans import ingest
@@ -81,3 +82,24 @@ def test_files_are_numbered_in_the_order_of_their_paths(spark):
     out = numbered_files(spark.createDataFrame(rows, "_file string, _row_number long, k string, v string"))
     assert out.columns == ["_file", "_row_number", "k", "v"] and dict(out.dtypes)["_file"] == "int"
     assert {r.v: r._file for r in out.collect()} == {"n3": 1, "a9": 2, "b1": 3, "b2": 3}
+
+
+def test_ingest_writes_the_parsed_rows_once(spark, tmpdir_path, monkeypatch):
+    """Rows are validated on the way into the one table that gives them their numbers."""
+    from careflow.plans import ingest
+    from careflow.sources import csv, tables
+    wide = []
+    for module in (csv, tables):
+        was = module.reliable_checkpoint
+        monkeypatch.setattr(module, "reliable_checkpoint",
+                            lambda df, was=was: (wide.append("claim_id" in df.columns), was(df))[1])
+    with open(f"{tmpdir_path}/claims.csv", "w") as f:
+        f.write("claim_id,patient_id,claim_date,amount,status,payer\n1,5,2024-01-01,10,approved,x\n"
+                "2,5,2024-01-01,ten,approved,x\n1,6,2024-01-02,11,approved,x\n")
+    assert not hasattr(ingest, "reliable_checkpoint")
+    store = tables.TableStore(spark, f"{tmpdir_path}/t")
+    done = ingest.ingest_file(spark, f"{tmpdir_path}/claims.csv", "claims", store, f"{tmpdir_path}/q", dt.datetime(2025, 1, 1))
+    assert (done["records_valid"], done["records_quarantined"], done["records_loaded"]) == (2, 1, 1)
+    assert sum(wide) == 1
+    assert store.read("stg_claims").first().patient_id == 6
+    assert spark.read.parquet(f"{tmpdir_path}/q").first()["_row_number"] == 2
