@@ -101,5 +101,5 @@ def test_ingest_writes_the_parsed_rows_once(spark, tmpdir_path, monkeypatch):
     done = ingest.ingest_file(spark, f"{tmpdir_path}/claims.csv", "claims", store, f"{tmpdir_path}/q", dt.datetime(2025, 1, 1))
     assert (done["records_valid"], done["records_quarantined"], done["records_loaded"]) == (2, 1, 1)
     assert sum(wide) == 1
-    assert store.read("stg_claims").first().patient_id == 6
+    assert store.read("stg_claims").first().patient_id == "6"
     assert spark.read.parquet(f"{tmpdir_path}/q").first()["_row_number"] == 2
