@@ -374,3 +374,48 @@ def test_two_streams_on_one_quarantine_folder(spark, tmpdir_path, bucketed):
         _stream(spark, f"{tmpdir_path}/landing-{name}", store, tmpdir_path, f"ck-{name}")
     bad = spark.read.parquet(f"{tmpdir_path}/quarantine")
     assert {r["physician_id"] for r in bad.collect()} >= {"one", "two"}
+
+
+# ----------------------------------------------------------------- tables dealt out by a key
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_dealt_rows_are_not_shuffled_again(spark, sources, monkeypatch):
+    from careflow import session
+    monkeypatch.setattr(session, "DEALT_ROWS", 40)
+    rx = sources["prescriptions"]
+    dealt = session.dealt_checkpoint(rx, "prescription_id", session.dealt_buckets(spark, rx.count()))
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, rx.collect()))
+    last = warehouse.dedup_keep_last(dealt, "prescription_id")
+    assert exchanges(last) == 0
+    assert sorted(map(str, last.collect())) == sorted(map(str, warehouse.dedup_keep_last(rx, "prescription_id").collect()))
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("careflow_dealt")]
+    assert session.dealt_buckets(spark, 40) == 1
+
+
+@pytest.mark.parametrize("most", [True, False])
+def test_loads_of_many_keys_equal_one_run(spark, sources, whole, tmp_path, monkeypatch, most):
+    """Large loads deal tables out by key, and write journeys of whole buckets where most patients are touched."""
+    from careflow import session
+    from careflow.operators import warehouse as W
+    monkeypatch.setattr(session, "DEALT_ROWS", 20)
+    monkeypatch.setattr(incremental_run, "MANY_KEYS", 3 if most else 10**6)
+    made, steps = [], W.journeys_and_switches
+    monkeypatch.setattr(W, "journeys_and_switches", lambda *a, **k: made.append(k.get("buckets", 0)) or steps(*a, **k))
+    store = BucketStore(spark, str(tmp_path), buckets=4)
+    for day in [dt.date(2024, 1, 20), dt.date(2024, 2, 20), dt.date(2024, 5, 1)]:
+        incremental_run.run(store, until(sources, day))
+    assert contents(store) == whole
+    assert len(made) == 3 and all(b > 1 for b in made) == most
+
+
+def test_dealt_prescriptions_are_the_staged_ones(spark, monkeypatch):
+    from careflow import session
+    from careflow.sources import fixtures
+    sf = "/root/testdata/sf0.001"
+    plain = fixtures.rx_stage(spark, sf).drop("source_part", "source_price")
+    monkeypatch.setattr(session, "DEALT_ROWS", 1000)
+    dealt = fixtures.rx_dealt(spark, sf)
+    assert dealt.columns == plain.columns and dealt.dtypes == plain.dtypes
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
