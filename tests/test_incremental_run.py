@@ -419,3 +419,42 @@ def test_dealt_prescriptions_are_the_staged_ones(spark, monkeypatch):
     dealt = fixtures.rx_dealt(spark, sf)
     assert dealt.columns == plain.columns and dealt.dtypes == plain.dtypes
     assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_steps_on_dealt_rows_sort_once(spark, sources, monkeypatch):
+    """Keep-last, the anti join and the windows of a large load: one sort of its rows or none."""
+    from careflow import session
+    from careflow.operators import warehouse as W
+    from careflow.sources.buckets import matching
+    rx = sources["prescriptions"]
+    dealt = session.dealt_checkpoint(rx, "prescription_id", 4)
+
+    def sorts(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("Sort [")
+
+    last = warehouse.dedup_keep_last(dealt, "prescription_id", placed=True)
+    assert (sorts(last), exchanges(last)) == (1, 0) and "Aggregate" not in last._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(str, last.collect())) == sorted(map(str, warehouse.dedup_keep_last(rx, "prescription_id").collect()))
+    keys = session.dealt_checkpoint(rx.filter("patient_id is not null").select("prescription_id"), "prescription_id", 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for how in ("left_semi", "left_anti"):
+            met = matching(dealt, "prescription_id", keys, how, False, 4)
+            assert (sorts(met), exchanges(met)) == (0, 0)
+            assert sorted(map(str, met.collect())) == sorted(map(str, matching(rx, "prescription_id", keys, how, False).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    written = []
+    monkeypatch.setattr(W, "reliable_checkpoint", lambda df: written.append(sorts(df)) or session.reliable_checkpoint(df))
+    W.journeys_and_switches(warehouse.transform_prescriptions(rx), None, buckets=4)
+    assert written == [1]
+
+
+def test_arrivals_are_stamped_once(spark):
+    """The stamps lie in the written table; no run of the job parses the dates again."""
+    from careflow.plans import registry_incremental as R
+    from careflow.plans.domain import DomainTables
+    rows = R.rx_arrivals(DomainTables(spark, "/root/testdata/sf0.001"))
+    assert all("ingested_at" in spark.read.parquet(path).columns for path in rows.inputFiles())
+    assert "gettimestamp" not in rows._jdf.queryExecution().optimizedPlan().toString().lower()

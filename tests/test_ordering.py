@@ -64,6 +64,16 @@ def test_keep_last_picks_greatest_order_and_null_key_group(spark):
     assert out == {"A": 3, "B": 2, "C": 4, None: 6}
 
 
+def test_keep_last_of_placed_rows_is_the_same(spark):
+    rnd = random.Random(3)
+    rows = [(rnd.choice(["A", "B", None]), rnd.choice([1, 2, None]), rnd.choice([1.0, float("nan"), None]), rnd.choice(["x", "", None]))
+            for _ in range(60)] + [("one", None, None, None)]
+    df = spark.createDataFrame(rows, "id string, seq int, value double, word string")
+    for order in (["seq"], ["word", "seq"], []):
+        assert sorted(map(repr, keep_last(df, "id", order, placed=True).collect())) == sorted(map(repr, keep_last(df, "id", order).collect()))
+    assert keep_last(df.select("id"), "id", [], placed=True).count() == 4
+
+
 def test_keep_last_hot_key_reduces_map_side(spark):
     df = spark.range(20000).select((F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id"))).alias("k"),
                                    F.col("id").alias("seq"))

@@ -1,6 +1,8 @@
 """Warehouse transforms on the reference's small fixtures (FIXTURES.md A1, A2)."""
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from careflow.functions.cleaning import normalize_dates, to_int_or_zero
 from careflow.operators import warehouse as W
 
@@ -98,3 +100,16 @@ def test_dim_physician_years_and_keep_last(spark):
     assert out == {"PHY-1": ("Card", 0), "PHY-2": ("Neuro", 0)}
     df2 = df.filter("specialty = 'Onc'")
     assert W.transform_physicians(df2).first().years_experience == 12
+
+
+def test_strict_dates_are_those_of_the_pattern_and_skip_its_parser(spark):
+    from careflow.functions.cleaning import to_date_strict
+    texts = ["2023-01-15", "2024-02-29", "2023-02-29", "2023-13-01", "2023-00-10", "2023-1-5", "2023-01-5", "2023", "2023-01",
+             " 2023-01-15", "2023-01-15 ", "2023-01-15\n", "2023-01-15T00:00:00", "2023-01-15 10:00:00", "20230115", "0000-01-01",
+             "0001-01-01", "9999-12-31", "10000-01-01", "+10000-01-01", "+2023-01-15", "-2023-01-15", "02023-01-15", "x2023-01-15",
+             "2023/01/15", "not-a-date", "", None, "1582-10-10", "\u0662\u0660\u0662\u0663-01-15", "2023-01-15Z", "2023-06-31"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    out = df.select("t", F.try_to_date("t", "yyyy-MM-dd").cast("string").alias("by_pattern"), to_date_strict(F.col("t")).cast("string").alias("strict"))
+    assert [r for r in out.collect() if r["by_pattern"] != r["strict"]] == []
+    plan = df.select(to_date_strict(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RLIKE" in plan
